@@ -26,6 +26,8 @@ WKB_MULTIPOLYGON = 6
 # Points a closed ring, or an open line, keeps at the least.
 RING_POINTS = 4
 LINE_POINTS = 2
+# Pairs of segments looked at in one array operation.
+PAIRS_AT_ONCE = 4_000_000
 
 
 # --- simplification ---------------------------------------------------------
@@ -54,11 +56,12 @@ def _simplify_batch(column: pa.Array, tolerance: float) -> pa.Array:
     geometry_ends, polygon_ends, ring_ends = (
         np.concatenate([[0], np.cumsum(_lengths(a))]) for a in (column, polygons, rings)
     )
-    keep = np.ones(len(x), dtype=bool)
-    for first, last in zip(geometry_ends[:-1], geometry_ends[1:]):
-        bounds = ring_ends[polygon_ends[first] : polygon_ends[last] + 1]
+    keep = _halved(x, y, ring_ends, tolerance)
+    for bounds in (ring_ends[polygon_ends[a] : polygon_ends[b] + 1] for a, b in zip(geometry_ends[:-1], geometry_ends[1:])):
         begin, end = bounds[0], bounds[-1]
-        keep[begin:end] = _kept(x[begin:end], y[begin:end], bounds - begin, tolerance)
+        px, py, kept = x[begin:end], y[begin:end], keep[begin:end]
+        if not kept.all() and _doubtful(px, py, kept, bounds - begin):
+            keep[begin:end] = _kept(px, py, bounds - begin, tolerance)
     kept_before = np.concatenate([[0], np.cumsum(keep)])
     new_points = points.filter(pa.array(keep))
     new_rings = pa.ListArray.from_arrays(pa.array(kept_before[ring_ends], pa.int32()), new_points)
@@ -67,12 +70,82 @@ def _simplify_batch(column: pa.Array, tolerance: float) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(geometry_ends, pa.int32()), new_polygons, mask=missing)
 
 
+def _halved(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which vertices stay if no shortcut meets anything: all rings of a batch at once.
+
+    Every round splits the sections whose farthest vertex is out of tolerance and
+    drops the inner vertices of the others.
+    """
+    keep = np.zeros(len(x), dtype=bool)
+    sized = np.diff(bounds) > 0
+    first, last = bounds[:-1][sized], bounds[1:][sized] - 1
+    keep[first] = keep[last] = True
+    # A closed ring splits at least once, and then its first half does.
+    forced = (x[first] == x[last]) & (y[first] == y[last])
+    for depth in range(1, len(x) + 1):
+        long = last - first > 1
+        first, last, forced = first[long], last[long], forced[long]
+        if first.size == 0:
+            break
+        sizes = last - first - 1
+        starts = np.cumsum(sizes) - sizes
+        inner = np.arange(sizes.sum()) + np.repeat(first + 1 - starts, sizes)
+        away = _segment_distance(x, y, np.repeat(first, sizes), np.repeat(last, sizes), inner)
+        farthest = np.maximum.reduceat(away, starts)
+        at = np.where(away == np.repeat(farthest, sizes), inner, len(x))
+        split = np.minimum.reduceat(at, starts)
+        go = (farthest > tolerance) | forced
+        keep[split[go]] = True
+        first, last, split, forced = first[go], last[go], split[go], forced[go]
+        again = forced if depth == 1 else np.zeros(first.size, dtype=bool)
+        first, last = np.concatenate([first, split]), np.concatenate([split, last])
+        forced = np.concatenate([again, np.zeros(again.size, dtype=bool)])
+    return keep
+
+
+def _doubtful(x: np.ndarray, y: np.ndarray, keep: np.ndarray, bounds: np.ndarray) -> bool:
+    """Must one geometry be done step by step: a ring came out small, or a shortcut meets a piece?
+
+    Pieces are those of the outline before and after; if no shortcut meets any,
+    the order in which they were taken makes no difference.
+    """
+    ring_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        if end - begin > RING_POINTS and keep[begin:end].sum() <= RING_POINTS and x[begin] == x[end - 1] and y[begin] == y[end - 1]:
+            return True
+    after = np.flatnonzero(keep)
+    a, b = after[:-1], after[1:]
+    same = ring_of[a] == ring_of[b]
+    a, b = a[same], b[same]
+    cuts = b - a > 1
+    i, j = a[cuts], b[cuts]
+    before = np.arange(len(x) - 1)
+    before = before[ring_of[before] == ring_of[before + 1]]
+    a, b = np.concatenate([before, i]), np.concatenate([before + 1, j])
+    block = max(1, PAIRS_AT_ONCE // len(a))
+    for start in range(0, len(i), block):
+        if _any_meeting(x, y, i[start : start + block], j[start : start + block], a, b):
+            return True
+    return False
+
+
+def _any_meeting(x, y, i, j, a, b) -> bool:
+    """Does any segment i-j meet any segment a-b that lies outside i..j?"""
+    low_x, high_x = np.minimum(x[i], x[j])[:, None], np.maximum(x[i], x[j])[:, None]
+    low_y, high_y = np.minimum(y[i], y[j])[:, None], np.maximum(y[i], y[j])[:, None]
+    near = (np.maximum(x[a], x[b]) >= low_x) & (np.minimum(x[a], x[b]) <= high_x)
+    near &= (np.maximum(y[a], y[b]) >= low_y) & (np.minimum(y[a], y[b]) <= high_y)
+    near &= (b <= i[:, None]) | (a >= j[:, None])
+    cut, piece = np.nonzero(near)
+    return bool(np.any(_meet(x, y, i[cut], j[cut], a[piece], b[piece])))
+
+
 def _lengths(lists: pa.ListArray) -> np.ndarray:
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
 
 
 def _kept(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) -> np.ndarray:
-    """Which vertices of one geometry stay; ``bounds`` delimits its rings."""
+    """Which vertices of one geometry stay, shortcut by shortcut; ``bounds`` delimits its rings."""
     alive = np.ones(len(x), dtype=bool)
     ring_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     for begin, end in zip(bounds[:-1], bounds[1:]):
@@ -87,7 +160,7 @@ def _kept(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) ->
             if j - i == 1:
                 settled += 1
                 continue
-            away = _distances(x, y, i, j)
+            away = _segment_distance(x, y, i, j, np.arange(i + 1, j))
             far = int(np.argmax(away))
             reached = settled + 1 if settled else 0
             too_few = reached < least and depth + 1 < least
@@ -100,14 +173,12 @@ def _kept(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) ->
     return alive
 
 
-def _distances(x: np.ndarray, y: np.ndarray, i: int, j: int) -> np.ndarray:
-    """Distance of the vertices between i and j from the segment i-j."""
-    px, py = x[i + 1 : j] - x[i], y[i + 1 : j] - y[i]
+def _segment_distance(x: np.ndarray, y: np.ndarray, i, j, p) -> np.ndarray:
+    """Distance of the vertices p from the segments i-j."""
+    px, py = x[p] - x[i], y[p] - y[i]
     dx, dy = x[j] - x[i], y[j] - y[i]
     length2 = dx * dx + dy * dy
-    if length2 == 0.0:
-        return np.sqrt(px * px + py * py)
-    along = np.clip((px * dx + py * dy) / length2, 0.0, 1.0)
+    along = np.clip((px * dx + py * dy) / np.where(length2 == 0.0, 1.0, length2), 0.0, 1.0)
     ex, ey = px - along * dx, py - along * dy
     return np.sqrt(ex * ex + ey * ey)
 
@@ -116,17 +187,12 @@ def _meets_other(x, y, alive, ring_of, i: int, j: int) -> bool:
     """Would the shortcut i-j run into a piece of the current outline outside i..j?"""
     index = np.flatnonzero(alive)
     a, b = index[:-1], index[1:]
-    other = (ring_of[a] == ring_of[b]) & ((b <= i) | (a >= j))
-    a, b = a[other], b[other]
-    low_x, high_x = sorted((x[i], x[j]))
-    low_y, high_y = sorted((y[i], y[j]))
-    near = (
-        (np.maximum(x[a], x[b]) >= low_x) & (np.minimum(x[a], x[b]) <= high_x)
-        & (np.maximum(y[a], y[b]) >= low_y) & (np.minimum(y[a], y[b]) <= high_y)
-    )
-    a, b = a[near], b[near]
-    if a.size == 0:
-        return False
+    same = ring_of[a] == ring_of[b]
+    return _any_meeting(x, y, np.array([i]), np.array([j]), a[same], b[same])
+
+
+def _meet(x, y, i, j, a, b):
+    """Segments i-j and a-b cross, or an end of one lies inside the other."""
     side_a, side_b = _side(x, y, i, j, a), _side(x, y, i, j, b)
     side_i, side_j = _side(x, y, a, b, i), _side(x, y, a, b, j)
     crossing = (side_a * side_b < 0) & (side_i * side_j < 0)
@@ -134,7 +200,7 @@ def _meets_other(x, y, alive, ring_of, i: int, j: int) -> bool:
         _strictly_on(x, y, i, j, a, side_a) | _strictly_on(x, y, i, j, b, side_b)
         | _strictly_on(x, y, a, b, i, side_i) | _strictly_on(x, y, a, b, j, side_j)
     )
-    return bool(np.any(crossing | touching))
+    return crossing | touching
 
 
 def _side(x, y, p, q, r):
@@ -144,8 +210,9 @@ def _side(x, y, p, q, r):
 
 def _strictly_on(x, y, p, q, r, side):
     """r lies inside the segment p-q, not at its ends."""
-    reach = (x[r] - x[p]) * (x[q] - x[p]) + (y[r] - y[p]) * (y[q] - y[p])
-    whole = (x[q] - x[p]) ** 2 + (y[q] - y[p]) ** 2
+    dx, dy = x[q] - x[p], y[q] - y[p]
+    reach = (x[r] - x[p]) * dx + (y[r] - y[p]) * dy
+    whole = dx * dx + dy * dy
     return (side == 0) & (reach > 0) & (reach < whole)
 
 

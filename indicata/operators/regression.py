@@ -96,13 +96,13 @@ class Fit:
         at_mean = self.means[1:]
         variances = [1.0 / self.n + at_mean @ self.inverse @ at_mean, *np.diag(self.inverse)]
         margin = student_quantile(self.df_residual)
-        rows = []
-        for term, coef, variance in zip((INTERCEPT, *self.predictors), (self.intercept, *self.slopes), variances):
+        terms, rows = (INTERCEPT, *self.predictors), []
+        for coef, variance in zip((self.intercept, *self.slopes), variances):
             error = math.sqrt(self.mse * variance)
             t = coef / error if error > 0 else math.copysign(math.inf, coef)
             p = student_two_sided(t, self.df_residual)
-            rows.append((term, float(coef), error, t, p, float(coef - margin * error), float(coef + margin * error)))
-        return rows
+            rows.append(tuple(map(float, (coef, error, t, p, coef - margin * error, coef + margin * error))))
+        return [(term, *row) for term, row in zip(terms, rows)]
 
     def quality(self) -> dict[str, float]:
         n, k, d = self.n, len(self.predictors), self.df_residual
