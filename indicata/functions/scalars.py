@@ -22,7 +22,9 @@ def finite_or_null(value: Column) -> Column:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by null in every floating column (done once, at bronze)."""
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floating})
+    if not floating:
+        return df
+    return df.withColumns({c: F.expr(f"nullif(`{c}`, double('NaN'))") for c in floating})
 
 
 def _divide(a: Column, b: Column) -> Column:
@@ -76,9 +78,11 @@ def days_to_timestamp(df: DataFrame, column: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema}
     if not isinstance(kinds.get(column), (T.DoubleType, T.FloatType)):
         return df
-    seconds = (F.col(f"`{column}`") * 86400).cast("decimal(18,6)")
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return df.withColumn(column, epoch + F.make_dt_interval(secs=seconds))
+    moment = (
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+        f" + make_dt_interval(0, 0, 0, cast(`{column}` * 86400 AS decimal(18,6)))"
+    )
+    return df.withColumn(column, F.expr(moment))
 
 
 def cast_strict(df: DataFrame, column: str, to: str) -> DataFrame:

@@ -12,17 +12,23 @@ from indicata.functions import finite_or_null
 
 
 def pair_structs(columns: Sequence[str]) -> Column:
-    """Every unordered pair as an array of ``(var_x, var_y, r, pairs)`` aggregates."""
+    """Every unordered pair as an array of ``(var_x, var_y, r, pairs)`` aggregates.
+
+    A pair without spread in either member has no coefficient.
+    """
     structs = []
     for x, y in combinations_with_replacement(columns, 2):
         a, b = (finite_or_null(F.col(f"`{c}`").cast("double")) for c in (x, y))
-        r = F.when(F.count_if(a.isNotNull() & b.isNotNull()) > 1, F.corr(a, b))
+        both = a.isNotNull() & b.isNotNull()
+        a, b = F.when(both, a), F.when(both, b)
+        # Not ``corr``, which fails on a constant column in ANSI mode.
+        r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
         structs.append(
             F.struct(
                 F.lit(x).alias("var_x"),
                 F.lit(y).alias("var_y"),
-                F.nanvl(r, F.lit(None).cast("double")).alias("r"),
-                F.count_if(a.isNotNull() & b.isNotNull()).alias("pairs"),
+                (F.when(r.isNotNull(), 1.0) if x == y else F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))).alias("r"),
+                F.count_if(both).alias("pairs"),
             )
         )
     return F.array(*structs)

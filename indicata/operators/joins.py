@@ -29,8 +29,7 @@ def keyed(df: DataFrame, key: str, to: str = "string") -> DataFrame:
 
 def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows that can be joined, and the rejects whose key is missing."""
-    missing = F.col(f"`{key}`").isNull()
-    return df.where(~missing), df.where(missing)
+    return df.where(f"`{key}` IS NOT NULL"), df.where(f"`{key}` IS NULL")
 
 
 def fold_left(tables: Sequence[DataFrame], key: str) -> DataFrame:

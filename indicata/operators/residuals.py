@@ -22,6 +22,8 @@ def diagnostics(df: DataFrame, fit: Fit) -> dict[str, float]:
     """Skewness, kurtosis, Jarque-Bera and omnibus of the residuals, from one aggregate."""
     e = fit.residual_column()
     skew, excess = df.agg(F.skewness(e), F.kurtosis(e)).first()
+    if skew is None:  # a perfect fit has no residuals to speak of
+        return {}
     n, kurtosis = fit.n, excess + 3.0
     jarque_bera = n / 6.0 * (skew**2 + excess**2 / 4.0)
     out = {

@@ -19,13 +19,9 @@ def at_level(df: DataFrame, column: str, level: str) -> DataFrame:
 def at_level_and_date(
     df: DataFrame, level_column: str, level: str, date_column: str, day: dt.date
 ) -> DataFrame:
-    """Rows of one level at exactly midnight of ``day``, both passed as bound parameters."""
-    return df.sparkSession.sql(
-        f"SELECT * FROM {{df}} WHERE `{level_column}` = :level"
-        f" AND `{date_column}` = CAST(CAST(:day AS DATE) AS TIMESTAMP_NTZ)",
-        args={"level": level, "day": day},
-        df=df,
-    )
+    """Rows of one level at exactly midnight of ``day``."""
+    midnight = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+    return at_level(df, level_column, level).where(F.col(f"`{date_column}`") == midnight)
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

@@ -49,7 +49,6 @@ def run_source(
     _, bronze_metric = storage.measured_write(bronze, f"{out}/bronze/{source.series}", f"bronze {source.name}", fmt)
     clean, rejects = silver_and_rejects(raw, source, mode)
     stored, silver_metric = storage.measured_write(clean, f"{out}/silver/{source.name}", f"silver {source.name}", fmt)
-    rejects = rejects.select(names.CODE, source.name)
     _, reject_metric = storage.measured_write(rejects, f"{out}/rejects/{source.name}", f"rejects {source.name}", fmt)
     return stored, [bronze_metric, silver_metric, reject_metric]
 

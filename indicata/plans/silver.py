@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from indicata import names
 from indicata.functions import CAST_MODES, round_scaled
-from indicata.operators.columns import drop_strict, rename, require
-from indicata.operators.joins import keyed, split_null_keys
+from indicata.operators.columns import require
+from indicata.operators.joins import split_null_keys
 from indicata.operators.rows import at_level, at_level_and_date, first_per_key
 from indicata.sources.catalogue import Source
 from indicata.sources.landing import ORDINAL
@@ -17,20 +17,26 @@ MODES = ("label", "strict")
 
 
 def selected(raw: DataFrame, source: Source) -> DataFrame:
-    """Filter to the municipality level (and date), drop what was filtered on, rename."""
+    """Municipality rows (of the date) as ``code``, value and landing position.
+
+    The columns that the source is known to carry must be there even though only
+    the key and the value are kept.
+    """
+    require(raw, source.key, source.value, *source.drops)
     if source.date_column is None:
         rows = at_level(raw, source.level_column, source.level)
     else:
         rows = at_level_and_date(raw, source.level_column, source.level, source.date_column, source.date)
-    require(rows, source.key, source.value)
-    rows = drop_strict(rows, *source.drops)
-    rows = rename(rows, {source.key: names.CODE, source.value: source.name})
-    return keyed(rows, names.CODE)
+    return rows.select(
+        F.col(f"`{source.key}`").cast("string").alias(names.CODE),
+        F.col(f"`{source.value}`").alias(source.name),
+        ORDINAL,
+    )
 
 
 def silver(raw: DataFrame, source: Source, mode: str = "label") -> DataFrame:
     """The clean rows of a source; see ``silver_and_rejects``."""
-    return silver_and_rejects(raw, source, mode)[0]
+    return _refined(selected(raw, source), source, mode)
 
 
 def silver_and_rejects(raw: DataFrame, source: Source, mode: str = "label") -> tuple[DataFrame, DataFrame]:
@@ -39,16 +45,22 @@ def silver_and_rejects(raw: DataFrame, source: Source, mode: str = "label") -> t
     ``label`` keeps repeated keys; ``strict`` keeps the first row of each. Only
     the key and the value leave silver, so later joins cannot clash on names.
     """
+    rows = selected(raw, source)
+    _, rejects = split_null_keys(rows, names.CODE)
+    return _refined(rows, source, mode), rejects.select(names.CODE, source.name)
+
+
+def _refined(rows: DataFrame, source: Source, mode: str) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
-    rows, rejects = split_null_keys(selected(raw, source), names.CODE)
+    rows, _ = split_null_keys(rows, names.CODE)
     if source.dtype is not None:
         rows = CAST_MODES[source.casts[mode]](rows, source.name, source.dtype)
     if mode == "strict":
-        rows = first_per_key(rows.select(names.CODE, source.name, ORDINAL), names.CODE, ORDINAL)
+        rows = first_per_key(rows, names.CODE, ORDINAL)
     value = F.col(source.name)
     if source.scale is not None:
         value = value * F.lit(source.scale)
     if source.digits is not None:
         value = round_scaled(value, source.digits)
-    return rows.select(names.CODE, value.alias(source.name)), rejects
+    return rows.select(names.CODE, value.alias(source.name))

@@ -56,9 +56,10 @@ class LandingZone:
 
 def raw(rows: DataFrame) -> DataFrame:
     """Bronze normalisation: no index artefact, NaN as null, day numbers as timestamps."""
-    return days_to_timestamp(nan_to_null(rows.drop(INDEX_ARTEFACT)), "date")
+    rows = days_to_timestamp(rows, "date")
+    return nan_to_null(rows.drop(INDEX_ARTEFACT) if INDEX_ARTEFACT in rows.columns else rows)
 
 
 def polygon_columns(rows: DataFrame) -> DataFrame:
-    kept = drop_strict(rows, *POLYGON_DROPS)
-    return rename(kept, {POLYGON_STATE: STATE, POLYGON_KEY: names.CODE})
+    kept = rename(drop_strict(rows, *POLYGON_DROPS), {POLYGON_STATE: STATE, POLYGON_KEY: names.CODE})
+    return kept.withColumn(names.CODE, F.col(names.CODE).cast("bigint"))

@@ -23,14 +23,30 @@ TERRITORY_SEGMENT_OUT = "MACHINERY"
 RING_VERTICES = 64
 
 
-def in_year(column: str, year: int) -> Column:
+# Declared, so that no job is spent on reading file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+        " l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
+def in_year(column: str, year: int) -> str:
     """A date range rather than ``year(column) = ...``, so that it reaches the Parquet scan."""
-    low, high = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (year, year + 1))
-    return (F.col(column) >= low) & (F.col(column) < high)
+    return f"{column} >= timestamp_ntz'{year}-01-01' AND {column} < timestamp_ntz'{year + 1}-01-01'"
 
 
 def money(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+    return F.expr(f"sum(cast({column} AS decimal(18,2)))")
 
 
 class StandIns:
@@ -39,7 +55,7 @@ class StandIns:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def read(self, source: Source) -> DataFrame:
         shapes = {
@@ -53,56 +69,53 @@ class StandIns:
 
     def _observations(self, rows: DataFrame, source: Source, value: Column) -> DataFrame:
         """One row per territory; grouped by the text key, which the later joins share."""
-        grouped = rows.groupBy(F.col("o_custkey").cast("string").alias(source.key)).agg(
+        grouped = rows.groupBy(F.expr(f"cast(o_custkey AS string) AS {source.key}")).agg(
             value.alias(source.value), F.min("o_orderkey").alias(ORDINAL)
         )
-        return grouped.select(
-            F.lit(source.series).alias("CODE"),
-            F.lit(f"{source.year}-01-01").alias("RAW DATE"),
-            F.lit(source.year).alias("YEAR"),
+        return grouped.selectExpr(
+            f"'{source.series}' AS CODE",
+            f"'{source.year}-01-01' AS `RAW DATE`",
+            f"{source.year} AS YEAR",
             source.key,
-            F.lit(source.level).alias("NIVNOME"),
-            F.col(f"`{source.value}`"),
+            f"'{source.level}' AS NIVNOME",
+            f"`{source.value}`",
             ORDINAL,
         )
 
     def _gdp(self, source: Source) -> DataFrame:
         """Shipped value of a year per customer. Lines are summed per order before the join."""
         lines = self.table("lineitem").where(in_year("l_shipdate", source.year))
-        per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("shipped")
-        )
+        per_order = lines.groupBy(F.expr("l_orderkey AS o_orderkey")).agg(money("l_extendedprice").alias("shipped"))
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return self._observations(per_order.join(orders, "o_orderkey"), source, F.sum("shipped").cast("double"))
+        return self._observations(per_order.join(orders, "o_orderkey"), source, F.expr("cast(sum(shipped) AS double)"))
 
     def _revenue(self, source: Source) -> DataFrame:
         rows = self.table("orders").where(in_year("o_orderdate", source.year))
-        return self._observations(rows, source, money("o_totalprice"))
+        return self._observations(rows, source, money("o_totalprice").cast("double"))
 
     def _population(self, source: Source) -> DataFrame:
-        return self._observations(self.table("orders"), source, F.count(F.lit(1)))
+        return self._observations(self.table("orders"), source, F.expr("count(1)"))
 
     def _territories(self, source: Source) -> DataFrame:
-        outside = F.col("c_mktsegment") == TERRITORY_SEGMENT_OUT
-        return self.table("customer").select(
-            F.col("c_name").alias("NAME"),
-            F.col("c_custkey").cast("string").alias("ID"),
-            F.when(outside, "Estados").otherwise(source.level).alias("LEVEL"),
-            F.col("c_acctbal").alias("AREA"),
-            (F.col("c_nationkey") == 0).alias("CAPITAL"),
-            F.lit(0).alias(ORDINAL),
+        return self.table("customer").selectExpr(
+            "c_name AS NAME",
+            "cast(c_custkey AS string) AS ID",
+            f"if(c_mktsegment = '{TERRITORY_SEGMENT_OUT}', 'Estados', '{source.level}') AS LEVEL",
+            "c_acctbal AS AREA",
+            "c_nationkey = 0 AS CAPITAL",
+            f"0 AS {ORDINAL}",
         )
 
     def _index(self, source: Source) -> DataFrame:
         """Index rows; the date comes as a number of days, as one provider delivers it."""
-        day = float((source.date - dt.date(1970, 1, 1)).days)
-        return self.table("customer").select(
-            F.lit(source.series).alias("code"),
-            F.when(F.col("c_acctbal") >= 0, source.level).otherwise("State").alias("uname"),
-            F.lit(day).alias("date"),
-            F.col("c_custkey").cast("string").alias("tcode"),
-            F.col("c_acctbal").alias("value"),
-            F.lit(0).alias(ORDINAL),
+        day = (source.date - dt.date(1970, 1, 1)).days
+        return self.table("customer").selectExpr(
+            f"'{source.series}' AS code",
+            f"if(c_acctbal >= 0, '{source.level}', 'State') AS uname",
+            f"{day}D AS date",
+            "cast(c_custkey AS string) AS tcode",
+            "c_acctbal AS value",
+            f"0 AS {ORDINAL}",
         )
 
     def polygons(self) -> DataFrame:
@@ -113,14 +126,14 @@ class StandIns:
             f"transform(sequence(0, {RING_VERTICES}), i -> named_struct("
             f"'x', label + {radius} * cos({angle}), 'y', {radius} * sin({angle})))"
         )
-        rows = self.table("embeddings").select(
-            F.col("vec_id").cast("double").alias("code_muni"),
-            F.concat(F.lit("polygon "), F.col("vec_id")).alias("name_muni"),
-            F.col("label").cast("string").alias("code_state"),
-            F.concat(F.lit("S"), F.col("label")).alias("abbrev_state"),
-            F.array(F.array(F.expr(ring))).cast(GEOMETRY).alias("geometry"),
+        rows = self.table("embeddings").selectExpr(
+            "cast(vec_id AS double) AS code_muni",
+            "concat('polygon ', vec_id) AS name_muni",
+            "cast(label AS string) AS code_state",
+            "concat('S', label) AS abbrev_state",
+            f"cast(array(array({ring})) AS {GEOMETRY.simpleString()}) AS geometry",
         )
-        return polygon_columns(rows).withColumn(names.CODE, F.col(names.CODE).cast("bigint"))
+        return polygon_columns(rows)
 
 
 def sources(year: int = YEAR) -> list[Source]:
