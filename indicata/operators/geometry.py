@@ -49,9 +49,9 @@ def simplify(geometry: Column, tolerance: float) -> Column:
 
 
 def _simplify_batch(column: pa.Array, tolerance: float) -> pa.Array:
-    polygons = column.flatten()
-    rings = polygons.flatten()
-    points = rings.flatten()
+    polygons = _members(column)
+    rings = _members(polygons)
+    points = _members(rings)
     x, y = (points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
     geometry_ends, polygon_ends, ring_ends = (
         np.concatenate([[0], np.cumsum(_lengths(a))]) for a in (column, polygons, rings)
@@ -140,7 +140,14 @@ def _any_meeting(x, y, i, j, a, b) -> bool:
     return bool(np.any(_meet(x, y, i[cut], j[cut], a[piece], b[piece])))
 
 
+def _members(lists: pa.ListArray) -> pa.Array:
+    """The lists' members in a row. Lists that came empty over the wire may lack even their offsets."""
+    return lists.flatten() if len(lists) else pa.array([], lists.type.value_type)
+
+
 def _lengths(lists: pa.ListArray) -> np.ndarray:
+    if len(lists) == 0:
+        return np.zeros(0, dtype=np.int64)
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
 
 
