@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .describe import finite
+from .rows import spread_rows
 
 BINS = 100
 GRID = 200
@@ -153,7 +154,7 @@ def density(
     last = F.least(F.lit(grid - 1), F.ceil((F.col("value") + away - F.col("lo")) / step))
     z = (point - F.col("value")) / F.col("h")
     sums = (
-        _long(df, found, *parameters)
+        _long(spread_rows(df.select(*[F.col(f"`{s.column}`") for s in found])), found, *parameters)
         .withColumn("position", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
         .groupBy("variable", "position")
         .agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("mass"))

@@ -4,7 +4,7 @@ No side is broadcast by hint: Spark broadcasts what it measures to be below its
 own threshold and sort-merges the rest, and silver tables that were aggregated
 on the key are already partitioned by it, so a chain of joins on that key adds
 no shuffle. A key that holds a large share of a table is the case a sort-merge
-join cannot spread by itself; ``left_join_spread`` deals those rows out.
+join cannot spread by itself; ``fold_left_spread`` deals those rows out.
 """
 
 from __future__ import annotations
@@ -83,47 +83,48 @@ def _repeated(df: DataFrame, count: Column, block: int = 4096) -> DataFrame:
     )
 
 
-def left_join_spread(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    at_least: int = HOT_AT_LEAST,
-    spread: int = SPREAD,
+def _dealt_join(left: DataFrame, right: DataFrame, key: str, keys: list, spread: int) -> DataFrame:
+    """Left join of tables that hold only the listed keys, balanced whatever a key's share.
+
+    Equal rows are collapsed to counts, both sides are dealt to slots, and each is
+    copied to the slots of the other: the pairs of one key come from
+    ``spread`` x ``spread`` join keys. A key without partner gets one empty one,
+    so that the join can be an inner join.
+    """
+    lone = sorted(set(keys) - _keys_among(right, key, keys))
+    if lone:
+        empty = left.sparkSession.createDataFrame([(k,) for k in lone], right.select(key).schema)
+        right = right.unionByName(empty, allowMissingColumns=True)
+    slots = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    dealt_left = _dealt(left, "_l", "_left_copies", spread).withColumn("_r", slots)
+    dealt_right = _dealt(right, "_r", "_right_copies", spread).withColumn("_l", slots)
+    pairs = dealt_left.join(dealt_right, [key, "_l", "_r"])
+    copies = F.col("_left_copies") * F.col("_right_copies")
+    return _repeated(pairs, copies).drop("_l", "_r", "_left_copies", "_right_copies")
+
+
+def fold_left_spread(
+    tables: Sequence[DataFrame], key: str, at_least: int = HOT_AT_LEAST, spread: int = SPREAD
 ) -> DataFrame:
-    """A left join that stays balanced when a key holds much of either table.
+    """``fold_left`` that stays balanced when a key holds much of any table.
 
-    Three parts: keys that are not hot are joined plainly; rows of hot keys
-    without a partner pass through; and for hot keys that match, equal rows are
-    collapsed, both sides are dealt to slots and each is copied to the slots of
-    the other, so one key's pairs come from ``spread`` x ``spread`` join keys.
-    Without hot keys this is the plain join. Reads each table again for the
+    The hot keys of all tables - a bounded list - are set apart once. The rest is
+    the plain chain of joins; the rows of hot keys go through ``_dealt_join``.
+    Without hot keys this is ``fold_left``. Each table is read again for the
     check, so hand it stored tables.
     """
-    hot = sorted({*hot_keys(left, key, at_least), *hot_keys(right, key, at_least)})
+    hot = sorted({k for t in tables for k in hot_keys(t, key, at_least)})
     if not hot:
-        return left.join(right, key, "left")
-    matched = sorted(_keys_among(right, key, hot))
-    lone = sorted(set(hot) - set(matched))
-    columns = left.columns + [c for c in right.columns if c != key]
-
+        return fold_left(tables, key)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    parts = [left.where(~is_hot).join(right.where(~is_hot), key, "left")]
-    if lone:
-        parts.append(left.where(F.col(key).isin(lone)))
-    if matched:
-        slots = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-        is_matched = F.col(key).isin(matched)
-        l = _dealt(left.where(is_matched), "_l", "_left_copies", spread).withColumn("_r", slots)
-        r = _dealt(right.where(is_matched), "_r", "_right_copies", spread).withColumn("_l", slots)
-        pairs = l.join(r, [key, "_l", "_r"])
-        parts.append(_repeated(pairs, F.col("_left_copies") * F.col("_right_copies")))
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.select(*[c for c in columns if c in p.columns]) for p in parts]
+    plain = fold_left([t.where(~is_hot) for t in tables], key)
+    dealt = reduce(
+        lambda left, right: _dealt_join(left, right, key, hot, spread), [t.where(is_hot) for t in tables]
     )
+    return plain.unionByName(dealt)
 
 
-def fold_left_spread(
-    tables: Sequence[DataFrame], key: str, at_least: int = HOT_AT_LEAST
+def left_join_spread(
+    left: DataFrame, right: DataFrame, key: str, at_least: int = HOT_AT_LEAST, spread: int = SPREAD
 ) -> DataFrame:
-    """``fold_left`` for stored tables that may repeat keys: every step checks for hot keys."""
-    return reduce(lambda left, right: left_join_spread(left, right, key, at_least), tables)
+    return fold_left_spread([left, right], key, at_least, spread)

@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SMALL = 1_000_000
+SMALL = 100_000
 SKETCH_ACCURACY = 1_000
+# Fraction of the rows by which a bracket reaches beyond the wanted rank on either side.
+SLACK = 2.0 / SKETCH_ACCURACY
 
 
 @dataclass
@@ -35,6 +37,7 @@ class _Target:
     high: float | None = None
     below: int = 0
     found: float | None = None
+    bracket: tuple[float, float] | None = None
 
     def value(self) -> Column:
         return F.col(f"`{self.column}`").cast("double")
@@ -74,16 +77,15 @@ def exact_quantiles(
     columns = list(wanted)
     if not columns:
         return {}
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    sizes = dict(zip(columns, counts))
-    if max(counts) <= small:
+    sizes, brackets = _first_look(df, wanted)
+    if max(sizes.values()) <= small:
         return _builtin(df, wanted)
 
     targets: dict[tuple[str, int], _Target] = {}
     for column, fractions in wanted.items():
         for fraction in fractions:
             for rank in _neighbours(fraction, sizes[column]):
-                targets[column, rank] = _Target(column, rank, sizes[column])
+                targets[column, rank] = _Target(column, rank, sizes[column], bracket=brackets[column, fraction])
     pending = list(targets.values())
     while pending:
         large = [t for t in pending if t.rows > small]
@@ -107,6 +109,17 @@ def exact_quantiles(
     return result
 
 
+def _first_look(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> tuple[dict, dict]:
+    """Rows per column, and a bracket for every wanted fraction, from one scan."""
+    ends = [(c, q) for c, qs in wanted.items() for q in qs]
+    row = df.agg(
+        *[F.count(F.col(f"`{c}`")) for c in wanted],
+        *[_sketch(F.col(f"`{c}`").cast("double"), q) for c, q in ends],
+    ).first()
+    sizes = dict(zip(wanted, row[: len(wanted)]))
+    return sizes, {end: found and tuple(found) for end, found in zip(ends, row[len(wanted) :])}
+
+
 def _neighbours(fraction: float, size: int) -> list[int]:
     """The ranks that a quantile interpolates between."""
     if size == 0:
@@ -128,15 +141,21 @@ def _builtin(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str,
     }
 
 
+def _sketch(value: Column, fraction: float) -> Column:
+    """Two values that most likely lie on either side of a fraction."""
+    ends = [max(0.0, fraction - SLACK), min(1.0, fraction + SLACK)]
+    return F.percentile_approx(value, ends, SKETCH_ACCURACY)
+
+
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
     """One round: bracket every target by a sketch, then count around the bracket."""
-    slack = 2.0 / SKETCH_ACCURACY
-    sketches = []
-    for i, t in enumerate(targets):
-        at = (t.rank - t.below) / max(t.rows - 1, 1)
-        ends = [max(0.0, at - slack), min(1.0, at + slack)]
-        sketches.append(F.percentile_approx(F.when(t.inside(), t.value()), ends, SKETCH_ACCURACY).alias(f"s{i}"))
-    brackets = [tuple(ends) for ends in df.agg(*sketches).first()]
+    unseen = [t for t in targets if t.bracket is None]
+    if unseen:
+        fractions = [(t.rank - t.below) / max(t.rows - 1, 1) for t in unseen]
+        found = df.agg(*[_sketch(F.when(t.inside(), t.value()), q) for t, q in zip(unseen, fractions)]).first()
+        for t, ends in zip(unseen, found):
+            t.bracket = tuple(ends)
+    brackets = [t.bracket for t in targets]
 
     around = []
     for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
@@ -151,6 +170,7 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
     row = df.agg(*around).first()
     for i, (t, (low, high)) in enumerate(zip(targets, brackets)):
         under, at_low, at_high, over = (row[f"{n}{i}"] for n in ("under", "at_low", "at_high", "over"))
+        t.bracket = None
         rank = t.rank - t.below
         if rank < under:  # the sketch missed: the rank lies left of the bracket
             t.high, t.rows = low, under

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from indicata.functions import finite_or_null
 
+from .rows import spread_rows
+
 GRID = 100
 REPLICATES = 1000
 # A prime below 2^31: products with a replicate number stay far inside 64 bits.
@@ -98,7 +100,8 @@ def trend_band(
     draw = (F.col("a") * F.col("replicate") + F.col("b")) % MODULUS
     w, u, v = F.col("w"), F.col("u"), F.col("v")
     sums = (
-        pairs.select(
+        spread_rows(pairs)
+        .select(
             (F.col("x") - mean_x).alias("u"),
             (F.col("y") - mean_y).alias("v"),
             (from_digest(1, MODULUS - 1) + 1).alias("a"),
