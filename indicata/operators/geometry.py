@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 GEOMETRY = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
 _ARROW_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-_ARROW_GEOMETRY = pa.list_(pa.list_(pa.list_(_ARROW_POINT)))
 
 # Geometry type codes of well-known binary.
 WKB_POLYGON = 3
@@ -229,32 +228,53 @@ def _strictly_on(x, y, p, q, r, side):
 @F.arrow_udf(GEOMETRY)
 def from_wkb(column: pa.Array) -> pa.Array:
     """Polygon or MultiPolygon in well-known binary -> geometry; null stays null."""
-    return pa.array([None if v is None else _read_wkb(v) for v in column.to_pylist()], _ARROW_GEOMETRY)
+    polygons, rings, points = [], [], []  # members of every geometry, polygon and ring
+    for value in column:
+        if value.is_valid:
+            sizes, found = _read_wkb(value.as_buffer())
+            polygons.append(len(sizes))
+            rings += sizes
+            points += found
+        else:
+            polygons.append(0)
+    flat = np.concatenate(points) if points else np.empty((0, 2))
+    inner = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(_ARROW_POINT))
+    for sizes in ([len(p) for p in points], rings):
+        inner = pa.ListArray.from_arrays(_ends(sizes), inner)
+    missing = column.is_null() if column.null_count else None
+    return pa.ListArray.from_arrays(_ends(polygons), inner, mask=missing)
+
+
+def _ends(sizes: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int32())
 
 
-def _read_wkb(data: bytes) -> list:
+def _read_wkb(data) -> tuple[list[int], list[np.ndarray]]:
+    """Rings per polygon, and the points of every ring."""
     order = "<" if data[0] == 1 else ">"
     (kind,) = struct.unpack_from(order + "I", data, 1)
     if kind == WKB_POLYGON:
-        return [_read_polygon(data, 0)[0]]
+        rings, _ = _read_polygon(data, 0)
+        return [len(rings)], rings
     if kind != WKB_MULTIPOLYGON:
         raise ValueError(f"geometry type {kind} is neither polygon nor multi-polygon")
     (parts,) = struct.unpack_from(order + "I", data, 5)
-    out, at = [], 9
+    sizes, points, at = [], [], 9
     for _ in range(parts):
-        polygon, at = _read_polygon(data, at)
-        out.append(polygon)
-    return out
+        rings, at = _read_polygon(data, at)
+        sizes.append(len(rings))
+        points += rings
+    return sizes, points
 
 
-def _read_polygon(data: bytes, at: int) -> tuple[list, int]:
+def _read_polygon(data, at: int) -> tuple[list[np.ndarray], int]:
     order = "<" if data[at] == 1 else ">"
     (ring_count,) = struct.unpack_from(order + "I", data, at + 5)
     at, rings = at + 9, []
     for _ in range(ring_count):
         (size,) = struct.unpack_from(order + "I", data, at)
         flat = np.frombuffer(data, order + "f8", 2 * size, at + 4)
-        rings.append([{"x": px, "y": py} for px, py in flat.reshape(-1, 2).tolist()])
+        rings.append(flat.reshape(-1, 2).astype("=f8"))
         at += 4 + 16 * size
     return rings, at
 
@@ -262,22 +282,30 @@ def _read_polygon(data: bytes, at: int) -> tuple[list, int]:
 @F.arrow_udf(T.BinaryType())
 def to_wkb(column: pa.Array) -> pa.Array:
     """Geometry -> well-known binary: Polygon for one part, MultiPolygon otherwise."""
-    return pa.array([None if v is None else _write_wkb(v) for v in column.to_pylist()], pa.binary())
-
-
-def _write_wkb(polygons: list) -> bytes:
-    parts = [_write_polygon(p) for p in polygons]
-    if len(parts) == 1:
-        return parts[0]
-    return struct.pack("<BII", 1, WKB_MULTIPOLYGON, len(parts)) + b"".join(parts)
-
+    polygons = _members(column)
+    rings = _members(polygons)
+    points = _members(rings)
+    flat = np.column_stack([points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)]).astype("<f8")
+    geometry_ends, polygon_ends, ring_ends = (
+        np.concatenate([[0], np.cumsum(_lengths(a))]) for a in (column, polygons, rings)
+    )
 
-def _write_polygon(rings: list) -> bytes:
-    out = [struct.pack("<BII", 1, WKB_POLYGON, len(rings))]
-    for ring in rings:
-        flat = np.array([(p["x"], p["y"]) for p in ring], dtype="<f8")
-        out.append(struct.pack("<I", len(ring)) + flat.tobytes())
-    return b"".join(out)
+    def polygon(p: int) -> bytes:
+        out = [struct.pack("<BII", 1, WKB_POLYGON, polygon_ends[p + 1] - polygon_ends[p])]
+        for r in range(polygon_ends[p], polygon_ends[p + 1]):
+            ring = flat[ring_ends[r] : ring_ends[r + 1]]
+            out += [struct.pack("<I", len(ring)), ring.tobytes()]
+        return b"".join(out)
+
+    def whole(first: int, last: int) -> bytes:
+        parts = [polygon(p) for p in range(first, last)]
+        if len(parts) == 1:
+            return parts[0]
+        return struct.pack("<BII", 1, WKB_MULTIPOLYGON, len(parts)) + b"".join(parts)
+
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    ends = zip(geometry_ends[:-1], geometry_ends[1:])
+    return pa.array([whole(a, b) if ok else None for ok, (a, b) in zip(valid, ends)], pa.binary())
 
 
 # --- measures and join ------------------------------------------------------

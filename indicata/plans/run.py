@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -19,9 +20,9 @@ from indicata import names, storage
 from indicata.operators.columns import MissingColumns
 from indicata.operators.describe import describe
 from indicata.sources.catalogue import Source, default_sources
-from indicata.sources.landing import LandingZone
+from indicata.sources.landing import ORDINAL, LandingZone
 
-from .analysis import Report, analyze
+from .analysis import CORRELATED, PREDICTORS, Report, analyze
 from .charts import chart_data
 from .gold import gold as build_gold
 from .serving import serving_wkb
@@ -43,10 +44,15 @@ class Run:
 def run_source(
     zone: LandingZone, source: Source, out: str, mode: str = "label", fmt: str = "parquet"
 ) -> tuple[DataFrame, list[storage.StageMetric]]:
-    """Bronze, silver and rejects of one source, written; the stored silver table comes back."""
+    """Bronze, silver and rejects of one source, written; the stored silver table comes back.
+
+    A Parquet bronze layer keeps the landing position of every row, so silver
+    reads that; CSV cannot hold it, and silver reads the landing files again.
+    """
     raw = zone.read(source)
-    bronze = raw.select(*[c for c in raw.columns if c in source.schema.names])
-    _, bronze_metric = storage.measured_write(bronze, f"{out}/bronze/{source.series}", f"bronze {source.name}", fmt)
+    bronze = raw if fmt == "parquet" else raw.drop(ORDINAL)
+    stored, bronze_metric = storage.measured_write(bronze, f"{out}/bronze/{source.series}", f"bronze {source.name}", fmt)
+    raw = stored if fmt == "parquet" else raw
     clean, rejects = silver_and_rejects(raw, source, mode)
     stored, silver_metric = storage.measured_write(clean, f"{out}/silver/{source.name}", f"silver {source.name}", fmt)
     _, reject_metric = storage.measured_write(rejects, f"{out}/rejects/{source.name}", f"rejects {source.name}", fmt)
@@ -92,6 +98,8 @@ def run_all(
     fmt: str = "parquet",
     table: str | None = None,
     polygons: str | None = None,
+    predictors: Sequence[str] = PREDICTORS,
+    correlated: Sequence[str] = CORRELATED,
 ) -> Run:
     """Process everything. Fails when no gold table can be built, after naming the failed sources."""
     run = Run()
@@ -110,7 +118,7 @@ def run_all(
 
     results = f"{out}/statistics"
     storage.write_layer(describe(run.gold, names.MEASURES), f"{results}/summary", fmt)
-    run.report = analyze(run.gold)
+    run.report = analyze(run.gold, predictors=predictors, correlated=correlated)
     for name, result in run.report.tables().items():
         storage.write_layer(result, f"{results}/{name}")
     storage.write_layer(chart_data(run.gold), f"{results}/chart_data")
@@ -131,11 +139,14 @@ def main(argv: list[str] | None = None) -> None:
     arguments.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     arguments.add_argument("--table", help="also save gold as this table unless it exists")
     arguments.add_argument("--polygons", help="series of the territory polygons")
+    arguments.add_argument("--predictors", nargs="+", default=list(PREDICTORS), choices=names.MEASURES)
+    arguments.add_argument("--correlated", nargs="+", default=list(CORRELATED), choices=names.MEASURES)
     given = arguments.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("indicata").getOrCreate()
     run = run_all(
-        spark, given.landing, given.out, given.year, given.mode, given.format, given.table, given.polygons
+        spark, given.landing, given.out, given.year, given.mode, given.format, given.table, given.polygons,
+        given.predictors, given.correlated,
     )
     for name, problem in run.failures.items():
         log.warning("left out: %s (%s)", name, problem)

@@ -1,8 +1,10 @@
+import dataclasses
 import datetime as dt
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from indicata import names, storage
 from indicata.operators import geometry
@@ -11,7 +13,13 @@ from indicata.plans.analysis import analyze
 from indicata.plans.charts import chart_data
 from indicata.plans.gold import gold
 from indicata.plans.silver import silver, silver_and_rejects
-from indicata.sources.catalogue import INDEX_SCHEMA, POLYGON_SCHEMA, TERRITORY_SCHEMA, default_sources
+from indicata.sources.catalogue import (
+    INDEX_SCHEMA,
+    POLYGON_SCHEMA,
+    TERRITORY_SCHEMA,
+    default_sources,
+    observation_schema,
+)
 from indicata.sources.landing import LandingZone
 
 M = names.LEVEL_MUNICIPALITY
@@ -83,7 +91,7 @@ def test_whole_run(spark, landing, tmp_path):
     rejects = spark.read.parquet(f"{tmp_path}/rejects/revenue")
     assert rows(rejects) == [(None, 9.0)]
     bronze = spark.read.parquet(f"{tmp_path}/bronze/RECORRM")
-    assert bronze.count() == 37 and set(bronze.columns) == {f.name for f in default_sources(2010)[1].schema}
+    assert bronze.count() == 37 and set(bronze.columns) == {*default_sources(2010)[1].schema.names, "_ord"}
 
     metrics = {r["stage"]: r for r in spark.read.parquet(f"{tmp_path}/statistics/stage_metrics").collect()}
     assert metrics["silver revenue"]["rows"] == 35 and metrics["gold"]["rows"] == 40
@@ -136,7 +144,7 @@ def test_first_row_in_landing_order_wins(spark, tmp_path):
 def test_failing_sources_are_left_out(spark, landing, tmp_path):
     zone = LandingZone(spark, f"{landing}/parquet")
     sources = default_sources(2010)
-    moved = [s if s.name != names.GDP else type(s)(**{**s.__dict__, "series": "absent"}) for s in sources]
+    moved = [dataclasses.replace(s, series="absent") if s.name == names.GDP else s for s in sources]
     run = runs.Run()
     silvers = runs.run_sources(zone, moved, str(tmp_path), run=run)
     assert list(run.failures) == [names.GDP] and "absent" in run.failures[names.GDP]
@@ -152,9 +160,7 @@ def test_failing_sources_are_left_out(spark, landing, tmp_path):
 def test_failure_at_run_time_is_contained_too(spark, tmp_path):
     """The value does not convert, which only shows when the rows are read."""
     spec = default_sources(2010)[1]
-    text = type(spec)(**{**spec.__dict__, "schema": type(spec.schema)(
-        [f if f.name != spec.value else type(f)(f.name, F.lit("").cast("string") is None or TERRITORY_SCHEMA["NAME"].dataType) for f in spec.schema]
-    )})
+    text = dataclasses.replace(spec, schema=observation_schema(spec.value, StringType()))
     spark.createDataFrame([("R", "d", 2010, "1", M, "abc")], text.schema).write.partitionBy("YEAR").parquet(f"{tmp_path}/RECORRM")
     run = runs.Run()
     assert runs.run_sources(LandingZone(spark, str(tmp_path)), [text], f"{tmp_path}/out", run=run) == {}
