@@ -535,7 +535,7 @@ named(
 
 def chart(name: str, series: str, x: str, y: str, table: str) -> str:
     return (
-        f"SELECT '{name}' AS chart, {series} AS series, {sig(f'CAST({x} AS DOUBLE)', 13)} AS x,"
+        f"SELECT '{name}' AS chart, {series} AS series, CAST({x} AS DOUBLE) AS x,"
         f" {sig(f'CAST({y} AS DOUBLE)', 8)} AS y FROM {table}"
     )
 

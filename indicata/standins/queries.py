@@ -622,5 +622,5 @@ def query_serving(spark, sf_dir):
 def query_chart_data(spark, sf_dir):
     found = charts.chart_data(gold_table(spark, sf_dir))
     return found.select(
-        "chart", "series", significant(F.col("x"), 13).alias("x"), significant(F.col("y"), 8).alias("y")
+        "chart", "series", "x", significant(F.col("y"), 8).alias("y")
     )
