@@ -9,7 +9,7 @@ join cannot spread by itself; ``fold_left_spread`` deals those rows out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,24 +53,35 @@ def _keys_among(df: DataFrame, key: str, keys: list) -> set:
     return {row[0] for row in df.where(F.col(key).isin(keys)).select(key).distinct().collect()}
 
 
-def _dealt(df: DataFrame, slot: str, copies: str, spread: int) -> DataFrame:
-    """Equal rows collapsed to one row with a count, the count dealt to ``spread`` slots.
+def _among(key: str, keys: Iterable) -> Column:
+    keys = sorted(keys)
+    return F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
 
-    Slots follow from the row's content alone, so a recomputed task deals alike.
+
+def _dealt(df: DataFrame, key: str, hot: Iterable, slot: str, copies: str, spread: int) -> DataFrame:
+    """Equal rows collapsed to one row with a count, the counts of hot keys dealt to ``spread`` slots.
+
+    Other keys stay in slot 0. Slots follow from the row's content alone, so a
+    recomputed task deals alike.
     """
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     collapsed = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    hands = F.explode(F.sequence(F.lit(0), F.least(F.col("_n"), F.lit(spread)).cast("int") - 1))
-    share = F.floor(F.col("_n") / spread) + F.when(F.col("_t") < F.col("_n") % spread, 1).otherwise(0)
+    size, turn = F.col("_slots"), F.col("_t")
+    share = F.floor(F.col("_n") / size) + F.when(turn < F.col("_n") % size, 1).otherwise(0)
     return (
-        collapsed.withColumn("_hash", row_hash)
-        .withColumn("_t", hands)
-        .withColumn(slot, F.pmod(F.pmod(F.col("_hash"), F.lit(spread)) + F.col("_t"), F.lit(spread)).cast("int"))
-        .withColumn(copies, share)
-        .drop("_n", "_hash", "_t")
+        collapsed.withColumns({"_hash": row_hash, "_slots": F.when(_among(key, hot), spread).otherwise(1)})
+        .withColumn("_t", F.explode(F.sequence(F.lit(0), F.least("_n", size).cast("int") - 1)))
+        .withColumns({slot: F.pmod(F.pmod("_hash", size) + turn, size).cast("int"), copies: share})
+        .drop("_n", "_hash", "_slots", "_t")
     )
 
 
+def _copied(df: DataFrame, key: str, hot: Iterable, slot: str, spread: int) -> DataFrame:
+    """Each row once per slot that the other side has for its key."""
+    slots = F.when(_among(key, hot), spread - 1).otherwise(0)
+    return df.withColumn(slot, F.explode(F.sequence(F.lit(0), slots)))
+
+
 def _repeated(df: DataFrame, count: Column, block: int = 4096) -> DataFrame:
     """Each row ``count`` times, in two steps so that no row carries a long array."""
     blocks = F.sequence(F.lit(0), F.floor((F.col("_count") - 1) / block))
@@ -83,21 +94,22 @@ def _repeated(df: DataFrame, count: Column, block: int = 4096) -> DataFrame:
     )
 
 
-def _dealt_join(left: DataFrame, right: DataFrame, key: str, keys: list, spread: int) -> DataFrame:
-    """Left join of tables that hold only the listed keys, balanced whatever a key's share.
+def _dealt_join(
+    left: DataFrame, right: DataFrame, key: str, hot_left: set, hot_right: set, keys: set, spread: int
+) -> DataFrame:
+    """Left join of tables that hold only ``keys``, balanced whatever a key's share.
 
-    Equal rows are collapsed to counts, both sides are dealt to slots, and each is
-    copied to the slots of the other: the pairs of one key come from
-    ``spread`` x ``spread`` join keys. A key without partner gets one empty one,
-    so that the join can be an inner join.
+    Equal rows are collapsed to counts; the rows of a key are dealt to slots on
+    the side where it is hot, and the other side is copied to those slots - only
+    a key that is hot on both sides is copied on both. A key without partner gets
+    one empty one, so that the join can be an inner join.
     """
-    lone = sorted(set(keys) - _keys_among(right, key, keys))
+    lone = sorted(keys - _keys_among(right, key, sorted(keys)))
     if lone:
         empty = left.sparkSession.createDataFrame([(k,) for k in lone], right.select(key).schema)
         right = right.unionByName(empty, allowMissingColumns=True)
-    slots = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    dealt_left = _dealt(left, "_l", "_left_copies", spread).withColumn("_r", slots)
-    dealt_right = _dealt(right, "_r", "_right_copies", spread).withColumn("_l", slots)
+    dealt_left = _copied(_dealt(left, key, hot_left, "_l", "_left_copies", spread), key, hot_right, "_r", spread)
+    dealt_right = _copied(_dealt(right, key, hot_right, "_r", "_right_copies", spread), key, hot_left, "_l", spread)
     pairs = dealt_left.join(dealt_right, [key, "_l", "_r"])
     copies = F.col("_left_copies") * F.col("_right_copies")
     return _repeated(pairs, copies).drop("_l", "_r", "_left_copies", "_right_copies")
@@ -113,15 +125,17 @@ def fold_left_spread(
     Without hot keys this is ``fold_left``. Each table is read again for the
     check, so hand it stored tables.
     """
-    hot = sorted({k for t in tables for k in hot_keys(t, key, at_least)})
-    if not hot:
+    hot = [set(hot_keys(t, key, at_least)) for t in tables]
+    every = set().union(*hot)
+    if not every:
         return fold_left(tables, key)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    plain = fold_left([t.where(~is_hot) for t in tables], key)
-    dealt = reduce(
-        lambda left, right: _dealt_join(left, right, key, hot, spread), [t.where(is_hot) for t in tables]
-    )
-    return plain.unionByName(dealt)
+    plain = fold_left([t.where(~_among(key, every)) for t in tables], key)
+    busy = [t.where(_among(key, every)) for t in tables]
+    joined, hot_so_far = busy[0], hot[0]
+    for right, hot_right in zip(busy[1:], hot[1:]):
+        joined = _dealt_join(joined, right, key, hot_so_far, hot_right, every, spread)
+        hot_so_far = hot_so_far | hot_right
+    return plain.unionByName(joined)
 
 
 def left_join_spread(

@@ -108,8 +108,8 @@ def trend_band(
             from_digest(9, MODULUS).alias("b"),
         )
         .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        .select("replicate", "u", "v", _weight(draw).alias("w"))
-        .where(w > 0)
+        .select("replicate", "u", "v", draw.alias("draw"))
+        .select("replicate", "u", "v", _weight(F.col("draw")).alias("w"))
         .groupBy("replicate")
         .agg(
             F.sum(w).alias("s"),

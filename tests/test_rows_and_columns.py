@@ -99,10 +99,28 @@ def test_spread_join_equals_the_plain_join(spark, hot_left, hot_right):
 def test_spread_join_cuts_a_hot_key_into_many_join_keys(spark):
     l = spark.range(2000).selectExpr("'hot' AS code", "id AS a")
     r = spark.createDataFrame([("hot", 1)], "code string, b int")
-    dealt = joins._dealt(l, "_l", "_left_copies", 16)
+    dealt = joins._dealt(l, "code", ["hot"], "_l", "_left_copies", 16)
     per_slot = [n for _, n in dealt.groupBy("_l").agg(F.sum("_left_copies")).collect()]
     assert len(per_slot) == 16 and max(per_slot) < 250
     same = spark.range(2000).selectExpr("'hot' AS code", "1 AS a")
-    dealt = joins._dealt(same, "_l", "_left_copies", 16)
+    dealt = joins._dealt(same, "code", ["hot"], "_l", "_left_copies", 16)
     assert [n for _, n in dealt.groupBy("_l").agg(F.sum("_left_copies")).collect()] == [125] * 16
     assert joins.left_join_spread(same, r, "code", at_least=10, spread=16).count() == 2000
+
+
+def test_only_the_side_without_the_hot_key_is_copied(spark):
+    l = spark.createDataFrame([("hot", 1)], "code string, a int")
+    r = spark.range(2000).selectExpr("'hot' AS code", "id AS b")
+    assert joins._copied(joins._dealt(r, "code", ["hot"], "_r", "_n", 16), "code", [], "_l", 16).count() == 2000
+    assert joins._copied(joins._dealt(l, "code", [], "_l", "_n", 16), "code", ["hot"], "_r", 16).count() == 16
+
+
+def test_spread_fold_of_several_tables(spark):
+    tables = [
+        spark.createDataFrame([("h", i) for i in range(60)] + [("g", 1), ("x", 2), (None, 3)], "code string, a int"),
+        spark.createDataFrame([("h", 1), ("y", 1), ("x", 5)], "code string, b int"),
+        spark.createDataFrame([("g", i % 3) for i in range(70)] + [("h", 1)], "code string, c int"),
+        spark.createDataFrame([("q", 1)], "code string, d int"),
+    ]
+    found = joins.fold_left_spread(tables, "code", at_least=40, spread=8)
+    assert rows(found) == rows(joins.fold_left(tables, "code"))
