@@ -1,6 +1,6 @@
 """The whole run: landing zone to layers, statistics, chart data and serving table.
 
-    spark-submit -m indicata.plans.run --landing <path> --out <path> [--year 2010]
+    spark-submit --py-files indicata.zip indicata/plans/run.py --landing <path> --out <path>
 """
 
 from __future__ import annotations
@@ -19,15 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from indicata import names, storage
 from indicata.operators.columns import MissingColumns
 from indicata.operators.describe import describe
+from indicata.plans.analysis import CORRELATED, PREDICTORS, Report, analyze
+from indicata.plans.charts import chart_data
+from indicata.plans.gold import gold as build_gold
+from indicata.plans.serving import serving_wkb
+from indicata.plans.silver import silver_and_rejects
 from indicata.sources.catalogue import Source, default_sources
 from indicata.sources.landing import ORDINAL, LandingZone
 
-from .analysis import CORRELATED, PREDICTORS, Report, analyze
-from .charts import chart_data
-from .gold import gold as build_gold
-from .serving import serving_wkb
-from .silver import silver_and_rejects
-
 log = logging.getLogger(__name__)
 
 

@@ -104,6 +104,16 @@ def test_whole_run(spark, landing, tmp_path):
     assert len(ring) == 4
 
 
+def test_whole_run_of_the_first_kind(spark, landing, tmp_path):
+    """CSV layers, population as base, first rows, complete rows only."""
+    run = runs.run_all(spark, f"{landing}/csv", str(tmp_path), mode="strict", fmt="csv")
+    assert run.failures == {} and run.gold.count() == 33
+    header = spark.read.text(f"{tmp_path}/gold").first()[0]
+    assert header == ",".join(list(names.display_names(2010).values())[:-1])
+    summary = spark.read.option("header", True).csv(f"{tmp_path}/statistics/summary")
+    assert summary.where("variable = 'gdp' and stat = 'count'").first()["value"] == "33.0"
+
+
 def test_formats_give_the_same_gold(spark, landing, tmp_path):
     found = []
     for fmt in ("parquet", "csv"):
@@ -201,7 +211,8 @@ def test_create_if_absent_keeps_the_first_rows(spark, tmp_path):
 
 
 def test_csv_keeps_text_keys(spark, tmp_path):
-    df = spark.createDataFrame([("0012", None, 1.5), ("13", "Ñandú, \"x\"", None)], "code string, name string, v double")
+    given = [("0012", None, 1.5), ("13", "Ñandú, \"x\"", None), ("14", "y", float("inf")), ("15", "z", float("-inf"))]
+    df = spark.createDataFrame(given, "code string, name string, v double")
     storage.write_layer(df, f"{tmp_path}/csv", "csv")
     assert rows(storage.read_layer(spark, f"{tmp_path}/csv", df.schema, "csv")) == rows(df)
     with pytest.raises(ValueError):
