@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -58,6 +58,12 @@ def run_source(
     return stored, [bronze_metric, silver_metric, reject_metric]
 
 
+def side_by_side(spark: SparkSession, work: Callable, items: Sequence) -> list:
+    """Results of ``work`` per item, with the items' jobs submitted at the same time."""
+    with ThreadPoolExecutor(max_workers=max(len(items), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
 def run_sources(
     zone: LandingZone, sources: list[Source], out: str, mode: str = "label", fmt: str = "parquet", run: Run | None = None
 ) -> dict[str, DataFrame]:
@@ -76,10 +82,8 @@ def run_sources(
             log.error("source %s failed: %s", source.name, problem)
             return problem
 
-    with ThreadPoolExecutor(max_workers=max(len(sources), 1)) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(spark)(attempt), sources))
     silvers = {}
-    for source, outcome in zip(sources, outcomes):
+    for source, outcome in zip(sources, side_by_side(spark, attempt, sources)):
         if isinstance(outcome, Exception):
             run.failures[source.name] = str(outcome).splitlines()[0]
         else:

@@ -38,7 +38,7 @@ from indicata.operators.trend import trend_band, trend_fit, trend_line
 from indicata.plans import charts
 from indicata.plans.analysis import CORRELATED, PREDICTORS, RESPONSE, analyze
 from indicata.plans.gold import finished, gold, joined
-from indicata.plans.run import run_sources
+from indicata.plans.run import run_sources, side_by_side
 from indicata.plans.serving import serving
 from indicata.plans.silver import silver_and_rejects
 from indicata.sources.catalogue import JOIN_ORDER
@@ -235,9 +235,12 @@ def _serving_rows(served: DataFrame) -> DataFrame:
 @query("stage_metrics")
 def query_stage_metrics(spark, sf_dir):
     """Rows and missing values of every written layer; whether wall time was taken."""
-    out, metrics = scratch(spark, "metrics"), []
-    for name, rows_ in silvers(spark, sf_dir).items():
-        metrics.append(storage.measured_write(rows_, f"{out}/{name}", f"silver {name}")[1])
+    out = scratch(spark, "metrics")
+
+    def write(layer):
+        return storage.measured_write(layer[1], f"{out}/{layer[0]}", f"silver {layer[0]}")[1]
+
+    metrics = side_by_side(spark, write, list(silvers(spark, sf_dir).items()))
     return storage.metrics_table(spark, metrics).select(
         "stage", "rows", "missing", (F.col("seconds") > 0).alias("timed")
     )
