@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .queries import host_rules as q4
+from .queries import simhash as q7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op4_host_rules": q4.query,
+    "op7_simhash": q7.query,
 }
 
 ORACLES: dict[str, str] = {
