@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries import decontaminate as q8
 from .queries import host_rules as q4
 from .queries import simhash as q7
 
@@ -14,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op4_host_rules": q4.query,
     "op7_simhash": q7.query,
+    "op8_decontaminate": q8.query,
 }
 
 ORACLES: dict[str, str] = {
