@@ -65,6 +65,8 @@ def tile(doc: np.ndarray, item: np.ndarray, shortest: int) -> np.ndarray:
 
 def _open_runs(free: np.ndarray, length: int) -> np.ndarray:
     """Where a run of ``length`` unmarked words starts."""
+    if length > len(free):
+        return np.zeros(0, dtype=np.int64)
     taken = np.concatenate([[0], np.cumsum(~free)])
     return np.flatnonzero(taken[length:] == taken[: len(taken) - length])
 
