@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .queries import decontaminate as q8
 from .queries import host_rules as q4
+from .queries import htmltext as q9
 from .queries import simhash as q7
 from .queries import warc as q5
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc": q5.query,
     "op7_simhash": q7.query,
     "op8_decontaminate": q8.query,
+    "op9_html_text": q9.query,
 }
 
 ORACLES: dict[str, str] = {
