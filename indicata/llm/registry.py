@@ -9,20 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from .queries import decontaminate as q8
 from .queries import host_rules as q4
 from .queries import htmltext as q9
+from .queries import licenses as q10
+from .queries import mixing as q2
 from .queries import simhash as q7
 from .queries import warc as q5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_mixing": q2.query,
     "op4_host_rules": q4.query,
     "op5_warc": q5.query,
     "op7_simhash": q7.query,
     "op8_decontaminate": q8.query,
     "op9_html_text": q9.query,
+    "op10_licenses": q10.query,
 }
 
 ORACLES: dict[str, str] = {
     "op4_host_rules": q4.SQL,
     "op5_warc": q5.SQL,
+    "op10_licenses": q10.SQL,
 }
