@@ -11,15 +11,19 @@ from .queries import host_rules as q4
 from .queries import htmltext as q9
 from .queries import licenses as q10
 from .queries import mixing as q2
+from .queries import quality as q1
 from .queries import simhash as q7
+from .queries import toxicity as q6
 from .queries import warc as q5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": q1.query,
     "op2_mixing": q2.query,
     "op4_host_rules": q4.query,
     "op5_warc": q5.query,
+    "op6_toxicity": q6.query,
     "op7_simhash": q7.query,
     "op8_decontaminate": q8.query,
     "op9_html_text": q9.query,
