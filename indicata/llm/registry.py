@@ -10,6 +10,7 @@ from .queries import decontaminate as q8
 from .queries import host_rules as q4
 from .queries import htmltext as q9
 from .queries import licenses as q10
+from .queries import linededup as q3
 from .queries import mixing as q2
 from .queries import quality as q1
 from .queries import simhash as q7
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_quality": q1.query,
     "op2_mixing": q2.query,
+    "op3_line_dedup": q3.query,
     "op4_host_rules": q4.query,
     "op5_warc": q5.query,
     "op6_toxicity": q6.query,
