@@ -13,20 +13,24 @@ from indicata.llm.decontaminate import decontaminate
 from indicata.llm.hostrules import host_rules
 from indicata.llm.linededup import dedup_lines
 from indicata.llm.mixing import mix
-from indicata.llm.shared import WORD, staged, table
+from indicata.llm.shared import WORD, columns, staged, table, unpacked
 from indicata.llm.simhash import simhash_groups
 
 
+def _as(docs: DataFrame, found: DataFrame) -> DataFrame:
+    return found.select(*columns(docs))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose host passes."""
-    return host_rules(docs).where("kept").select(docs.columns)
+    return _as(docs, host_rules(docs).where("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; one whose words all stand elsewhere goes, others keep at least a word."""
     cleaned = dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
     chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", chars).select(docs.columns)
+    return _as(docs, cleaned.withColumn("n_chars", chars))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +39,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share an id are one document, of which one row stays. Documents without an id all stay.
     """
     groups = simhash_groups(docs, shingle=3, max_bits=2)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(first, F.col("doc_id") == F.col("_id"), "left_semi")
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("_row", row).where("_row = 1").select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.struct(*columns(docs)).alias("own")).join(first, "doc_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("own.text")))
+    kept = rows.withColumn("place", place).where("place = 1").select(*unpacked(docs))
+    return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select(docs.columns)
+    return _as(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

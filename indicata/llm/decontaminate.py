@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import packed
+
 TOKEN = re.compile(r"\w+")
 #: Karp-Rabin arithmetic is modulo 2**64; equal hashes are compared word by word.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -187,15 +189,16 @@ def decontaminate(
     The benchmark passes through the documents in blocks, each block one pass over the texts, so what is
     sent to the tasks is bounded whatever its size.
     """
-    own = [c for c in docs.columns if c not in ("item_ids", "best_item", "coverage", "contaminated", "_tiles")]
-    found = docs.select(*(F.col(f"`{c}`") for c in own)).withColumn("_tiles", F.array().cast("array<struct<item: long, covered: double>>"))
+    results = ("item_ids", "best_item", "coverage", "contaminated")
+    none = F.array().cast("array<struct<item: long, covered: double>>")
+    found = docs.select(packed(docs, text, *results), F.col(f"`{text}`").alias("_text"), none.alias("_tiles"))
     schema = found.schema
     for rows in item_blocks(benchmark, item_id, item_text, block_rows, block_chars):
-        found = found.mapInArrow(_tiler(rows, text, seed), schema)
+        found = found.mapInArrow(_tiler(rows, seed), schema)
     best = F.array_max(F.transform("_tiles", lambda t: F.struct(t["covered"].alias("c"), (-t["item"]).alias("i"))))
     hits = F.filter("_tiles", lambda t: t["covered"] >= coverage)
     return found.select(
-        *(F.col(f"`{c}`") for c in own),
+        *(F.col("_text").alias(text) if c == text else F.col("own").getField(c).alias(c) for c in docs.columns if c not in results),
         F.array_sort(F.array_distinct(F.transform(hits, lambda t: t["item"]))).alias("item_ids"),
         (-best["i"]).alias("best_item"),
         F.coalesce(best["c"], F.lit(0.0)).alias("coverage"),
@@ -203,13 +206,13 @@ def decontaminate(
     )
 
 
-def _tiler(rows: list[tuple[int, str]], text: str, seed: int):
+def _tiler(rows: list[tuple[int, str]], seed: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items.of(rows, seed)
         for batch in source:
             at = batch.schema.get_field_index("_tiles")
             before = batch.column(at).to_pylist()
-            texts = batch.column(text).to_pylist()
+            texts = batch.column("_text").to_pylist()
             after = [b + [{"item": i, "covered": c} for i, c in items.coverages(t or "", seed)] for b, t in zip(before, texts)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(after, batch.schema.field(at).type))
 

@@ -10,21 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged, text_or_empty, words_of
+from .shared import packed, staged, text_or_empty, unpacked, words_of
 
 #: Rules counted per host; each is a failure of one document.
 RULES = ("short", "repeats", "symbols", "same_lines")
 
 
-def with_metrics(docs: DataFrame, text: str = "text", min_words: int = 50) -> DataFrame:
-    """The documents' columns after ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` and ``failed_rules``.
-
-    A null or empty text has no words and fails as too short. Equal metric names among
-    the documents' own columns are replaced. Windows are compared by a 64-bit hash.
-    """
-    own = [c for c in docs.columns if c not in METRICS and c != "failed_rules"]
+def with_metrics(docs: DataFrame, text: str, host: str, min_words: int) -> DataFrame:
+    """``own`` (the documents' columns), ``_host``, the metrics and ``failed_rules``. Windows are compared by a 64-bit hash."""
     text_of = text_or_empty(f"`{text}`")
-    words = docs.select(*(F.col(f"`{c}`") for c in own), text_of.alias("_text"), words_of(text_of).alias("_words"))
+    words = docs.select(packed(docs, *RESULTS), F.col(f"`{host}`").cast("string").alias("_host"), text_of.alias("_text"), words_of(text_of).alias("_words"))
     windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
     hashes = F.when(F.size("_words") >= 3, F.slice(windows, 1, F.size("_words") - 2))
     hashed = words.withColumns({"_hashes": hashes, "_lines": F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))})
@@ -49,7 +44,8 @@ def with_metrics(docs: DataFrame, text: str = "text", min_words: int = 50) -> Da
         hashed.withColumn("_ordered", ordered)
         .withColumn("_starts", starts)
         .select(
-            *(F.col(f"`{c}`") for c in own),
+            "own",
+            "_host",
             F.size("_words").cast("long").alias("n_words"),
             F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
             F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -72,16 +68,17 @@ def with_metrics(docs: DataFrame, text: str = "text", min_words: int = 50) -> Da
 
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+RESULTS = (*METRICS, "host_share", "kept")
 
 
-def host_verdicts(measured: DataFrame, host: str, max_share: float = 0.5) -> DataFrame:
+def host_verdicts(measured: DataFrame, max_share: float = 0.5) -> DataFrame:
     """Per host and rule ``_host, rule, n, failures, share`` (shrunk) and ``rejected``; a null host is one host.
 
     The prior of a rule has the corpus share as its mean; its strength follows from the
     spread of the hosts' shares beyond what chance gives. Without such spread (one host,
     equal shares) the strength is a million documents.
     """
-    counted = measured.groupBy(F.col(f"`{host}`").alias("_host")).agg(
+    counted = measured.groupBy("_host").agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(F.get("failed_rules", F.lit(k))).alias(r) for k, r in enumerate(RULES))
     )
     hosts = counted.unpivot(["_host", "n"], list(RULES), "rule", "failures")
@@ -105,14 +102,13 @@ def host_verdicts(measured: DataFrame, host: str, max_share: float = 0.5) -> Dat
 def host_rules(docs: DataFrame, text: str = "text", host: str = "source", min_words: int = 50, max_share: float = 0.5) -> DataFrame:
     """All columns of ``docs`` with the metrics, ``host_share`` (highest shrunk share of the host) and ``kept``.
 
-    Every row gets a verdict, repeated rows and null ids included; an empty table gives an empty result.
+    Every row gets a verdict, repeated rows and null ids included; an empty table gives an empty result. A null or
+    empty text has no words and fails as too short. Columns named like the results are replaced.
     """
-    measured = staged(with_metrics(docs, text, min_words), "hostrules")
-    verdict = host_verdicts(measured, host, max_share).groupBy("_host").agg(F.max("share").alias("host_share"), F.max("rejected").alias("_rejected"))
+    measured = staged(with_metrics(docs, text, host, min_words), "hostrules")
+    verdict = host_verdicts(measured, max_share).groupBy("_host").agg(F.max("share").alias("host_share"), F.max("rejected").alias("_rejected"))
     copies = 32
     slot: Column = F.pmod(F.xxhash64(*METRICS), F.lit(copies))
-    spread = verdict.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    own = [c for c in measured.columns if c not in ("failed_rules", "host_share", "kept")]
-    rows = measured.drop("host_share", "kept").withColumn("_slot", slot.cast("int"))
-    judged = rows.join(spread, F.col(f"`{host}`").eqNullSafe(F.col("_host")) & (rows["_slot"] == spread["_slot"]), "left")
-    return judged.select(*(F.col(f"`{c}`") for c in own), "host_share", (~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))).alias("kept"))
+    spread = verdict.select(F.col("_host").alias("h"), "host_share", "_rejected", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("s"))
+    judged = measured.join(spread, F.col("_host").eqNullSafe(F.col("h")) & (slot.cast("int") == F.col("s")), "left")
+    return judged.select(*unpacked(docs, *RESULTS), *METRICS, "host_share", (~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))).alias("kept"))

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import packed, unpacked
+
 # Fixed values of HTML: elements that do not break a block, and elements whose content is no text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -393,17 +395,17 @@ def main_text(docs: DataFrame, page: str = "html", model: Labeller | None = None
     space; every block of the page is read and labelled. Columns named like the results are replaced.
     """
     labeller = model or trained()
-    own = [c for c in docs.columns if c not in (page, "text", "n_chars", "_page")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in own), F.col(f"`{page}`").cast("string").alias("_page"))
-    schema = rows.drop("_page").withColumn("text", F.lit("")).schema
+    rows = docs.select(packed(docs, page, "text", "n_chars"), F.col(f"`{page}`").cast("string").alias("page"))
+    schema = rows.select("own", F.col("page").alias("text")).schema
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                pages = [blocks_of(p or "") for p in part.column("_page").to_pylist()]
+                pages = [blocks_of(p or "") for p in part.column("page").to_pylist()]
                 scores = labeller.scores([vectors(b) for b in pages])
                 texts = [" ".join(b.text for b, s in zip(blocks, found) if s >= threshold) for blocks, found in zip(pages, scores)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array(texts, pa.string())], [*own, "text"])
+                yield pa.RecordBatch.from_arrays([part.column("own"), pa.array(texts, pa.string())], ["own", "text"])
 
-    return rows.mapInArrow(batches, schema).withColumn("n_chars", F.char_length("text").cast("long"))
+    found = rows.mapInArrow(batches, schema)
+    return found.select(*unpacked(docs, page, "text", "n_chars"), "text", F.char_length("text").cast("long").alias("n_chars"))

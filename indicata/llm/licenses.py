@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, staged, text_or_empty
+from .shared import ascii_lower, packed, staged, text_or_empty, unpacked
 
 # Phrases with their labels, and wordings of widely used license notices.
 PHRASES = {
@@ -73,19 +73,18 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phras
     get results of their own. Columns named like the results are replaced.
     """
     results = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    own = [c for c in docs.columns if c != text and c not in results]
     notices = template_rows(templates, share)
     vocabulary = sorted({w for _, _, words, _ in notices for w in words})
     fewest = min(needed for *_, needed in notices)
 
     spaced = F.regexp_replace(ascii_lower(text_or_empty(f"`{text}`")), f"[{BETWEEN}&&[^\n]]+", " ")
-    lines = docs.select(*(F.col(f"`{c}`") for c in own), spaced.alias("_text"))
+    lines = docs.select(packed(docs, text, *results), spaced.alias("_text"))
     trimmed = F.btrim("_text", F.lit(" \n"))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \n]+"))
     known = F.transform(F.split("_text", "\n"), lambda line: F.array_distinct(F.filter(F.split(line, " "), lambda w: w.isin(vocabulary))))
     split = lines.select("*", words.alias("_words"), known.alias("_known"))
     found = split.select(
-        *(F.col(f"`{c}`") for c in own),
+        "own",
         F.size("_words").cast("long").alias("n_words"),
         *(_places(p).alias(f"_at{k}") for k, p in enumerate(phrases)),
         F.array_distinct(F.flatten("_known")).alias("_seen"),
@@ -103,7 +102,7 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phras
     rows = digest.drop("_seen", "_lines").join(per_row, "_row", "left").withColumns({"_places": places, "_base": base})
     every = F.array_distinct(F.concat("_base", F.coalesce("_labels", F.array().cast("array<string>"))))
     return rows.select(
-        *(F.col(f"`{c}`") for c in own),
+        *unpacked(docs, text, *results),
         "n_words",
         F.size("_places").cast("long").alias("n_base"),
         F.array_min("_places").cast("long").alias("first_word"),

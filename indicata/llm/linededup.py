@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .licenses import BETWEEN
-from .shared import staged, text_or_empty
+from .shared import packed, staged, text_or_empty
 
 BITS = 64
 #: Votes are counted in lanes of eight bits, so that many words at a time.
@@ -31,20 +31,24 @@ def normalised(line: Column) -> Column:
 
 def simhash(hashes: str) -> Column:
     """SimHash of an array of 64-bit hashes: a bit is set if more than half of them have it. Null for an empty array."""
-    spread = F.array(*(F.lit(sum((v >> j & 1) << 8 * j for j in range(8))) for v in range(256)))
-    zero = F.array(*(F.lit(0).cast("long") for _ in range(8)))
+    spread = F.expr("array(" + ", ".join(f"{sum((v >> j & 1) << 8 * j for j in range(8))}L" for v in range(256)) + ")")
+    zero = F.expr("array_repeat(0L, 8)")
 
     def add(lanes: Column, h: Column) -> Column:
         return F.array(*(F.get(lanes, F.lit(k)) + F.get(spread, F.shiftrightunsigned(h, 8 * k).bitwiseAND(255).cast("int")) for k in range(8)))
 
     counted = F.transform(F.sequence(F.lit(1), F.size(hashes), F.lit(LANE)), lambda s: F.aggregate(F.slice(hashes, s, LANE), zero, add))
 
-    def votes(parts: Column, bit: int) -> Column:
-        return F.aggregate(parts, F.lit(0), lambda n, c: n + F.shiftright(F.get(c, F.lit(bit // 8)), 8 * (bit % 8)).bitwiseAND(LANE).cast("int"))
+    def votes(lanes: Column, bit: Column) -> Column:
+        lane = F.call_function("shiftright", F.get(lanes, F.shiftright(bit, 3)), 8 * bit.bitwiseAND(7))
+        return lane.bitwiseAND(LANE).cast("int")
 
     def bits(parts: Column) -> Column:
-        one = [F.when(2 * votes(parts, b) > F.size(hashes), F.lit((1 << b) - (1 << BITS if b == BITS - 1 else 0))).otherwise(F.lit(0)) for b in range(BITS)]
-        return reduce(lambda a, b: a.bitwiseOR(b), (x.cast("long") for x in one))
+        def one(found: Column, bit: Column) -> Column:
+            total = F.aggregate(parts, F.lit(0), lambda n, lanes: n + votes(lanes, bit))
+            return found.bitwiseOR(F.when(2 * total > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), one)
 
     return F.when(F.size(hashes) > 0, F.get(F.transform(F.array(counted), bits), F.lit(0)))
 
@@ -158,14 +162,15 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     repeated = lines.join(groups.select(F.col("line_id").alias("id"), "keep"), F.col("line_id") == F.col("id"))
     place = F.struct("doc", "body", "pos")
     gone = repeated.where(~place.eqNullSafe(F.col("keep"))).groupBy(F.col("doc").alias("_doc"), F.col("body").alias("_body")).agg(F.collect_set("pos").alias("_gone"))
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in own), F.xxhash64(text_or_empty(f"`{text}`")).alias("_own"))
-    joined = rows.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_body")), "left")
-    parts = joined.withColumn("_parts", F.split(text_or_empty(f"`{text}`"), "\n"))
+    results = ("n_lines", "n_removed")
+    body = text_or_empty(f"`{text}`")
+    rows = docs.select(packed(docs, text, *results), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.xxhash64(body).alias("_own"))
+    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_body")), "left")
+    parts = joined.withColumn("_parts", F.split(text_or_empty("_text"), "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_gone"), lambda i: F.get("_parts", i))
-    left = F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
+    left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
     return parts.select(
-        *((left if c == text else F.col(f"`{c}`")).alias(c) for c in own),
+        *((left if c == text else F.col("own").getField(c)).alias(c) for c in docs.columns if c not in results),
         F.size("_parts").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -76,6 +76,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, *without: str) -> Column:
+    """All columns but some as one struct ``own``, so that no name of theirs meets a working column."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in without)).alias("own")
+
+
+def unpacked(docs: DataFrame, *without: str) -> list[Column]:
+    """The columns that ``packed`` put into ``own``."""
+    return [F.col("own").getField(c).alias(c) for c in docs.columns if c not in without]
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def texts_of(batches: Iterator, column: str) -> Iterator:
     """Arrow batches with one column as Python strings, null as empty."""
     for batch in batches:
