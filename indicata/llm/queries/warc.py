@@ -7,7 +7,7 @@ from ..warc import archived
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archived(table(spark, sf_dir, "pages")).drop("payload")
+    return archived(table(spark, sf_dir, "pages"))
 
 
 SQL = """

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import scratch_path
+from .shared import scratch_path, staged
 
 CRLF = b"\r\n"
 #: Ends a record; the text writer puts it behind every row.
@@ -25,6 +25,8 @@ RECORD_END = "\r\n\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 HTTP_REVISIT = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+FEW_MB = 4 << 20
+
 PART = "page_id long, kind string, record_id string, origin string, number int, total long, digest string, block binary"
 
 
@@ -91,14 +93,27 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             columns = [batch.column(c) for c in ("page_id", "url", "payload", "digest", "first")]
-            for k in range(batch.num_rows):
-                made = list(_page_records(*(c[k].as_py() for c in columns), segment, chunk))
+            records = (r for k in range(batch.num_rows) for r in _page_records(*(c[k].as_py() for c in columns), segment, chunk))
+            for made in _gathered(records, len):
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
     written = marked.mapInArrow(batches, "record binary").select(F.col("record").cast("string").alias("value"))
     written.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
+def _gathered(items: Iterator, size) -> Iterator[list]:
+    """Items in lists of a few megabytes, or of one item that is larger."""
+    now, held = [], 0
+    for item in items:
+        now.append(item)
+        held += size(item)
+        if held >= FEW_MB:
+            yield now
+            now, held = [], 0
+    if now:
+        yield now
+
+
 def _page_records(page_id, url, payload, digest, first, segment: int, chunk: int) -> Iterator[bytes]:
     record_id = f"<urn:uuid:{uuid.uuid4()}>"
     revisit = first is not None and page_id != first
@@ -161,39 +176,50 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(batches, PART)
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Per page ``page_id, payload, payload_bytes, payload_digest, record_type, refers_to``, from the archives alone.
+def read_responses(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+    """``page_id, payload_bytes, payload_digest`` (and ``payload``) of every response, put together from its segments.
 
     Continuations are grouped by the record they continue and ordered by number; missing or repeated numbers, a
-    wrong total length and a payload that does not match its digest are errors. A revisit has the length and the id
-    of the response with its digest, and no payload of its own.
+    wrong total length and a payload that does not match its digest are errors.
     """
-    parts = read_parts(spark, path)
     segments = F.sort_array(F.collect_list(F.struct("number", "block")))
     whole = (
-        parts.where("kind != 'revisit'")
+        read_parts(spark, path)
+        .where("kind != 'revisit'")
         .groupBy("origin")
-        .agg(F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("total").alias("total"), F.max("number").alias("last"), segments.alias("segments"))
+        .agg(F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("total").alias("total"), segments.alias("segments"))
     )
+    names = ["page_id", "payload_bytes", "payload_digest", "payload"][: 3 + with_payload]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
+
+    def assembled(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for k in range(batch.num_rows):
+            row = {n: batch.column(n)[k].as_py() for n in ("page_id", "digest", "total", "segments", "origin")}
+            payload = http_payload(_joined(row["segments"], row["total"], row["origin"]))
+            digest = hashlib.sha1(payload).hexdigest()
+            if row["digest"] not in (None, digest):
+                raise ValueError(f"payload of {row['origin']} does not match its digest")
+            yield row["page_id"], len(payload), digest, payload if with_payload else None
 
-    def assemble(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for k in range(batch.num_rows):
-                row = {n: batch.column(n)[k].as_py() for n in ("page_id", "digest", "total", "segments", "origin")}
-                payload = http_payload(_joined(row["segments"], row["total"], row["origin"]))
-                digest = hashlib.sha1(payload).hexdigest()
-                if row["digest"] not in (None, digest):
-                    raise ValueError(f"payload of {row['origin']} does not match its digest")
-                yield pa.RecordBatch.from_arrays([pa.array([row["page_id"]], pa.int64()), pa.array([payload], pa.binary()), pa.array([len(payload)], pa.int64()), pa.array([digest])], ["page_id", "payload", "payload_bytes", "payload_digest"])
-
-    responses = whole.mapInArrow(assemble, "page_id long, payload binary, payload_bytes long, payload_digest string")
-    revisits = parts.where("kind = 'revisit'").select("page_id", "digest")
+            for made in _gathered(assembled(batch), lambda r: len(r[3] or b"") + 100):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in list(zip(zip(*made), kinds))[: len(names)]], names)
+
+    return whole.mapInArrow(batches, "page_id long, payload_bytes long, payload_digest string" + ", payload binary" * with_payload)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every page, from the archives alone.
+
+    A revisit has the length and the id of the response with its digest; one without a response is an error.
+    """
+    responses = staged(read_responses(spark, path, with_payload=False), "responses")
     kept = responses.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("payload_bytes"))
+    revisits = read_parts(spark, path).where("kind = 'revisit'").select("page_id", "digest")
     resolved = revisits.join(kept, F.col("digest") == F.col("payload_digest"), "left")
     found = F.coalesce("payload_bytes", F.raise_error(F.lit("a revisit has no response")).cast("long"))
-    return responses.select("page_id", "payload", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).union(
-        resolved.select("page_id", F.lit(None).cast("binary"), found, "digest", F.lit("revisit"), "refers_to")
-    )
+    return responses.select("*", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).union(resolved.select("page_id", found, "digest", F.lit("revisit"), "refers_to"))
 
 
 def _joined(segments: list[dict], total: int | None, origin: str) -> bytes:
@@ -206,7 +232,7 @@ def _joined(segments: list[dict], total: int | None, origin: str) -> bytes:
 
 
 def archived(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write the pages as archives (below the shared folder unless told otherwise) and read them back."""
+    """Write the pages as archives (below the shared folder unless told otherwise) and read their index back."""
     target = path or scratch_path(pages.sparkSession, "warc")
     write_archive(pages, target, **options)
-    return read_archive(pages.sparkSession, target)
+    return read_index(pages.sparkSession, target)
