@@ -87,7 +87,7 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
 
     The lines of a key held by more than ``crowded`` are not paired: the bits their key leaves free are cut into
     ``max_bits + 1`` shares, of which one is intact in any pair of the guarantee, and the search goes on with the
-    longer keys. Lines equal in all bits are paired with the first of them.
+    longer keys. Where hardly a bit is left, lines equal in all bits are paired with the first of them alone.
     """
     spark = lines.sparkSession
     masks = _masks(max_bits + intact, intact)
@@ -104,18 +104,31 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
         found.append(staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"))
         if full.isEmpty():
             break
-        grown = {m: _children(m, max_bits + 1) for m in masks if m != (1 << BITS) - 1}
-        children = spark.createDataFrame([(_signed(m), [_signed(c) for c in cs]) for m, cs in grown.items()] or [(0, [])], "m long, grown array<long>")
         crowd = keyed.join(full, "key", "left_semi")
-        same = crowd.where(F.col("mask") == -1).groupBy("sim").agg(F.min("line_id").alias("a")).join(crowd.where(F.col("mask") == -1).select("sim", F.col("line_id").alias("b")), "sim")
-        found.append(same.where("a != b").select("a", "b").distinct())
-        rows = staged(crowd.join(F.broadcast(children), F.col("mask") == F.col("m")).select("line_id", "sim", F.explode("grown").alias("mask")).distinct(), "longer")  # children: a few thousand masks at most
-        masks = sorted({c for cs in grown.values() for c in cs})
-        if not masks:
+        ends = [m for m in masks if BITS - m.bit_count() <= max_bits]
+        if ends:
+            found.append(_at_the_end(crowd.where(F.col("mask").isin([_signed(m) for m in ends]))))
+        grown = [(_signed(m), [_signed(c) for c in _children(m, max_bits + 1)]) for m in masks if m not in ends]
+        if not grown:
             break
+        children = F.broadcast(spark.createDataFrame(grown, "m long, grown array<long>"))  # a few thousand masks at most
+        rows = staged(crowd.join(children, F.col("mask") == F.col("m")).select("line_id", "sim", F.explode("grown").alias("mask")).distinct(), "longer")
+        masks = sorted({c % (1 << BITS) for _, cs in grown for c in cs})
     return reduce(DataFrame.union, found).distinct()
 
 
+def _at_the_end(crowd: DataFrame) -> DataFrame:
+    """Pairs of a key that leaves no more bits free than a link may differ in, so it holds few fingerprints.
+
+    The first lines of its fingerprints are all paired; lines equal in all bits are paired with the first of them.
+    """
+    firsts = crowd.groupBy("key", "sim").agg(F.min("line_id").alias("a"))
+    other = firsts.select(F.col("key").alias("k"), F.col("a").alias("b"))
+    across = firsts.join(other, F.col("key") == F.col("k")).where("a < b").select("a", "b")
+    same = crowd.join(firsts.select(F.col("key").alias("k"), F.col("sim").alias("s"), "a"), (F.col("key") == F.col("k")) & (F.col("sim") == F.col("s")))
+    return across.union(same.where("a != line_id").select("a", F.col("line_id").alias("b"))).distinct()
+
+
 def _filtered(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """``lines`` whose id may be among ``ids``: a filter of at most ``FILTER`` numbers is sent to the tasks."""
     slots = ids.select(F.pmod("id", F.lit(FILTER)).alias("slot")).distinct()
