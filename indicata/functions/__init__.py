@@ -6,10 +6,12 @@ from .scalars import (
     completeness,
     days_to_timestamp,
     finite_or_null,
+    key_text,
     nan_to_null,
     ratio_fill_zero,
     ratio_plain,
     round_scaled,
+    text_to_timestamp,
 )
 
 __all__ = [
@@ -20,8 +22,10 @@ __all__ = [
     "completeness",
     "days_to_timestamp",
     "finite_or_null",
+    "key_text",
     "nan_to_null",
     "ratio_fill_zero",
     "ratio_plain",
     "round_scaled",
+    "text_to_timestamp",
 ]

@@ -85,12 +85,42 @@ def days_to_timestamp(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.expr(moment))
 
 
+def text_to_timestamp(df: DataFrame, column: str) -> DataFrame:
+    """Turn a text column of dates, timestamps or days since 1970 into timestamps; other text is an error.
+
+    Columns of any other type are left alone.
+    """
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return df
+    text = F.trim(F.col(f"`{column}`"))
+    moment = F.coalesce(text.try_cast("timestamp_ntz"), F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(try_cast(trim(`{column}`) AS double) * 86400 AS decimal(18,6)))"))
+    message = F.concat(F.lit(f"column {column}: no point in time: "), text)
+    return df.withColumn(column, F.when(text.isNotNull() & moment.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(moment))
+
+
+def key_text(df: DataFrame, column: str) -> Column:
+    """A territory key as text; numbers without their fraction, which only says how they were stored."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        value = value.cast("bigint")
+    return value.cast("string")
+
+
+def _converted(df: DataFrame, column: str, to: str) -> Column:
+    """The value in another type, null if it does not convert. Text such as ``10.0`` is a whole number."""
+    value = F.col(f"`{column}`")
+    if to != "bigint" or not isinstance(df.schema[column].dataType, T.StringType):
+        return value.try_cast(to)
+    number = value.try_cast("double")
+    return F.coalesce(value.try_cast(to), F.when(number == F.floor(number), number.try_cast(to)))
+
+
 def cast_strict(df: DataFrame, column: str, to: str) -> DataFrame:
     """Cast; a value that does not convert fails the job, with or without ANSI mode."""
     if df.schema[column].dataType.simpleString() == to:
         return df
     value = F.col(f"`{column}`")
-    converted = value.try_cast(to)
+    converted = _converted(df, column, to)
     bad = value.isNotNull() & converted.isNull()
     message = F.concat(F.lit(f"column {column}: cannot cast to {to}: "), value.cast("string"))
     return df.withColumn(column, F.when(bad, F.raise_error(message).cast(to)).otherwise(converted))
@@ -98,7 +128,7 @@ def cast_strict(df: DataFrame, column: str, to: str) -> DataFrame:
 
 def cast_coerce(df: DataFrame, column: str, to: str) -> DataFrame:
     """Cast; a value that does not convert becomes null."""
-    return df.withColumn(column, F.col(f"`{column}`").try_cast(to))
+    return df.withColumn(column, _converted(df, column, to))
 
 
 def cast_ignore(df: DataFrame, column: str, to: str) -> DataFrame:
@@ -110,7 +140,7 @@ def cast_ignore(df: DataFrame, column: str, to: str) -> DataFrame:
     value = F.col(f"`{column}`")
     kind = df.schema[column].dataType
     if not (isinstance(kind, (T.IntegralType, T.DoubleType)) and to == "double" or kind.simpleString() == to):
-        counts = df.agg(F.count(value).alias("given"), F.count(value.try_cast(to)).alias("usable"))
+        counts = df.agg(F.count(value).alias("given"), F.count(_converted(df, column, to)).alias("usable"))
         given, usable = counts.first()
         if given != usable:
             return df

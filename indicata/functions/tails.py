@@ -51,9 +51,9 @@ def incomplete_beta(a: float, b: float, x: float, y: float) -> float:
             d = 1.0 / _clear_of_zero(1.0 + term * d)
             c = _clear_of_zero(1.0 + term / c)
             fraction *= c * d
-        if abs(fraction - before) <= 1e-16 * abs(fraction):
-            break
-    return front * fraction
+        if abs(fraction - before) <= 1e-15 * abs(fraction):
+            return front * fraction
+    raise ArithmeticError(f"incomplete beta of ({a}, {b}) at {x} does not converge")
 
 
 def student_two_sided(t: float, df: float) -> float:

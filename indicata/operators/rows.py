@@ -33,7 +33,7 @@ def trim_upper(df: DataFrame, column: str, fraction: float = 0.95) -> DataFrame:
     """Rows at or below the exact ``fraction`` quantile of a column."""
     bound = exact_quantiles(df, {column: [fraction]})[column][fraction]
     if bound is None:
-        return df.limit(0)
+        return df.where("false")
     return df.where(F.col(f"`{column}`") <= F.lit(bound))
 
 

@@ -17,7 +17,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from indicata import names, storage
-from indicata.operators.columns import MissingColumns
 from indicata.operators.describe import describe
 from indicata.plans.analysis import CORRELATED, PREDICTORS, Report, analyze
 from indicata.plans.charts import chart_data
@@ -36,10 +35,27 @@ class Run:
 
     gold: DataFrame | None = None
     report: Report | None = None
-    failures: dict[str, str] = field(default_factory=dict)
+    failures: dict[str, str] = field(default_factory=dict)  # of sources
+    steps: dict[str, str] = field(default_factory=dict)  # "done", or what went wrong
     metrics: list[storage.StageMetric] = field(default_factory=list)
 
 
+#: What the data can cause; anything else is a fault of the program and ends the run.
+FAILURES = (PySparkException, Py4JJavaError, ValueError, ArithmeticError)
+
+
+def cause(problem: Exception) -> str:
+    """The first line of what went wrong, from the innermost Java exception if there is one."""
+    if isinstance(problem, Py4JJavaError):
+        inner = problem.java_exception
+        while inner.getCause() is not None:
+            inner = inner.getCause()
+        text = inner.getMessage() or inner.toString()
+    else:
+        text = str(problem)
+    return next((line.strip() for line in text.splitlines() if line.strip()), type(problem).__name__)
+
+
 def run_source(
     zone: LandingZone, source: Source, out: str, mode: str = "label", fmt: str = "parquet"
 ) -> tuple[DataFrame, list[storage.StageMetric]]:
@@ -78,14 +94,14 @@ def run_sources(
     def attempt(source: Source):
         try:
             return run_source(zone, source, out, mode, fmt)
-        except (PySparkException, Py4JJavaError, MissingColumns) as problem:
-            log.error("source %s failed: %s", source.name, problem)
+        except FAILURES as problem:
+            log.error("source %s failed: %s", source.name, cause(problem))
             return problem
 
     silvers = {}
     for source, outcome in zip(sources, side_by_side(spark, attempt, sources)):
         if isinstance(outcome, Exception):
-            run.failures[source.name] = str(outcome).splitlines()[0]
+            run.failures[source.name] = cause(outcome)
         else:
             silvers[source.name], metrics = outcome
             run.metrics += metrics
@@ -104,35 +120,67 @@ def run_all(
     predictors: Sequence[str] = PREDICTORS,
     correlated: Sequence[str] = CORRELATED,
 ) -> Run:
-    """Process everything. Fails when no gold table can be built, after naming the failed sources."""
+    """Process everything; a step that fails is named in ``steps`` and the others go on.
+
+    The step status and the stage metrics are written in any case. Without a gold table the run fails after that.
+    """
     run = Run()
     zone = LandingZone(spark, landing, fmt)
     silvers = run_sources(zone, default_sources(year), out, mode, fmt, run)
-    try:
-        table_rows = build_gold(silvers, mode, repeated_keys=mode == "label")
-    except ValueError as problem:
-        raise RuntimeError(f"no gold table: {problem}; failed sources: {run.failures}") from problem
-    shown = names.to_display(table_rows, year)
-    stored, metric = storage.measured_write(shown, f"{out}/gold", "gold", fmt)
-    run.metrics.append(metric)
-    if table is not None:
-        storage.create_if_absent(stored, table, f"{out}/tables/{table}")
-    run.gold = names.from_display(stored, year)
-
     results = f"{out}/statistics"
-    storage.write_layer(describe(run.gold, names.MEASURES), f"{results}/summary", fmt)
-    run.report = analyze(run.gold, predictors=predictors, correlated=correlated)
-    for name, result in run.report.tables().items():
-        storage.write_layer(result, f"{results}/{name}")
-    storage.write_layer(chart_data(run.gold), f"{results}/chart_data")
-    if polygons is not None:
-        served = serving_wkb(run.gold, zone.polygons(polygons))
-        _, metric = storage.measured_write(names.to_display(served, year), f"{out}/serving", "serving")
+
+    def make_gold() -> None:
+        shown = names.to_display(build_gold(silvers, mode), year)
+        stored, metric = storage.measured_write(shown, f"{out}/gold", "gold", fmt)
         run.metrics.append(metric)
-    storage.write_layer(storage.metrics_table(spark, run.metrics), f"{results}/stage_metrics")
+        run.gold = names.from_display(stored, year)
+        if table is not None:
+            storage.create_if_absent(stored, table, f"{out}/tables/{table}")
+
+    def make_report() -> None:
+        run.report = analyze(run.gold, predictors=predictors, correlated=correlated)
+        for name, result in run.report.tables().items():
+            storage.write_layer(result, f"{results}/{name}")
+
+    def make_serving() -> None:
+        run.metrics.append(serve(run.gold, zone, polygons, f"{out}/serving", year))
+
+    try:
+        attempt(run, "gold", make_gold)
+        if run.gold is None:
+            raise RuntimeError(f"no gold table: {run.steps['gold']}; failed sources: {run.failures}")
+        attempt(run, "summary", lambda: storage.write_layer(describe(run.gold, names.MEASURES), f"{results}/summary", fmt))
+        attempt(run, "analysis", make_report)
+        attempt(run, "charts", lambda: storage.write_layer(chart_data(run.gold), f"{results}/chart_data"))
+        if polygons is not None:
+            attempt(run, "serving", make_serving)
+    finally:
+        storage.write_layer(storage.metrics_table(spark, run.metrics), f"{results}/stage_metrics")
+        storage.write_layer(status_table(spark, run), f"{results}/run_status")
     return run
 
 
+def attempt(run: Run, step: str, work: Callable[[], None]) -> None:
+    try:
+        work()
+        run.steps[step] = "done"
+    except FAILURES as problem:
+        run.steps[step] = cause(problem)
+        log.error("step %s failed: %s", step, run.steps[step])
+
+
+def status_table(spark: SparkSession, run: Run) -> DataFrame:
+    """``kind, name, status`` of every failed source and every step."""
+    rows = [("source", n, t) for n, t in run.failures.items()] + [("step", n, t) for n, t in run.steps.items()]
+    return spark.createDataFrame(rows, "kind string, name string, status string")
+
+
+def serve(gold: DataFrame, zone: LandingZone, polygons: str, path: str, year: int) -> storage.StageMetric:
+    """Write the serving table of a gold table; also a step of its own, from a table in the catalogue."""
+    served = serving_wkb(gold, zone.polygons(polygons))
+    return storage.measured_write(names.to_display(served, year), path, "serving")[1]
+
+
 def main(argv: list[str] | None = None) -> None:
     arguments = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     arguments.add_argument("--landing", required=True)
@@ -142,17 +190,26 @@ def main(argv: list[str] | None = None) -> None:
     arguments.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     arguments.add_argument("--table", help="also save gold as this table unless it exists")
     arguments.add_argument("--polygons", help="series of the territory polygons")
+    arguments.add_argument("--serve", action="store_true", help="only make the serving table, from --table and --polygons")
     arguments.add_argument("--predictors", nargs="+", default=list(PREDICTORS), choices=names.MEASURES)
     arguments.add_argument("--correlated", nargs="+", default=list(CORRELATED), choices=names.MEASURES)
     given = arguments.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("indicata").getOrCreate()
+    if given.serve:
+        if not (given.table and given.polygons):
+            arguments.error("--serve needs --table and --polygons")
+        gold = names.from_display(spark.table(given.table), given.year)
+        serve(gold, LandingZone(spark, given.landing, given.format), given.polygons, f"{given.out}/serving", given.year)
+        return
     run = run_all(
         spark, given.landing, given.out, given.year, given.mode, given.format, given.table, given.polygons,
         given.predictors, given.correlated,
     )
     for name, problem in run.failures.items():
         log.warning("left out: %s (%s)", name, problem)
+    if any(status != "done" for status in run.steps.values()):
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

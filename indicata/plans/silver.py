@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from indicata import names
-from indicata.functions import CAST_MODES, round_scaled
-from indicata.operators.columns import require
+from indicata.functions import CAST_MODES, key_text, round_scaled
+from indicata.operators.columns import MissingColumns, require
 from indicata.operators.joins import split_null_keys
 from indicata.operators.rows import at_level, at_level_and_date, first_per_key
 from indicata.sources.catalogue import Source
@@ -28,7 +29,7 @@ def selected(raw: DataFrame, source: Source) -> DataFrame:
     else:
         rows = at_level_and_date(raw, source.level_column, source.level, source.date_column, source.date)
     return rows.select(
-        F.col(f"`{source.key}`").cast("string").alias(names.CODE),
+        key_text(raw, source.key).alias(names.CODE),
         F.col(f"`{source.value}`").alias(source.name),
         ORDINAL,
     )
@@ -56,6 +57,8 @@ def _refined(rows: DataFrame, source: Source, mode: str) -> DataFrame:
     rows, _ = split_null_keys(rows, names.CODE)
     if source.dtype is not None:
         rows = CAST_MODES[source.casts[mode]](rows, source.name, source.dtype)
+        if isinstance(rows.schema[source.name].dataType, T.StringType):
+            raise MissingColumns(f"{source.value}: values that are no {source.dtype}")
     if mode == "strict":
         rows = first_per_key(rows, names.CODE, ORDINAL)
     value = F.col(source.name)

@@ -77,7 +77,7 @@ class Source:
 
     name: str  # silver value column
     series: str  # directory in the landing zone
-    schema: T.StructType
+    schema: T.StructType  # the columns that must be there; files keep their own types
     key: str
     value: str
     level_column: str
@@ -133,7 +133,7 @@ def default_sources(year: int = 2010) -> list[Source]:
             key=INDEX_KEY, value="value", level_column=INDEX_LEVEL,
             level=names.INDEX_LEVEL_MUNICIPALITY, drops=INDEX_DROPS,
             date_column=INDEX_DATE, date=dt.date(year, 1, 1),
-            dtype="double", casts={"label": "none", "strict": "ignore"},
+            dtype="double", casts={"label": "strict", "strict": "ignore"},
         ),
     ]
 

@@ -80,11 +80,18 @@ CLEAN = [*GOLD, "clean AS (SELECT * REPLACE (CASE WHEN isfinite(burden) THEN bur
 
 # --- sources, sinks, layers -------------------------------------------------
 
+# What the landed revenue holds besides: another level, missing keys and repeated keys.
+STRAYS = (
+    "strays AS (SELECT CAST(n_nationkey AS VARCHAR) AS code, 'Estados' AS level, n_nationkey + 0.5 AS v FROM nation"
+    f" UNION ALL SELECT NULL, '{MUNICIPALITY}', n_nationkey + 0.125 FROM nation WHERE n_regionkey = 0"
+    f" UNION ALL SELECT CAST(n_nationkey AS VARCHAR), '{MUNICIPALITY}', n_nationkey + 1000.125 FROM nation WHERE n_regionkey = 1),"
+    f" landed AS (SELECT code, '{MUNICIPALITY}' AS level, v FROM raw_revenue UNION ALL SELECT code, level, CAST(v AS DOUBLE) FROM strays)"
+)
 named(
     "src_series_year",
-    [RAW_REVENUE],
+    [RAW_REVENUE, STRAYS],
     f"SELECT 'RECORRM' AS \"CODE\", CAST({YEAR} AS INTEGER) AS \"YEAR\", code AS \"TERCODIGO\","
-    f" '{MUNICIPALITY}' AS \"NIVNOME\", v AS value FROM raw_revenue",
+    " level AS \"NIVNOME\", v AS value FROM landed",
 )
 TERRITORIES = (
     "SELECT c_name AS \"NAME\", CAST(c_custkey AS VARCHAR) AS \"ID\", CASE WHEN c_mktsegment ="
@@ -124,8 +131,18 @@ named(
     [RING, *outline("vertex", "ring")],
     f"SELECT code, \"UF\", points, {sig('area')} AS area FROM ring",
 )
-for layer in ("src_gold_table", "sink_parquet_roundtrip", "sink_csv_roundtrip", "gold_sorted", "gold"):
+for layer in ("src_gold_table", "gold_sorted", "gold"):
     named(layer, GOLD, GOLD_SELECT)
+for layer in ("sink_parquet_roundtrip", "sink_csv_roundtrip"):
+    named(
+        layer,
+        [
+            *GOLD,
+            "texts AS (SELECT CAST(doc_id AS VARCHAR) AS code, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 5 <> 0"
+            """ THEN ' "\\n' || chr(13) || chr(10) || ',' || text || '\\ ' || chr(10) END AS note FROM documents)""",
+        ],
+        f"SELECT gold.code, name, population, idhm, revenue, gdp, {BURDEN}, data_status, note FROM gold LEFT JOIN texts ON gold.code = texts.code",
+    )
 CATALOGUE = [
     ("gdp", "PIB_IBGE_5938_37", 0, "1000.0", "3", "raw_gdp"),
     ("revenue", "RECORRM", 1, "NULL", "2", "raw_revenue"),
@@ -166,8 +183,10 @@ named(
 )
 named(
     "silver_series",
-    SILVERS,
-    "SELECT code, revenue, 'clean' AS state FROM revenue",
+    [RAW_REVENUE, STRAYS],
+    "SELECT code, CAST(round_even(v * 100.0, 0) AS DOUBLE) / 100.0 AS revenue, 'clean' AS state FROM landed"
+    f" WHERE code IS NOT NULL AND level = '{MUNICIPALITY}'"
+    f" UNION ALL SELECT code, v, 'reject' FROM landed WHERE code IS NULL AND level = '{MUNICIPALITY}'",
 )
 named(
     "gold_strict",

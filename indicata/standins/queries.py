@@ -88,12 +88,17 @@ def raw_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return StandIns(spark, sf_dir).read(source(name))
 
 
+def landed_source(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """The source as the landing zone reads it from files."""
+    return StandIns(spark, sf_dir).landed(source(name), fmt).read(source(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return StandIns(spark, sf_dir).table(name)
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{storage.shared_folder(spark)}/indicata/{label}-{uuid.uuid4().hex}"
+    return storage.scratch_path(spark, label)
 
 
 # --- sources ----------------------------------------------------------------
@@ -101,24 +106,28 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 @query("src_series_year")
 def query_src_series_year(spark, sf_dir):
-    rows_ = raw_source(spark, sf_dir, names.REVENUE)
+    """Landed Parquet folders by year; other years are never read."""
+    rows_ = landed_source(spark, sf_dir, names.REVENUE)
     return rows_.select("CODE", "YEAR", "TERCODIGO", "NIVNOME", F.col("`VALUE (R$)`").alias("value"))
 
 
 @query("src_territories")
 def query_src_territories(spark, sf_dir):
-    return raw_source(spark, sf_dir, names.NAME).select("NAME", "ID", "LEVEL", "AREA", "CAPITAL")
+    return landed_source(spark, sf_dir, names.NAME).select("NAME", "ID", "LEVEL", "AREA", "CAPITAL")
 
 
 @query("src_alt_shape")
 def query_src_alt_shape(spark, sf_dir):
-    return raw_source(spark, sf_dir, names.INDEX).drop(ORDINAL)
+    """Landed CSV, in which everything is text; the date is a number of days."""
+    rows_ = landed_source(spark, sf_dir, names.INDEX, "csv").drop(ORDINAL)
+    return rows_.withColumn("value", F.col("value").cast("double"))
 
 
 @query("src_polygons")
 def query_src_polygons(spark, sf_dir):
-    polygons = StandIns(spark, sf_dir).polygons()
-    return polygons.select(
+    """Landed outlines in well-known binary."""
+    polygons = StandIns(spark, sf_dir).landed_polygons().polygons()
+    return polygons.withColumn("geometry", geometry.from_wkb(F.col("geometry"))).select(
         names.CODE,
         "UF",
         geometry.point_count(F.col("geometry")).alias("points"),
@@ -186,7 +195,12 @@ def query_partial_sources(spark, sf_dir):
 
 
 def _round_trip(spark, sf_dir, fmt):
-    table_ = gold(silvers(spark, sf_dir), ordered=False)
+    """Gold written and read back, with an awkward text in every row: a document, spaces, quotes and line breaks around it."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("doc_id").cast("string").alias(names.CODE),
+        F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 5 != 0, F.concat(F.lit(' "\\n\r\n,'), "text", F.lit("\\ \n"))).alias("note"),
+    )
+    table_ = gold(silvers(spark, sf_dir), ordered=False).join(texts, names.CODE, "left")
     path = scratch(spark, fmt)
     storage.write_layer(table_, path, fmt)
     return published(storage.read_layer(spark, path, table_.schema, fmt))
@@ -590,10 +604,9 @@ def query_simplify_polylines(spark, sf_dir):
 
 @query("silver_series")
 def query_silver_series(spark, sf_dir):
-    """Bronze to silver for one source, with its rejects counted."""
-    revenue = source(names.REVENUE)
-    clean, rejects = silver_and_rejects(StandIns(spark, sf_dir).read(revenue), revenue)
-    rejected = rejects.select(F.lit(None).cast("string").alias(names.CODE), names.REVENUE)
+    """Landed files to silver for one source, with the rows it rejects."""
+    clean, rejects = silver_and_rejects(landed_source(spark, sf_dir, names.REVENUE), source(names.REVENUE))
+    rejected = rejects.select(names.CODE, names.REVENUE)
     return clean.withColumn("state", F.lit("clean")).unionByName(rejected.withColumn("state", F.lit("reject")))
 
 

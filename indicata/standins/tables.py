@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata import names, storage
-from indicata.operators.geometry import GEOMETRY
+from indicata.operators.geometry import GEOMETRY, to_wkb
 from indicata.plans.gold import gold
 from indicata.plans.silver import silver
-from indicata.sources.catalogue import Source, default_sources
-from indicata.sources.landing import ORDINAL, polygon_columns, raw
+from indicata.sources.catalogue import OBSERVATION_YEAR, Source, default_sources
+from indicata.sources.landing import ORDINAL, LandingZone, polygon_columns, raw
 
 YEAR = 1998
 TERRITORY_SEGMENT_OUT = "MACHINERY"
@@ -58,6 +58,10 @@ class StandIns:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def read(self, source: Source) -> DataFrame:
+        return raw(self.delivered(source))
+
+    def delivered(self, source: Source) -> DataFrame:
+        """The rows as the provider has them, with a position."""
         shapes = {
             names.GDP: self._gdp,
             names.REVENUE: self._revenue,
@@ -65,7 +69,33 @@ class StandIns:
             names.NAME: self._territories,
             names.INDEX: self._index,
         }
-        return raw(shapes[source.name](source))
+        return shapes[source.name](source)
+
+    def strays(self, source: Source) -> DataFrame:
+        """Observations that silver has to deal with: other levels, missing keys, an unasked year, repeated keys."""
+        def rows(key: str, level: str, year: int, value: str) -> DataFrame:
+            return self.table("nation").selectExpr(
+                f"'{source.series}' AS CODE", f"'{year}-01-01' AS `RAW DATE`", f"{year} AS YEAR", f"{key} AS {source.key}",
+                f"'{level}' AS NIVNOME", f"cast({value} AS double) AS `{source.value}`",
+            ).where(f"`{source.value}` IS NOT NULL")
+
+        territory = "cast(n_nationkey AS string)"
+        return (
+            rows(territory, "Estados", source.year, "n_nationkey + 0.5")
+            .union(rows("cast(null AS string)", source.level, source.year, "if(n_regionkey = 0, n_nationkey + 0.125, null)"))
+            .union(rows(territory, source.level, source.year - 1, "n_nationkey + 0.25"))
+            .union(rows(territory, source.level, source.year, "if(n_regionkey = 1, n_nationkey + 1000.125, null)"))
+        )
+
+    def landed(self, source: Source, fmt: str = "parquet") -> LandingZone:
+        """A landing zone that holds the source, strays included."""
+        rows = self.delivered(source).drop(ORDINAL)
+        if source.year is not None:
+            rows = rows.unionByName(self.strays(source))
+        root = storage.scratch_path(self.spark, "landing")
+        writer = rows.write.option("header", True).format(fmt)
+        (writer.partitionBy(OBSERVATION_YEAR) if source.year is not None else writer).save(f"{root}/{source.series}")
+        return LandingZone(self.spark, root, fmt)
 
     def _observations(self, rows: DataFrame, source: Source, value: Column) -> DataFrame:
         """One row per territory; grouped by the text key, which the later joins share."""
@@ -119,6 +149,15 @@ class StandIns:
         )
 
     def polygons(self) -> DataFrame:
+        return polygon_columns(self.outlines())
+
+    def landed_polygons(self) -> LandingZone:
+        """A landing zone that holds the outlines in well-known binary."""
+        root = storage.scratch_path(self.spark, "landing")
+        self.outlines().withColumn("geometry", to_wkb(F.col("geometry"))).write.parquet(f"{root}/polygons")
+        return LandingZone(self.spark, root)
+
+    def outlines(self) -> DataFrame:
         """One closed star-shaped ring per embedding: its entries are the radii."""
         angle = f"(2 * pi() * (i % {RING_VERTICES}) / {RING_VERTICES})"
         radius = f"(1 + 0.5 * CAST(embedding[i % {RING_VERTICES}] AS DOUBLE))"
@@ -126,14 +165,13 @@ class StandIns:
             f"transform(sequence(0, {RING_VERTICES}), i -> named_struct("
             f"'x', label + {radius} * cos({angle}), 'y', {radius} * sin({angle})))"
         )
-        rows = self.table("embeddings").selectExpr(
+        return self.table("embeddings").selectExpr(
             "cast(vec_id AS double) AS code_muni",
             "concat('polygon ', vec_id) AS name_muni",
             "cast(label AS string) AS code_state",
             "concat('S', label) AS abbrev_state",
             f"cast(array(array({ring})) AS {GEOMETRY.simpleString()}) AS geometry",
         )
-        return polygon_columns(rows)
 
 
 def sources(year: int = YEAR) -> list[Source]:

@@ -6,9 +6,11 @@ import functools
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,18 +33,30 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="indicata-")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, dropped when the application ends."""
+    path = f"{shared_folder(spark)}/indicata/{label}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/indicata/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     write_layer(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite a layer as snappy Parquet, or as CSV with a header in UTF-8."""
+    """Overwrite a layer as snappy Parquet, or as CSV with a header in UTF-8.
+
+    In CSV text keeps its spaces, quotes and empty values. Line breaks are written as ``\\n`` and ``\\r`` and
+    back-slashes as ``\\s``, an empty text as ``\\e``, so that a record is a line and files can be split.
+    """
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("encoding", "UTF-8").csv(path)
+        one_line(df).write.mode("overwrite").options(**CSV).csv(path)
     elif fmt == "parquet":
         writer.option("compression", "snappy").parquet(path)
     else:
@@ -50,13 +64,37 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read a layer back with its schema; inferring it would turn keys into numbers."""
+    """Read a layer back with its schema; inferring it would turn keys into numbers. A value that is no such type is an error."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("encoding", "UTF-8").csv(path)
+        return _with_text(reader.options(**CSV, mode="FAILFAST", enforceSchema="false").csv(path), _plain)
     return reader.parquet(path)
 
 
+#: Writing and reading of CSV layers; quotes are doubled.
+CSV = {"header": "true", "encoding": "UTF-8", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+EMPTY = "\\e"
+ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def one_line(df: DataFrame) -> DataFrame:
+    return _with_text(df, _escaped)
+
+
+def _escaped(text: Column) -> Column:
+    return F.when(text == "", EMPTY).otherwise(reduce(lambda v, e: F.replace(v, F.lit(e[0]), F.lit(e[1])), ESCAPES, text))
+
+
+def _plain(text: Column) -> Column:
+    return F.when(text == EMPTY, "").otherwise(reduce(lambda v, e: F.replace(v, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), text))
+
+
+def _with_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """Every text column changed."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: change(F.col(f"`{c}`")) for c in texts}) if texts else df
+
+
 def create_if_absent(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """Save as a table unless it exists; an existing one keeps its rows.
 

@@ -245,3 +245,65 @@ def test_report_and_charts_hold_together(spark, landing):
     assert sizes["scatter", "idhm~burden"] == 38 and sizes["trend", "idhm~burden"] == 100
     totals = {r["series"]: r["n"] for r in charts.where("chart = 'histogram'").groupBy("series").agg(F.sum("y").alias("n")).collect()}
     assert totals == {"idhm": 38, "burden": 40, "gdp": 38, "revenue": 33}
+
+
+def revenue_source():
+    return next(s for s in default_sources(2010) if s.series == "RECORRM")
+
+
+def failure_of(spark, folder, out, fmt="parquet"):
+    run = runs.Run()
+    runs.run_sources(LandingZone(spark, str(folder), fmt), [revenue_source()], str(out), fmt=fmt, run=run)
+    return run.failures.get("revenue")
+
+
+def observed(spark, rows_, types="CODE string, `RAW DATE` string, YEAR int, TERCODIGO string, NIVNOME string, `VALUE (R$)` double"):
+    return spark.createDataFrame(rows_, types)
+
+
+def test_a_missing_column_fails_the_source(spark, tmp_path):
+    rows_ = observed(spark, [("R", "d", 2010, "1", M, 1.0)]).drop("VALUE (R$)")
+    rows_.write.partitionBy("YEAR").parquet(f"{tmp_path}/RECORRM")
+    assert "VALUE (R$)" in failure_of(spark, tmp_path, tmp_path / "out")
+
+
+def test_wide_types_are_taken_as_they_come(spark, tmp_path):
+    types = "CODE string, `RAW DATE` string, YEAR bigint, TERCODIGO bigint, NIVNOME string, `VALUE (R$)` bigint"
+    observed(spark, [("R", "d", 2010, 7, M, 3), ("R", "d", 2009, 8, M, 4)], types).write.parquet(f"{tmp_path}/RECORRM")
+    raw_rows = LandingZone(spark, str(tmp_path)).read(revenue_source())
+    assert [tuple(r) for r in silver(raw_rows, revenue_source()).collect()] == [("7", 3.0)]
+
+
+def test_exchanged_csv_columns_are_found_by_name(spark, tmp_path):
+    folder = tmp_path / "RECORRM" / "YEAR=2010"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(f"CODE,RAW DATE,NIVNOME,TERCODIGO,VALUE (R$)\nR,d,{M},7,2.5\n")
+    raw_rows = LandingZone(spark, str(tmp_path), "csv").read(revenue_source())
+    assert [tuple(r) for r in silver(raw_rows, revenue_source()).collect()] == [("7", 2.5)]
+
+
+def test_a_bad_csv_number_fails_the_source_with_a_readable_cause(spark, tmp_path):
+    folder = tmp_path / "RECORRM" / "YEAR=2010"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(f"CODE,RAW DATE,TERCODIGO,NIVNOME,VALUE (R$)\nR,d,7,{M},n/a\n")
+    assert "n/a" in failure_of(spark, tmp_path, tmp_path / "out", "csv")
+
+
+def test_csv_layers_keep_text(spark, tmp_path):
+    texts = [" x ", "a\nb", "a\r\nb", 'q"u\\n,', "", "\\", "\\s\\e", None, "\\e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k bigint, t string")
+    storage.write_layer(df, f"{tmp_path}/csv", "csv")
+    assert rows(storage.read_layer(spark, f"{tmp_path}/csv", df.schema, "csv")) == rows(df)
+
+
+def test_a_run_without_a_source_reports_what_it_can(spark, landing, tmp_path, monkeypatch):
+    kept = [s for s in default_sources(2010) if s.series != "RECORRM"]
+    gone = [dataclasses.replace(s, series="nowhere") for s in default_sources(2010) if s.series == "RECORRM"]
+    monkeypatch.setattr(runs, "default_sources", lambda year: sorted(kept + gone, key=lambda s: s.name))
+    run = runs.run_all(spark, f"{landing}/parquet", str(tmp_path))
+    assert set(run.failures) == {"revenue"} and run.gold is not None
+    assert run.steps["gold"] == run.steps["summary"] == "done"
+    assert "o7" not in run.failures["revenue"]
+    status = {(r["kind"], r["name"]) for r in spark.read.parquet(f"{tmp_path}/statistics/run_status").collect()}
+    assert ("source", "revenue") in status and ("step", "analysis") in status
+    assert spark.read.parquet(f"{tmp_path}/statistics/stage_metrics").count() > 0
