@@ -1,13 +1,11 @@
 """Exact quantiles with linear interpolation, without gathering a column in one task.
 
-Spark's ``percentile`` keeps every distinct value in one aggregation buffer, so
-it is used only where a count has shown the column to be small. Larger columns
-are narrowed: a bounded sketch gives a bracket around each wanted rank, a count
-says how many rows lie below and inside it, and the open interval between its
-ends takes the place of the column until that is small. Each round is two scans
-of one column without a shuffle of rows, and shrinks the interval to a fixed
-share of its rows, so a trillion values take three rounds. Values that repeat
-without bound end up as bracket ends and are answered by counting alone.
+The wanted ranks are closed in on: a bounded sketch gives a bracket around each, a count
+says how many rows lie below and inside it, and the open interval between its ends takes
+the place of the column until it holds few rows, which are then ranked. Each round is two
+scans of one column without a shuffle of rows, and shrinks the interval to a fixed share of
+its rows, so a trillion values take four rounds. Values that repeat without bound end up as
+bracket ends and are answered by counting alone. Tables of every size go this way.
 """
 
 from __future__ import annotations
@@ -20,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SMALL = 100_000
+# Rows of an interval that are ranked at last; any value gives the same result.
+RANKED = 1_000
 SKETCH_ACCURACY = 1_000
 # Fraction of the rows by which a bracket reaches beyond the wanted rank on either side.
 SLACK = 2.0 / SKETCH_ACCURACY
@@ -68,7 +67,7 @@ def approximate_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], small: int = SMALL
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], small: int = RANKED
 ) -> dict[str, dict[float, float | None]]:
     """``{column: {fraction: value}}``; nulls do not count, an empty column gives ``None``.
 
@@ -78,8 +77,6 @@ def exact_quantiles(
     if not columns:
         return {}
     sizes, brackets = _first_look(df, wanted)
-    if max(sizes.values()) <= small:
-        return _builtin(df, wanted)
 
     targets: dict[tuple[str, int], _Target] = {}
     for column, fractions in wanted.items():
@@ -128,19 +125,6 @@ def _neighbours(fraction: float, size: int) -> list[int]:
     return sorted({math.floor(at), min(math.ceil(at), size - 1)})
 
 
-def _builtin(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, dict[float, float | None]]:
-    row = df.agg(
-        *[
-            F.percentile(F.col(f"`{c}`").cast("double"), list(map(float, qs))).alias(f"q{i}")
-            for i, (c, qs) in enumerate(wanted.items())
-        ]
-    ).first()
-    return {
-        c: dict(zip(qs, row[i] if row[i] is not None else [None] * len(qs)))
-        for i, (c, qs) in enumerate(wanted.items())
-    }
-
-
 def _sketch(value: Column, fraction: float) -> Column:
     """Two values that most likely lie on either side of a fraction."""
     ends = [max(0.0, fraction - SLACK), min(1.0, fraction + SLACK)]
@@ -187,7 +171,7 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
 
 
 def _pick(df: DataFrame, targets: list[_Target]) -> None:
-    """Read off the ranks; every interval is known to hold at most ``small`` rows."""
+    """Read off the ranks of intervals that hold few rows."""
     candidates = F.array(
         *[F.when(t.inside(), F.struct(F.lit(i).alias("target"), t.value().alias("value"))) for i, t in enumerate(targets)]
     )

@@ -18,15 +18,16 @@ from .regression import Fit
 from .rows import sort_columns
 
 
-def diagnostics(df: DataFrame, fit: Fit) -> dict[str, float]:
-    """Skewness, kurtosis, Jarque-Bera and omnibus of the residuals, from one aggregate."""
+def diagnostics(df: DataFrame, fit: Fit) -> dict[str, float | None]:
+    """Skewness, kurtosis, Jarque-Bera and omnibus of the residuals, from one aggregate; None where undefined."""
     e = fit.residual_column()
     skew, excess = df.agg(F.skewness(e), F.kurtosis(e)).first()
+    names = ("skewness", "kurtosis", "jarque_bera", "jarque_bera_p", "omnibus", "omnibus_p")
     if skew is None:  # a perfect fit has no residuals to speak of
-        return {}
+        return dict.fromkeys(names)
     n, kurtosis = fit.n, excess + 3.0
     jarque_bera = n / 6.0 * (skew**2 + excess**2 / 4.0)
-    out = {
+    out = dict.fromkeys(names) | {
         "skewness": skew,
         "kurtosis": kurtosis,
         "jarque_bera": jarque_bera,

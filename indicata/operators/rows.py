@@ -64,13 +64,3 @@ def sorted_by_key(df: DataFrame, key: str) -> DataFrame:
 def sort_columns(df: DataFrame, key: str) -> list[Column]:
     ordered = [key, *[c for c in df.columns if c != key]]
     return [F.col(f"`{c}`").asc_nulls_last() for c in ordered]
-
-
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Enough partitions for all cores, for steps that do much work per row.
-
-    A small stored table is one file and would be one task. Tables with partitions
-    enough, which is any large one, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

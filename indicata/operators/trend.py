@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from indicata.functions import finite_or_null
 
-from .rows import spread_rows
 
 GRID = 100
 REPLICATES = 1000
+# Units are resampled in this many groups.
+GROUPS = 4096
 # A prime below 2^31: products with a replicate number stay far inside 64 bits.
 MODULUS = 2_147_483_647
 
@@ -41,8 +42,8 @@ def _grid_x(position: Column, low: Column, high: Column, grid: int) -> Column:
 
 
 def trend_line(df: DataFrame, x: str, y: str, grid: int = GRID) -> DataFrame:
-    """``(position, x, y)``: the fitted line at ``grid`` points over the range of x."""
-    fitted = trend_fit(df, x, y).where(F.col("slope").isNotNull())
+    """``(position, x, y)``: the fitted line at ``grid`` points over the range of x; null heights where none can be fitted."""
+    fitted = trend_fit(df, x, y)
     rows = fitted.withColumn("position", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     at = _grid_x(F.col("position"), F.col("x_min"), F.col("x_max"), grid)
     return rows.select("position", at.alias("x"), (F.col("intercept") + F.col("slope") * at).alias("y"))
@@ -64,7 +65,7 @@ def _poisson_thresholds() -> list[int]:
 def _weight(draw: Column) -> Column:
     """How many times a row enters a replicate, from a uniform draw below the modulus."""
     thresholds = _poisson_thresholds()
-    weight = F.when(draw < thresholds[0], 0)
+    weight = F.when(draw.isNull(), None).when(draw < thresholds[0], 0)
     for times, bound in enumerate(thresholds[1:], start=1):
         weight = weight.when(draw < bound, times)
     return weight.otherwise(len(thresholds)).cast("double")
@@ -74,50 +75,47 @@ def trend_band(
     df: DataFrame,
     x: str,
     y: str,
-    key: str,
+    key: str | None,
     grid: int = GRID,
     replicates: int = REPLICATES,
     level: float = 0.95,
 ) -> DataFrame:
     """``(position, x, low, high)``: bootstrap confidence band of the trend line.
 
-    A Poisson bootstrap with territories as the units: row weights in replicate r
-    follow from (a*r + b) mod p, with a and b from a digest of the key. Rows get
-    independent weights whatever partition they sit in, and a recomputed task
-    draws the same ones. Rows are expanded per replicate inside the generated
-    code and summed before the shuffle, which carries one row of sums per
-    replicate and task.
+    A Poisson bootstrap over ``GROUPS`` groups of units: a unit (``key``; each row by its values where that
+    is None or null) belongs to the group its digest says, one scan sums the moments of every group, and
+    group weights in replicate r follow from (a*r + b) mod p, with a and b from a digest of the group. Tables with
+    few units have about one unit in a group. After the scan the work is groups times replicates, whatever the
+    size of the table, and a recomputed task draws the same weights. Where no line can be fitted the ends are null.
     """
-    pairs = points(df, x, y, F.md5(F.col(f"`{key}`").cast("string").cast("binary")).alias("digest"))
+    row_text = F.concat_ws(" ", F.lit("row"), F.col(f"`{x}`").cast("string"), F.col(f"`{y}`").cast("string"))
+    unit = row_text if key is None else F.coalesce(F.col(f"`{key}`").cast("string"), row_text)
+    pairs = points(df, x, y, F.md5(unit.cast("binary")).alias("digest"))
     centre = pairs.agg(F.avg("x"), F.avg("y"), F.min("x"), F.max("x"), F.count(F.lit(1))).first()
     if centre[4] < 2 or centre[2] == centre[3]:
-        return df.sparkSession.createDataFrame([], "position int, x double, low double, high double")
+        missing = [F.lit(None).cast("double").alias(c) for c in ("x", "low", "high")]
+        return df.sparkSession.range(grid).select(F.col("id").cast("int").alias("position"), *missing)
     mean_x, mean_y, low, high = (F.lit(v) for v in centre[:4])
 
     def from_digest(start: int, modulus: int) -> Column:
         return F.conv(F.substring("digest", start, 8), 16, 10).cast("bigint") % modulus
 
     draw = (F.col("a") * F.col("replicate") + F.col("b")) % MODULUS
-    w, u, v = F.col("w"), F.col("u"), F.col("v")
+    u, v, w = F.col("u"), F.col("v"), F.col("w")
+    groups = (
+        pairs.select((F.col("x") - mean_x).alias("u"), (F.col("y") - mean_y).alias("v"), from_digest(1, GROUPS).alias("g"))
+        .groupBy("g")
+        .agg(F.count(F.lit(1)).alias("s"), F.sum(u).alias("su"), F.sum(v).alias("sv"), F.sum(u * u).alias("suu"), F.sum(u * v).alias("suv"))
+        .withColumn("digest", F.md5(F.col("g").cast("string").cast("binary")))
+        .withColumns({"a": from_digest(1, MODULUS - 1) + 1, "b": from_digest(9, MODULUS)})
+    )
+    moments = ("s", "su", "sv", "suu", "suv")
     sums = (
-        spread_rows(pairs)
-        .select(
-            (F.col("x") - mean_x).alias("u"),
-            (F.col("y") - mean_y).alias("v"),
-            (from_digest(1, MODULUS - 1) + 1).alias("a"),
-            from_digest(9, MODULUS).alias("b"),
-        )
-        .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        .select("replicate", "u", "v", draw.alias("draw"))
-        .select("replicate", "u", "v", _weight(F.col("draw")).alias("w"))
+        groups.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+        .withColumn("draw", draw)
+        .withColumn("w", _weight(F.col("draw")))
         .groupBy("replicate")
-        .agg(
-            F.sum(w).alias("s"),
-            F.sum(w * u).alias("su"),
-            F.sum(w * v).alias("sv"),
-            F.sum(w * u * u).alias("suu"),
-            F.sum(w * u * v).alias("suv"),
-        )
+        .agg(*(F.sum(w * F.col(m)).alias(m) for m in moments))
     )
     spread = F.col("s") * F.col("suu") - F.col("su") * F.col("su")
     slope = F.try_divide(F.col("s") * F.col("suv") - F.col("su") * F.col("sv"), spread)

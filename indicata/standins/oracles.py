@@ -504,8 +504,10 @@ BINNED = [
 CURVE = [
     "grid AS (SELECT variable, lo, hi, sd * pow(n, -0.2) AS h, CAST(i AS INTEGER) AS position,"
     " lo + (hi - lo) * i / 199 AS g FROM spread, range(200) AS r(i))",
-    "curve AS (SELECT grid.variable, position, any_value(g) AS x, sum(exp(-0.5 * ((g - v) / h) * ((g - v) / h)))"
-    " * any_value((hi - lo) / 100 / (h * sqrt(2 * pi()))) AS y FROM grid JOIN long ON long.variable = grid.variable"
+    "cells AS (SELECT long.variable, avg(v) AS v, count(*) AS w FROM long JOIN spread ON long.variable = spread.variable"
+    " GROUP BY long.variable, floor((v - lo) / (hi - lo) * 65536.0))",
+    "curve AS (SELECT grid.variable, position, any_value(g) AS x, sum(w * exp(-0.5 * ((g - v) / h) * ((g - v) / h)))"
+    " * any_value((hi - lo) / 100 / (h * sqrt(2 * pi()))) AS y FROM grid JOIN cells ON cells.variable = grid.variable"
     " GROUP BY grid.variable, position)",
 ]
 TREND = [
@@ -521,11 +523,13 @@ BAND = [
     "pmf AS (SELECT k, exp(-1.0) / factorial(CAST(k AS INTEGER)) AS p FROM range(0, 13) AS r(k))",
     f"cdf AS (SELECT k, CAST(floor(sum(p) OVER (ORDER BY k) * {MODULUS}) AS BIGINT) AS bound FROM pmf)",
     f"bounds AS (SELECT list(bound ORDER BY k) AS bs FROM cdf WHERE bound < {MODULUS - 1})",
-    f"hashed AS (SELECT x - mx AS u, y - my AS v, 1 + CAST('0x' || substr(md5(code), 1, 8) AS BIGINT) % {MODULUS - 1} AS a,"
-    f" CAST('0x' || substr(md5(code), 9, 8) AS BIGINT) % {MODULUS} AS b FROM pts, line)",
-    f"drawn AS (SELECT CAST(rep AS BIGINT) AS rep, u, v, CAST(len(list_filter(bs, lambda t: t <= (a * rep + b) % {MODULUS})) AS DOUBLE)"
+    "groups AS (SELECT CAST('0x' || substr(md5(code), 1, 8) AS BIGINT) % 4096 AS g, count(*) AS s, sum(x - mx) AS su, sum(y - my) AS sv,"
+    " sum((x - mx) * (x - mx)) AS suu, sum((x - mx) * (y - my)) AS suv FROM pts, line GROUP BY 1)",
+    f"hashed AS (SELECT *, 1 + CAST('0x' || substr(md5(CAST(g AS VARCHAR)), 1, 8) AS BIGINT) % {MODULUS - 1} AS a,"
+    f" CAST('0x' || substr(md5(CAST(g AS VARCHAR)), 9, 8) AS BIGINT) % {MODULUS} AS b FROM groups)",
+    f"drawn AS (SELECT CAST(rep AS BIGINT) AS rep, s, su, sv, suu, suv, CAST(len(list_filter(bs, lambda t: t <= (a * rep + b) % {MODULUS})) AS DOUBLE)"
     " AS w FROM hashed, range(1000) AS r(rep), bounds)",
-    "sums AS (SELECT rep, sum(w) AS s, sum(w*u) AS su, sum(w*v) AS sv, sum(w*u*u) AS suu, sum(w*u*v) AS suv FROM drawn GROUP BY rep)",
+    "sums AS (SELECT rep, sum(w*s) AS s, sum(w*su) AS su, sum(w*sv) AS sv, sum(w*suu) AS suu, sum(w*suv) AS suv FROM drawn GROUP BY rep)",
     "lines AS (SELECT (s*suv - su*sv) / (s*suu - su*su) AS slope, (sv - (s*suv - su*sv) / (s*suu - su*su) * su) / s AS height"
     " FROM sums WHERE s*suu - su*su <> 0)",
     "band AS (SELECT position, any_value(x) AS x, quantile_cont(my + height + lines.slope * (x - mx), 0.025) AS low,"

@@ -274,7 +274,8 @@ def test_histogram_of_edge_values_and_constants(spark):
     assert [r["rows"] for r in found] == list(counts)
     constant = distribution.histogram(spark.createDataFrame([(3.0,)] * 5, "v double"), ["v"])
     assert {(r["bin"], r["rows"]) for r in constant.where("rows > 0").collect()} == {(50, 5)}
-    assert distribution.histogram(spark.createDataFrame([(None,)], "v double"), ["v"]).count() == 0
+    empty = distribution.histogram(spark.createDataFrame([(None,)], "v double"), ["v"]).collect()
+    assert len(empty) == 100 and {(r["low"], r["rows"]) for r in empty} == {(None, 0)}
 
 
 def test_density_agrees_with_the_direct_sum(spark, sample):
@@ -299,8 +300,9 @@ def test_density_with_a_far_outlier_touches_few_points(spark):
     h = v.std(ddof=1) * len(v) ** -0.2
     z = (np.linspace(v.min(), v.max(), 200)[:, None] - v[None, :]) / h
     direct = np.exp(-0.5 * z * z).sum(1) / (h * math.sqrt(2 * math.pi)) * (v.max() - v.min()) / 100
-    assert [r["y"] for r in found] == pytest.approx(list(direct), rel=1e-9)
-    assert distribution.density(spark.createDataFrame([(1.0,)] * 3, "v double"), ["v"]).count() == 0
+    assert [r["y"] for r in found] == pytest.approx(list(direct), rel=1e-6)
+    flat = distribution.density(spark.createDataFrame([(1.0,)] * 3, "v double"), ["v"]).collect()
+    assert len(flat) == 200 and {r["y"] for r in flat} == {None}
 
 
 def test_trend_line_and_its_band(spark, sample):
@@ -330,6 +332,35 @@ def test_band_does_not_depend_on_partitions(spark, sample):
     assert [r[2:] for r in one] == [pytest.approx(r[2:], rel=1e-9) for r in many]
 
 
+def test_band_covers_like_resampled_rows(spark):
+    """The band of the groups against one from plain resampling of rows."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=3000)
+    y = 2 * x + rng.normal(size=3000) * (1 + np.abs(x))
+    df = spark.createDataFrame([(str(k), float(a), float(b)) for k, (a, b) in enumerate(zip(x, y))], "code string, x double, y double")
+    for unit in ("code", None):
+        band = sorted(trend.trend_band(df, "x", "y", unit, grid=5).collect(), key=lambda r: r["position"])
+        lines = []
+        for _ in range(600):
+            pick = rng.integers(0, 3000, 3000)
+            lines.append(np.polyval(np.polyfit(x[pick], y[pick], 1), [r["x"] for r in band]))
+        low, high = np.percentile(lines, [2.5, 97.5], axis=0)
+        assert [r["high"] - r["low"] for r in band] == pytest.approx(list(high - low), rel=0.2)
+
+
+def test_rows_without_key_do_not_gain_weight(spark):
+    points = [(None if k == 0 else str(k), float(k % 20), float(k % 20)) for k in range(200)]
+    points[0] = (None, 0.0, 2000.0)
+    named = [("0", *points[0][1:])] + points[1:]
+    bands = [rows(trend.trend_band(spark.createDataFrame(p, "code string, x double, y double"), "x", "y", "code", grid=3)) for p in (points, named)]
+    assert [r[3] - r[2] for r in bands[0]] == pytest.approx([r[3] - r[2] for r in bands[1]], rel=0.3)
+
+
+def test_no_line_has_empty_ends(spark):
+    found = trend.trend_band(spark.createDataFrame([("a", 1.0, 2.0)], "code string, x double, y double"), "x", "y", "code").collect()
+    assert len(found) == 100 and {r["low"] for r in found} == {None}
+
+
 def test_bootstrap_weights_are_poisson(spark):
     draws = spark.range(200_000).select(
         trend._weight(F.pmod(F.xxhash64("id"), F.lit(trend.MODULUS))).alias("w")
