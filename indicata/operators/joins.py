@@ -9,17 +9,16 @@ join cannot spread by itself; ``fold_left_spread`` deals those rows out.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of a table's rows, so a table has
-# fewer than HOT_SHARE hot keys however large it is.
-HOT_SHARE = 200
-HOT_AT_LEAST = 100_000
-SPREAD = 64
+#: Rows of one key that a task may be left with; a key with more is dealt to as many slots as that takes.
+ROWS_PER_TASK = 1_000_000
+#: The list of hot keys stops at so many, the largest first, and may then be sent to every task.
+HOT_KEYS = 50_000
 
 
 def keyed(df: DataFrame, key: str, to: str = "string") -> DataFrame:
@@ -37,49 +36,46 @@ def fold_left(tables: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda left, right: left.join(right, key, "left"), tables)
 
 
-def hot_keys(df: DataFrame, key: str, at_least: int = HOT_AT_LEAST) -> list:
-    """Keys holding more than 1/HOT_SHARE of the rows and more than ``at_least`` rows.
+def hot_slots(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys with more than ``rows_per_task`` rows in any table, and the slots of each table: ``key, s0, s1, ...``.
 
-    Counts are combined map-side, and at most HOT_SHARE keys come back.
+    One job over all tables, counts combined map-side. At most ``HOT_KEYS`` keys come back, those with the most
+    rows; None if there are none.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1))).first()[0]
-    bound = max(at_least, total // HOT_SHARE)
-    return [row[0] for row in counts.where(F.col("rows") > bound).select(key).collect()]
-
-
-def _keys_among(df: DataFrame, key: str, keys: list) -> set:
-    """Which of a bounded list of keys occur in a table."""
-    return {row[0] for row in df.where(F.col(key).isin(keys)).select(key).distinct().collect()}
-
-
-def _among(key: str, keys: Iterable) -> Column:
-    keys = sorted(keys)
-    return F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
-
-
-def _dealt(df: DataFrame, key: str, hot: Iterable, slot: str, copies: str, spread: int) -> DataFrame:
-    """Equal rows collapsed to one row with a count, the counts of hot keys dealt to ``spread`` slots.
-
-    Other keys stay in slot 0. Slots follow from the row's content alone, so a
-    recomputed task deals alike.
+    counts = [
+        t.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(key, *(F.when(F.lit(i == j), F.col("n")).otherwise(F.lit(0)).alias(f"n{j}") for j in range(len(tables))))
+        for i, t in enumerate(tables)
+    ]
+    most = F.greatest(*(F.col(f"n{j}") for j in range(len(tables))), F.lit(0))
+    hot = reduce(DataFrame.unionByName, counts).where(most > rows_per_task).groupBy(key).agg(*(F.max(f"n{j}").alias(f"n{j}") for j in range(len(tables))))
+    found = hot.orderBy(most.desc(), key).limit(HOT_KEYS).collect()
+    if not found:
+        return None
+    slots = [(r[0], *(max(1, -(-r[f"n{j}"] // rows_per_task)) for j in range(len(tables)))) for r in found]
+    kind = tables[0].schema[key].dataType.simpleString()
+    return tables[0].sparkSession.createDataFrame(slots, f"`{key}` {kind}, " + ", ".join(f"s{j} int" for j in range(len(tables))))
+
+
+def _dealt(df: DataFrame, key: str, slot: str, copies: str, slots: str, columns: list[str]) -> DataFrame:
+    """Equal rows collapsed to one row with a count, the counts of a key dealt to the number of slots in ``slots``.
+
+    Slots follow from the row's content alone, so a recomputed task deals alike.
     """
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    collapsed = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    size, turn = F.col("_slots"), F.col("_t")
+    names = [F.col(f"`{c}`") for c in columns]
+    collapsed = df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("_n"))
+    size, turn = F.col(slots), F.col("_t")
     share = F.floor(F.col("_n") / size) + F.when(turn < F.col("_n") % size, 1).otherwise(0)
     return (
-        collapsed.withColumns({"_hash": row_hash, "_slots": F.when(_among(key, hot), spread).otherwise(1)})
+        collapsed.withColumn("_hash", F.xxhash64(*names))
         .withColumn("_t", F.explode(F.sequence(F.lit(0), F.least("_n", size).cast("int") - 1)))
         .withColumns({slot: F.pmod(F.pmod("_hash", size) + turn, size).cast("int"), copies: share})
-        .drop("_n", "_hash", "_slots", "_t")
+        .drop("_n", "_hash", "_t")
     )
 
 
-def _copied(df: DataFrame, key: str, hot: Iterable, slot: str, spread: int) -> DataFrame:
+def _copied(df: DataFrame, slot: str, slots: str) -> DataFrame:
     """Each row once per slot that the other side has for its key."""
-    slots = F.when(_among(key, hot), spread - 1).otherwise(0)
-    return df.withColumn(slot, F.explode(F.sequence(F.lit(0), slots)))
+    return df.withColumn(slot, F.explode(F.sequence(F.lit(0), F.col(slots) - 1)))
 
 
 def _repeated(df: DataFrame, count: Column, block: int = 4096) -> DataFrame:
@@ -94,51 +90,44 @@ def _repeated(df: DataFrame, count: Column, block: int = 4096) -> DataFrame:
     )
 
 
-def _dealt_join(
-    left: DataFrame, right: DataFrame, key: str, hot_left: set, hot_right: set, keys: set, spread: int
-) -> DataFrame:
-    """Left join of tables that hold only ``keys``, balanced whatever a key's share.
+def _dealt_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join of tables that hold hot keys only and carry ``_ls`` and ``_rs``, the slots of either side.
 
-    Equal rows are collapsed to counts; the rows of a key are dealt to slots on
-    the side where it is hot, and the other side is copied to those slots - only
-    a key that is hot on both sides is copied on both. A key without partner gets
-    one empty one, so that the join can be an inner join.
+    Equal rows are collapsed to counts; the rows of a key are dealt to the slots of their
+    own side and copied to those of the other. A key without partner gets one empty one,
+    so that the join can be an inner join.
     """
-    lone = sorted(keys - _keys_among(right, key, sorted(keys)))
-    if lone:
-        empty = left.sparkSession.createDataFrame([(k,) for k in lone], right.select(key).schema)
-        right = right.unionByName(empty, allowMissingColumns=True)
-    dealt_left = _copied(_dealt(left, key, hot_left, "_l", "_left_copies", spread), key, hot_right, "_r", spread)
-    dealt_right = _copied(_dealt(right, key, hot_right, "_r", "_right_copies", spread), key, hot_left, "_l", spread)
+    mine, theirs = [c for c in left.columns if c not in ("_ls", "_rs")], [c for c in right.columns if c not in ("_ls", "_rs")]
+    lone = left.select(key, "_ls", "_rs").distinct().join(right.select(key).distinct(), key, "left_anti")
+    right = right.unionByName(lone, allowMissingColumns=True)
+    dealt_left = _copied(_dealt(left, key, "_l", "_left_copies", "_ls", mine), "_r", "_rs")
+    dealt_right = _copied(_dealt(right, key, "_r", "_right_copies", "_rs", theirs), "_l", "_ls").drop("_ls", "_rs")
     pairs = dealt_left.join(dealt_right, [key, "_l", "_r"])
-    copies = F.col("_left_copies") * F.col("_right_copies")
-    return _repeated(pairs, copies).drop("_l", "_r", "_left_copies", "_right_copies")
+    return _repeated(pairs, F.col("_left_copies") * F.col("_right_copies")).drop("_l", "_r", "_ls", "_rs", "_left_copies", "_right_copies")
 
 
-def fold_left_spread(
-    tables: Sequence[DataFrame], key: str, at_least: int = HOT_AT_LEAST, spread: int = SPREAD
-) -> DataFrame:
+def fold_left_spread(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``fold_left`` that stays balanced when a key holds much of any table.
 
-    The hot keys of all tables - a bounded list - are set apart once. The rest is
-    the plain chain of joins; the rows of hot keys go through ``_dealt_join``.
-    Without hot keys this is ``fold_left``. Each table is read again for the
-    check, so hand it stored tables.
+    The hot keys of all tables - a bounded table - are set apart once. The rest is the
+    plain chain of joins; the rows of hot keys go through ``_dealt_join``, with slots by
+    their number. Without hot keys this is ``fold_left``. Each table is read again for
+    the check, so hand it stored tables.
     """
-    hot = [set(hot_keys(t, key, at_least)) for t in tables]
-    every = set().union(*hot)
-    if not every:
+    hot = hot_slots(tables, key, rows_per_task)
+    if hot is None:
         return fold_left(tables, key)
-    plain = fold_left([t.where(~_among(key, every)) for t in tables], key)
-    busy = [t.where(_among(key, every)) for t in tables]
-    joined, hot_so_far = busy[0], hot[0]
-    for right, hot_right in zip(busy[1:], hot[1:]):
-        joined = _dealt_join(joined, right, key, hot_so_far, hot_right, every, spread)
-        hot_so_far = hot_so_far | hot_right
+    hot = F.broadcast(hot)  # at most HOT_KEYS rows
+    plain = fold_left([t.join(hot.select(key), key, "left_anti") for t in tables], key)
+    joined = tables[0].join(hot.select(key), key, "left_semi")
+    wide = F.lit(1)
+    for j, right in enumerate(tables[1:], 1):
+        # Rows of a key multiply along the chain, and so do the slots of its left side.
+        wide = F.least(F.lit(1 << 20), wide * F.col(f"s{j - 1}").cast("bigint"))
+        slots = hot.select(key, wide.cast("int").alias("_ls"), F.col(f"s{j}").alias("_rs"))
+        joined = _dealt_join(joined.join(slots, key), right.join(slots, key), key)
     return plain.unionByName(joined)
 
 
-def left_join_spread(
-    left: DataFrame, right: DataFrame, key: str, at_least: int = HOT_AT_LEAST, spread: int = SPREAD
-) -> DataFrame:
-    return fold_left_spread([left, right], key, at_least, spread)
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    return fold_left_spread([left, right], key, rows_per_task)

@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 from indicata import names
 from indicata.functions import completeness, ratio_fill_zero, ratio_plain
 from indicata.operators.columns import reindex
-from indicata.operators.joins import fold_left, fold_left_spread
+from indicata.operators.joins import ROWS_PER_TASK, fold_left, fold_left_spread
 from indicata.operators.rows import drop_incomplete, sorted_by_key
 from indicata.sources.catalogue import JOIN_ORDER
 
 
-def joined(silvers: Mapping[str, DataFrame], mode: str = "label", repeated_keys: bool = False) -> DataFrame:
+def joined(
+    silvers: Mapping[str, DataFrame], mode: str = "label", repeated_keys: bool | None = None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Left joins onto the base table.
 
     In ``label`` mode the base is the first source that is there; in ``strict``
     mode it is the population, which must be. ``repeated_keys`` says that the
-    tables may hold a code often enough to unbalance a join; they then have to be
-    stored tables, because they are read again to look for such codes.
+    tables may hold a code often enough to unbalance a join, which is taken for
+    granted in ``label`` mode; they are then read once more to look for such codes.
     """
     order = [n for n in JOIN_ORDER[mode] if n in silvers]
     if not order:
@@ -29,7 +31,8 @@ def joined(silvers: Mapping[str, DataFrame], mode: str = "label", repeated_keys:
     if mode == "strict" and order != JOIN_ORDER[mode]:
         raise ValueError(f"strict mode needs every source; missing {set(JOIN_ORDER[mode]) - set(order)}")
     tables = [silvers[n] for n in order]
-    return fold_left_spread(tables, names.CODE) if repeated_keys else fold_left(tables, names.CODE)
+    spread = mode == "label" if repeated_keys is None else repeated_keys
+    return fold_left_spread(tables, names.CODE, rows_per_task) if spread else fold_left(tables, names.CODE)
 
 
 def finished(table: DataFrame, mode: str = "label") -> DataFrame:
@@ -56,7 +59,8 @@ def gold(
     silvers: Mapping[str, DataFrame],
     mode: str = "label",
     ordered: bool = True,
-    repeated_keys: bool = False,
+    repeated_keys: bool | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    table = finished(joined(silvers, mode, repeated_keys), mode)
+    table = finished(joined(silvers, mode, repeated_keys, rows_per_task), mode)
     return sorted_by_key(table, names.CODE) if ordered else table

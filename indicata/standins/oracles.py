@@ -249,10 +249,21 @@ named(
     "SELECT CAST(gold.code AS BIGINT) AS code, gdp, \"UF\", points FROM gold"
     " LEFT JOIN ring ON CAST(gold.code AS BIGINT) = ring.code",
 )
+for fanout in ("join_fanout", "join_fanout_dealt"):
+    named(
+        fanout,
+        [],
+        "SELECT n_nationkey AS code, n_name, c_custkey, c_name FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey",
+    )
 named(
-    "join_fanout",
-    [],
-    "SELECT n_nationkey AS code, n_name, c_custkey, c_name FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey",
+    "gold_fanout",
+    [
+        f"revenue AS (SELECT CAST(o_custkey AS VARCHAR) AS code, o_totalprice AS revenue FROM orders WHERE {IN_YEAR.format('o_orderdate')})"
+        if c.startswith("revenue AS")
+        else c
+        for c in GOLD
+    ],
+    GOLD_SELECT,
 )
 named(
     "join_key_cast",

@@ -44,7 +44,7 @@ from indicata.plans.silver import silver_and_rejects
 from indicata.sources.catalogue import JOIN_ORDER
 from indicata.sources.landing import ORDINAL
 
-from .tables import YEAR, StandIns, gold_table, silvers, sources
+from .tables import YEAR, StandIns, gold_table, in_year, silvers, sources
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -352,16 +352,31 @@ def query_geo_left_join(spark, sf_dir):
 
 @query("join_fanout")
 def query_join_fanout(spark, sf_dir):
-    """Nations left-joined to their customers: repeated keys on the right multiply rows.
+    """Nations left-joined to their customers: repeated keys on the right multiply rows."""
+    return joins.left_join_spread(*nations_and_customers(spark, sf_dir), names.CODE)
 
-    Every nation holds several percent of the customers, so all of them are hot;
-    the low threshold makes that so for small tables too.
-    """
+
+@query("join_fanout_dealt")
+def query_join_fanout_dealt(spark, sf_dir):
+    """The same with few rows for a task, so that every nation is dealt to several slots."""
+    return joins.left_join_spread(*nations_and_customers(spark, sf_dir), names.CODE, rows_per_task=5)
+
+
+@query("gold_fanout")
+def query_gold_fanout(spark, sf_dir):
+    """Gold from orders that are not summed: repeated keys on the right side, dealt to slots."""
+    tables = silvers(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").where(in_year("o_orderdate", YEAR))
+    tables[names.REVENUE] = orders.select(F.col("o_custkey").cast("string").alias(names.CODE), F.col("o_totalprice").alias(names.REVENUE))
+    return published(gold(tables, ordered=False, rows_per_task=3))
+
+
+def nations_and_customers(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(names.CODE), "n_name")
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias(names.CODE), "c_custkey", "c_name"
     )
-    return joins.left_join_spread(nations, customers, names.CODE, at_least=1)
+    return nations, customers
 
 
 @query("join_key_cast")

@@ -185,4 +185,4 @@ def silvers(spark: SparkSession, sf_dir: str, mode: str = "label") -> dict[str,
 
 def gold_table(spark: SparkSession, sf_dir: str, mode: str = "label") -> DataFrame:
     """Gold as a stored table, for everything that reads it more than once."""
-    return storage.staged(gold(silvers(spark, sf_dir, mode), mode, ordered=False), f"gold-{mode}")
+    return storage.staged(gold(silvers(spark, sf_dir, mode), mode, ordered=False, repeated_keys=False), f"gold-{mode}")

@@ -91,7 +91,7 @@ def test_spread_join_equals_the_plain_join(spark, hot_left, hot_right):
     right = [("hot", "same")] * hot_right + [(str(i), "r") for i in range(0, 100, 2)] + [(None, "n")]
     l = spark.createDataFrame(left, "code string, a int")
     r = spark.createDataFrame(right, "code string, b string")
-    found = joins.left_join_spread(l, r, "code", at_least=40, spread=8)
+    found = joins.left_join_spread(l, r, "code", rows_per_task=40)
     assert found.columns == ["code", "a", "b"]
     assert rows(found) == rows(l.join(r, "code", "left"))
 
@@ -99,20 +99,29 @@ def test_spread_join_equals_the_plain_join(spark, hot_left, hot_right):
 def test_spread_join_cuts_a_hot_key_into_many_join_keys(spark):
     l = spark.range(2000).selectExpr("'hot' AS code", "id AS a")
     r = spark.createDataFrame([("hot", 1)], "code string, b int")
-    dealt = joins._dealt(l, "code", ["hot"], "_l", "_left_copies", 16)
+    dealt = joins._dealt(l.withColumn("_ls", F.lit(16)), "code", "_l", "_left_copies", "_ls", ["code", "a"])
     per_slot = [n for _, n in dealt.groupBy("_l").agg(F.sum("_left_copies")).collect()]
     assert len(per_slot) == 16 and max(per_slot) < 250
     same = spark.range(2000).selectExpr("'hot' AS code", "1 AS a")
-    dealt = joins._dealt(same, "code", ["hot"], "_l", "_left_copies", 16)
+    dealt = joins._dealt(same.withColumn("_ls", F.lit(16)), "code", "_l", "_left_copies", "_ls", ["code", "a"])
     assert [n for _, n in dealt.groupBy("_l").agg(F.sum("_left_copies")).collect()] == [125] * 16
-    assert joins.left_join_spread(same, r, "code", at_least=10, spread=16).count() == 2000
+    assert joins.left_join_spread(same, r, "code", rows_per_task=10).count() == 2000
 
 
 def test_only_the_side_without_the_hot_key_is_copied(spark):
     l = spark.createDataFrame([("hot", 1)], "code string, a int")
     r = spark.range(2000).selectExpr("'hot' AS code", "id AS b")
-    assert joins._copied(joins._dealt(r, "code", ["hot"], "_r", "_n", 16), "code", [], "_l", 16).count() == 2000
-    assert joins._copied(joins._dealt(l, "code", [], "_l", "_n", 16), "code", ["hot"], "_r", 16).count() == 16
+    slots = {"_ls": F.lit(1), "_rs": F.lit(16)}
+    assert joins._copied(joins._dealt(r.withColumns(slots), "code", "_r", "_n", "_rs", ["code", "b"]), "_l", "_ls").count() == 2000
+    assert joins._copied(joins._dealt(l.withColumns(slots), "code", "_l", "_n", "_ls", ["code", "a"]), "_r", "_rs").count() == 16
+
+
+def test_slots_follow_from_the_rows_of_a_key(spark):
+    keys = [(str(k),) for k in range(300) for _ in range(5)] + [("hot",)] * 95
+    hot = joins.hot_slots([spark.createDataFrame(keys, "code string"), spark.createDataFrame([("7",)] * 12, "code string")], "code", 4)
+    found = {r["code"]: (r["s0"], r["s1"]) for r in hot.collect()}
+    assert len(found) == 301 and found["hot"] == (24, 1) and found["7"] == (2, 3) and found["8"] == (2, 1)
+    assert joins.hot_slots([spark.createDataFrame(keys, "code string")], "code", 95) is None
 
 
 def test_spread_fold_of_several_tables(spark):
@@ -122,5 +131,5 @@ def test_spread_fold_of_several_tables(spark):
         spark.createDataFrame([("g", i % 3) for i in range(70)] + [("h", 1)], "code string, c int"),
         spark.createDataFrame([("q", 1)], "code string, d int"),
     ]
-    found = joins.fold_left_spread(tables, "code", at_least=40, spread=8)
+    found = joins.fold_left_spread(tables, "code", rows_per_task=40)
     assert rows(found) == rows(joins.fold_left(tables, "code"))
