@@ -3,7 +3,7 @@
 Lines are normalised (small letters and digits, one space between words) and compared by
 64-bit SimHash. The bits are cut into blocks; lines that agree on any ``intact`` of them are
 candidates, which finds all pairs up to ``blocks - intact`` bits apart and most of those a
-few bits further. Edit similarity decides.
+few bits further. The share of words that need no edit decides.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from .licenses import BETWEEN
 from .shared import packed, staged, text_or_empty
 
 BITS = 64
-#: Votes are counted in lanes of eight bits, so that many words at a time.
-LANE = 127
+#: Votes are counted in longs of three lanes.
+LANE, COUNTERS = 21, 22
 #: Bounded size of the broadcast filters that spare lines from a shuffle.
 FILTER = 1 << 18
 
@@ -29,40 +29,54 @@ def normalised(line: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(line), f"[{BETWEEN}]+", F.lit(" ")))
 
 
-def simhash(hashes: str) -> Column:
-    """SimHash of an array of 64-bit hashes: a bit is set if more than half of them have it. Null for an empty array."""
-    spread = F.expr("array(" + ", ".join(f"{sum((v >> j & 1) << 8 * j for j in range(8))}L" for v in range(256)) + ")")
-    zero = F.expr("array_repeat(0L, 8)")
+def _lane(bit: int) -> tuple[int, int]:
+    """Counter and shift of a bit's votes."""
+    return bit % COUNTERS, LANE * (bit // COUNTERS)
 
-    def add(lanes: Column, h: Column) -> Column:
-        return F.array(*(F.get(lanes, F.lit(k)) + F.get(spread, F.shiftrightunsigned(h, 8 * k).bitwiseAND(255).cast("int")) for k in range(8)))
 
-    counted = F.transform(F.sequence(F.lit(1), F.size(hashes), F.lit(LANE)), lambda s: F.aggregate(F.slice(hashes, s, LANE), zero, add))
+def votes(h: Column) -> list[Column]:
+    """Sums of the set bits of 64-bit hashes, ``64 / COUNTERS`` of them in each of ``COUNTERS`` longs."""
+    out = []
+    for k in range(COUNTERS):
+        lanes = [F.shiftleft(F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1).cast("long")), _lane(b)[1]) for b in range(k, BITS, COUNTERS)]
+        out.append(F.try_sum(reduce(lambda x, y: x.bitwiseOR(y), lanes)).alias(f"_s{k}"))
+    return out
 
-    def votes(lanes: Column, bit: Column) -> Column:
-        lane = F.call_function("shiftright", F.get(lanes, F.shiftright(bit, 3)), 8 * bit.bitwiseAND(7))
-        return lane.bitwiseAND(LANE).cast("int")
 
-    def bits(parts: Column) -> Column:
-        def one(found: Column, bit: Column) -> Column:
-            total = F.aggregate(parts, F.lit(0), lambda n, lanes: n + votes(lanes, bit))
-            return found.bitwiseOR(F.when(2 * total > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long")))
-
-        return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), one)
-
-    return F.when(F.size(hashes) > 0, F.get(F.transform(F.array(counted), bits), F.lit(0)))
+def simhash(n: Column) -> Column:
+    """The bits that more than half of ``n`` hashes have, from the sums of ``votes``; null for more hashes than a lane counts."""
+    bits = []
+    for b in range(BITS):
+        counter, shift = _lane(b)
+        found = F.shiftright(F.col(f"_s{counter}"), shift).bitwiseAND(F.lit((1 << LANE) - 1).cast("long"))
+        bits.append(F.when(2 * found > n, F.lit((1 << b) - (1 << BITS if b == BITS - 1 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
+    return F.when(n < 1 << LANE, reduce(lambda x, y: x.bitwiseOR(y), bits))
 
 
 def split_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """``doc, body, pos, norm, line_id`` of every line of at least ``min_words`` words.
+    """``doc, body, pos, line_id, words`` of every line of at least ``min_words`` words.
 
     ``doc`` and ``body`` (a hash of the text) name the row; ``line_id`` is a 64-bit hash of the normalised line.
     """
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc"), text_or_empty(f"`{text}`").alias("_text"))
     lines = texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
     norm = lines.select("doc", "body", "pos", normalised(F.col("line")).alias("norm"))
-    spaces = F.char_length("norm") - F.char_length(F.replace("norm", F.lit(" "), F.lit("")))
-    return norm.where(spaces >= min_words - 1).withColumn("line_id", F.xxhash64("norm"))
+    split = norm.select("doc", "body", "pos", F.xxhash64("norm").alias("line_id"), F.split("norm", " ").alias("words"))
+    return split.where(F.size("words") >= min_words)
+
+
+def hashed_lines(sources: DataFrame) -> DataFrame:
+    """``doc, body, pos, line_id, n, sim``: the number of words, and the SimHash of the different words, of every line."""
+    place = ["doc", "body", "pos", "line_id", "n"]
+    words = sources.select("doc", "body", "pos", "line_id", F.size("words").alias("n"), F.explode(F.array_distinct("words")).alias("w"))
+    counted = words.withColumn("h", F.xxhash64("w")).groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), *votes(F.col("h")))
+    return counted.select(*place, simhash(F.col("_n")).alias("sim"))
+
+
+def word_signs(words: Column) -> Column:
+    """The words as a text of one sign each: a hash of 20,000 values, so that edits of words are edits of signs."""
+    codes = F.transform(words, lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(20_000)) + 0x4E00))
+    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
 
 
 def _masks(blocks: int, intact: int) -> list[int]:
@@ -82,8 +96,10 @@ def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int) -> DataFrame:
-    """``a, b``: pairs of ``lines`` (``line_id, sim``) that share a key and are at most ``far_bits`` apart.
+def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int, least: float = 0.0) -> DataFrame:
+    """``a, b``: pairs of ``lines`` (``line_id, sim, n``) that share a key and are at most ``far_bits`` apart.
+
+    Pairs whose numbers of words alone rule out an edit similarity of ``least`` are left out.
 
     The lines of a key held by more than ``crowded`` are not paired: the bits their key leaves free are cut into
     ``max_bits + 1`` shares, of which one is intact in any pair of the guarantee, and the search goes on with the
@@ -91,15 +107,15 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
     """
     spark = lines.sparkSession
     masks = _masks(max_bits + intact, intact)
-    rows = lines.select("line_id", "sim", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
+    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
     found = []
     while True:
-        keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "mask")
-        sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        full = staged(sizes.where(F.col("n") > crowded).select("key"), "crowds")
-        paired = keyed.select("key", "line_id", "sim") if full.isEmpty() else keyed.join(full, "key", "left_anti").select("key", "line_id", "sim")
-        other = paired.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"))
+        keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n", "mask")
+        full = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > crowded).select("key"), "crowds")
+        paired = (keyed if full.isEmpty() else keyed.join(full, "key", "left_anti")).select("key", "line_id", "sim", "n")
+        other = paired.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"), F.col("n").alias("m"))
         near = F.bit_count(F.col("sim").bitwiseXOR(F.col("t"))) <= far_bits
+        near = near & (F.least("n", "m") >= least * F.greatest("n", "m"))
         pairs = paired.join(other, F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & near)
         found.append(staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"))
         if full.isEmpty():
@@ -112,7 +128,7 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
         if not grown:
             break
         children = F.broadcast(spark.createDataFrame(grown, "m long, grown array<long>"))  # a few thousand masks at most
-        rows = staged(crowd.join(children, F.col("mask") == F.col("m")).select("line_id", "sim", F.explode("grown").alias("mask")).distinct(), "longer")
+        rows = staged(crowd.join(children, F.col("mask") == F.col("m")).select("line_id", "sim", "n", F.explode("grown").alias("mask")).distinct(), "longer")
         masks = sorted({c % (1 << BITS) for _, cs in grown for c in cs})
     return reduce(DataFrame.union, found).distinct()
 
@@ -136,32 +152,32 @@ def _filtered(lines: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def similar(a: Column, b: Column, least: float) -> Column:
-    """Edit similarity: one less the edits over the longer length. Few edits are looked for first, as that is quick."""
-    longer = F.greatest(F.char_length(a), F.char_length(b))
-    allowed = F.floor(longer * (1 - least) + 1e-9).cast("int")
-    few = F.least(allowed, F.lit(40))
-    enough = F.abs(F.char_length(a) - F.char_length(b)) <= allowed
-    within = F.call_function("levenshtein", a, b, few) >= 0
-    return enough & F.when(within, True).when(allowed <= 40, False).otherwise(F.call_function("levenshtein", a, b, allowed) >= 0)
+    """Edit similarity of two texts of word signs: one less the edits over the longer length.
+
+    An edit takes away one sign at most, so texts that differ in too many signs are told apart without alignment.
+    """
+    allowed = F.floor(F.greatest(F.char_length(a), F.char_length(b)) * (1 - least) + 1e-9).cast("int")
+    signs, others = F.split(a, ""), F.split(b, "")
+    few = (F.size(F.array_except(signs, others)) <= allowed) & (F.size(F.array_except(others, signs)) <= allowed)
+    return F.when((F.abs(F.char_length(a) - F.char_length(b)) <= allowed) & few, F.call_function("levenshtein", a, b, allowed) >= 0).otherwise(False)
 
 
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
     """All long enough lines (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
     (``line_id, keep``): the first by document id, text hash and place."""
     sources = split_lines(docs, doc_id, text, min_words)
-    hashed = sources.withColumn("_hashes", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)))
-    lines = staged(hashed.select("doc", "body", "pos", "line_id", simhash("_hashes").alias("sim")), "lines")
+    lines = staged(hashed_lines(sources), "lines")
     distinct = staged(
-        lines.groupBy("line_id").agg(F.first("sim").alias("sim"), F.min(F.struct("doc", "body", "pos")).alias("first"), F.count(F.lit(1)).alias("n")), "distinct"
+        lines.groupBy("line_id").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.min(F.struct("doc", "body", "pos")).alias("first"), F.count(F.lit(1)).alias("held")), "distinct"
     )
-    pairs = staged(candidates(distinct.select("line_id", "sim"), max_bits, intact, far_bits, crowded), "candidates")
+    pairs = staged(candidates(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    norms = _filtered(sources.select("line_id", "norm"), wanted).groupBy("line_id").agg(F.first("norm").alias("norm"))
-    norms = staged(norms.join(wanted, F.col("line_id") == F.col("id"), "left_semi"), "norms")
-    both = pairs.join(norms.select(F.col("line_id").alias("a"), F.col("norm").alias("x")), "a").join(norms.select(F.col("line_id").alias("b"), F.col("norm").alias("y")), "b")
+    signs = _filtered(sources.select("line_id", "words"), wanted).select("line_id", word_signs(F.col("words")).alias("signs"))
+    signs = staged(signs.groupBy("line_id").agg(F.first("signs").alias("signs")).join(wanted, F.col("line_id") == F.col("id"), "left_semi"), "signs")
+    both = pairs.join(signs.select(F.col("line_id").alias("a"), F.col("signs").alias("x")), "a").join(signs.select(F.col("line_id").alias("b"), F.col("signs").alias("y")), "b")
     roots = components(both.where(similar(F.col("x"), F.col("y"), least)).select("a", "b"), "a", "b")
-    rooted = distinct.join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "first", "n")
-    groups = rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1").select("root", "keep")
+    rooted = distinct.join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "first", "held")
+    groups = rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("held").alias("held")).where("held > 1").select("root", "keep")
     return lines, rooted.join(groups, "root").select("line_id", "keep")
 
 

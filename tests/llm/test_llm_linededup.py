@@ -3,24 +3,26 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from indicata.llm.linededup import _masks, candidates, dedup_lines, line_groups, simhash, similar
+from indicata.llm.linededup import _masks, candidates, dedup_lines, hashed_lines, line_groups, similar, split_lines, word_signs
 
 
 def test_simhash_matches_plain_votes(spark):
     rng = random.Random(1)
-    texts = [[rng.choice("abcdefgh") + str(rng.randint(0, 40)) for _ in range(n)] for n in (1, 2, 7, 127, 128, 700)]
-    rows = spark.createDataFrame([(t,) for t in texts], "w array<string>").select(F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
-    found = [r["s"] for r in rows.select(simhash("h").alias("s")).collect()]
-    for t, s in zip(texts, found):
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in t]
-        assert s % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 400)) for _ in range(n)) for n in (5, 6, 7, 127, 128, 1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc"]: (r["n"], r["sim"]) for r in hashed_lines(split_lines(docs, "doc_id", "text", 5)).collect()}
+    for k, text in enumerate(texts):
+        words = set(text.split())
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+        wanted = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert found[k][0] == len(text.split()) and found[k][1] % (1 << 64) == wanted
 
 
 def test_every_pair_within_the_bits_is_a_candidate(spark):
     rng = random.Random(2)
     centre = [rng.getrandbits(64) for _ in range(8)]
     sims = sorted({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for c in centre for _ in range(30)})
-    lines = spark.createDataFrame([(k, s - (1 << 64) if s >> 63 else s) for k, s in enumerate(sims)], "line_id long, sim long")
+    lines = spark.createDataFrame([(k, s - (1 << 64) if s >> 63 else s, 9) for k, s in enumerate(sims)], "line_id long, sim long, n int")
     near = {(i, j) for j in range(len(sims)) for i in range(j) if (sims[i] ^ sims[j]).bit_count() <= 3}
     for crowded in (64, 4):
         found = {tuple(r) for r in candidates(lines, 3, 2, 10, crowded).collect()}
@@ -40,6 +42,12 @@ def test_edit_similarity(spark):
 LINE = "the quick brown fox jumps over the lazy dog near the old river bank while seven small birds sing in a tall green tree behind the house and nobody listens to them today"
 
 
+def test_word_signs_are_one_character_a_word(spark):
+    rows = spark.createDataFrame([("a b a",), ("b a é c",)], "t string").select(word_signs(F.split("t", " ")).alias("s")).collect()
+    one, two = (r["s"] for r in rows)
+    assert len(one) == 3 and len(two) == 4 and one[0] == one[2] == two[1] and one[1] == two[0] and len(set(two)) == 4
+
+
 def test_one_occurrence_stays(spark):
     near = LINE.replace("seven", "eight")
     docs = spark.createDataFrame(
