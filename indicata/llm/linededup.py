@@ -21,14 +21,12 @@ from .shared import packed, staged, text_or_empty
 BITS = 64
 #: Votes are counted in longs of three lanes.
 LANE, COUNTERS = 21, 22
+#: Times that the keys of crowded lines are lengthened; each multiplies their rows.
+DEPTH = 2
 #: Bounded size of the broadcast filters that spare lines from a shuffle.
 FILTER = 1 << 18
 
 
-def normalised(line: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(line), f"[{BETWEEN}]+", F.lit(" ")))
-
-
 def _lane(bit: int) -> tuple[int, int]:
     """Counter and shift of a bit's votes."""
     return bit % COUNTERS, LANE * (bit // COUNTERS)
@@ -53,22 +51,24 @@ def simhash(n: Column) -> Column:
     return F.when(n < 1 << LANE, reduce(lambda x, y: x.bitwiseOR(y), bits))
 
 
-def split_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """``doc, body, pos, line_id, words`` of every line of at least ``min_words`` words.
-
-    ``doc`` and ``body`` (a hash of the text) name the row; ``line_id`` is a 64-bit hash of the normalised line.
-    """
+def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc, body, pos, line`` of every line; ``doc`` and ``body`` (a hash of the text) name the row."""
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc"), text_or_empty(f"`{text}`").alias("_text"))
-    lines = texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
-    norm = lines.select("doc", "body", "pos", normalised(F.col("line")).alias("norm"))
-    split = norm.select("doc", "body", "pos", F.xxhash64("norm").alias("line_id"), F.split("norm", " ").alias("words"))
-    return split.where(F.size("words") >= min_words)
+    # The outer form: for the inner one the optimizer adds a filter that splits every text a second time.
+    return texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode_outer(F.split("_text", "\n")).alias("pos", "line"))
+
 
+def normalised(lines: DataFrame, min_words: int) -> DataFrame:
+    """``lines`` with ``words`` (small letters and digits; null for fewer than ``min_words``), their number ``n`` and ``line_id``, a 64-bit hash of them."""
+    split = lines.withColumn("_w", F.array_remove(F.split(F.lower("line"), f"[{BETWEEN}]+"), "")).drop("line")
+    words = split.withColumn("words", F.when(F.size("_w") >= min_words, F.col("_w"))).drop("_w")
+    return words.withColumns({"n": F.size("words"), "line_id": F.when(F.col("words").isNotNull(), F.xxhash64("words"))})
 
-def hashed_lines(sources: DataFrame) -> DataFrame:
-    """``doc, body, pos, line_id, n, sim``: the number of words, and the SimHash of the different words, of every line."""
+
+def hashed_lines(lines: DataFrame) -> DataFrame:
+    """``doc, body, pos, line_id, n, sim`` of normalised lines; ``sim`` is the SimHash of the different words."""
     place = ["doc", "body", "pos", "line_id", "n"]
-    words = sources.select("doc", "body", "pos", "line_id", F.size("words").alias("n"), F.explode(F.array_distinct("words")).alias("w"))
+    words = lines.select(*place, F.explode_outer(F.array_distinct("words")).alias("w")).where("w IS NOT NULL")
     counted = words.withColumn("h", F.xxhash64("w")).groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), *votes(F.col("h")))
     return counted.select(*place, simhash(F.col("_n")).alias("sim"))
 
@@ -85,11 +85,9 @@ def _masks(blocks: int, intact: int) -> list[int]:
     return [reduce(int.__or__, pick) for pick in combinations(parts, intact)]
 
 
-def _children(mask: int, parts: int) -> list[int]:
-    """The mask with each of ``parts`` equal shares of its free bits added; of that many shares one stays intact."""
-    free = [b for b in range(BITS) if not mask >> b & 1]
-    cuts = [len(free) * k // parts for k in range(parts + 1)]
-    return [mask | sum(1 << b for b in free[i:j]) for i, j in zip(cuts, cuts[1:]) if j > i]
+def _classes(level: int, parts: int) -> list[int]:
+    """The 64 bits in ``parts`` classes, dealt differently at every level. Of ``parts`` classes one is intact in a pair with fewer flips."""
+    return [sum(1 << b for b in range(BITS) if (b // parts**level) % parts == j) for j in range(parts)]
 
 
 def _signed(mask: int) -> int:
@@ -101,54 +99,38 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
 
     Pairs whose numbers of words alone rule out an edit similarity of ``least`` are left out.
 
-    The lines of a key held by more than ``crowded`` are not paired: the bits their key leaves free are cut into
-    ``max_bits + 1`` shares, of which one is intact in any pair of the guarantee, and the search goes on with the
-    longer keys. Where hardly a bit is left, lines equal in all bits are paired with the first of them alone.
+    The lines of a key held by more than ``crowded`` are not paired: their key grows by each of ``max_bits + 1``
+    classes of bits, of which one is intact in any pair of the guarantee, and the search goes on with the longer keys.
+    Lines of a key that is still crowded after ``DEPTH`` such steps are paired with the first line of the key only.
     """
-    spark = lines.sparkSession
-    masks = _masks(max_bits + intact, intact)
-    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
+    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in _masks(max_bits + intact, intact)))).alias("mask"))
+    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("t"))) <= far_bits
+    near = near & (F.least("n", "m") >= least * F.greatest("n", "m"))
     found = []
-    while True:
+    for level in range(DEPTH + 1):
         keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n", "mask")
         full = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > crowded).select("key"), "crowds")
-        paired = (keyed if full.isEmpty() else keyed.join(full, "key", "left_anti")).select("key", "line_id", "sim", "n")
+        alone = full.isEmpty()
+        paired = (keyed if alone else keyed.join(full, "key", "left_anti")).select("key", "line_id", "sim", "n")
         other = paired.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"), F.col("n").alias("m"))
-        near = F.bit_count(F.col("sim").bitwiseXOR(F.col("t"))) <= far_bits
-        near = near & (F.least("n", "m") >= least * F.greatest("n", "m"))
         pairs = paired.join(other, F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & near)
         found.append(staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"))
-        if full.isEmpty():
-            break
+        if alone:
+            return reduce(DataFrame.union, found).distinct()
         crowd = keyed.join(full, "key", "left_semi")
-        ends = [m for m in masks if BITS - m.bit_count() <= max_bits]
-        if ends:
-            found.append(_at_the_end(crowd.where(F.col("mask").isin([_signed(m) for m in ends]))))
-        grown = [(_signed(m), [_signed(c) for c in _children(m, max_bits + 1)]) for m in masks if m not in ends]
-        if not grown:
-            break
-        children = F.broadcast(spark.createDataFrame(grown, "m long, grown array<long>"))  # a few thousand masks at most
-        rows = staged(crowd.join(children, F.col("mask") == F.col("m")).select("line_id", "sim", "n", F.explode("grown").alias("mask")).distinct(), "longer")
-        masks = sorted({c % (1 << BITS) for _, cs in grown for c in cs})
+        if level < DEPTH:
+            longer = F.array(*(F.col("mask").bitwiseOR(F.lit(_signed(c))) for c in _classes(level, max_bits + 1)))
+            rows = staged(crowd.select("line_id", "sim", "n", F.explode(longer).alias("mask")).distinct(), "longer")
+    first = crowd.groupBy("key").agg(F.min(F.struct("line_id", "sim", "n")).alias("f")).select(F.col("key").alias("k"), F.col("f.line_id").alias("a"), F.col("f.sim").alias("t"), F.col("f.n").alias("m"))
+    star = crowd.join(first, F.col("key") == F.col("k")).where((F.col("a") != F.col("line_id")) & near)
+    found.append(star.select("a", F.col("line_id").alias("b")))
     return reduce(DataFrame.union, found).distinct()
 
 
-def _at_the_end(crowd: DataFrame) -> DataFrame:
-    """Pairs of a key that leaves no more bits free than a link may differ in, so it holds few fingerprints.
-
-    The first lines of its fingerprints are all paired; lines equal in all bits are paired with the first of them.
-    """
-    firsts = crowd.groupBy("key", "sim").agg(F.min("line_id").alias("a"))
-    other = firsts.select(F.col("key").alias("k"), F.col("a").alias("b"))
-    across = firsts.join(other, F.col("key") == F.col("k")).where("a < b").select("a", "b")
-    same = crowd.join(firsts.select(F.col("key").alias("k"), F.col("sim").alias("s"), "a"), (F.col("key") == F.col("k")) & (F.col("sim") == F.col("s")))
-    return across.union(same.where("a != line_id").select("a", F.col("line_id").alias("b"))).distinct()
-
-
-def _filtered(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """``lines`` whose id may be among ``ids``: a filter of at most ``FILTER`` numbers is sent to the tasks."""
-    slots = ids.select(F.pmod("id", F.lit(FILTER)).alias("slot")).distinct()
-    return lines.withColumn("slot", F.pmod("line_id", F.lit(FILTER))).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+def _filtered(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """``lines`` that may be at one of ``places`` (``body, pos``): a filter of at most ``FILTER`` numbers is sent to the tasks."""
+    slot = F.pmod(F.xxhash64("body", "pos"), F.lit(FILTER)).alias("slot")
+    return lines.withColumn("slot", slot).join(F.broadcast(places.select(slot).distinct()), "slot", "left_semi").drop("slot")
 
 
 def similar(a: Column, b: Column, least: float) -> Column:
@@ -165,15 +147,17 @@ def similar(a: Column, b: Column, least: float) -> Column:
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
     """All long enough lines (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
     (``line_id, keep``): the first by document id, text hash and place."""
-    sources = split_lines(docs, doc_id, text, min_words)
-    lines = staged(hashed_lines(sources), "lines")
+    sources = split_lines(docs, doc_id, text)
+    lines = staged(hashed_lines(normalised(sources, min_words)), "lines")
     distinct = staged(
         lines.groupBy("line_id").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.min(F.struct("doc", "body", "pos")).alias("first"), F.count(F.lit(1)).alias("held")), "distinct"
     )
     pairs = staged(candidates(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    signs = _filtered(sources.select("line_id", "words"), wanted).select("line_id", word_signs(F.col("words")).alias("signs"))
-    signs = staged(signs.groupBy("line_id").agg(F.first("signs").alias("signs")).join(wanted, F.col("line_id") == F.col("id"), "left_semi"), "signs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
+    wanted = staged(distinct.join(wanted, "line_id", "left_semi").select("line_id", "first.body", "first.pos"), "wanted")
+    found = normalised(_filtered(sources, wanted), min_words).select("line_id", "body", "pos", word_signs(F.col("words")).alias("signs"))
+    signs = found.join(wanted, ["line_id", "body", "pos"], "left_semi").groupBy("line_id").agg(F.first("signs").alias("signs"))
+    signs = staged(signs, "signs")
     both = pairs.join(signs.select(F.col("line_id").alias("a"), F.col("signs").alias("x")), "a").join(signs.select(F.col("line_id").alias("b"), F.col("signs").alias("y")), "b")
     roots = components(both.where(similar(F.col("x"), F.col("y"), least)).select("a", "b"), "a", "b")
     rooted = distinct.join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "first", "held")

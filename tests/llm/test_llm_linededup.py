@@ -3,14 +3,14 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from indicata.llm.linededup import _masks, candidates, dedup_lines, hashed_lines, line_groups, similar, split_lines, word_signs
+from indicata.llm.linededup import _masks, candidates, dedup_lines, hashed_lines, line_groups, normalised, similar, split_lines, word_signs
 
 
 def test_simhash_matches_plain_votes(spark):
     rng = random.Random(1)
     texts = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 400)) for _ in range(n)) for n in (5, 6, 7, 127, 128, 1500)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r["doc"]: (r["n"], r["sim"]) for r in hashed_lines(split_lines(docs, "doc_id", "text", 5)).collect()}
+    found = {r["doc"]: (r["n"], r["sim"]) for r in hashed_lines(normalised(split_lines(docs, "doc_id", "text"), 5)).collect()}
     for k, text in enumerate(texts):
         words = set(text.split())
         hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
@@ -24,9 +24,11 @@ def test_every_pair_within_the_bits_is_a_candidate(spark):
     sims = sorted({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for c in centre for _ in range(30)})
     lines = spark.createDataFrame([(k, s - (1 << 64) if s >> 63 else s, 9) for k, s in enumerate(sims)], "line_id long, sim long, n int")
     near = {(i, j) for j in range(len(sims)) for i in range(j) if (sims[i] ^ sims[j]).bit_count() <= 3}
-    for crowded in (64, 4):
-        found = {tuple(r) for r in candidates(lines, 3, 2, 10, crowded).collect()}
-        assert near <= found and all((sims[i] ^ sims[j]).bit_count() <= 10 for i, j in found)
+    found = {tuple(r) for r in candidates(lines, 3, 2, 10, 64).collect()}
+    assert near <= found and all((sims[i] ^ sims[j]).bit_count() <= 10 for i, j in found)
+    few = {tuple(r) for r in candidates(lines, 3, 2, 10, 8).collect()}
+    assert all((sims[i] ^ sims[j]).bit_count() <= 10 for i, j in few)
+    assert {k for p in near for k in p} <= {k for p in few for k in p} and len(few & near) > len(near) / 2
 
 
 def test_masks_keep_blocks_whole():
