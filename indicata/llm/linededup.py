@@ -24,7 +24,7 @@ LANE, COUNTERS = 21, 22
 #: Times that the keys of crowded lines are lengthened; each multiplies their rows.
 DEPTH = 2
 #: Bounded size of the broadcast filters that spare lines from a shuffle.
-FILTER = 1 << 18
+FILTER = 1 << 21
 
 
 def _lane(bit: int) -> tuple[int, int]:
@@ -144,7 +144,7 @@ def similar(a: Column, b: Column, least: float) -> Column:
     return F.when((F.abs(F.char_length(a) - F.char_length(b)) <= allowed) & few, F.call_function("levenshtein", a, b, allowed) >= 0).otherwise(False)
 
 
-def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
+def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 16) -> tuple[DataFrame, DataFrame]:
     """All long enough lines (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
     (``line_id, keep``): the first by document id, text hash and place."""
     sources = split_lines(docs, doc_id, text)
