@@ -3,7 +3,8 @@
 Lines are normalised (small letters and digits, one space between words) and compared by
 64-bit SimHash. The bits are cut into blocks; lines that agree on any ``intact`` of them are
 candidates, which finds all pairs up to ``blocks - intact`` bits apart and most of those a
-few bits further. The share of words that need no edit decides.
+few bits further, the same ones in a small table and in a large one. The share of words
+that need no edit decides.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from .shared import packed, staged, text_or_empty
 BITS = 64
 #: Votes are counted in longs of three lanes.
 LANE, COUNTERS = 21, 22
-#: Times that the keys of crowded lines are lengthened; each multiplies their rows.
-DEPTH = 2
+#: Lines of a crowded key that meet all lines of the key in one task.
+SLOT = 1024
 #: Bounded size of the broadcast filters that spare lines from a shuffle.
 FILTER = 1 << 21
 
@@ -85,46 +86,57 @@ def _masks(blocks: int, intact: int) -> list[int]:
     return [reduce(int.__or__, pick) for pick in combinations(parts, intact)]
 
 
-def _classes(level: int, parts: int) -> list[int]:
-    """The 64 bits in ``parts`` classes, dealt differently at every level. Of ``parts`` classes one is intact in a pair with fewer flips."""
-    return [sum(1 << b for b in range(BITS) if (b // parts**level) % parts == j) for j in range(parts)]
-
-
 def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int, least: float = 0.0) -> DataFrame:
-    """``a, b``: pairs of ``lines`` (``line_id, sim, n``) that share a key and are at most ``far_bits`` apart.
+def _near(far_bits: int, least: float) -> Column:
+    """Lines ``line_id, sim, n`` and ``b, t, m``: not too many bits apart, and not ruled out by their numbers of words."""
+    return (F.bit_count(F.col("sim").bitwiseXOR(F.col("t"))) <= far_bits) & (F.least("n", "m") >= least * F.greatest("n", "m"))
+
+
+def _other(keyed: DataFrame, *more: Column) -> DataFrame:
+    return keyed.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"), F.col("n").alias("m"), *more)
+
+
+def searched(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int, least: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of the keys held by at most ``crowded`` lines, and ``key, line_id, sim, n`` of the fuller keys."""
+    masks = F.explode(F.array(*(F.lit(_signed(m)) for m in _masks(max_bits + intact, intact)))).alias("mask")
+    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", masks)
+    keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n")
+    full = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > crowded).select("key"), "crowds")
+    paired = keyed if full.isEmpty() else keyed.join(full, "key", "left_anti")
+    pairs = paired.join(_other(paired), F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & _near(far_bits, least))
+    return staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"), staged(keyed.join(full, "key", "left_semi"), "crowd")
+
+
+def _stars(crowd: DataFrame, far_bits: int, least: float) -> DataFrame:
+    """``a, b``: the lines of every key with the first line of it."""
+    first = crowd.groupBy("key").agg(F.min(F.struct("line_id", "sim", "n")).alias("f")).select("key", "f.*")
+    return crowd.join(_other(first), F.col("key") == F.col("k")).where((F.col("line_id") != F.col("b")) & _near(far_bits, least)).select(F.col("b").alias("a"), F.col("line_id").alias("b")).distinct()
+
 
-    Pairs whose numbers of words alone rule out an edit similarity of ``least`` are left out.
+def crossing(crowd: DataFrame, far_bits: int, least: float = 0.0) -> DataFrame:
+    """``a, b``: all pairs of ``crowd`` (``key, line_id, sim, n, root``) that share a key, not a root, and are at most ``far_bits`` apart.
 
-    The lines of a key held by more than ``crowded`` are not paired: their key grows by each of ``max_bits + 1``
-    classes of bits, of which one is intact in any pair of the guarantee, and the search goes on with the longer keys.
-    Lines of a key that is still crowded after ``DEPTH`` such steps are paired with the first line of the key only.
+    A key of one root alone goes before the join. The lines of the others are dealt to slots of about ``SLOT``
+    lines, and every slot meets all lines of the key, so that no task holds all pairs of a key.
     """
-    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in _masks(max_bits + intact, intact)))).alias("mask"))
-    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("t"))) <= far_bits
-    near = near & (F.least("n", "m") >= least * F.greatest("n", "m"))
-    found = []
-    for level in range(DEPTH + 1):
-        keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n", "mask")
-        full = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > crowded).select("key"), "crowds")
-        alone = full.isEmpty()
-        paired = (keyed if alone else keyed.join(full, "key", "left_anti")).select("key", "line_id", "sim", "n")
-        other = paired.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"), F.col("n").alias("m"))
-        pairs = paired.join(other, F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & near)
-        found.append(staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"))
-        if alone:
-            return reduce(DataFrame.union, found).distinct()
-        crowd = keyed.join(full, "key", "left_semi")
-        if level < DEPTH:
-            longer = F.array(*(F.col("mask").bitwiseOR(F.lit(_signed(c))) for c in _classes(level, max_bits + 1)))
-            rows = staged(crowd.select("line_id", "sim", "n", F.explode(longer).alias("mask")).distinct(), "longer")
-    first = crowd.groupBy("key").agg(F.min(F.struct("line_id", "sim", "n")).alias("f")).select(F.col("key").alias("k"), F.col("f.line_id").alias("a"), F.col("f.sim").alias("t"), F.col("f.n").alias("m"))
-    star = crowd.join(first, F.col("key") == F.col("k")).where((F.col("a") != F.col("line_id")) & near)
-    found.append(star.select("a", F.col("line_id").alias("b")))
-    return reduce(DataFrame.union, found).distinct()
+    mixed = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    rows = crowd.join(mixed.select("key", F.ceil(F.col("held") / SLOT).cast("int").alias("slots")), "key")
+    other = _other(rows, F.col("root").alias("other"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("at"))
+    met = rows.withColumn("slot", F.pmod(F.xxhash64("line_id"), F.col("slots")).cast("int")).join(other, (F.col("key") == F.col("k")) & (F.col("slot") == F.col("at")))
+    return met.where((F.col("line_id") < F.col("b")) & (F.col("root") != F.col("other")) & _near(far_bits, least)).select(F.col("line_id").alias("a"), "b").distinct()
+
+
+def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int, least: float = 0.0) -> DataFrame:
+    """``a, b``: all pairs of ``lines`` (``line_id, sim, n``) that share a key and are at most ``far_bits`` apart.
+
+    Pairs whose numbers of words alone rule out an edit similarity of ``least`` are left out. ``crowded`` decides
+    how the pairs are found, not which.
+    """
+    pairs, crowd = searched(lines, max_bits, intact, far_bits, crowded, least)
+    return pairs.union(crossing(crowd.withColumn("root", F.col("line_id")), far_bits, least)).distinct()
 
 
 def _filtered(lines: DataFrame, places: DataFrame) -> DataFrame:
@@ -144,6 +156,11 @@ def similar(a: Column, b: Column, least: float) -> Column:
     return F.when((F.abs(F.char_length(a) - F.char_length(b)) <= allowed) & few, F.call_function("levenshtein", a, b, allowed) >= 0).otherwise(False)
 
 
+def _verified(pairs: DataFrame, signs: DataFrame, least: float) -> DataFrame:
+    both = pairs.join(signs.select(F.col("line_id").alias("a"), F.col("signs").alias("x")), "a").join(signs.select(F.col("line_id").alias("b"), F.col("signs").alias("y")), "b")
+    return both.where(similar(F.col("x"), F.col("y"), least)).select("a", "b")
+
+
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 16) -> tuple[DataFrame, DataFrame]:
     """All long enough lines (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
     (``line_id, keep``): the first by document id, text hash and place."""
@@ -152,14 +169,20 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     distinct = staged(
         lines.groupBy("line_id").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.min(F.struct("doc", "body", "pos")).alias("first"), F.count(F.lit(1)).alias("held")), "distinct"
     )
-    pairs = staged(candidates(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()
+    pairs, crowd = searched(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).union(crowd.select("line_id")).distinct()
     wanted = staged(distinct.join(wanted, "line_id", "left_semi").select("line_id", "first.body", "first.pos"), "wanted")
     found = normalised(_filtered(sources, wanted), min_words).select("line_id", "body", "pos", word_signs(F.col("words")).alias("signs"))
     signs = found.join(wanted, ["line_id", "body", "pos"], "left_semi").groupBy("line_id").agg(F.first("signs").alias("signs"))
     signs = staged(signs, "signs")
-    both = pairs.join(signs.select(F.col("line_id").alias("a"), F.col("signs").alias("x")), "a").join(signs.select(F.col("line_id").alias("b"), F.col("signs").alias("y")), "b")
-    roots = components(both.where(similar(F.col("x"), F.col("y"), least)).select("a", "b"), "a", "b")
+    if crowd.isEmpty():
+        roots = components(_verified(pairs, signs, least), "a", "b")
+    else:
+        # Lines already linked, mostly through the first line of their key, need no comparison with each other.
+        roots = components(_verified(pairs.union(_stars(crowd, far_bits, least)).distinct(), signs, least), "a", "b")
+        rooted = crowd.join(roots, F.col("line_id") == F.col("node"), "left").select("key", "line_id", "sim", "n", F.coalesce("root", "line_id").alias("root"))
+        more = _verified(staged(crossing(staged(rooted, "rooted"), far_bits, least), "crossing"), signs, least)
+        roots = components(more.union(roots), "a", "b")
     rooted = distinct.join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "first", "held")
     groups = rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("held").alias("held")).where("held > 1").select("root", "keep")
     return lines, rooted.join(groups, "root").select("line_id", "keep")

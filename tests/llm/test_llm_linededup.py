@@ -31,6 +31,30 @@ def test_every_pair_within_the_bits_is_a_candidate(spark):
     assert {k for p in near for k in p} <= {k for p in few for k in p} and len(few & near) > len(near) / 2
 
 
+def _around(rng, centres, copies, flips):
+    sims = sorted({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, flips))) for c in (rng.getrandbits(64) for _ in range(centres)) for _ in range(copies)})
+    return sims, [(k, s - (1 << 64) if s >> 63 else s, 9) for k, s in enumerate(sims)]
+
+
+def test_crowded_keys_lose_no_pair_of_the_guarantee(spark):
+    sims, rows = _around(random.Random(2), 8, 30, 3)
+    near = {(i, j) for j in range(len(sims)) for i in range(j) if (sims[i] ^ sims[j]).bit_count() <= 3}
+    found = {tuple(r) for r in candidates(spark.createDataFrame(rows, "line_id long, sim long, n int"), 3, 2, 10, 4).collect()}
+    assert near <= found and all((sims[i] ^ sims[j]).bit_count() <= 10 for i, j in found)
+
+
+def test_groups_of_crowded_keys_match_all_pairs(spark):
+    words = [f"w{k}" for k in range(400)]
+    rng = random.Random(6)
+    fixed = rng.choices(words, k=300)
+    # Orders of the same words: equal fingerprints, many of them far from the first line in edits.
+    texts = [" ".join(fixed[k:] + fixed[:k]) for k in range(0, 300, 15)]
+    texts += [" ".join(w if j != 7 else f"x{k}" for j, w in enumerate(fixed)) for k in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wide, narrow = ({tuple(r) for r in line_groups(docs, crowded=c)[1].select("line_id", "keep.doc").collect()} for c in (1000, 2))
+    assert wide == narrow and len(wide) == len(texts)
+
+
 def test_masks_keep_blocks_whole():
     assert len(_masks(5, 2)) == 10 and all(m.bit_count() >= 25 for m in _masks(5, 2))
 
