@@ -43,6 +43,13 @@ def test_crowded_keys_lose_no_pair_of_the_guarantee(spark):
     assert near <= found and all((sims[i] ^ sims[j]).bit_count() <= 10 for i, j in found)
 
 
+def test_far_pairs_do_not_depend_on_the_size_of_a_key(spark):
+    _, rows = _around(random.Random(5), 2, 60, 5)
+    lines = spark.createDataFrame(rows, "line_id long, sim long, n int")
+    wide, narrow = ({tuple(r) for r in candidates(lines, 3, 2, 10, c).collect()} for c in (1000, 4))
+    assert wide == narrow
+
+
 def test_groups_of_crowded_keys_match_all_pairs(spark):
     words = [f"w{k}" for k in range(400)]
     rng = random.Random(6)
