@@ -20,6 +20,8 @@ from .licenses import BETWEEN
 from .shared import packed, staged, text_or_empty
 
 BITS = 64
+#: Letters of scripts that put no space between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 #: Votes are counted in longs of three lanes.
 LANE, COUNTERS = 21, 22
 #: Lines of a crowded key that meet all lines of the key in one task.
@@ -60,18 +62,22 @@ def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def normalised(lines: DataFrame, min_words: int) -> DataFrame:
-    """``lines`` with ``words`` (small letters and digits; null for fewer than ``min_words``), their number ``n`` and ``line_id``, a 64-bit hash of them."""
-    split = lines.withColumn("_w", F.array_remove(F.split(F.lower("line"), f"[{BETWEEN}]+"), "")).drop("line")
-    words = split.withColumn("words", F.when(F.size("_w") >= min_words, F.col("_w"))).drop("_w")
-    return words.withColumns({"n": F.size("words"), "line_id": F.when(F.col("words").isNotNull(), F.xxhash64("words"))})
+    """``lines`` with ``words`` (small letters and digits; null for fewer than ``min_words``), their number ``n`` and ``line_id``, a 64-bit hash of the words of any number.
+
+    Every letter of a script without spaces is a word. A line without words has no ``line_id``.
+    """
+    line = F.when(F.octet_length("line") > F.char_length("line"), F.regexp_replace("line", f"({UNSPACED})", " $1 ")).otherwise(F.col("line"))
+    split = lines.withColumn("_w", F.array_remove(F.split(F.lower(line), f"[{BETWEEN}]+"), "")).drop("line")
+    words = split.withColumns({"n": F.size("_w"), "line_id": F.when(F.size("_w") > 0, F.xxhash64("_w"))})
+    return words.withColumn("words", F.when(F.size("_w") >= min_words, F.col("_w"))).drop("_w")
 
 
 def hashed_lines(lines: DataFrame) -> DataFrame:
-    """``doc, body, pos, line_id, n, sim`` of normalised lines; ``sim`` is the SimHash of the different words."""
+    """``doc, body, pos, line_id, n, sim`` of normalised lines; ``sim`` is the SimHash of the different words, null where ``words`` is."""
     place = ["doc", "body", "pos", "line_id", "n"]
-    words = lines.select(*place, F.explode_outer(F.array_distinct("words")).alias("w")).where("w IS NOT NULL")
-    counted = words.withColumn("h", F.xxhash64("w")).groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), *votes(F.col("h")))
-    return counted.select(*place, simhash(F.col("_n")).alias("sim"))
+    words = lines.select(*place, F.explode_outer(F.array_distinct("words")).alias("w")).where("line_id IS NOT NULL")
+    counted = words.withColumn("h", F.xxhash64("w")).groupBy(*place).agg(F.count("w").alias("_n"), *votes(F.col("h")))
+    return counted.select(*place, F.when(F.col("_n") > 0, simhash(F.col("_n"))).alias("sim"))
 
 
 def word_signs(words: Column) -> Column:
@@ -162,7 +168,7 @@ def _verified(pairs: DataFrame, signs: DataFrame, least: float) -> DataFrame:
 
 
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 16) -> tuple[DataFrame, DataFrame]:
-    """All long enough lines (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
+    """All lines with words (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
     (``line_id, keep``): the first by document id, text hash and place."""
     sources = split_lines(docs, doc_id, text)
     lines = staged(hashed_lines(normalised(sources, min_words)), "lines")
@@ -191,7 +197,8 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """All columns of ``docs`` with the repeated lines taken out of the text, then ``n_lines`` and ``n_removed``.
 
-    Lines of fewer than five words stay wherever they are. A text that loses no line comes back as it was, null
+    Lines of fewer than ``min_words`` words (five) are repeated only if their words are equal; lines without words stay
+    wherever they are. A text that loses no line comes back as it was, null
     included; one that loses all of them is empty. Rows equal in id and text are one occurrence and lose the same lines.
     """
     lines, groups = line_groups(docs, doc_id, text, **options)

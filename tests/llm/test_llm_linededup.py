@@ -111,3 +111,18 @@ def test_groups_match_plain_links(spark):
         assert all(of[5 * k + j] in (None, 5 * k) or of[5 * k + j] // 5 == k for j in range(5))
     found = sum(of[5 * k + j] == 5 * k for k in range(15) for j in (2, 3, 4))
     assert found >= 25
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    rng = random.Random(7)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    chinese = "".join(rng.choices(letters, k=300))
+    near = chinese[:150] + "X" + chinese[151:]
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(80))
+    docs = spark.createDataFrame(
+        [(1, f"Read more\n{chinese}\n\n{thai}\nonly one"), (2, f"READ MORE!\n{near}\n\nread less"), (3, f"{thai}。\n{chinese}\n---\nonly two")], "doc_id long, text string"
+    )
+    found = {r["doc_id"]: tuple(r)[1:] for r in dedup_lines(docs).collect()}
+    assert found[1] == (f"Read more\n{chinese}\n\n{thai}\nonly one", 5, 0)
+    assert found[2] == ("\nread less", 4, 2)
+    assert found[3] == ("---\nonly two", 4, 2)
