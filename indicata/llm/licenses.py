@@ -1,7 +1,9 @@
 """License statements in documents: exact phrases, and notices found by a set-similarity join.
 
-The notices of ``TEMPLATES`` are sets of words, and so is every line of a document. A line
-holds a notice if it contains a given share of its words. Words are put in order of how
+The notices of ``TEMPLATES`` are sets of words, and so is every line of a document, and
+every window over the line breaks that has as many words as the longest notice can spread
+to. A line holds a notice if it contains a given share of its words; so does a window, by
+the words as many as the notice itself can spread to. Words are put in order of how
 many documents have them, rarest first. A line and a notice that overlap enough then share
 one of the notice's first words within the line's first words (prefix filter); lines too
 short (length filter) and pairs whose remaining words cannot suffice (positional filter)
@@ -76,6 +78,7 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phras
     notices = template_rows(templates, share)
     vocabulary = sorted({w for _, _, words, _ in notices for w in words})
     fewest = min(needed for *_, needed in notices)
+    spans = [math.ceil(round(len(words_in(t)) / share, 9)) for _, t in templates]
 
     spaced = F.regexp_replace(ascii_lower(text_or_empty(f"`{text}`")), f"[{BETWEEN}&&[^\n]]+", " ")
     lines = docs.select(packed(docs, text, *results), spaced.alias("_text"))
@@ -89,17 +92,21 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phras
         *(_places(p).alias(f"_at{k}") for k, p in enumerate(phrases)),
         F.array_distinct(F.flatten("_known")).alias("_seen"),
         F.filter("_known", lambda line: F.size(line) >= fewest).alias("_lines"),
+        "_words",
     )
+    # Only texts that hold enough of a notice's words anywhere keep their words for the windows.
+    enough = reduce(lambda a, b: a | b, (F.size(F.array_intersect("_seen", F.array(*(F.lit(w) for w in words)))) >= needed for _, _, words, needed in notices))
+    found = found.withColumn("_words", F.when(enough, F.col("_words")))
     digest = staged(found.withColumn("_row", F.monotonically_increasing_id()), "licenses")
 
     holders = {r["w"]: r["n"] for r in digest.select(F.explode("_seen").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the templates' words
     ordered = sorted(vocabulary, key=lambda w: (holders.get(w, 0), w))
-    matched = _joined(digest, notices, ordered, fewest)
+    matched = _joined(digest, notices, ordered, fewest).union(_wrapped(digest, notices, spans, ordered))
     per_row = matched.groupBy("_row").agg(F.collect_set("label").alias("_labels"), F.max("contained").alias("_contained"))
 
     places = F.concat(*(F.col(f"_at{k}") for k in range(len(phrases))))
     base = F.array_distinct(F.filter(F.array(*(F.when(F.size(f"_at{k}") > 0, F.lit(label)) for k, label in enumerate(phrases.values()))), lambda x: x.isNotNull()))
-    rows = digest.drop("_seen", "_lines").join(per_row, "_row", "left").withColumns({"_places": places, "_base": base})
+    rows = digest.drop("_seen", "_lines", "_words").join(per_row, "_row", "left").withColumns({"_places": places, "_base": base})
     every = F.array_distinct(F.concat("_base", F.coalesce("_labels", F.array().cast("array<string>"))))
     return rows.select(
         *unpacked(docs, text, *results),
@@ -113,6 +120,29 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phras
     )
 
 
+def _wrapped(digest: DataFrame, notices: list, spans: list[int], ordered: list[str]) -> DataFrame:
+    """``_row, label, contained`` for every notice with enough words in a window over the line breaks.
+
+    Such a window holds one of the notice's first words, rarest first, so only the windows around these are looked at.
+    """
+    rank = {w: k for k, w in enumerate(ordered)}
+    index = []
+    for (_, label, words, needed), span in zip(notices, spans):
+        first = sorted(words, key=rank.__getitem__)[: len(words) - needed + 1]
+        index += [(w, label, len(words), needed, span, words) for w in first]
+    table = digest.sparkSession.createDataFrame(index, "word string, label string, size int, needed int, span int, words array<string>")
+    starts = sorted({row[0] for row in index})
+    reach = max(spans) - 1
+
+    texts = digest.where("_words IS NOT NULL").select("_row", "_words")
+    at = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda i: F.get("_words", i).isin(starts))
+    around = F.transform(at, lambda i: F.struct(F.get("_words", i).alias("word"), F.least(i, F.lit(reach)).alias("at"), F.slice("_words", F.greatest(i - reach, F.lit(0)) + 1, 2 * reach + 1).alias("near")))
+    met = texts.select("_row", F.explode(around).alias("p")).select("_row", "p.*").join(F.broadcast(table), "word")  # a few rows per template
+    windows = F.sequence(F.greatest(F.col("at") - F.col("span") + 1, F.lit(0)), F.col("at"))
+    overlap = F.array_max(F.transform(windows, lambda k: F.size(F.array_intersect(F.slice("near", k + 1, F.col("span")), "words"))))
+    return met.withColumn("overlap", overlap).where("overlap >= needed").select("_row", "label", (F.col("overlap") / F.col("size")).alias("contained"))
+
+
 def _joined(digest: DataFrame, notices: list, ordered: list[str], fewest: int) -> DataFrame:
     """``_row, label, contained`` for every line and notice with enough words in common."""
     spark = digest.sparkSession

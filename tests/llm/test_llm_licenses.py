@@ -1,3 +1,5 @@
+import textwrap
+
 from indicata.llm.licenses import PHRASES, TEMPLATES, license_scan, template_rows, words_in
 
 
@@ -42,3 +44,15 @@ def test_loose_threshold(spark):
     docs = spark.createDataFrame([(1, "this work is under the general public license")], "doc_id long, text string")
     row = license_scan(docs, share=0.75).first()
     assert row["labels"] == "gpl" and abs(row["score"] - 0.8) < 1e-9
+
+
+def test_wrapped_notices(spark):
+    rows = []
+    for k, (label, notice) in enumerate(TEMPLATES):
+        words = notice.split()
+        rows.append((k, "intro of a file\n" + "\n".join("# " + part for part in textwrap.wrap("Copyright 2020 A. Author " + notice, 36)) + "\nmore text " * 40, label))
+        rows.append((100 + k, "\n".join(w + " far apart" * 40 for w in words), ""))
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string, label string")).collect()}
+    for k, text, label in rows:
+        same = plain(TEMPLATES[k][1] if label else text)  # the notice on one line; words far apart are none
+        assert found[k] == same[5:] and label in found[k][0]
