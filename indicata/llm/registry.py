@@ -15,6 +15,7 @@ from .queries import mixing as q2
 from .queries import quality as q1
 from .queries import simhash as q7
 from .queries import toxicity as q6
+from .queries import vectorcodes as q12
 from .queries import warc as q5
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,12 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": q8.query,
     "op9_html_text": q9.query,
     "op10_licenses": q10.query,
+    "op12_vector_codes": q12.query,
 }
 
 ORACLES: dict[str, str] = {
     "op4_host_rules": q4.SQL,
     "op5_warc": q5.SQL,
     "op10_licenses": q10.SQL,
+    "op12_vector_codes": q12.SQL,
 }

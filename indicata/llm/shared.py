@@ -91,6 +91,45 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def dealt_join(rows: DataFrame, values: DataFrame, on: list[str], held: str, share: int = 1024) -> DataFrame:
+    """Stored ``rows`` with the one row of ``values`` for their key (null keys are equal); rows without one get nulls.
+
+    ``values`` has the columns ``on``, ``held`` (the number of rows of the key) and further ones. Keys of more than one
+    part in ``share`` of all rows are dealt to so many slots that none holds more; there are at most ``share`` such keys,
+    so their list is sent to the tasks. ``rows`` must come from files without a shuffle, as slots follow their order.
+    """
+    total, most = values.agg(F.coalesce(F.sum(held), F.lit(0)), F.coalesce(F.max(held), F.lit(0))).first()
+    least = max(1, total // share)
+    here = {c: f"_on{k}" for k, c in enumerate(on)}
+    values = values.withColumnsRenamed(here)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(here[c])) for c in on]
+    if most <= least:
+        return rows.join(values.drop(held), same, "left").drop(*here.values())
+    slots = F.ceil(F.col(held) / least).cast("int")
+    hot = values.where(F.col(held) > least).select(*here.values(), slots.alias("_slots"))
+    slot = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_slots")), F.lit(0)).cast("int")
+    dealt = rows.join(F.broadcast(hot), same, "left").withColumn("_slot", slot).drop("_slots", *here.values())
+    each = values.withColumn("_at", F.explode(F.sequence(F.lit(0), F.greatest(slots, F.lit(1)) - 1))).drop(held)
+    return dealt.join(each, [*same, F.col("_slot") == F.col("_at")], "left").drop("_slot", "_at", *here.values())
+
+
+def first_rows(df: DataFrame, n: int, column: str, *ties: str) -> DataFrame:
+    """The ``n`` first rows by a number column (nulls last) and ``ties``; what single tasks hand on does not grow with the rows.
+
+    Sketches of the column cut the rows down before they are sorted; equal numbers at the cut stay together.
+    """
+    rows, order = df, [F.col(column).asc_nulls_last(), *ties]
+    count = df.agg(F.count(column)).first()[0]
+    while count > 16 * n:
+        cut = rows.agg(F.percentile_approx(column, min(1.0, 4 * n / count), 10_000)).first()[0]
+        fewer = df.where(F.col(column) <= cut)
+        held = fewer.count()
+        if held < n or held >= count:  # the sketch was too coarse, or one number fills the rows
+            break
+        rows, count = fewer, held
+    return rows.orderBy(*order).limit(n)
+
+
 def texts_of(batches: Iterator, column: str) -> Iterator:
     """Arrow batches with one column as Python strings, null as empty."""
     for batch in batches:
