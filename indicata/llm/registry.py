@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries import conversations as q13
 from .queries import decontaminate as q8
 from .queries import host_rules as q4
 from .queries import htmltext as q9
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": q9.query,
     "op10_licenses": q10.query,
     "op12_vector_codes": q12.query,
+    "op13_prefix_trie": q13.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op5_warc": q5.SQL,
     "op10_licenses": q10.SQL,
     "op12_vector_codes": q12.SQL,
+    "op13_prefix_trie": q13.SQL,
 }
