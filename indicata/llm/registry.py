@@ -13,6 +13,7 @@ from .queries import htmltext as q9
 from .queries import licenses as q10
 from .queries import linededup as q3
 from .queries import mixing as q2
+from .queries import packing as q11
 from .queries import quality as q1
 from .queries import simhash as q7
 from .queries import toxicity as q6
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": q8.query,
     "op9_html_text": q9.query,
     "op10_licenses": q10.query,
+    "op11_packing": q11.query,
     "op12_vector_codes": q12.query,
     "op13_prefix_trie": q13.query,
 }
