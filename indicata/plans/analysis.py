@@ -62,7 +62,7 @@ def model_table(gold: DataFrame, fit: Fit, key: str = names.CODE) -> DataFrame:
     )
     terms = terms.withColumnRenamed("term", "item")
     whole = {**fit.quality(), **diagnostics(gold, fit), "condition_number": fit.condition_number()}
-    model = spark.createDataFrame([("model", s, float(v)) for s, v in whole.items()], "item string, stat string, value double")
+    model = spark.createDataFrame([("model", s, None if v is None else float(v)) for s, v in whole.items()], "item string, stat string, value double")
     serial = durbin_watson(gold, fit, key).select(
         F.lit("model").alias("item"), F.lit("durbin_watson").alias("stat"), F.col("durbin_watson").alias("value")
     )

@@ -467,6 +467,31 @@ named(
     [*FIT, ANOVA],
     f"SELECT term, {sig('sum_sq', 8)} AS sum_sq, df, {sig('f', 8)} AS f, round(p_value, 8) + 0.0 AS p_value FROM anova",
 )
+# Of two equal predictors each has half the coefficient and its error. The intercept and a column of twos share what
+# the intercept had: 1/5 and 2/5 are the shortest pair with b + 2 c fixed.
+SHARED = (
+    "shared AS (SELECT term, coef * part AS coef, std_err * part AS std_err, t, t95, p_value FROM (SELECT *, CASE term"
+    " WHEN 'Intercept' THEN CAST(0.2 AS DOUBLE) WHEN 'gdp' THEN 0.5 ELSE 1 END AS part FROM coefficients)"
+    " UNION ALL SELECT 'gdp_again', coef / 2, std_err / 2, t, t95, p_value FROM coefficients WHERE term = 'gdp'"
+    " UNION ALL SELECT 'level', coef * 2 / 5, std_err * 2 / 5, t, t95, p_value FROM coefficients WHERE term = 'Intercept')"
+)
+named(
+    "ols_superfluous",
+    [*FIT, SHARED],
+    f"SELECT term, {', '.join(f'{sig(v, 8)} AS {n}' for n, v in BOUNDS)}, round(p_value, 8) + 0.0 AS p_value FROM shared",
+)
+named(
+    "ols_superfluous_quality",
+    FIT,
+    " UNION ALL ".join(f"SELECT '{n}' AS stat, {sig(v, 8)} AS value FROM quality" for n, v in QUALITY),
+)
+named(
+    "anova_superfluous",
+    [*FIT, SHARED],
+    f"SELECT term, {sig('t * t * mse', 8)} AS sum_sq, {sig('t * t', 8)} AS f, CAST(1 AS DOUBLE) AS df, round(p_value, 8) + 0.0 AS p_value"
+    " FROM shared, (SELECT mse FROM fit) WHERE term <> 'Intercept'"
+    f" UNION ALL SELECT 'Residual', {sig('rss', 8)}, NULL, d, NULL FROM fit",
+)
 named(
     "report_tables",
     [*CONDITION, *RESIDUALS[len(FIT):], ANOVA],

@@ -487,6 +487,30 @@ def query_anova_type2(spark, sf_dir):
     )
 
 
+def _superfluous_fit(spark, sf_dir):
+    """Predictors of which one stands twice and one is constant."""
+    table_ = gold(silvers(spark, sf_dir), ordered=False).withColumns({"gdp_again": F.col(names.GDP), "level": F.lit(2.0)})
+    return ols(table_, RESPONSE, [*PREDICTORS, "gdp_again", "level"])
+
+
+@query("ols_superfluous")
+def query_ols_superfluous(spark, sf_dir):
+    found = coefficient_table(spark, _superfluous_fit(spark, sf_dir))
+    rounded = [significant(F.col(c), 8).alias(c) for c in ("coef", "std_err", "t", "low", "high")]
+    return found.select("term", *rounded, F.round("p_value", 8).alias("p_value"))
+
+
+@query("ols_superfluous_quality")
+def query_ols_superfluous_quality(spark, sf_dir):
+    return quality_table(spark, _superfluous_fit(spark, sf_dir)).withColumn("value", significant(F.col("value"), 8))
+
+
+@query("anova_superfluous")
+def query_anova_superfluous(spark, sf_dir):
+    found = anova_table(spark, _superfluous_fit(spark, sf_dir))
+    return found.select("term", *[significant(F.col(c), 8).alias(c) for c in ("sum_sq", "f")], "df", F.round("p_value", 8).alias("p_value"))
+
+
 @query("histogram_100")
 def query_histogram_100(spark, sf_dir):
     found = histogram(gold_table(spark, sf_dir), charts.CHARTED)

@@ -209,19 +209,73 @@ def test_three_predictors(spark):
 
 
 @pytest.mark.parametrize(
-    "rows_,problem",
+    "rows_",
     [
-        ([(1.0, 1.0, 2.0), (2.0, 2.0, 4.0), (3.0, 3.0, 6.0), (4.5, 4.0, 8.0)], "collinear"),
-        ([(1.0, 1.0, 2.0), (2.0, 2.5, 4.0), (3.0, 1.0, 3.0)], "complete rows"),
-        ([(1.0, 1.0, 2.0), (2.0, 1.0, 4.0), (3.0, 1.0, 3.0), (4.0, 1.0, 9.0)], "constant"),
+        [(1.0, 1.0, 2.0), (2.0, 2.5, 4.0), (3.0, 1.0, 3.0)],
+        [(1.0, 1.0, 2.0), (2.0, 2.0, 4.0)],
+        [(1.0, None, 2.0)],
+        [],
     ],
 )
-def test_inestimable_models_are_refused(spark, rows_, problem):
+def test_too_few_rows_are_refused(spark, rows_):
     df = spark.createDataFrame(rows_, "y double, a double, b double")
-    with pytest.raises(regression.NotEstimable, match=problem):
+    with pytest.raises(regression.NotEstimable, match="complete rows"):
         regression.ols(df, "y", ["a", "b"])
 
 
+def superfluous(kind, rng):
+    a, b = rng.normal(5, 2, 300), rng.normal(-1, 30, 300)
+    made = {
+        "doubled": [a, b, a],
+        "scaled": [a, b, 1000 * a],
+        "sum": [a, b, a + b],
+        "constant": [a, np.full(300, 3.0), b],
+        "zero": [a, np.zeros(300), b],
+        "several": [a, a, np.full(300, -2.0), b, a - 2 * b],
+        "all constant": [np.full(300, 4.0), np.full(300, 1.0)],
+    }[kind]
+    return np.column_stack(made), 2 + 3 * a - 0.1 * b + rng.normal(0, 1, 300)
+
+
+@pytest.mark.parametrize("kind", ["doubled", "scaled", "sum", "constant", "zero", "several", "all constant"])
+def test_superfluous_predictors_get_the_shortest_solution(spark, kind):
+    x, y = superfluous(kind, np.random.default_rng(8))
+    names_ = [f"x{j}" for j in range(x.shape[1])]
+    df = spark.createDataFrame([tuple(map(float, (*r, v))) for r, v in zip(x, y)], ", ".join(f"{c} double" for c in [*names_, "y"]))
+    fit = regression.ols(df, "y", names_)
+    design = np.column_stack([np.ones(300), x])
+    inverse, rank = np.linalg.pinv(design), np.linalg.matrix_rank(design)
+    coef = inverse @ y
+    residual = float(((y - design @ coef) ** 2).sum())
+    assert fit.rank == rank and fit.df_residual == 300 - rank
+    assert [fit.intercept, *fit.slopes] == pytest.approx(list(coef), rel=1e-8, abs=1e-9)
+    assert fit.residual == pytest.approx(residual, rel=1e-9)
+    errors = np.sqrt(residual / (300 - rank) * np.diag(inverse @ inverse.T))
+    assert [r[2] for r in fit.coefficients()] == pytest.approx(list(errors), rel=1e-8, abs=1e-12)
+    shown = fit.residual_column()
+    assert [r[0] for r in df.select(shown).collect()] == pytest.approx(list(y - design @ coef), abs=1e-8)
+    assert (fit.condition_number() == math.inf) and fit.quality()["df_model"] == rank - 1
+    assert len(fit.anova()) == x.shape[1] + 1
+
+
+def test_a_doubled_predictor_gets_half_the_coefficient(spark):
+    x, y = superfluous("doubled", np.random.default_rng(8))
+    df = spark.createDataFrame([tuple(map(float, (*r, v))) for r, v in zip(x, y)], "a double, b double, again double, y double")
+    one, two = regression.ols(df, "y", ["a", "b"]), regression.ols(df, "y", ["a", "b", "again"])
+    assert two.slopes[0] == pytest.approx(one.slopes[0] / 2) == pytest.approx(two.slopes[2])
+    assert two.quality() == pytest.approx(one.quality())
+    sums = {r[0]: r[1] for r in two.anova()}
+    assert sums["a"] == pytest.approx(sums["again"]) == pytest.approx({r[0]: r[1] for r in one.anova()}["a"])
+
+
+def test_a_constant_response_has_no_quality(spark):
+    df = spark.createDataFrame([(7.0, float(k)) for k in range(9)], "y double, a double")
+    fit = regression.ols(df, "y", ["a"])
+    assert (fit.intercept, fit.slopes[0], fit.residual) == (7.0, 0.0, 0.0)
+    assert fit.quality()["r2"] is None and fit.quality()["f"] is None
+    assert fit.coefficients()[1][3] is None
+
+
 def residual_vector(data):
     kept = cases(data).sort_values("code")
     design, coef = least_squares(kept)
