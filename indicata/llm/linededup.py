@@ -16,74 +16,101 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .licenses import BETWEEN
-from .shared import packed, staged, text_or_empty
+from .shared import dealt_join, drop_staged, packed, staged, text_or_empty
 
 BITS = 64
-#: Letters of scripts that put no space between words.
+#: What separates words within a line: all ASCII but digits, small letters and the line break.
+BETWEEN = r"\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F"
+#: Letters of scripts that put no space between words; all of them stand behind the characters of ``EARLY``.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
-#: Votes are counted in longs of three lanes.
-LANE, COUNTERS = 21, 22
+EARLY = r"\u0000-\u0DFF"
+#: Words whose votes are counted at once: eight numbers of seven bits stand in one long, so eight longs count 64 bits.
+SLICE, LANE, ONES = 127, 8, 0x0101010101010101
 #: Lines of a crowded key that meet all lines of the key in one task.
 SLOT = 1024
-#: Bounded size of the broadcast filters that spare lines from a shuffle.
-FILTER = 1 << 21
+#: Keys, lines or texts whose numbers are sent to the tasks; more are joined by a shuffle.
+SENT = 1 << 20
+#: The same for lists of places, in bytes.
+SENT_BYTES = 1 << 26
+#: Keys that one task counts, about.
+KEYS = 1 << 20
+#: Code points for the signs of words: 4 bytes each in UTF-8.
+SIGNS = 1 << 20
 
 
-def _lane(bit: int) -> tuple[int, int]:
-    """Counter and shift of a bit's votes."""
-    return bit % COUNTERS, LANE * (bit // COUNTERS)
+def normal_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc, body, pos, norm`` of every line: small letters and digits, one space between words.
 
+    ``doc`` and ``body`` (a hash of the text) name the row. Every letter of a script without spaces is a word.
+    """
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc"), text_or_empty(f"`{text}`").alias("_text"))
+    small = F.lower("_text")
+    apart = (F.octet_length("_text") > F.char_length("_text")) & F.col("_text").rlike(f"[^{EARLY}]")
+    spaced = F.when(apart, F.regexp_replace(small, f"({UNSPACED})", " $1 ")).otherwise(small)
+    plain = F.regexp_replace(spaced, f"[{BETWEEN}]+", " ")
+    # The outer form: for the inner one the optimizer adds a filter that splits every text a second time.
+    lines = texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode_outer(F.split(plain, "\n")).alias("pos", "line"))
+    return lines.select("doc", "body", "pos", F.btrim("line").alias("norm"))
 
-def votes(h: Column) -> list[Column]:
-    """Sums of the set bits of 64-bit hashes, ``64 / COUNTERS`` of them in each of ``COUNTERS`` longs."""
-    out = []
-    for k in range(COUNTERS):
-        lanes = [F.shiftleft(F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1).cast("long")), _lane(b)[1]) for b in range(k, BITS, COUNTERS)]
-        out.append(F.try_sum(reduce(lambda x, y: x.bitwiseOR(y), lanes)).alias(f"_s{k}"))
-    return out
 
+def _counts(hashes: Column) -> Column:
+    """How many of at most ``SLICE`` hashes have each bit: bit ``8 k + j`` is counted in the k-th lane of the j-th long."""
 
-def simhash(n: Column) -> Column:
-    """The bits that more than half of ``n`` hashes have, from the sums of ``votes``; null for more hashes than a lane counts."""
-    bits = []
-    for b in range(BITS):
-        counter, shift = _lane(b)
-        found = F.shiftright(F.col(f"_s{counter}"), shift).bitwiseAND(F.lit((1 << LANE) - 1).cast("long"))
-        bits.append(F.when(2 * found > n, F.lit((1 << b) - (1 << BITS if b == BITS - 1 else 0)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return F.when(n < 1 << LANE, reduce(lambda x, y: x.bitwiseOR(y), bits))
+    def added(counts: Column, h: Column) -> Column:
+        return F.array(*(F.get(counts, F.lit(j)) + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ONES)) for j in range(LANE)))
 
+    return F.aggregate(hashes, F.array(*(F.lit(0).cast("long") for _ in range(LANE))), added)
 
-def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, body, pos, line`` of every line; ``doc`` and ``body`` (a hash of the text) name the row."""
-    texts = docs.select(F.col(f"`{doc_id}`").alias("doc"), text_or_empty(f"`{text}`").alias("_text"))
-    # The outer form: for the inner one the optimizer adds a filter that splits every text a second time.
-    return texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode_outer(F.split("_text", "\n")).alias("pos", "line"))
 
+def _more_than(counts: Column, limit: Column) -> Column:
+    """The bits counted more than ``limit`` times: a lane that gets 63 - limit on top reaches 64 exactly then."""
+    bias = (F.lit(63) - limit).cast("long") * F.lit(ONES)
+    reached = (F.shiftrightunsigned(F.get(counts, F.lit(j)) + bias, 6).bitwiseAND(F.lit(ONES)) for j in range(LANE))
+    return reduce(lambda x, y: x.bitwiseOR(y), (F.shiftleft(r, j) for j, r in enumerate(reached)))
 
-def normalised(lines: DataFrame, min_words: int) -> DataFrame:
-    """``lines`` with ``words`` (small letters and digits; null for fewer than ``min_words``), their number ``n`` and ``line_id``, a 64-bit hash of the words of any number.
 
-    Every letter of a script without spaces is a word. A line without words has no ``line_id``.
-    """
-    line = F.when(F.octet_length("line") > F.char_length("line"), F.regexp_replace("line", f"({UNSPACED})", " $1 ")).otherwise(F.col("line"))
-    split = lines.withColumn("_w", F.array_remove(F.split(F.lower(line), f"[{BETWEEN}]+"), "")).drop("line")
-    words = split.withColumns({"n": F.size("_w"), "line_id": F.when(F.size("_w") > 0, F.xxhash64("_w"))})
-    return words.withColumn("words", F.when(F.size("_w") >= min_words, F.col("_w"))).drop("_w")
+def _majority(slices: Column, n: Column) -> Column:
+    """The bits that more than half of ``n`` hashes have, from the counts of any number of slices."""
+
+    def lane(counts: Column, at: Column) -> Column:
+        j = F.pmod(at, F.lit(LANE))
+        return F.call_function("shiftrightunsigned", F.get(counts, j), at - j).bitwiseAND(F.lit(SLICE).cast("long"))
+
+    def joined(sim: Column, at: Column) -> Column:
+        votes = F.aggregate(slices, F.lit(0).cast("long"), lambda s, counts: s + lane(counts, at))
+        return sim.bitwiseOR(F.when(2 * votes > n, F.call_function("shiftleft", F.lit(1).cast("long"), at)).otherwise(F.lit(0).cast("long")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), joined)
+
+
+def hashed_lines(lines: DataFrame, min_words: int) -> DataFrame:
+    """``doc, body, pos, line_id, n, sim, norm`` of the lines with words: a hash of the words, their number, and for at least
+    ``min_words`` words the SimHash of the different ones and the words themselves (else null)."""
+    split = lines.where("norm != ''").withColumn("_w", F.split("norm", " "))
+    enough = F.size("_w") >= min_words
+    hashed = split.withColumns({"n": F.size("_w"), "line_id": F.xxhash64("norm"), "_h": F.when(enough, F.array_distinct(F.transform("_w", lambda w: F.xxhash64(w))))})
+    one = F.size("_h") <= SLICE
+    counted = hashed.withColumns(
+        {
+            "_m": F.size("_h"),
+            "_one": F.when(one, _counts(F.col("_h"))),
+            "_all": F.when(~one, F.transform(F.sequence(F.lit(1), F.size("_h"), F.lit(SLICE)), lambda start: _counts(F.slice("_h", start, F.lit(SLICE))))),
+        }
+    )
+    sim = F.when(one, _more_than(F.col("_one"), F.floor(F.col("_m") / 2).cast("int"))).when(~one, _majority(F.col("_all"), F.col("_m")))
+    return counted.select("doc", "body", "pos", "line_id", "n", sim.alias("sim"), F.when(enough, F.col("norm")).alias("norm"))
 
 
-def hashed_lines(lines: DataFrame) -> DataFrame:
-    """``doc, body, pos, line_id, n, sim`` of normalised lines; ``sim`` is the SimHash of the different words, null where ``words`` is."""
-    place = ["doc", "body", "pos", "line_id", "n"]
-    words = lines.select(*place, F.explode_outer(F.array_distinct("words")).alias("w")).where("line_id IS NOT NULL")
-    counted = words.withColumn("h", F.xxhash64("w")).groupBy(*place).agg(F.count("w").alias("_n"), *votes(F.col("h")))
-    return counted.select(*place, F.when(F.col("_n") > 0, simhash(F.col("_n"))).alias("sim"))
+def word_signs(hashes: Column) -> Column:
+    """Hashed words as a text of one sign each, out of 2**20: edits of words are edits of signs."""
 
+    def sign(h: Column) -> Column:
+        code = F.pmod(h, F.lit(SIGNS)) + 0x10000
+        six = lambda at: F.shiftright(code, at).bitwiseAND(F.lit(63).cast("long"))
+        bytes_of = F.lit(0xF0808080) + F.shiftleft(F.shiftright(code, 18), 24) + F.shiftleft(six(12), 16) + F.shiftleft(six(6), 8) + six(0)
+        return F.hex(bytes_of)
 
-def word_signs(words: Column) -> Column:
-    """The words as a text of one sign each: a hash of 20,000 values, so that edits of words are edits of signs."""
-    codes = F.transform(words, lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(20_000)) + 0x4E00))
-    return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
+    return F.unhex(F.array_join(F.transform(hashes, sign), "")).cast("string")
 
 
 def _masks(blocks: int, intact: int) -> list[int]:
@@ -105,15 +132,35 @@ def _other(keyed: DataFrame, *more: Column) -> DataFrame:
     return keyed.select(F.col("key").alias("k"), F.col("line_id").alias("b"), F.col("sim").alias("t"), F.col("n").alias("m"), *more)
 
 
+def _sent(numbers: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, to be sent to the tasks if it has at most ``SENT`` rows."""
+    return F.broadcast(numbers) if numbers.count() <= SENT else numbers
+
+
 def searched(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowded: int, least: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``a, b`` of the keys held by at most ``crowded`` lines, and ``key, line_id, sim, n`` of the fuller keys."""
-    masks = F.explode(F.array(*(F.lit(_signed(m)) for m in _masks(max_bits + intact, intact)))).alias("mask")
-    rows = lines.where("sim IS NOT NULL").select("line_id", "sim", "n", masks)
+    """Pairs ``a, b`` of the keys held by at most ``crowded`` lines, and ``key, line_id, sim, n`` of the fuller keys.
+
+    Keys are counted with partial sums, so that no key is gathered. Two lines of a key need no join: the sums hold
+    their ids, their different bits and their numbers of words.
+    """
+    masks = _masks(max_bits + intact, intact)
+    # Dealt evenly first, as nearly every key is held by one line and sums within a task save little.
+    few = lines.where("sim IS NOT NULL").select("line_id", "sim", "n")
+    tasks = 1 + few.count() * len(masks) // KEYS
+    rows = few.repartition(tasks, "line_id").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
     keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n")
-    full = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > crowded).select("key"), "crowds")
-    paired = keyed if full.isEmpty() else keyed.join(full, "key", "left_anti")
-    pairs = paired.join(_other(paired), F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & _near(far_bits, least))
-    return staged(pairs.select(F.col("line_id").alias("a"), "b").distinct(), "pairs"), staged(keyed.join(full, "key", "left_semi"), "crowd")
+    ends = [F.min("line_id").alias("a"), F.max("line_id").alias("b"), F.bit_xor("sim").alias("x"), F.min("n").alias("low"), F.max("n").alias("high")]
+    held = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held"), *ends).where("held > 1"), "keys")
+    two = held.where((F.col("held") == 2) & (F.bit_count("x") <= far_bits) & (F.col("low") >= least * F.col("high")) & (F.col("a") != F.col("b"))).select("a", "b")
+    more = held.where("held > 2").select(F.col("key").alias("k"), "held")
+    several = staged(keyed.join(_sent(more), F.col("key") == F.col("k")).drop("k"), "several")
+    few = several.where(F.col("held") <= crowded).drop("held")
+    met = few.join(_other(few), F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & _near(far_bits, least)).select(F.col("line_id").alias("a"), "b")
+    pairs = staged(two.union(met).distinct(), "pairs")
+    crowd = staged(several.where(F.col("held") > crowded).drop("held"), "crowd")
+    for table in (held, several):
+        drop_staged(table)
+    return pairs, crowd
 
 
 def _stars(crowd: DataFrame, far_bits: int, least: float) -> DataFrame:
@@ -145,53 +192,68 @@ def candidates(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crow
     return pairs.union(crossing(crowd.withColumn("root", F.col("line_id")), far_bits, least)).distinct()
 
 
-def _filtered(lines: DataFrame, places: DataFrame) -> DataFrame:
-    """``lines`` that may be at one of ``places`` (``body, pos``): a filter of at most ``FILTER`` numbers is sent to the tasks."""
-    slot = F.pmod(F.xxhash64("body", "pos"), F.lit(FILTER)).alias("slot")
-    return lines.withColumn("slot", slot).join(F.broadcast(places.select(slot).distinct()), "slot", "left_semi").drop("slot")
+def _paired_signs(words: Column, both: Column) -> Column:
+    """Hashed words as signs that are their places in ``both``, the different words of a pair."""
+    return word_signs(F.transform(words, lambda w: F.array_position(both, w).cast("long")))
 
 
-def similar(a: Column, b: Column, least: float) -> Column:
-    """Edit similarity of two texts of word signs: one less the edits over the longer length.
+def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """The pairs with an edit similarity of at least ``least``: one less the edits of words over the longer line's words.
 
-    An edit takes away one sign at most, so texts that differ in too many signs are told apart without alignment.
+    An edit takes away one word at most, so lines that differ in too many words are told apart without alignment. Where
+    two different words of a pair have the same sign, the pair is aligned by signs of its own.
     """
-    allowed = F.floor(F.greatest(F.char_length(a), F.char_length(b)) * (1 - least) + 1e-9).cast("int")
-    signs, others = F.split(a, ""), F.split(b, "")
-    few = (F.size(F.array_except(signs, others)) <= allowed) & (F.size(F.array_except(others, signs)) <= allowed)
-    return F.when((F.abs(F.char_length(a) - F.char_length(b)) <= allowed) & few, F.call_function("levenshtein", a, b, allowed) >= 0).otherwise(False)
-
-
-def _verified(pairs: DataFrame, signs: DataFrame, least: float) -> DataFrame:
-    both = pairs.join(signs.select(F.col("line_id").alias("a"), F.col("signs").alias("x")), "a").join(signs.select(F.col("line_id").alias("b"), F.col("signs").alias("y")), "b")
-    return both.where(similar(F.col("x"), F.col("y"), least)).select("a", "b")
-
-
-def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 16) -> tuple[DataFrame, DataFrame]:
+    one = words.select(F.col("line_id").alias("a"), F.col("signs").alias("x"), F.col("hashes").alias("_xs"))
+    other = words.select(F.col("line_id").alias("b"), F.col("signs").alias("y"), F.col("hashes").alias("_ys"))
+    longer = F.greatest(F.size("_xs"), F.size("_ys"))
+    allowed = F.floor(longer * (1 - least) + 1e-9).cast("int")
+    few = (F.size(F.array_except("_xs", "_ys")) <= allowed) & (F.size(F.array_except("_ys", "_xs")) <= allowed)
+    near = pairs.join(one, "a").join(other, "b").where((F.abs(F.size("_xs") - F.size("_ys")) <= allowed) & few)
+    both = near.withColumns({"_both": F.array_distinct(F.concat("_xs", "_ys")), "_allowed": allowed})
+    clear = F.size("_both") == F.size(F.array_distinct(F.transform("_both", lambda h: F.pmod(h, F.lit(SIGNS)))))
+    edits = lambda a, b: F.call_function("levenshtein", a, b, F.col("_allowed")) >= 0
+    own = edits(_paired_signs(F.col("_xs"), F.col("_both")), _paired_signs(F.col("_ys"), F.col("_both")))
+    return both.where(F.when(clear, edits(F.col("x"), F.col("y"))).otherwise(own)).select("a", "b")
+
+
+def _words_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``line_id, hashes, signs`` of the wanted lines (``line_id, at``), each from the place ``at``."""
+    placed = lines.where("sim IS NOT NULL").select(F.xxhash64("doc", "body", "pos").alias("place"), "norm")
+    # Rows of the same id and text have the same places.
+    found = placed.join(_sent(wanted), F.col("place") == F.col("at")).select("line_id", "norm").distinct()
+    hashed = found.select("line_id", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    return hashed.select("line_id", "hashes", word_signs(F.col("hashes")).alias("signs"))
+
+
+def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
     """All lines with words (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
-    (``line_id, keep``): the first by document id, text hash and place."""
-    sources = split_lines(docs, doc_id, text)
-    lines = staged(hashed_lines(normalised(sources, min_words)), "lines")
-    distinct = staged(
-        lines.groupBy("line_id").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.min(F.struct("doc", "body", "pos")).alias("first"), F.count(F.lit(1)).alias("held")), "distinct"
-    )
+    (``line_id, keep, held``): the first by document id, text hash and place; ``held`` is how often the line stands."""
+    lines = staged(hashed_lines(normal_lines(docs, doc_id, text), min_words), "lines")
+    each = lines.select("line_id", "sim", "n", F.xxhash64("doc", "body", "pos").alias("at"))
+    distinct = staged(each.groupBy("line_id").agg(F.max("sim").alias("sim"), F.max("n").alias("n"), F.min("at").alias("at"), F.count(F.lit(1)).alias("held")), "distinct")
     pairs, crowd = searched(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).union(crowd.select("line_id")).distinct()
-    wanted = staged(distinct.join(wanted, "line_id", "left_semi").select("line_id", "first.body", "first.pos"), "wanted")
-    found = normalised(_filtered(sources, wanted), min_words).select("line_id", "body", "pos", word_signs(F.col("words")).alias("signs"))
-    signs = found.join(wanted, ["line_id", "body", "pos"], "left_semi").groupBy("line_id").agg(F.first("signs").alias("signs"))
-    signs = staged(signs, "signs")
+    wanted = staged(distinct.join(wanted, "line_id", "left_semi").select("line_id", "at"), "wanted")
+    words = staged(_words_of(lines, wanted), "words")
+    spent = [pairs, crowd, wanted, words]
     if crowd.isEmpty():
-        roots = components(_verified(pairs, signs, least), "a", "b")
+        roots = components(_verified(pairs, words, least), "a", "b")
     else:
         # Lines already linked, mostly through the first line of their key, need no comparison with each other.
-        roots = components(_verified(pairs.union(_stars(crowd, far_bits, least)).distinct(), signs, least), "a", "b")
-        rooted = crowd.join(roots, F.col("line_id") == F.col("node"), "left").select("key", "line_id", "sim", "n", F.coalesce("root", "line_id").alias("root"))
-        more = _verified(staged(crossing(staged(rooted, "rooted"), far_bits, least), "crossing"), signs, least)
-        roots = components(more.union(roots), "a", "b")
-    rooted = distinct.join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "first", "held")
-    groups = rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("held").alias("held")).where("held > 1").select("root", "keep")
-    return lines, rooted.join(groups, "root").select("line_id", "keep")
+        roots = components(_verified(pairs.union(_stars(crowd, far_bits, least)).distinct(), words, least), "a", "b")
+        rooted = staged(crowd.join(roots, F.col("line_id") == F.col("node"), "left").select("key", "line_id", "sim", "n", F.coalesce("root", "line_id").alias("root")), "rooted")
+        crossed = staged(crossing(rooted, far_bits, least), "crossing")
+        spent += [rooted, crossed, roots]
+        roots = components(_verified(crossed, words, least).union(roots), "a", "b")
+    held = distinct.select("line_id", "held").join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "held")
+    held = staged(held, "classes")
+    groups = held.groupBy("root").agg(F.sum("held").alias("all"), F.count(F.lit(1)).alias("lines")).where(F.col("all") > 1).withColumn("of", F.col("lines"))
+    members = staged(dealt_join(held, groups.drop("all"), ["root"], "of").where("lines IS NOT NULL"), "members")
+    for table in [*spent, distinct, roots, held]:
+        drop_staged(table)
+    place = F.struct("doc", "body", "pos")
+    places = dealt_join(lines.select("doc", "body", "pos", "line_id"), members, ["line_id"], "held").where("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("keep"), F.max("lines").alias("of"))
+    return lines, staged(dealt_join(members, places, ["root"], "of").select("line_id", "keep", "held"), "groups")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -202,13 +264,17 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     included; one that loses all of them is empty. Rows equal in id and text are one occurrence and lose the same lines.
     """
     lines, groups = line_groups(docs, doc_id, text, **options)
-    repeated = lines.join(groups.select(F.col("line_id").alias("id"), "keep"), F.col("line_id") == F.col("id"))
+    repeated = dealt_join(lines.select("doc", "body", "pos", "line_id"), groups, ["line_id"], "held").where("keep IS NOT NULL")
     place = F.struct("doc", "body", "pos")
     gone = repeated.where(~place.eqNullSafe(F.col("keep"))).groupBy(F.col("doc").alias("_doc"), F.col("body").alias("_body")).agg(F.collect_set("pos").alias("_gone"))
+    gone = staged(gone, "gone")
+    drop_staged(lines)
+    drop_staged(groups)
     results = ("n_lines", "n_removed")
     body = text_or_empty(f"`{text}`")
     rows = docs.select(packed(docs, text, *results), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.xxhash64(body).alias("_own"))
-    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_body")), "left")
+    sent = gone.agg(F.sum(4 * F.size("_gone") + 32)).first()[0] or 0
+    joined = rows.join(F.broadcast(gone) if sent <= SENT_BYTES else gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_body")), "left")
     parts = joined.withColumn("_parts", F.split(text_or_empty("_text"), "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_gone"), lambda i: F.get("_parts", i))
     left = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))
