@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicata.storage import staged
+
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 GEOMETRY = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
 _ARROW_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
@@ -25,42 +27,149 @@ WKB_MULTIPOLYGON = 6
 # Points a closed ring, or an open line, keeps at the least.
 RING_POINTS = 4
 LINE_POINTS = 2
-# Pairs of segments looked at in one array operation.
-PAIRS_AT_ONCE = 4_000_000
+# Cells that a piece may cover before it is kept in a list of its own, and that a search may look into.
+CELLS_OF_PIECE, CELLS_OF_SEARCH = 16, 1024
 
 
 # --- simplification ---------------------------------------------------------
 
+PIECE = T.StructType(
+    [T.StructField(c, T.IntegerType()) for c in ("a", "b")]
+    + [T.StructField(c, T.DoubleType()) for c in ("ax", "ay", "bx", "by")]
+    + [T.StructField("level", T.IntegerType())]
+)
+DRAWN = T.StructType([T.StructField("keep", T.ArrayType(T.BooleanType())), T.StructField("small", T.BooleanType()), T.StructField("pieces", T.ArrayType(PIECE)), T.StructField("top", T.IntegerType())])
+
+
+def simplify(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
+    """``df`` with the vertices of a geometry dropped that lie within ``tolerance`` of the outline that remains.
 
-def simplify(geometry: Column, tolerance: float) -> Column:
-    """Drop vertices that lie within ``tolerance`` of the outline that remains.
+    Ends of lines and start points of rings stay; a closed ring keeps at least four points; a shortcut that would
+    cross or touch another piece of the same geometry is not taken. Null stays null.
 
-    Ends of lines and start points of rings stay; a closed ring keeps at least
-    four points; a shortcut that would cross or touch another piece of the same
-    geometry is not taken. Null stays null.
+    All outlines are first halved as if no shortcut met anything. A join over the cells of a grid then finds the
+    shortcuts that do, whatever task the outline's pieces are in; only those outlines are done again, one shortcut
+    after the other, each tested against the pieces in its neighbourhood.
     """
+    drawn = drawn_outlines(df, geometry, tolerance)
+    doubtful = conflicts(drawn).select("_row").union(drawn.where("_drawn.small").select("_row")).distinct().withColumn("_again", F.lit(True))
+    doubtful = staged(doubtful, "outlines")
+    told = drawn.withColumn("_again", F.lit(False)) if doubtful.isEmpty() else drawn.join(doubtful, "_row", "left")
 
     @F.arrow_udf(GEOMETRY)
-    def run(column: pa.Array) -> pa.Array:
-        return _simplify_batch(column, tolerance)
+    def finish(column: pa.Array, keep: pa.Array, again: pa.Array) -> pa.Array:
+        return _finished(column, keep, again, tolerance)
+
+    shape = finish(F.col(f"`{geometry}`"), F.col("_drawn.keep"), F.coalesce("_again", F.lit(False)))
+    return told.select(*((shape if c == geometry else F.col(f"`{c}`")).alias(c) for c in df.columns))
+
 
-    return run(geometry)
+def drawn_outlines(df: DataFrame, geometry: str, tolerance: float) -> DataFrame:
+    """``df`` stored with ``_row`` and ``_drawn``: the vertices that halving keeps, whether a ring came out small, and the
+    pieces of the outline before and after (vertices ``a, b``, ends, and the level of the grid that fits them)."""
 
+    @F.arrow_udf(DRAWN)
+    def draw(column: pa.Array) -> pa.Array:
+        return _drawn_batch(column, tolerance)
 
-def _simplify_batch(column: pa.Array, tolerance: float) -> pa.Array:
+    return staged(df.withColumns({"_drawn": draw(F.col(f"`{geometry}`")), "_row": F.monotonically_increasing_id()}), "drawn")
+
+
+def conflicts(drawn: DataFrame) -> DataFrame:
+    """``_row, i, j, a, b``: shortcuts i-j that meet a piece a-b of the same outline that lies outside i..j.
+
+    A grid has cells of 2^level; a piece no longer than that touches four of them at the most. Two pieces are
+    compared at the level of the longer one, in every cell they share.
+    """
+    pieces = drawn.select("_row", "_drawn.top", F.explode("_drawn.pieces").alias("p")).select("_row", "top", "p.*")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("at", F.explode(F.sequence("level", "top")))
+        cell = F.pow(F.lit(2.0), F.col("at"))
+        for axis in ("x", "y"):
+            ends = [F.floor(F.least(f"a{axis}", f"b{axis}") / cell), F.floor(F.greatest(f"a{axis}", f"b{axis}") / cell)]
+            rows = rows.withColumn(f"c{axis}", F.explode(F.sequence(*ends)))
+        return rows.drop("top")
+
+    names = {"a": "i", "b": "j", "ax": "ix", "ay": "iy", "bx": "jx", "by": "jy", "level": "l"}
+    cuts = placed(pieces.where("b - a > 1")).withColumnsRenamed(names)
+    near = cuts.join(placed(pieces), ["_row", "at", "cx", "cy"])
+    near = near.where((F.greatest("l", "level") == F.col("at")) & ((F.col("b") <= F.col("i")) | (F.col("a") >= F.col("j"))))
+    for axis in ("x", "y"):
+        near = near.where(F.greatest(f"a{axis}", f"b{axis}") >= F.least(f"i{axis}", f"j{axis}"))
+        near = near.where(F.least(f"a{axis}", f"b{axis}") <= F.greatest(f"i{axis}", f"j{axis}"))
+    return near.where(_meeting()).select("_row", "i", "j", "a", "b").distinct()
+
+
+def _meeting() -> Column:
+    """Segments i-j and a-b cross, or an end of one lies inside the other."""
+
+    def side(p: str, q: str, r: str) -> Column:
+        c = lambda name: F.col(name)
+        return F.signum((c(q + "x") - c(p + "x")) * (c(r + "y") - c(p + "y")) - (c(q + "y") - c(p + "y")) * (c(r + "x") - c(p + "x")))
+
+    def inside(p: str, q: str, r: str) -> Column:
+        d = {axis: F.col(q + axis) - F.col(p + axis) for axis in "xy"}
+        reach = (F.col(r + "x") - F.col(p + "x")) * d["x"] + (F.col(r + "y") - F.col(p + "y")) * d["y"]
+        return (side(p, q, r) == 0) & (reach > 0) & (reach < d["x"] * d["x"] + d["y"] * d["y"])
+
+    crossing = (side("i", "j", "a") * side("i", "j", "b") < 0) & (side("a", "b", "i") * side("a", "b", "j") < 0)
+    return crossing | inside("i", "j", "a") | inside("i", "j", "b") | inside("a", "b", "i") | inside("a", "b", "j")
+
+
+def _parts(column: pa.Array) -> tuple:
+    """Coordinates of a batch of geometries, and where geometries, polygons and rings end."""
     polygons = _members(column)
     rings = _members(polygons)
     points = _members(rings)
     x, y = (points.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-    geometry_ends, polygon_ends, ring_ends = (
-        np.concatenate([[0], np.cumsum(_lengths(a))]) for a in (column, polygons, rings)
-    )
+    ends = [np.concatenate([[0], np.cumsum(_lengths(a))]) for a in (column, polygons, rings)]
+    return points, x, y, *ends
+
+
+def _drawn_batch(column: pa.Array, tolerance: float) -> pa.Array:
+    _, x, y, geometry_ends, polygon_ends, ring_ends = _parts(column)
     keep = _halved(x, y, ring_ends, tolerance)
-    for bounds in (ring_ends[polygon_ends[a] : polygon_ends[b] + 1] for a, b in zip(geometry_ends[:-1], geometry_ends[1:])):
+    ring_of = np.repeat(np.arange(len(ring_ends) - 1), np.diff(ring_ends))
+    after = np.flatnonzero(keep)
+    sections = [np.arange(len(x) - 1), np.arange(1, len(x))], [after[:-1], after[1:]]
+    (a, b), (i, j) = ([s[ring_of[p] == ring_of[q]] for s in (p, q)] for p, q in sections)
+    cuts = j - i > 1
+    a, b = np.concatenate([a, i[cuts]]), np.concatenate([b, j[cuts]])
+    point_ends = ring_ends[polygon_ends[geometry_ends]]
+    owner = np.searchsorted(point_ends, a, "right") - 1
+    kept_all = np.array([keep[s:e].all() for s, e in zip(point_ends, point_ends[1:])], dtype=bool)
+    open_ = ~kept_all[owner] if len(owner) else np.zeros(0, dtype=bool)
+    order = np.argsort(owner[open_], kind="stable")
+    a, b, owner = a[open_][order], b[open_][order], owner[open_][order]
+    extent = np.maximum(np.abs(x[a] - x[b]), np.abs(y[a] - y[b]))
+    level = np.ceil(np.log2(np.maximum(extent, 1e-300))).astype(np.int64)
+    ends = np.searchsorted(owner, np.arange(len(column) + 1))
+    top = np.zeros(len(column), dtype=np.int64)
+    for g in np.flatnonzero(np.diff(ends)):  # pieces shorter than most stand with the others
+        own = level[ends[g] : ends[g + 1]]
+        np.maximum(own, int(np.median(own)), out=own)
+        top[g] = own.max()
+    small = np.zeros(len(column), dtype=bool)
+    first = ring_ends[:-1]
+    last = np.maximum(ring_ends[1:] - 1, first)
+    size, left = np.diff(ring_ends), np.diff(np.concatenate([[0], np.cumsum(keep)])[ring_ends])
+    for r in np.flatnonzero((size > RING_POINTS) & (left <= RING_POINTS)):
+        if x[first[r]] == x[last[r]] and y[first[r]] == y[last[r]]:
+            small[np.searchsorted(point_ends, first[r], "right") - 1] = True
+    parts = [pa.array(v, t) for v, t in ((a - point_ends[owner], pa.int32()), (b - point_ends[owner], pa.int32()), (x[a], pa.float64()), (y[a], pa.float64()), (x[b], pa.float64()), (y[b], pa.float64()), (level, pa.int32()))]
+    pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, PIECE.names))
+    flags = pa.ListArray.from_arrays(pa.array(point_ends, pa.int32()), pa.array(keep))
+    return pa.StructArray.from_arrays([flags, pa.array(small), pieces, pa.array(top, pa.int32())], DRAWN.names)
+
+
+def _finished(column: pa.Array, flags: pa.Array, again: pa.Array, tolerance: float) -> pa.Array:
+    points, x, y, geometry_ends, polygon_ends, ring_ends = _parts(column)
+    keep = _members(flags).to_numpy(zero_copy_only=False).astype(bool)
+    for g in np.flatnonzero(again.to_numpy(zero_copy_only=False)):
+        bounds = ring_ends[polygon_ends[geometry_ends[g]] : polygon_ends[geometry_ends[g + 1]] + 1]
         begin, end = bounds[0], bounds[-1]
-        px, py, kept = x[begin:end], y[begin:end], keep[begin:end]
-        if not kept.all() and _doubtful(px, py, kept, bounds - begin):
-            keep[begin:end] = _kept(px, py, bounds - begin, tolerance)
+        keep[begin:end] = _kept(x[begin:end], y[begin:end], bounds - begin, tolerance)
     kept_before = np.concatenate([[0], np.cumsum(keep)])
     new_points = points.filter(pa.array(keep))
     new_rings = pa.ListArray.from_arrays(pa.array(kept_before[ring_ends], pa.int32()), new_points)
@@ -102,32 +211,6 @@ def _halved(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float)
     return keep
 
 
-def _doubtful(x: np.ndarray, y: np.ndarray, keep: np.ndarray, bounds: np.ndarray) -> bool:
-    """Must one geometry be done step by step: a ring came out small, or a shortcut meets a piece?
-
-    Pieces are those of the outline before and after; if no shortcut meets any,
-    the order in which they were taken makes no difference.
-    """
-    ring_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    for begin, end in zip(bounds[:-1], bounds[1:]):
-        if end - begin > RING_POINTS and keep[begin:end].sum() <= RING_POINTS and x[begin] == x[end - 1] and y[begin] == y[end - 1]:
-            return True
-    after = np.flatnonzero(keep)
-    a, b = after[:-1], after[1:]
-    same = ring_of[a] == ring_of[b]
-    a, b = a[same], b[same]
-    cuts = b - a > 1
-    i, j = a[cuts], b[cuts]
-    before = np.arange(len(x) - 1)
-    before = before[ring_of[before] == ring_of[before + 1]]
-    a, b = np.concatenate([before, i]), np.concatenate([before + 1, j])
-    block = max(1, PAIRS_AT_ONCE // len(a))
-    for start in range(0, len(i), block):
-        if _any_meeting(x, y, i[start : start + block], j[start : start + block], a, b):
-            return True
-    return False
-
-
 def _any_meeting(x, y, i, j, a, b) -> bool:
     """Does any segment i-j meet any segment a-b that lies outside i..j?"""
     low_x, high_x = np.minimum(x[i], x[j])[:, None], np.maximum(x[i], x[j])[:, None]
@@ -154,6 +237,7 @@ def _kept(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) ->
     """Which vertices of one geometry stay, shortcut by shortcut; ``bounds`` delimits its rings."""
     alive = np.ones(len(x), dtype=bool)
     ring_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    pieces = _Pieces(x, y, np.flatnonzero(ring_of[:-1] == ring_of[1:]))
     for begin, end in zip(bounds[:-1], bounds[1:]):
         if end - begin < 3:
             continue
@@ -170,15 +254,65 @@ def _kept(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, tolerance: float) ->
             far = int(np.argmax(away))
             reached = settled + 1 if settled else 0
             too_few = reached < least and depth + 1 < least
-            if too_few or away[far] > tolerance or _meets_other(x, y, alive, ring_of, i, j):
+            if too_few or away[far] > tolerance or pieces.meet(i, j):
                 split = i + 1 + far
                 todo += [(split, j, depth + 1), (i, split, depth + 1)]
             else:
                 alive[i + 1 : j] = False
+                pieces.replace(i, j)
                 settled += 1
     return alive
 
 
+class _Pieces:
+    """The pieces of an outline as it stands, by the cells of a grid that their boxes touch."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, starts: np.ndarray):
+        self.x, self.y, self.end = x, y, {}
+        self.cells: dict[tuple[int, int], set[int]] = {}
+        self.long: set[int] = set()
+        extent = np.maximum(np.abs(np.diff(x)), np.abs(np.diff(y)))[starts]
+        middle = float(np.median(extent[extent > 0])) if np.any(extent > 0) else 1.0
+        self.size = 4 * middle
+        for a in starts.tolist():
+            self._add(a, a + 1)
+
+    def _box(self, a: int, b: int) -> tuple[range, range]:
+        spans = (sorted((v[a] // self.size, v[b] // self.size)) for v in (self.x, self.y))
+        return tuple(range(int(low), int(high) + 1) for low, high in spans)
+
+    def _add(self, a: int, b: int) -> None:
+        self.end[a] = b
+        across, up = self._box(a, b)
+        if len(across) * len(up) > CELLS_OF_PIECE:
+            self.long.add(a)
+            return
+        for cx in across:
+            for cy in up:
+                self.cells.setdefault((cx, cy), set()).add(a)
+
+    def replace(self, i: int, j: int) -> None:
+        """The shortcut i-j instead of the pieces between."""
+        for a in range(i, j):
+            across, up = self._box(a, self.end.pop(a))
+            self.long.discard(a)
+            for cx in across if len(across) * len(up) <= CELLS_OF_PIECE else ():
+                for cy in up:
+                    self.cells[cx, cy].discard(a)
+        self._add(i, j)
+
+    def meet(self, i: int, j: int) -> bool:
+        """Would the shortcut i-j run into a piece outside i..j?"""
+        across, up = self._box(i, j)
+        if len(across) * len(up) > CELLS_OF_SEARCH:
+            near = set(self.end)
+        else:
+            near = self.long.union(*(self.cells.get((cx, cy), ()) for cx in across for cy in up))
+        a = np.fromiter(near, dtype=np.int64, count=len(near))
+        b = np.array([self.end[k] for k in near], dtype=np.int64)
+        return bool(len(a)) and _any_meeting(self.x, self.y, np.array([i]), np.array([j]), a, b)
+
+
 def _segment_distance(x: np.ndarray, y: np.ndarray, i, j, p) -> np.ndarray:
     """Distance of the vertices p from the segments i-j."""
     px, py = x[p] - x[i], y[p] - y[i]
@@ -189,14 +323,6 @@ def _segment_distance(x: np.ndarray, y: np.ndarray, i, j, p) -> np.ndarray:
     return np.sqrt(ex * ex + ey * ey)
 
 
-def _meets_other(x, y, alive, ring_of, i: int, j: int) -> bool:
-    """Would the shortcut i-j run into a piece of the current outline outside i..j?"""
-    index = np.flatnonzero(alive)
-    a, b = index[:-1], index[1:]
-    same = ring_of[a] == ring_of[b]
-    return _any_meeting(x, y, np.array([i]), np.array([j]), a[same], b[same])
-
-
 def _meet(x, y, i, j, a, b):
     """Segments i-j and a-b cross, or an end of one lies inside the other."""
     side_a, side_b = _side(x, y, i, j, a), _side(x, y, i, j, b)

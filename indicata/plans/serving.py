@@ -17,11 +17,11 @@ def serving(gold: DataFrame, polygons: DataFrame, tolerance: float = TOLERANCE)
     Outlines are simplified before the join: once per polygon rather than once
     per joined row, and the join then moves the smaller shape.
     """
-    small = polygons.withColumn("geometry", simplify(F.col("geometry"), tolerance))
+    small = simplify(polygons, "geometry", tolerance)
     return join_geometry(gold, small, names.CODE)
 
 
 def serving_wkb(gold: DataFrame, polygons: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """The same for polygons in well-known binary, which the result keeps."""
-    small = polygons.withColumn("geometry", to_wkb(simplify(from_wkb(F.col("geometry")), tolerance)))
-    return join_geometry(gold, small, names.CODE)
+    small = simplify(polygons.withColumn("geometry", from_wkb(F.col("geometry"))), "geometry", tolerance)
+    return join_geometry(gold, small.withColumn("geometry", to_wkb(F.col("geometry"))), names.CODE)

@@ -16,7 +16,7 @@ def shapes(spark, *given):
 
 
 def simplified(spark, tolerance, *given):
-    found = shapes(spark, *given).select("id", geo.simplify(F.col("geometry"), tolerance).alias("g")).orderBy("id").collect()
+    found = geo.simplify(shapes(spark, *given), "geometry", tolerance).select("id", F.col("geometry").alias("g")).orderBy("id").collect()
     return [None if r["g"] is None else [[[tuple(p) for p in ring] for ring in polygon] for polygon in r["g"]] for r in found]
 
 
@@ -84,6 +84,62 @@ def test_removed_vertices_lie_within_tolerance_and_nothing_crosses(spark):
         assert crossings(after) <= crossings(before)
 
 
+def doubtful(x, y, keep, bounds):
+    """The same question as the grid join's, by all pairs: a ring came out small, or a shortcut meets a piece."""
+    ring_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        if end - begin > geo.RING_POINTS and keep[begin:end].sum() <= geo.RING_POINTS and x[begin] == x[end - 1] and y[begin] == y[end - 1]:
+            return True
+    before, after = np.arange(len(x)), np.flatnonzero(keep)
+    (a, b), (i, j) = ((s[:-1][ring_of[s[:-1]] == ring_of[s[1:]]], s[1:][ring_of[s[:-1]] == ring_of[s[1:]]]) for s in (before, after))
+    a, b = np.concatenate([a, i]), np.concatenate([b, j])
+    cuts = j - i > 1
+    return any(geo._any_meeting(x, y, i[cuts][k : k + 1], j[cuts][k : k + 1], a, b) for k in range(cuts.sum()))
+
+
+def walk(rng, n):
+    steps = rng.integers(-9, 10, (n, 2)).cumsum(axis=0).astype(float)
+    return [tuple(map(float, p)) for p in steps]
+
+
+def test_grid_join_finds_what_all_pairs_find(spark):
+    rng = np.random.default_rng(12)
+    given = [[[walk(rng, int(n))] for _ in range(rng.integers(1, 3))] for n in rng.integers(3, 200, 60)] + [[[wiggly(rng)]] for _ in range(20)]
+    given.append([[[(0.0, 0.0), (1e9, 0.5), (2e9, 0.0), (2e9, 1e9), (1.5e9, 0.2), (3.0, 5.0), (3.0, 4.0)]]])
+    for tolerance in (4.0, 30.0):
+        drawn = geo.drawn_outlines(shapes(spark, *given), "geometry", tolerance)
+        met = {r["id"] for r in geo.conflicts(drawn).join(drawn.select("_row", "id"), "_row").select("id").collect()}
+        small = {r["id"] for r in drawn.where("_drawn.small").select("id").collect()}
+        wanted, shaped = set(), simplified(spark, tolerance, *given)
+        for k, polygons in enumerate(given):
+            rings = [np.array(r) for p in polygons for r in p]
+            x, y = np.concatenate(rings).T
+            ends = np.concatenate([[0], np.cumsum([len(r) for r in rings])])
+            keep = geo._halved(x, y, ends, tolerance)
+            if not keep.all() and doubtful(x, y, keep, ends):
+                wanted.add(k)
+                keep = geo._kept(x, y, ends, tolerance)
+            flat = [p for polygon in shaped[k] for ring in polygon for p in ring]
+            assert flat == [tuple(p) for p, kept in zip(np.column_stack([x, y]).tolist(), keep) if kept]
+        assert met | small == wanted and len(wanted) > 10
+
+
+def test_pieces_are_found_near_and_far():
+    rng = np.random.default_rng(13)
+    for n in (5, 60, 400):
+        x, y = np.array(walk(rng, n)).T
+        pieces = geo._Pieces(x, y, np.arange(n - 1))
+        alive = np.ones(n, dtype=bool)
+        for _ in range(60):
+            i, j = sorted(rng.choice(np.flatnonzero(alive), 2, replace=False).tolist())
+            index = np.flatnonzero(alive)
+            wanted = geo._any_meeting(x, y, np.array([i]), np.array([j]), index[:-1], index[1:])
+            assert pieces.meet(i, j) == wanted
+            if j - i > 1 and all(alive[i:j]) and rng.random() < 0.5:
+                pieces.replace(i, j)
+                alive[i + 1 : j] = False
+
+
 def test_batch_and_stepwise_simplification_agree():
     rng = np.random.default_rng(9)
     for tolerance in (0.02, 0.2, 1.0, 3.0):
@@ -95,7 +151,7 @@ def test_batch_and_stepwise_simplification_agree():
             bounds = np.array([0, b - a])
             slow = geo._kept(x[a:b], y[a:b], bounds, tolerance)
             quick = fast[a:b]
-            if quick.all() or not geo._doubtful(x[a:b], y[a:b], quick, bounds):
+            if quick.all() or not doubtful(x[a:b], y[a:b], quick, bounds):
                 assert (quick == slow).all()
 
 
