@@ -3,22 +3,52 @@
 No side is broadcast by hint: Spark broadcasts what it measures to be below its
 own threshold and sort-merges the rest, and silver tables that were aggregated
 on the key are already partitioned by it, so a chain of joins on that key adds
-no shuffle. A key that holds a large share of a table is the case a sort-merge
-join cannot spread by itself; ``fold_left_spread`` deals those rows out.
+no shuffle; tables stored in buckets of the key need none either. A key that holds a
+large share of a table is the case a sort-merge join cannot spread by itself;
+``fold_left_spread`` deals those rows out. Which keys these are is known from a sketch
+of frequent items that any write of the table can take along.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicata.storage import staged
+
 #: Rows of one key that a task may be left with; a key with more is dealt to as many slots as that takes.
 ROWS_PER_TASK = 1_000_000
-#: The list of hot keys stops at so many, the largest first, and may then be sent to every task.
-HOT_KEYS = 50_000
+#: Items a sketch keeps, and how many of them it reports. With n rows a sketch is off by 2.7 n / TRACKED at most; a key of
+#: more than twice that is certain to be reported, and no more keys than OFTEN can have so many rows.
+TRACKED, OFTEN = 8192, 2048
+
+
+@dataclass(frozen=True)
+class KeyCounts:
+    """What a sketch knows of a table's keys: the rows with a key, and the frequent ones with their counts."""
+
+    rows: int
+    often: dict
+
+    @staticmethod
+    def of(row) -> KeyCounts:
+        """From the values of ``key_columns``."""
+        return KeyCounts(row["key_rows"], {i["item"]: i["count"] for i in row["key_often"] or () if i["item"] is not None})
+
+
+def key_columns(key: str) -> list[Column]:
+    """Aggregates that count a key's frequent values; they can be observed while a table is written."""
+    return [F.count(f"`{key}`").alias("key_rows"), F.expr(f"approx_top_k(`{key}`, {OFTEN}, {TRACKED})").alias("key_often")]
+
+
+def key_counts(tables: Sequence[DataFrame], key: str) -> list[KeyCounts]:
+    """The sketches of tables that come without, from one job that reads all of them."""
+    found = [t.agg(*key_columns(key)).withColumn("table", F.lit(i)) for i, t in enumerate(tables)]
+    return [KeyCounts.of(r) for r in sorted(reduce(DataFrame.unionByName, found).collect(), key=lambda r: r["table"])]
 
 
 def keyed(df: DataFrame, key: str, to: str = "string") -> DataFrame:
@@ -36,22 +66,17 @@ def fold_left(tables: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda left, right: left.join(right, key, "left"), tables)
 
 
-def hot_slots(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+def hot_slots(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK, counts: Sequence[KeyCounts] | None = None) -> DataFrame | None:
     """The keys with more than ``rows_per_task`` rows in any table, and the slots of each table: ``key, s0, s1, ...``.
 
-    One job over all tables, counts combined map-side. At most ``HOT_KEYS`` keys come back, those with the most
-    rows; None if there are none.
+    They are read off the sketches (``counts``; taken in a job over all tables if not given), which makes them a
+    bounded list; None if there are none.
     """
-    counts = [
-        t.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(key, *(F.when(F.lit(i == j), F.col("n")).otherwise(F.lit(0)).alias(f"n{j}") for j in range(len(tables))))
-        for i, t in enumerate(tables)
-    ]
-    most = F.greatest(*(F.col(f"n{j}") for j in range(len(tables))), F.lit(0))
-    hot = reduce(DataFrame.unionByName, counts).where(most > rows_per_task).groupBy(key).agg(*(F.max(f"n{j}").alias(f"n{j}") for j in range(len(tables))))
-    found = hot.orderBy(most.desc(), key).limit(HOT_KEYS).collect()
-    if not found:
+    counts = key_counts(tables, key) if counts is None else counts
+    hot = sorted({k for c in counts for k, n in c.often.items() if n > rows_per_task})
+    if not hot:
         return None
-    slots = [(r[0], *(max(1, -(-r[f"n{j}"] // rows_per_task)) for j in range(len(tables)))) for r in found]
+    slots = [(k, *(max(1, -(-c.often.get(k, 0) // rows_per_task)) for c in counts)) for k in hot]
     kind = tables[0].schema[key].dataType.simpleString()
     return tables[0].sparkSession.createDataFrame(slots, f"`{key}` {kind}, " + ", ".join(f"s{j} int" for j in range(len(tables))))
 
@@ -106,18 +131,18 @@ def _dealt_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return _repeated(pairs, F.col("_left_copies") * F.col("_right_copies")).drop("_l", "_r", "_ls", "_rs", "_left_copies", "_right_copies")
 
 
-def fold_left_spread(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def fold_left_spread(tables: Sequence[DataFrame], key: str, rows_per_task: int = ROWS_PER_TASK, counts: Sequence[KeyCounts] | None = None) -> DataFrame:
     """``fold_left`` that stays balanced when a key holds much of any table.
 
     The hot keys of all tables - a bounded table - are set apart once. The rest is the
     plain chain of joins; the rows of hot keys go through ``_dealt_join``, with slots by
-    their number. Without hot keys this is ``fold_left``. Each table is read again for
-    the check, so hand it stored tables.
+    their number, and are stored after every step, as each step reads them more than once.
+    Without hot keys this is ``fold_left``. Only without ``counts`` are the tables read to look for them.
     """
-    hot = hot_slots(tables, key, rows_per_task)
+    hot = hot_slots(tables, key, rows_per_task, counts)
     if hot is None:
         return fold_left(tables, key)
-    hot = F.broadcast(hot)  # at most HOT_KEYS rows
+    hot = F.broadcast(hot)  # at most OFTEN rows a table
     plain = fold_left([t.join(hot.select(key), key, "left_anti") for t in tables], key)
     joined = tables[0].join(hot.select(key), key, "left_semi")
     wide = F.lit(1)
@@ -125,7 +150,8 @@ def fold_left_spread(tables: Sequence[DataFrame], key: str, rows_per_task: int =
         # Rows of a key multiply along the chain, and so do the slots of its left side.
         wide = F.least(F.lit(1 << 20), wide * F.col(f"s{j - 1}").cast("bigint"))
         slots = hot.select(key, wide.cast("int").alias("_ls"), F.col(f"s{j}").alias("_rs"))
-        joined = _dealt_join(joined.join(slots, key), right.join(slots, key), key)
+        left, other = (staged(t.join(slots, key), "hot") for t in (joined, right))
+        joined = staged(_dealt_join(left, other, key), "dealt")
     return plain.unionByName(joined)
 
 

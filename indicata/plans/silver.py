@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from indicata.sources.catalogue import Source
 from indicata.sources.landing import ORDINAL
 
 MODES = ("label", "strict")
+STATE, GIVEN, CLEAN, REJECT = "state", "given", "clean", "reject"
 
 
 def selected(raw: DataFrame, source: Source) -> DataFrame:
@@ -51,19 +52,42 @@ def silver_and_rejects(raw: DataFrame, source: Source, mode: str = "label") -> t
     return _refined(rows, source, mode), rejects.select(names.CODE, source.name)
 
 
+def silver_states(raw: DataFrame, source: Source, mode: str = "label") -> DataFrame:
+    """Both in one table, for a write that reads the raw rows once: ``code``, the value, ``given`` (a rejected row's
+    value as it came) and ``state``."""
+    rows = selected(raw, source)
+    missing, value = F.col(names.CODE).isNull(), F.col(source.name)
+    told = {GIVEN: F.when(missing, value), STATE: F.when(missing, REJECT).otherwise(CLEAN)}
+    rows = _cast(rows.withColumns({**told, source.name: F.when(~missing, value)}), source, mode)
+    if mode == "strict":
+        # Every rejected row is a key of its own.
+        columns = [F.min_by(c, ORDINAL).alias(c) for c in (source.name, GIVEN, STATE)]
+        rows = rows.groupBy(names.CODE, F.when(missing, F.col(ORDINAL)).alias("_row")).agg(*columns)
+    return rows.select(names.CODE, _scaled(source).alias(source.name), GIVEN, STATE)
+
+
 def _refined(rows: DataFrame, source: Source, mode: str) -> DataFrame:
+    rows, _ = split_null_keys(rows, names.CODE)
+    rows = _cast(rows, source, mode)
+    if mode == "strict":
+        rows = first_per_key(rows, names.CODE, ORDINAL)
+    return rows.select(names.CODE, _scaled(source).alias(source.name))
+
+
+def _cast(rows: DataFrame, source: Source, mode: str) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
-    rows, _ = split_null_keys(rows, names.CODE)
     if source.dtype is not None:
         rows = CAST_MODES[source.casts[mode]](rows, source.name, source.dtype)
         if isinstance(rows.schema[source.name].dataType, T.StringType):
             raise MissingColumns(f"{source.value}: values that are no {source.dtype}")
-    if mode == "strict":
-        rows = first_per_key(rows, names.CODE, ORDINAL)
+    return rows
+
+
+def _scaled(source: Source) -> Column:
     value = F.col(source.name)
     if source.scale is not None:
         value = value * F.lit(source.scale)
     if source.digits is not None:
         value = round_scaled(value, source.digits)
-    return rows.select(names.CODE, value.alias(source.name))
+    return value

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -133,15 +133,36 @@ def measured_write(df: DataFrame, path: str, stage: str, fmt: str = "parquet") -
     them. The observation is the last step before the write and thus part of the
     job's result tasks, each of which Spark counts once however often it is run.
     """
+    return observed_write(df, path, stage, (), fmt)[:2]
+
+
+def observed_write(df: DataFrame, path: str, stage: str, observed: Sequence[Column], fmt: str = "parquet") -> tuple[DataFrame, StageMetric, dict]:
+    """``measured_write`` with further aggregates, whose values come back as well."""
     missing = F.lit(0)
     for c in df.columns:
         missing = missing + F.count_if(F.col(f"`{c}`").isNull())
     seen = Observation()
     started = time.monotonic()
-    write_layer(df.observe(seen, F.count(F.lit(1)).alias("rows"), missing.alias("missing")), path, fmt)
+    write_layer(df.observe(seen, F.count(F.lit(1)).alias("rows"), missing.alias("missing"), *observed), path, fmt)
     seconds = time.monotonic() - started
     stored = read_layer(df.sparkSession, path, df.schema, fmt)
-    return stored, StageMetric(stage, seen.get["rows"], seen.get["missing"], seconds)
+    return stored, StageMetric(stage, seen.get["rows"], seen.get["missing"], seconds), seen.get
+
+
+def clustered_write(df: DataFrame, path: str, key: str, parts: str, observed: Sequence[Column], buckets: int | None = None) -> tuple[DataFrame, dict, float]:
+    """Write a layer in folders by ``parts`` and buckets of ``key``; the stored table, what was observed, and the seconds.
+
+    Tables with the same number of buckets (that of shuffle partitions unless told otherwise) join on the key without a
+    shuffle. Rows go to the task of their bucket first, except where a bucket is so full that Spark splits it. The table
+    is known to the catalogue under a name of its own while the session lasts; its files are ordinary Parquet.
+    """
+    spark, seen = df.sparkSession, Observation()
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"indicata_{uuid.uuid4().hex}"
+    started = time.monotonic()
+    dealt = df.hint("rebalance", count, F.col(key)).observe(seen, *observed)
+    dealt.write.mode("overwrite").partitionBy(parts).bucketBy(count, key).option("compression", "snappy").option("path", path).saveAsTable(name)
+    return spark.table(name), seen.get, time.monotonic() - started
 
 
 def metrics_table(spark: SparkSession, metrics: list[StageMetric]) -> DataFrame:

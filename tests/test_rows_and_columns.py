@@ -133,3 +133,16 @@ def test_spread_fold_of_several_tables(spark):
     ]
     found = joins.fold_left_spread(tables, "code", rows_per_task=40)
     assert rows(found) == rows(joins.fold_left(tables, "code"))
+
+
+def test_sketches_report_every_frequent_key(spark):
+    """More distinct keys than a sketch keeps: the counts are off by no more than the bound, and no frequent key is missing."""
+    n = 400_000
+    df = spark.range(n).selectExpr("cast(case when id % 10 < 3 then id % 30 else id end as string) AS code").repartition(5)
+    (found,) = joins.key_counts([df], "code")
+    off = 2.7 * n / joins.TRACKED
+    wanted = {str(k): n // 30 for k in range(30) if k % 10 < 3}
+    assert found.rows == n and set(wanted) <= set(found.often) and len(found.often) <= joins.OFTEN
+    assert all(abs(found.often[k] - w) <= off for k, w in wanted.items())
+    assert all(c <= 1 + off for k, c in found.often.items() if k not in wanted)
+    assert joins.key_counts([spark.createDataFrame([(None,)], "code string"), df.where("false")], "code") == [joins.KeyCounts(0, {})] * 2
