@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.functions import finite_or_null
 
+from .moments import cross_moments
+
+#: Columns whose pairs are aggregates of one query; more go through matrices.
+FEW_COLUMNS = 12
+
 
 def pair_structs(columns: Sequence[str]) -> Column:
     """Every unordered pair as an array of ``(var_x, var_y, r, pairs)`` aggregates.
@@ -45,8 +51,16 @@ def mirrored(pairs: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per unordered pair (a variable with itself included), one scan in all."""
-    return df.agg(pair_structs(columns).alias("p")).select(F.inline("p"))
+    """One row per unordered pair (a variable with itself included), one scan in all.
+
+    A few columns are a few aggregates; of many, blocks of cross-products are added up.
+    """
+    if len(columns) <= FEW_COLUMNS:
+        return df.agg(pair_structs(columns).alias("p")).select(F.inline("p"))
+    moments = cross_moments(df, columns)
+    r = moments.correlation()
+    pairs = [(columns[i], columns[j], None if np.isnan(r[i, j]) else float(r[i, j]), int(moments.rows[i, j])) for i, j in combinations_with_replacement(range(len(columns)), 2)]
+    return df.sparkSession.createDataFrame(pairs, "var_x string, var_y string, r double, pairs bigint")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

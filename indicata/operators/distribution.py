@@ -12,9 +12,10 @@ from .describe import finite
 
 BINS = 100
 GRID = 200
-# Values of a column are put together in this many equal cells before their kernels are spread over the grid; a cell
-# stands at the mean of its values, so a curve is off by the square of a cell's width over the bandwidth at most.
-CELLS = 65_536
+# Values are put together in cells of this part of a bandwidth, with their moments about the middle of the cell up to
+# ORDER. A kernel's series around the middle then stops at a term of (z / 256)^7 / 7! of its height, z bandwidths away:
+# 4e-10 at the end of its reach, below 1e-13 within ten bandwidths, for any number and any spread of values.
+CELLS_IN_BANDWIDTH, ORDER = 128, 6
 # exp(-z*z/2) is zero in double precision beyond this distance.
 KERNEL_REACH = 38.7
 
@@ -128,6 +129,24 @@ def _bin(bins: int) -> Column:
     )
 
 
+def _power(value: Column, k: int) -> Column:
+    out = F.lit(1.0)
+    for _ in range(k):
+        out = out * value
+    return out
+
+
+def _series(z: Column) -> Column:
+    """The kernels of a cell's values over the kernel of its middle: Hermite polynomials times moments."""
+    before, now = F.lit(0.0), F.lit(1.0)
+    total, factorial = F.col("m0"), 1.0
+    for k in range(1, ORDER + 1):
+        before, now = now, z * now - F.lit(float(k - 1)) * before
+        factorial *= k
+        total = total + now * F.col(f"m{k}") / F.lit(factorial)
+    return total
+
+
 def density(
     df: DataFrame,
     columns: Sequence[str],
@@ -137,10 +156,9 @@ def density(
 ) -> DataFrame:
     """``(variable, position, x, y)``: a Gaussian kernel density on the histogram's count scale.
 
-    One scan sums the values by cell; what follows is cells times grid points, whatever
-    the size of the table. A cell adds to the grid points its kernel reaches, and to no
-    others: the kernel is exactly zero in double precision outside. Columns without spread
-    have rows with a null height.
+    One scan sums the values' moments by cells of a part of the bandwidth; what follows is occupied cells times the
+    grid points that their kernels reach: a kernel is exactly zero in double precision outside. The curve is that of the
+    single values to 4e-10 of every kernel's height. Columns without spread have rows with a null height.
     """
     spark = df.sparkSession
     every = list(spreads(df, columns) if found is None else found)
@@ -158,20 +176,16 @@ def density(
     point = F.col("lo") + F.col("reach") * F.col("position") / F.lit(grid - 1)
     step = F.col("reach") / F.lit(grid - 1)
     away = F.lit(KERNEL_REACH) * F.col("h")
-    first = F.greatest(F.lit(0), F.floor((F.col("value") - away - F.col("lo")) / step))
-    last = F.least(F.lit(grid - 1), F.ceil((F.col("value") + away - F.col("lo")) / step))
-    z = (point - F.col("value")) / F.col("h")
-    cell = F.floor((F.col("value") - F.col("lo")) / F.col("reach") * F.lit(float(CELLS)))
-    cells = (
-        _long(df, found, *parameters)
-        .groupBy("variable", "lo", "reach", "h", cell.alias("cell"))
-        .agg(F.avg("value").alias("value"), F.count(F.lit(1)).alias("values"))
-    )
-    sums = (
-        cells.withColumn("position", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-        .groupBy("variable", "position")
-        .agg(F.sum(F.col("values") * F.exp(F.lit(-0.5) * z * z)).alias("mass"))
-    )
+    first = F.greatest(F.lit(0.0), F.floor((F.col("middle") - away - F.col("lo")) / step).cast("double"))
+    last = F.least(F.lit(grid - 1.0), F.ceil((F.col("middle") + away - F.col("lo")) / step).cast("double"))
+    width = F.col("h") / F.lit(float(CELLS_IN_BANDWIDTH))
+    cell = F.rint((F.col("value") - F.col("lo")) / width)
+    placed = _long(df, found, *parameters).withColumn("middle", F.col("lo") + cell * width)
+    u = (F.col("value") - F.col("middle")) / F.col("h")
+    cells = placed.groupBy("variable", "lo", "reach", "h", "middle").agg(*(F.sum(_power(u, k)).alias(f"m{k}") for k in range(ORDER + 1)))
+    z = (point - F.col("middle")) / F.col("h")
+    spread_out = cells.withColumn("position", F.explode(F.sequence(first.cast("int"), last.cast("int")))).withColumn("z", z)
+    sums = spread_out.groupBy("variable", "position").agg(F.sum(_series(F.col("z")) * F.exp(F.lit(-0.5) * F.col("z") * F.col("z"))).alias("mass"))
     axis = _axis(spark, found, grid, *parameters)
     scale = F.col("reach") / F.lit(float(bins)) / (F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
     # ``sums`` has at most grid x variables rows, so it may be broadcast.

@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from indicata.functions import finite_or_null
 from indicata.functions.tails import f_upper, student_quantile, student_two_sided
 
+from .correlation import FEW_COLUMNS
+from .moments import cross_moments
+
 INTERCEPT = "Intercept"
 COLLINEAR_BELOW = 1e-12
 #: Shares of a column, and remainders of its mean, that are no more than rounding.
@@ -243,8 +246,11 @@ def _row_space(scaled: np.ndarray, unit: np.ndarray, mean: np.ndarray, rank: int
 
 def ols(df: DataFrame, response: str, predictors: Sequence[str]) -> Fit:
     """Fit ``response ~ 1 + predictors`` over complete cases, reading ``df`` once."""
-    row = df.agg(*statistics_columns([response, *predictors])).first()
-    return fit_from_statistics(row, response, predictors)
+    columns = [response, *predictors]
+    if len(columns) <= FEW_COLUMNS:
+        return fit_from_statistics(df.agg(*statistics_columns(columns)).first(), response, predictors)
+    moments = cross_moments(df.where(complete_case(columns)), columns)
+    return fit_from_moments(int(moments.rows[0, 0]), np.diag(moments.mean).copy(), moments.products, response, predictors)
 
 
 COEFFICIENT_SCHEMA = (

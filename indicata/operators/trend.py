@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +15,8 @@ from indicata.functions import finite_or_null
 
 GRID = 100
 REPLICATES = 1000
-# Units are resampled in this many groups.
-GROUPS = 4096
+# Rows whose weights in all replicates are drawn at once.
+ROWS_AT_ONCE = 1024
 # A prime below 2^31: products with a replicate number stay far inside 64 bits.
 MODULUS = 2_147_483_647
 
@@ -25,6 +28,30 @@ def points(df: DataFrame, x: str, y: str, *extra: Column) -> DataFrame:
     return pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull())
 
 
+def sampled_points(df: DataFrame, x: str, y: str, key: str | None, most: int) -> DataFrame:
+    """The ``most`` (x, y) pairs whose unit (``key``; the row's values where that is None or null) has the smallest digest.
+
+    The same points in every run and for any partitioning. A bound on the digest leaves about twice as many rows to
+    be sorted, so what single tasks hand on does not grow with the table.
+    """
+    pairs = points(df, x, y, _digest(x, y, key))
+    count = pairs.count()
+    part, whole, share = F.conv(F.substring("digest", 1, 15), 16, 10).cast("bigint"), 16**15, 2 * most / max(count, 1)
+    cut = pairs
+    while share < 1:
+        cut = pairs.where(part < int(whole * share))
+        if cut.count() >= most:
+            break
+        cut, share = pairs, 2 * share
+    return cut.orderBy("digest", "x", "y").limit(most).select("x", "y")
+
+
+def _digest(x: str, y: str, key: str | None) -> Column:
+    row_text = F.concat_ws(" ", F.lit("row"), F.col(f"`{x}`").cast("string"), F.col(f"`{y}`").cast("string"))
+    unit = row_text if key is None else F.coalesce(F.col(f"`{key}`").cast("string"), row_text)
+    return F.md5(unit.cast("binary")).alias("digest")
+
+
 def trend_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: slope, intercept, r2, rows and the range of x."""
     return points(df, x, y).agg(
@@ -62,13 +89,28 @@ def _poisson_thresholds() -> list[int]:
         mass /= k
 
 
-def _weight(draw: Column) -> Column:
-    """How many times a row enters a replicate, from a uniform draw below the modulus."""
-    thresholds = _poisson_thresholds()
-    weight = F.when(draw.isNull(), None).when(draw < thresholds[0], 0)
-    for times, bound in enumerate(thresholds[1:], start=1):
-        weight = weight.when(draw < bound, times)
-    return weight.otherwise(len(thresholds)).cast("double")
+MOMENTS = ("s", "su", "sv", "suu", "suv")
+
+
+def _resampled(replicates: int):
+    """Sums of weighted moments of a task's rows (``u, v, a, b``), one row for each replicate."""
+    thresholds = np.array(_poisson_thresholds(), dtype=np.int64)
+    numbers = np.arange(replicates, dtype=np.int64)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros((replicates, len(MOMENTS))), False
+        for batch in source:
+            u, v, a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("u", "v", "a", "b"))
+            for start in range(0, len(u), ROWS_AT_ONCE):
+                seen, part = True, slice(start, start + ROWS_AT_ONCE)
+                draws = (a[part, None] * numbers + b[part, None]) % MODULUS
+                weights = np.searchsorted(thresholds, draws, side="right").astype(np.float64)
+                x, y = u[part], v[part]
+                total += weights.T @ np.column_stack([np.ones(len(x)), x, y, x * x, x * y])
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), *(pa.array(c) for c in total.T.copy())], ["replicate", *MOMENTS])
+
+    return batches
 
 
 def trend_band(
@@ -82,15 +124,12 @@ def trend_band(
 ) -> DataFrame:
     """``(position, x, low, high)``: bootstrap confidence band of the trend line.
 
-    A Poisson bootstrap over ``GROUPS`` groups of units: a unit (``key``; each row by its values where that
-    is None or null) belongs to the group its digest says, one scan sums the moments of every group, and
-    group weights in replicate r follow from (a*r + b) mod p, with a and b from a digest of the group. Tables with
-    few units have about one unit in a group. After the scan the work is groups times replicates, whatever the
-    size of the table, and a recomputed task draws the same weights. Where no line can be fitted the ends are null.
+    A Poisson bootstrap over units: a unit (``key``; each row by its values where that is None or null) has a
+    weight in replicate r that follows from (a*r + b) mod p, with a and b from the unit's digest, so a recomputed
+    task draws the same weights. A task multiplies the matrix of weights (rows by replicates) with the rows' moments and
+    hands on the sums of every replicate. Where no line can be fitted the ends are null.
     """
-    row_text = F.concat_ws(" ", F.lit("row"), F.col(f"`{x}`").cast("string"), F.col(f"`{y}`").cast("string"))
-    unit = row_text if key is None else F.coalesce(F.col(f"`{key}`").cast("string"), row_text)
-    pairs = points(df, x, y, F.md5(unit.cast("binary")).alias("digest"))
+    pairs = points(df, x, y, _digest(x, y, key))
     centre = pairs.agg(F.avg("x"), F.avg("y"), F.min("x"), F.max("x"), F.count(F.lit(1))).first()
     if centre[4] < 2 or centre[2] == centre[3]:
         missing = [F.lit(None).cast("double").alias(c) for c in ("x", "low", "high")]
@@ -100,23 +139,11 @@ def trend_band(
     def from_digest(start: int, modulus: int) -> Column:
         return F.conv(F.substring("digest", start, 8), 16, 10).cast("bigint") % modulus
 
-    draw = (F.col("a") * F.col("replicate") + F.col("b")) % MODULUS
-    u, v, w = F.col("u"), F.col("v"), F.col("w")
-    groups = (
-        pairs.select((F.col("x") - mean_x).alias("u"), (F.col("y") - mean_y).alias("v"), from_digest(1, GROUPS).alias("g"))
-        .groupBy("g")
-        .agg(F.count(F.lit(1)).alias("s"), F.sum(u).alias("su"), F.sum(v).alias("sv"), F.sum(u * u).alias("suu"), F.sum(u * v).alias("suv"))
-        .withColumn("digest", F.md5(F.col("g").cast("string").cast("binary")))
-        .withColumns({"a": from_digest(1, MODULUS - 1) + 1, "b": from_digest(9, MODULUS)})
-    )
-    moments = ("s", "su", "sv", "suu", "suv")
-    sums = (
-        groups.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        .withColumn("draw", draw)
-        .withColumn("w", _weight(F.col("draw")))
-        .groupBy("replicate")
-        .agg(*(F.sum(w * F.col(m)).alias(m) for m in moments))
+    units = pairs.select(
+        (F.col("x") - mean_x).alias("u"), (F.col("y") - mean_y).alias("v"), (from_digest(1, MODULUS - 1) + 1).alias("a"), from_digest(9, MODULUS).alias("b")
     )
+    found = units.mapInArrow(_resampled(replicates), "replicate int, s double, su double, sv double, suu double, suv double")
+    sums = found.groupBy("replicate").agg(*(F.sum(m).alias(m) for m in MOMENTS))
     spread = F.col("s") * F.col("suu") - F.col("su") * F.col("su")
     slope = F.try_divide(F.col("s") * F.col("suv") - F.col("su") * F.col("sv"), spread)
     lines = sums.select(

@@ -11,7 +11,7 @@ from indicata import names
 from indicata.operators.correlation import correlation_matrix
 from indicata.operators.distribution import density, histogram, spreads
 from indicata.operators.quantiles import exact_quantiles
-from indicata.operators.trend import points, trend_band, trend_line
+from indicata.operators.trend import points, sampled_points, trend_band, trend_line
 
 from .analysis import CORRELATED
 
@@ -28,8 +28,11 @@ def trimmed(gold: DataFrame, columns=TRIMMED, fraction: float = TRIM_AT) -> Data
     )
 
 
-def chart_data(gold: DataFrame, x: str = names.BURDEN, y: str = names.INDEX, key: str = names.CODE) -> DataFrame:
-    """One long table ``chart, series, x, y``; scatter holds every point. ``gold`` should be stored."""
+def chart_data(gold: DataFrame, x: str = names.BURDEN, y: str = names.INDEX, key: str = names.CODE, scatter: int | None = None) -> DataFrame:
+    """One long table ``chart, series, x, y``. ``gold`` should be stored.
+
+    The scatter holds every point, or a sample of ``scatter`` points that is the same in every run.
+    """
     cut = trimmed(gold)
     found = spreads(cut, CHARTED)
 
@@ -47,7 +50,7 @@ def chart_data(gold: DataFrame, x: str = names.BURDEN, y: str = names.INDEX, key
     parts = [
         shaped(histogram(cut, CHARTED, found=found), "histogram", F.col("variable"), F.col("low"), F.col("rows")),
         shaped(density(cut, CHARTED, found=found), "density", F.col("variable"), F.col("x"), F.col("y")),
-        shaped(points(gold, x, y), "scatter", pair, F.col("x"), F.col("y")),
+        shaped(points(gold, x, y) if scatter is None else sampled_points(gold, x, y, key, scatter), "scatter", pair, F.col("x"), F.col("y")),
         shaped(trend_line(gold, x, y), "trend", pair, F.col("x"), F.col("y")),
         shaped(band, "band_low", pair, F.col("x"), F.col("low")),
         shaped(band, "band_high", pair, F.col("x"), F.col("high")),

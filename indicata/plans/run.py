@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,14 +16,16 @@ from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indicata import names, storage
 from indicata.operators.describe import describe
+from indicata.operators.joins import KeyCounts, key_columns
 from indicata.plans.analysis import CORRELATED, PREDICTORS, Report, analyze
 from indicata.plans.charts import chart_data
 from indicata.plans.gold import gold as build_gold
 from indicata.plans.serving import serving_wkb
-from indicata.plans.silver import silver_and_rejects
+from indicata.plans.silver import CLEAN, GIVEN, STATE, silver_and_rejects, silver_states
 from indicata.sources.catalogue import Source, default_sources
 from indicata.sources.landing import ORDINAL, LandingZone
 
@@ -38,8 +41,11 @@ class Run:
     failures: dict[str, str] = field(default_factory=dict)  # of sources
     steps: dict[str, str] = field(default_factory=dict)  # "done", or what went wrong
     metrics: list[storage.StageMetric] = field(default_factory=list)
+    counts: dict[str, KeyCounts] = field(default_factory=dict)  # of the codes of every silver table
 
 
+#: Points of the published scatter chart.
+SCATTER = 10_000
 #: What the data can cause; anything else is a fault of the program and ends the run.
 FAILURES = (PySparkException, Py4JJavaError, ValueError, ArithmeticError)
 
@@ -58,20 +64,40 @@ def cause(problem: Exception) -> str:
 
 def run_source(
     zone: LandingZone, source: Source, out: str, mode: str = "label", fmt: str = "parquet"
-) -> tuple[DataFrame, list[storage.StageMetric]]:
-    """Bronze, silver and rejects of one source, written; the stored silver table comes back.
+) -> tuple[DataFrame, KeyCounts, list[storage.StageMetric]]:
+    """Bronze, silver and rejects of one source, written; the stored silver table comes back with the counts of its codes.
 
     A Parquet bronze layer keeps the landing position of every row, so silver
-    reads that; CSV cannot hold it, and silver reads the landing files again.
+    reads that; CSV cannot hold it, and silver reads the landing files again. Clean and rejected rows are made in
+    one pass and stored as parts of one table, in buckets of the code; the rejects layer is a copy of its part.
     """
     raw = zone.read(source)
     bronze = raw if fmt == "parquet" else raw.drop(ORDINAL)
     stored, bronze_metric = storage.measured_write(bronze, f"{out}/bronze/{source.series}", f"bronze {source.name}", fmt)
     raw = stored if fmt == "parquet" else raw
-    clean, rejects = silver_and_rejects(raw, source, mode)
-    stored, silver_metric = storage.measured_write(clean, f"{out}/silver/{source.name}", f"silver {source.name}", fmt)
-    _, reject_metric = storage.measured_write(rejects, f"{out}/rejects/{source.name}", f"rejects {source.name}", fmt)
-    return stored, [bronze_metric, silver_metric, reject_metric]
+    if fmt != "parquet":  # text files have no buckets
+        clean, rejects = silver_and_rejects(raw, source, mode)
+        counts = key_columns(names.CODE)
+        stored, silver_metric, seen = storage.observed_write(clean, f"{out}/silver/{source.name}", f"silver {source.name}", counts, fmt)
+        _, reject_metric = storage.measured_write(rejects, f"{out}/rejects/{source.name}", f"rejects {source.name}", fmt)
+        return stored, KeyCounts.of(seen), [bronze_metric, silver_metric, reject_metric]
+    is_clean, value = F.col(STATE) == CLEAN, F.col(source.name)
+    observed = [
+        F.count_if(is_clean).alias("clean"),
+        F.count_if(is_clean & value.isNull()).alias("clean_missing"),
+        F.count_if(~is_clean).alias("rejects"),
+        (F.count_if(~is_clean) + F.count_if(~is_clean & F.col(GIVEN).isNull())).alias("rejects_missing"),
+        *key_columns(names.CODE),
+    ]
+    table, seen, seconds = storage.clustered_write(silver_states(raw, source, mode), f"{out}/silver/{source.name}", names.CODE, STATE, observed)
+    started = time.monotonic()
+    storage.write_layer(table.where(~is_clean).select(names.CODE, F.col(GIVEN).alias(source.name)), f"{out}/rejects/{source.name}")
+    metrics = [
+        bronze_metric,
+        storage.StageMetric(f"silver {source.name}", seen["clean"], seen["clean_missing"], seconds),
+        storage.StageMetric(f"rejects {source.name}", seen["rejects"], seen["rejects_missing"], time.monotonic() - started),
+    ]
+    return table.where(is_clean).select(names.CODE, source.name), KeyCounts.of(seen), metrics
 
 
 def side_by_side(spark: SparkSession, work: Callable, items: Sequence) -> list:
@@ -103,7 +129,7 @@ def run_sources(
         if isinstance(outcome, Exception):
             run.failures[source.name] = cause(outcome)
         else:
-            silvers[source.name], metrics = outcome
+            silvers[source.name], run.counts[source.name], metrics = outcome
             run.metrics += metrics
     return silvers
 
@@ -119,6 +145,7 @@ def run_all(
     polygons: str | None = None,
     predictors: Sequence[str] = PREDICTORS,
     correlated: Sequence[str] = CORRELATED,
+    scatter: int | None = SCATTER,
 ) -> Run:
     """Process everything; a step that fails is named in ``steps`` and the others go on.
 
@@ -130,7 +157,7 @@ def run_all(
     results = f"{out}/statistics"
 
     def make_gold() -> None:
-        shown = names.to_display(build_gold(silvers, mode), year)
+        shown = names.to_display(build_gold(silvers, mode, counts=run.counts), year)
         stored, metric = storage.measured_write(shown, f"{out}/gold", "gold", fmt)
         run.metrics.append(metric)
         run.gold = names.from_display(stored, year)
@@ -151,7 +178,7 @@ def run_all(
             raise RuntimeError(f"no gold table: {run.steps['gold']}; failed sources: {run.failures}")
         attempt(run, "summary", lambda: storage.write_layer(describe(run.gold, names.MEASURES), f"{results}/summary", fmt))
         attempt(run, "analysis", make_report)
-        attempt(run, "charts", lambda: storage.write_layer(chart_data(run.gold), f"{results}/chart_data"))
+        attempt(run, "charts", lambda: storage.write_layer(chart_data(run.gold, scatter=scatter), f"{results}/chart_data"))
         if polygons is not None:
             attempt(run, "serving", make_serving)
     finally:
@@ -193,6 +220,7 @@ def main(argv: list[str] | None = None) -> None:
     arguments.add_argument("--serve", action="store_true", help="only make the serving table, from --table and --polygons")
     arguments.add_argument("--predictors", nargs="+", default=list(PREDICTORS), choices=names.MEASURES)
     arguments.add_argument("--correlated", nargs="+", default=list(CORRELATED), choices=names.MEASURES)
+    arguments.add_argument("--scatter", type=int, default=SCATTER, help="points of the scatter chart; 0 for all")
     given = arguments.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("indicata").getOrCreate()
@@ -204,7 +232,7 @@ def main(argv: list[str] | None = None) -> None:
         return
     run = run_all(
         spark, given.landing, given.out, given.year, given.mode, given.format, given.table, given.polygons,
-        given.predictors, given.correlated,
+        given.predictors, given.correlated, given.scatter or None,
     )
     for name, problem in run.failures.items():
         log.warning("left out: %s (%s)", name, problem)
