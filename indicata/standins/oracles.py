@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import TOLERANCE
+from .queries import SCATTER_POINTS, TOLERANCE, WALK_TOLERANCE
 from .tables import RING_VERTICES, TERRITORY_SEGMENT_OUT, YEAR
 
 ORACLES: dict[str, str] = {}
@@ -540,10 +540,8 @@ BINNED = [
 CURVE = [
     "grid AS (SELECT variable, lo, hi, sd * pow(n, -0.2) AS h, CAST(i AS INTEGER) AS position,"
     " lo + (hi - lo) * i / 199 AS g FROM spread, range(200) AS r(i))",
-    "cells AS (SELECT long.variable, avg(v) AS v, count(*) AS w FROM long JOIN spread ON long.variable = spread.variable"
-    " GROUP BY long.variable, floor((v - lo) / (hi - lo) * 65536.0))",
-    "curve AS (SELECT grid.variable, position, any_value(g) AS x, sum(w * exp(-0.5 * ((g - v) / h) * ((g - v) / h)))"
-    " * any_value((hi - lo) / 100 / (h * sqrt(2 * pi()))) AS y FROM grid JOIN cells ON cells.variable = grid.variable"
+    "curve AS (SELECT grid.variable, position, any_value(g) AS x, sum(exp(-0.5 * ((g - v) / h) * ((g - v) / h)))"
+    " * any_value((hi - lo) / 100 / (h * sqrt(2 * pi()))) AS y FROM grid JOIN long ON long.variable = grid.variable"
     " GROUP BY grid.variable, position)",
 ]
 TREND = [
@@ -559,10 +557,9 @@ BAND = [
     "pmf AS (SELECT k, exp(-1.0) / factorial(CAST(k AS INTEGER)) AS p FROM range(0, 13) AS r(k))",
     f"cdf AS (SELECT k, CAST(floor(sum(p) OVER (ORDER BY k) * {MODULUS}) AS BIGINT) AS bound FROM pmf)",
     f"bounds AS (SELECT list(bound ORDER BY k) AS bs FROM cdf WHERE bound < {MODULUS - 1})",
-    "groups AS (SELECT CAST('0x' || substr(md5(code), 1, 8) AS BIGINT) % 4096 AS g, count(*) AS s, sum(x - mx) AS su, sum(y - my) AS sv,"
-    " sum((x - mx) * (x - mx)) AS suu, sum((x - mx) * (y - my)) AS suv FROM pts, line GROUP BY 1)",
-    f"hashed AS (SELECT *, 1 + CAST('0x' || substr(md5(CAST(g AS VARCHAR)), 1, 8) AS BIGINT) % {MODULUS - 1} AS a,"
-    f" CAST('0x' || substr(md5(CAST(g AS VARCHAR)), 9, 8) AS BIGINT) % {MODULUS} AS b FROM groups)",
+    f"hashed AS (SELECT 1 AS s, x - mx AS su, y - my AS sv, (x - mx) * (x - mx) AS suu, (x - mx) * (y - my) AS suv,"
+    f" 1 + CAST('0x' || substr(md5(code), 1, 8) AS BIGINT) % {MODULUS - 1} AS a,"
+    f" CAST('0x' || substr(md5(code), 9, 8) AS BIGINT) % {MODULUS} AS b FROM pts, line)",
     f"drawn AS (SELECT CAST(rep AS BIGINT) AS rep, s, su, sv, suu, suv, CAST(len(list_filter(bs, lambda t: t <= (a * rep + b) % {MODULUS})) AS DOUBLE)"
     " AS w FROM hashed, range(1000) AS r(rep), bounds)",
     "sums AS (SELECT rep, sum(w*s) AS s, sum(w*su) AS su, sum(w*sv) AS sv, sum(w*suu) AS suu, sum(w*suv) AS suv FROM drawn GROUP BY rep)",
@@ -571,6 +568,24 @@ BAND = [
     "band AS (SELECT position, any_value(x) AS x, quantile_cont(my + height + lines.slope * (x - mx), 0.025) AS low,"
     " quantile_cont(my + height + lines.slope * (x - mx), 0.975) AS high FROM trend, lines, (SELECT mx, my FROM line) GROUP BY position)",
 ]
+named(
+    "scatter_sample",
+    [*CLEAN, *TREND],
+    f"SELECT x, y FROM pts ORDER BY md5(code), x, y LIMIT {SCATTER_POINTS}",
+)
+# Entries of the embeddings by thousandths; every seventh is taken as missing.
+WIDE = [
+    "long AS (SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(floor(1000 * CAST(embedding[i + 1] AS DOUBLE)) AS DOUBLE) AS v"
+    f" FROM embeddings, range({RING_VERTICES}) AS r(i))",
+    "value AS (SELECT vec_id, i, CASE WHEN CAST(v AS BIGINT) % 7 <> 0 THEN v END AS v FROM long)",
+]
+named(
+    "corr_wide",
+    WIDE,
+    "SELECT 'e' || a.i AS var_x, 'e' || b.i AS var_y,"
+    f" {sig('corr(a.v, b.v)')} AS r, CAST(count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) AS BIGINT) AS pairs"
+    " FROM value a JOIN value b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i",
+)
 named("histogram_100", [*CLEAN, *charted(CHARTED), *BINNED], "SELECT variable, bin, rows FROM binned")
 TRIMMED = ("revenue", "gdp")
 named("histogram_trimmed", [*CLEAN, *charted(TRIMMED, TRIMMED), *BINNED], "SELECT variable, bin, rows FROM binned")
@@ -626,8 +641,9 @@ ALONG = (
     f"CASE WHEN {DX} * {DX} + {DY} * {DY} = 0 THEN 0 ELSE greatest(0, least(1, ((p.x - a.x) * {DX} + (p.y - a.y) * {DY})"
     f" / ({DX} * {DX} + {DY} * {DY}))) END"
 )
-SIMPLIFIED = [
-    RING,
+def halving(tolerance: float) -> list[str]:
+    """The sections that halving a vertex table ends with and goes through, and the vertices it keeps."""
+    return [
     "section AS ("
     f"SELECT DISTINCT vec_id, 0 AS i, {RING_VERTICES} AS j FROM vertex"
     " UNION ALL"
@@ -638,11 +654,54 @@ SIMPLIFIED = [
     " JOIN vertex b ON b.vec_id = s.vec_id AND b.i = s.j"
     " JOIN vertex p ON p.vec_id = s.vec_id AND p.i > s.i AND p.i < s.j,"
     f" LATERAL (SELECT {ALONG} AS t, {DX} AS ex, {DY} AS ey)"
-    f" GROUP BY s.vec_id, s.i, s.j HAVING far > {TOLERANCE}), range(2) AS r(side))",
+    f" GROUP BY s.vec_id, s.i, s.j HAVING far > {tolerance}), range(2) AS r(side))",
     "kept_at AS (SELECT DISTINCT vec_id, i FROM section UNION SELECT vec_id, j FROM section)",
     "kept AS (SELECT vertex.* FROM vertex JOIN kept_at USING (vec_id, i))",
-    *outline("kept", "small"),
+    ]
+
+
+SIMPLIFIED = [RING, *halving(TOLERANCE), *outline("kept", "small")]
+
+# Walks along the entries, and every shortcut against every piece before and after that lies outside it.
+STEP = f"CAST(floor(1000 * CAST(embedding[(k % {RING_VERTICES}) + 1] AS DOUBLE)) AS BIGINT)"
+WALK = [
+    f"step AS (SELECT vec_id, CAST(k AS INTEGER) AS k, {STEP} AS z FROM embeddings, range({RING_VERTICES + 9}) AS r(k))",
+    f"vertex AS (SELECT a.vec_id, a.k AS i, CAST(sum(b.z) FILTER (b.k <= a.k) AS DOUBLE) AS x,"
+    " CAST(sum(b.z) FILTER (b.k > a.k) AS DOUBLE) AS y"
+    f" FROM step a JOIN step b ON a.vec_id = b.vec_id AND b.k <= a.k + 8 WHERE a.k <= {RING_VERTICES} GROUP BY a.vec_id, a.k)",
+    *halving(WALK_TOLERANCE),
+    "next AS (SELECT vec_id, i AS a, lead(i) OVER (PARTITION BY vec_id ORDER BY i) AS b FROM kept)",
+    f"piece AS (SELECT vec_id, i AS a, i + 1 AS b FROM vertex WHERE i < {RING_VERTICES} UNION SELECT vec_id, a, b FROM next WHERE b > a + 1)",
+    "line AS (SELECT p.vec_id, p.a, p.b, s.x AS ax, s.y AS ay, t.x AS bx, t.y AS by FROM piece p"
+    " JOIN vertex s ON s.vec_id = p.vec_id AND s.i = p.a JOIN vertex t ON t.vec_id = p.vec_id AND t.i = p.b)",
 ]
+
+
+def turn(p: str, q: str, r: str) -> str:
+    return f"sign(({q}x - {p}x) * ({r}y - {p}y) - ({q}y - {p}y) * ({r}x - {p}x))"
+
+
+def inside(p: str, q: str, r: str) -> str:
+    dx, dy = f"({q}x - {p}x)", f"({q}y - {p}y)"
+    reach = f"(({r}x - {p}x) * {dx} + ({r}y - {p}y) * {dy})"
+    return f"({turn(p, q, r)} = 0 AND {reach} > 0 AND {reach} < {dx} * {dx} + {dy} * {dy})"
+
+
+MEET = (
+    f"({turn('c.a', 'c.b', 'o.a')} * {turn('c.a', 'c.b', 'o.b')} < 0 AND {turn('o.a', 'o.b', 'c.a')} * {turn('o.a', 'o.b', 'c.b')} < 0)"
+    f" OR {inside('c.a', 'c.b', 'o.a')} OR {inside('c.a', 'c.b', 'o.b')} OR {inside('o.a', 'o.b', 'c.a')} OR {inside('o.a', 'o.b', 'c.b')}"
+)
+named(
+    "outline_conflicts",
+    [
+        *WALK,
+        "met AS (SELECT DISTINCT c.vec_id, c.a, c.b FROM line c JOIN line o ON c.vec_id = o.vec_id AND c.b > c.a + 1"
+        f" AND (o.b <= c.a OR o.a >= c.b) WHERE {MEET})",
+        "held AS (SELECT vec_id, CAST(count(*) AS INTEGER) AS kept FROM kept GROUP BY vec_id)",
+        "hit AS (SELECT vec_id, count(*) AS n FROM met GROUP BY vec_id)",
+    ],
+    "SELECT held.vec_id, kept, coalesce(n, 0) AS meeting FROM held LEFT JOIN hit ON held.vec_id = hit.vec_id",
+)
 named(
     "simplify_polylines",
     [*SIMPLIFIED, *outline("vertex", "ring")],
@@ -656,3 +715,30 @@ for name in ("sink_serving_table", "serving"):
         f"SELECT CAST(gold.code AS BIGINT) AS code, name, gdp, {BURDEN}, data_status, \"UF\", points,"
         f" {sig('area')} AS area FROM gold LEFT JOIN small ON CAST(gold.code AS BIGINT) = small.code",
     )
+
+# The run without the territory names; stray revenue rows are rejected without a code, and repeat the codes of a region.
+STRAY = "SELECT CAST(n_nationkey AS VARCHAR) AS code, CAST(round_even((n_nationkey + 1000.125) * 100.0, 0) AS DOUBLE) / 100.0 AS revenue FROM nation WHERE n_regionkey = 1"
+RUN = [
+    c.replace("revenue AS (SELECT", "own_revenue AS (SELECT", 1) + f", revenue AS (SELECT * FROM own_revenue UNION ALL {STRAY})"
+    if c.startswith("revenue AS")
+    else c.replace("c_name AS name FROM customer", "CAST(NULL AS VARCHAR) AS name FROM customer")
+    for c in GOLD
+]
+NOTHING = "CAST(NULL AS VARCHAR) AS name, CAST({0} AS BIGINT) AS population, CAST(NULL AS DOUBLE) AS idhm, CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS gdp, CAST(NULL AS DOUBLE) AS burden, CAST(NULL AS VARCHAR) AS burden_class, {1} AS data_status"
+named(
+    "whole_run",
+    RUN,
+    f"SELECT 'gold' AS part, code AS item, name, population, idhm, revenue, gdp, {BURDEN}, data_status FROM gold"
+    + "".join(
+        f" UNION ALL SELECT 'status', '{item}', {NOTHING.format('NULL', repr(state))}"
+        for item, state in [("source name", "failed"), *((f"step {s}", "done") for s in ("gold", "summary", "analysis", "charts"))]
+    )
+    + "".join(
+        f" UNION ALL SELECT 'rows', '{stage}', {NOTHING.format(count, 'CAST(NULL AS VARCHAR)')}"
+        for stage, count in (
+            ("gold", "(SELECT count(*) FROM gold)"),
+            ("silver revenue", "(SELECT count(*) FROM revenue)"),
+            ("rejects revenue", "(SELECT count(*) FROM nation WHERE n_regionkey = 0)"),
+        )
+    ),
+)

@@ -34,21 +34,23 @@ from indicata.operators.distribution import density, histogram
 from indicata.operators.quantiles import exact_quantiles
 from indicata.operators.regression import anova_table, coefficient_table, ols, quality_table
 from indicata.operators.residuals import diagnostics, durbin_watson
-from indicata.operators.trend import trend_band, trend_fit, trend_line
+from indicata.operators.trend import sampled_points, trend_band, trend_fit, trend_line
 from indicata.plans import charts
 from indicata.plans.analysis import CORRELATED, PREDICTORS, RESPONSE, analyze
 from indicata.plans.gold import finished, gold, joined
-from indicata.plans.run import run_sources, side_by_side
+from indicata.plans.run import run_all, run_sources, side_by_side
 from indicata.plans.serving import serving
 from indicata.plans.silver import silver_and_rejects
 from indicata.sources.catalogue import JOIN_ORDER
 from indicata.sources.landing import ORDINAL
 
-from .tables import YEAR, StandIns, gold_table, in_year, silvers, sources
+from .tables import RING_VERTICES, YEAR, StandIns, gold_table, in_year, silvers, sources
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 TOLERANCE = 0.05
+WALK_TOLERANCE = 150.0
+SCATTER_POINTS = 500
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -368,7 +370,7 @@ def query_gold_fanout(spark, sf_dir):
     tables = silvers(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").where(in_year("o_orderdate", YEAR))
     tables[names.REVENUE] = orders.select(F.col("o_custkey").cast("string").alias(names.CODE), F.col("o_totalprice").alias(names.REVENUE))
-    return published(gold(tables, ordered=False, rows_per_task=3))
+    return published(gold(tables, ordered=False, repeated_keys=True, rows_per_task=3))
 
 
 def nations_and_customers(spark, sf_dir):
@@ -549,6 +551,21 @@ def query_trend_band(spark, sf_dir):
     return found.select("position", *[significant(F.col(c), 8).alias(c) for c in ("x", "low", "high")])
 
 
+@query("scatter_sample")
+def query_scatter_sample(spark, sf_dir):
+    """The bounded scatter chart: a feature of its own, the same points in every run."""
+    return sampled_points(gold_table(spark, sf_dir), names.BURDEN, names.INDEX, names.CODE, SCATTER_POINTS)
+
+
+@query("corr_wide")
+def query_corr_wide(spark, sf_dir):
+    """All pairs of 64 columns with missing values: the entries of the embeddings by thousandths."""
+    entries = table(spark, sf_dir, "embeddings").selectExpr(*(f"floor(1000 * cast(embedding[{i}] as double)) AS e{i}" for i in range(RING_VERTICES)))
+    columns = [f"e{i}" for i in range(RING_VERTICES)]
+    some = entries.select(*(F.when(F.col(c) % 7 != 0, F.col(c)).alias(c) for c in columns))
+    return correlation_pairs(some, columns).withColumn("r", significant(F.col("r")))
+
+
 # --- scalars ----------------------------------------------------------------
 
 
@@ -626,7 +643,7 @@ def query_data_status(spark, sf_dir):
 @query("simplify_polylines")
 def query_simplify_polylines(spark, sf_dir):
     polygons = StandIns(spark, sf_dir).polygons()
-    small = polygons.withColumn("small", geometry.simplify(F.col("geometry"), TOLERANCE))
+    small = geometry.simplify(polygons.withColumn("small", F.col("geometry")), "small", TOLERANCE)
     ring = F.col("small")[0][0]
     total = F.aggregate(F.transform(ring, lambda p: p["x"] + p["y"]), F.lit(0.0), lambda a, b: a + b)
     return small.select(
@@ -638,6 +655,20 @@ def query_simplify_polylines(spark, sf_dir):
     )
 
 
+@query("outline_conflicts")
+def query_outline_conflicts(spark, sf_dir):
+    """Walks along the entries of the embeddings: the shortcuts of halving, and how many of them meet another piece."""
+    sums = lambda first: f"aggregate(slice(z, 1, i + {first}), 0L, (s, v) -> s + v)"
+    walk = f"transform(sequence(0, {RING_VERTICES}), i -> named_struct('x', cast({sums(1)} as double), 'y', cast({sums(9)} - {sums(1)} as double)))"
+    steps = f"transform(sequence(0, {RING_VERTICES} + 8), i -> cast(floor(1000 * cast(embedding[i % {RING_VERTICES}] as double)) as bigint)) AS z"
+    lines = table(spark, sf_dir, "embeddings").selectExpr("vec_id", steps)
+    lines = lines.selectExpr("vec_id", f"cast(array(array({walk})) as {geometry.GEOMETRY.simpleString()}) AS line")
+    drawn = geometry.drawn_outlines(lines, "line", WALK_TOLERANCE)
+    met = geometry.conflicts(drawn).select("_row", "i", "j").distinct().groupBy("_row").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.size(F.filter("_drawn.keep", lambda k: k))
+    return drawn.join(met, "_row", "left").select("vec_id", kept.alias("kept"), F.coalesce("n", F.lit(0)).alias("meeting"))
+
+
 # --- composites -------------------------------------------------------------
 
 
@@ -673,6 +704,21 @@ def query_serving(spark, sf_dir):
     return _serving_rows(serving(finished(joined(silvers(spark, sf_dir))), StandIns(spark, sf_dir).polygons(), TOLERANCE))
 
 
+@query("whole_run")
+def query_whole_run(spark, sf_dir):
+    """The run from landed files to the status of its steps; the territory names cannot be read."""
+    standins, out = StandIns(spark, sf_dir), scratch(spark, "run")
+    run = run_all(spark, standins.landed_all(spoiled=names.NAME, strays=names.REVENUE).root, out, YEAR)
+    results = f"{out}/statistics"
+    status = spark.read.parquet(f"{results}/run_status").select(
+        F.lit("status").alias("part"), F.concat_ws(" ", "kind", "name").alias("item"), F.when(F.col("status") == "done", "done").otherwise("failed").alias(names.STATUS)
+    )
+    layers = spark.read.parquet(f"{results}/stage_metrics").where(F.col("stage").isin("gold", "silver revenue", "rejects revenue"))
+    layers = layers.select(F.lit("rows").alias("part"), F.col("stage").alias("item"), F.col("rows").alias(names.POPULATION))
+    table_ = published(run.gold).withColumnRenamed(names.CODE, "item").withColumn("part", F.lit("gold"))
+    return table_.unionByName(status, allowMissingColumns=True).unionByName(layers, allowMissingColumns=True)
+
+
 @query("chart_data")
 def query_chart_data(spark, sf_dir):
     found = charts.chart_data(gold_table(spark, sf_dir))

@@ -97,6 +97,16 @@ class StandIns:
         (writer.partitionBy(OBSERVATION_YEAR) if source.year is not None else writer).save(f"{root}/{source.series}")
         return LandingZone(self.spark, root, fmt)
 
+    def landed_all(self, spoiled: str | None = None, strays: str | None = None) -> LandingZone:
+        """One landing zone with every source; that of ``spoiled`` lacks its key, that of ``strays`` has strays."""
+        root = storage.scratch_path(self.spark, "landing")
+        for source in sources():
+            rows = self.delivered(source).drop(ORDINAL, *([source.key] if source.name == spoiled else []))
+            if source.name == strays:
+                rows = rows.unionByName(self.strays(source))
+            (rows.write.partitionBy(OBSERVATION_YEAR) if source.year is not None else rows.write).parquet(f"{root}/{source.series}")
+        return LandingZone(self.spark, root)
+
     def _observations(self, rows: DataFrame, source: Source, value: Column) -> DataFrame:
         """One row per territory; grouped by the text key, which the later joins share."""
         grouped = rows.groupBy(F.expr(f"cast(o_custkey AS string) AS {source.key}")).agg(

@@ -7,9 +7,11 @@ from conftest import SF
 
 from indicata import names
 from indicata.operators.regression import ols
-from indicata.plans.gold import finished, joined
+from indicata.plans.gold import finished, gold, joined
+from indicata.plans.run import Run, run_sources
+from indicata.plans.silver import silver_and_rejects, silver_states
 from indicata.standins.queries import REGISTRY
-from indicata.standins.tables import StandIns, gold_table, silvers
+from indicata.standins.tables import StandIns, gold_table, silvers, sources
 
 
 @pytest.fixture
@@ -65,6 +67,26 @@ def test_no_registered_query_forces_a_broadcast_of_a_table(spark, no_broadcast):
         assert "Broadcast" not in plan(REGISTRY[name](spark, SF)), name
 
 
+def test_stored_silver_joins_without_a_shuffle(spark, no_broadcast, tmp_path):
+    run = Run()
+    stored = run_sources(StandIns(spark, SF), sources(), str(tmp_path), run=run)
+    text = plan(gold(stored, ordered=False, counts=run.counts))
+    assert "Exchange" not in text and text.count("SortMergeJoin") == 4
+    ordered = plan(gold(stored, counts=run.counts))
+    assert len(re.findall("Exchange", ordered)) == 1 and "Exchange rangepartitioning" in ordered
+
+
+def test_silver_and_rejects_read_bronze_once(spark, tmp_path):
+    """The write of the joint table scans the raw rows in one place."""
+    zone = StandIns(spark, SF).landed_all(strays=names.REVENUE)
+    revenue = next(s for s in sources() if s.name == names.REVENUE)
+    for mode in ("label", "strict"):
+        assert plan(silver_states(zone.read(revenue), revenue, mode)).count("FileScan") == 1
+        states = {r["state"]: r["count"] for r in silver_states(zone.read(revenue), revenue, mode).groupBy("state").count().collect()}
+        clean, rejects = silver_and_rejects(zone.read(revenue), revenue, mode)
+        assert states == {"clean": clean.count(), "reject": rejects.count()} and states["reject"] == 5
+
+
 def test_polygons_are_simplified_below_the_join(spark, no_broadcast):
     text = plan(REGISTRY["serving"](spark, SF))
     assert text.index("SortMergeJoin") < text.index("ArrowEvalPython")

@@ -1,7 +1,9 @@
+import hashlib
 import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -415,9 +417,67 @@ def test_no_line_has_empty_ends(spark):
     assert len(found) == 100 and {r["low"] for r in found} == {None}
 
 
-def test_bootstrap_weights_are_poisson(spark):
-    draws = spark.range(200_000).select(
-        trend._weight(F.pmod(F.xxhash64("id"), F.lit(trend.MODULUS))).alias("w")
-    )
-    mean, variance = draws.agg(F.avg("w"), F.var_pop("w")).first()
-    assert mean == pytest.approx(1.0, abs=0.01) and variance == pytest.approx(1.0, abs=0.02)
+def test_bootstrap_weights_are_poisson():
+    rng = np.random.default_rng(3)
+    n, replicates = 3000, 100
+    a, b = rng.integers(1, trend.MODULUS, n), rng.integers(0, trend.MODULUS, n)
+    rows_ = pa.RecordBatch.from_arrays([pa.array(np.ones(n)), pa.array(np.zeros(n)), pa.array(a), pa.array(b)], ["u", "v", "a", "b"])
+    (found,) = trend._resampled(replicates)(iter([rows_]))
+    totals = found.column("s").to_numpy()
+    assert totals.mean() == pytest.approx(n, rel=0.01) and totals.std() == pytest.approx(math.sqrt(n), rel=0.3)
+    draws = (a[:, None] * np.arange(1, replicates) + b[:, None]) % trend.MODULUS
+    weights = np.searchsorted(trend._poisson_thresholds(), draws, side="right")
+    assert weights.mean() == pytest.approx(1.0, abs=0.01) and weights.var() == pytest.approx(1.0, abs=0.02)
+
+
+def test_density_of_a_heavy_tail(spark):
+    """Far more bandwidths in the range than a fixed number of cells would tell apart."""
+    v = np.exp(np.random.default_rng(21).normal(0, 4, 20_000))
+    found = sorted(distribution.density(spark.createDataFrame([(float(x),) for x in v], "v double"), ["v"]).collect(), key=lambda r: r["position"])
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), 200)
+    direct = np.array([np.exp(-0.5 * ((g - v) / h) ** 2).sum() for g in x]) / (h * math.sqrt(2 * math.pi)) * (v.max() - v.min()) / 100
+    assert [r["y"] for r in found] == pytest.approx(list(direct), rel=1e-8, abs=1e-290)
+
+
+def test_sampled_points_are_the_same_for_any_partitioning(spark):
+    rng = np.random.default_rng(5)
+    made = [(str(k % 900), float(a), float(b)) for k, (a, b) in enumerate(rng.normal(size=(4000, 2)))] + [(None, 1.0, 2.0), ("x", None, 1.0)]
+    df = spark.createDataFrame(made, "code string, x double, y double")
+    one, many = (rows(trend.sampled_points(d, "x", "y", "code", 300)) for d in (df.coalesce(1), df.repartition(9)))
+    assert one == many and len(one) == 300
+    digest = lambda r: hashlib.md5((r[0] if r[0] is not None else f"row {r[1]} {r[2]}").encode()).hexdigest()
+    whole = sorted((r for r in made if r[1] is not None), key=lambda r: (digest(r), r[1], r[2]))
+    assert sorted(one) == sorted(r[1:] for r in whole[:300])
+    assert trend.sampled_points(df, "x", "y", "code", 9999).count() == 4001
+
+
+def test_moments_of_many_columns_agree_with_the_aggregates(spark):
+    rng = np.random.default_rng(31)
+    k = 14
+    x = rng.normal(size=(3000, k)) * 10.0 ** rng.integers(-2, 6, k) + 10.0 ** rng.integers(-3, 4, k)
+    x[:, 3] = 7.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[0, 1] = np.inf
+    names_ = [f"c{j}" for j in range(k)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in names_)).repartition(40)
+    wide = {(r["var_x"], r["var_y"]): (r["r"], r["pairs"]) for r in correlation.correlation_pairs(df, names_).collect()}
+    plain = {(r["var_x"], r["var_y"]): (r["r"], r["pairs"]) for r in df.agg(correlation.pair_structs(names_).alias("p")).select(F.inline("p")).collect()}
+    assert wide.keys() == plain.keys()
+    for pair, (r, n) in plain.items():
+        assert wide[pair][1] == n and (wide[pair][0] is None) == ("c3" in pair)
+        assert "c3" in pair or wide[pair][0] == pytest.approx(r, rel=1e-9, abs=1e-9)
+
+
+def test_fit_of_two_hundred_columns(spark):
+    rng = np.random.default_rng(32)
+    x = rng.normal(size=(2000, 200)) * 10.0 ** rng.integers(-3, 4, 200)
+    x[:, 7] = x[:, 5]
+    y = x[:, :5].sum(1) + rng.normal(size=2000)
+    names_ = [f"c{j}" for j in range(200)]
+    df = spark.createDataFrame(pd.DataFrame(np.column_stack([x, y]), columns=[*names_, "y"]))
+    fit = regression.ols(df, "y", names_)
+    coef = np.linalg.pinv(np.column_stack([np.ones(2000), x])) @ y
+    assert fit.rank == 200 and list(fit.slopes) == pytest.approx(list(coef[1:]), rel=1e-6, abs=1e-9)
+    empty = regression.cross_moments(df.where("false"), names_[:3])
+    assert not empty.rows.any() and np.isnan(empty.correlation()).all()
