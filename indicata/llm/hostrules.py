@@ -7,19 +7,19 @@ beta prior, and a host whose shrunk share is too high takes its documents with i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed, staged, text_or_empty, unpacked, words_of
+from .shared import dealt_join, packed, staged, text_or_empty, unpacked, words_of
 
 #: Rules counted per host; each is a failure of one document.
 RULES = ("short", "repeats", "symbols", "same_lines")
 
 
-def with_metrics(docs: DataFrame, text: str, host: str, min_words: int) -> DataFrame:
+def with_metrics(docs: DataFrame, text: str, host: str, min_words: int, without: tuple[str, ...] = ()) -> DataFrame:
     """``own`` (the documents' columns), ``_host``, the metrics and ``failed_rules``. Windows are compared by a 64-bit hash."""
     text_of = text_or_empty(f"`{text}`")
-    words = docs.select(packed(docs, *RESULTS), F.col(f"`{host}`").cast("string").alias("_host"), text_of.alias("_text"), words_of(text_of).alias("_words"))
+    words = docs.select(packed(docs, *RESULTS, *without), F.col(f"`{host}`").cast("string").alias("_host"), text_of.alias("_text"), words_of(text_of).alias("_words"))
     windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
     hashes = F.when(F.size("_words") >= 3, F.slice(windows, 1, F.size("_words") - 2))
     hashed = words.withColumns({"_hashes": hashes, "_lines": F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))})
@@ -99,16 +99,22 @@ def host_verdicts(measured: DataFrame, max_share: float = 0.5) -> DataFrame:
     return hosts.join(prior, "rule").select("_host", "rule", "n", "failures", share.alias("share"), (share > max_share).alias("rejected"))
 
 
-def host_rules(docs: DataFrame, text: str = "text", host: str = "source", min_words: int = 50, max_share: float = 0.5) -> DataFrame:
+def host_rules(docs: DataFrame, text: str = "text", host: str = "source", min_words: int = 50, max_share: float = 0.5, with_text: bool = True, sent: int = 1 << 26) -> DataFrame:
     """All columns of ``docs`` with the metrics, ``host_share`` (highest shrunk share of the host) and ``kept``.
 
     Every row gets a verdict, repeated rows and null ids included; an empty table gives an empty result. A null or
-    empty text has no words and fails as too short. Columns named like the results are replaced.
+    empty text has no words and fails as too short. Columns named like the results are replaced. Without ``with_text`` the
+    text is left out of the result, and of what is stored on the way. Verdicts of up to ``sent`` bytes of host names are
+    sent to the tasks, so that no text is shuffled; more are joined, hosts of many rows in slots.
     """
-    measured = staged(with_metrics(docs, text, host, min_words), "hostrules")
-    verdict = host_verdicts(measured, max_share).groupBy("_host").agg(F.max("share").alias("host_share"), F.max("rejected").alias("_rejected"))
-    copies = 32
-    slot: Column = F.pmod(F.xxhash64(*METRICS), F.lit(copies))
-    spread = verdict.select(F.col("_host").alias("h"), "host_share", "_rejected", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("s"))
-    judged = measured.join(spread, F.col("_host").eqNullSafe(F.col("h")) & (slot.cast("int") == F.col("s")), "left")
-    return judged.select(*unpacked(docs, *RESULTS), *METRICS, "host_share", (~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))).alias("kept"))
+    without = () if with_text else (text,)
+    measured = staged(with_metrics(docs, text, host, min_words, without), "hostrules")
+    verdict = host_verdicts(measured, max_share).groupBy("_host").agg(F.max("share").alias("host_share"), F.max("rejected").alias("_rejected"), F.max("n").alias("held"))
+    verdict = staged(verdict, "verdicts")
+    bytes_of = verdict.agg(F.sum(F.coalesce(F.octet_length("_host"), F.lit(0)) + 32)).first()[0] or 0
+    if bytes_of <= sent:
+        named = F.broadcast(verdict.select(F.col("_host").alias("h"), "host_share", "_rejected"))
+        judged = measured.join(named, F.col("_host").eqNullSafe(F.col("h")), "left")
+    else:
+        judged = dealt_join(measured, verdict, ["_host"], "held")
+    return judged.select(*unpacked(docs, *RESULTS, *without), *METRICS, "host_share", (~F.col("base_failed") & ~F.coalesce("_rejected", F.lit(False))).alias("kept"))

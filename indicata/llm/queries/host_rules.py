@@ -12,7 +12,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def host_rules_without_text(docs: DataFrame) -> DataFrame:
-    return host_rules(docs).select("doc_id", *METRICS, "kept")
+    return host_rules(docs, with_text=False).select("doc_id", *METRICS, "kept")
 
 
 SQL = r"""

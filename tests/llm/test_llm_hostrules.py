@@ -42,3 +42,10 @@ def test_one_host_has_the_corpus_share(spark):
     docs = corpus(spark).where("source = 'broken'")
     share = [r["share"] for r in host_verdicts(with_metrics(docs, "text", "source", 50)).where("rule = 'short'").collect()]
     assert abs(share[0] - 40 / 43) < 1e-9
+
+
+def test_verdicts_sent_and_joined_are_the_same(spark):
+    docs = corpus(spark)
+    read = lambda df: sorted(map(str, df.collect()))
+    assert read(host_rules(docs)) == read(host_rules(docs, sent=0))
+    assert "text" not in host_rules(docs, with_text=False).columns and host_rules(docs, with_text=False).count() == docs.count()
