@@ -38,9 +38,25 @@ TAG_WIDTH, WORD_WIDTH, NUMBERS = 96, 48, 6
 WIDTH = TAG_WIDTH + WORD_WIDTH + NUMBERS
 
 
+#: Elements whose content is read as text up to the end tag, or to the end of the page.
+RAW = frozenset(("script", "style"))
+
+
 @functools.cache
-def _end_of(tag: str) -> re.Pattern:
-    return re.compile(rf"</{tag}[^>]*>", re.I)
+def _tags_of(tag: str) -> re.Pattern:
+    return re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I)
+
+
+def _ends_of(page: str, tag: str) -> dict[int, int]:
+    """Where the content of every such element that is closed ends, by the place of its start tag; elements may hold each other."""
+    found, open_ = {}, []
+    for m in _tags_of(tag).finditer(page):
+        if not m.group(1):
+            if not m.group().endswith("/>"):
+                open_.append(m.start())
+        elif open_:
+            found[open_.pop()] = m.end()
+    return found
 
 
 @dataclass
@@ -55,11 +71,16 @@ class Block:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Leaf blocks with text, in page order. Broken markup ends at the next tag that can be read; nothing is cut off."""
+    """Leaf blocks with text, in page order. Broken markup ends at the next tag that can be read; nothing is cut off.
+
+    The content of scripts, styles, media and the like is no text. One of these that is never closed hides nothing, except that
+    a script or style goes on to the end of the page, as in a browser.
+    """
     stack: list[tuple[str, str]] = []
     out: list[Block] = []
     now: Block | None = None
     links, at = 0, 0
+    closed: dict[str, dict[int, int]] = {}
 
     def add(piece: str) -> None:
         nonlocal now
@@ -77,9 +98,13 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if tag in NO_TEXT:
-            if not closing and not m.group(3).endswith("/"):
-                end = _end_of(tag).search(page, at)
+            if not closing and tag in RAW:
+                end = next((e for e in _tags_of(tag).finditer(page, at) if e.group(1)), None)
                 at = end.end() if end else len(page)
+            elif not closing and not m.group(3).endswith("/"):
+                if tag not in closed:
+                    closed[tag] = _ends_of(page, tag)
+                at = closed[tag].get(m.start(), at)
             continue
         if tag in INLINE:
             links = max(0, links + (-1 if closing else 1)) if tag == "a" else links
