@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out, staged, texts_of
+from .shared import held_out, smallest_hashes, staged, texts_of
 
 FEATURES = (
     "words chars word_length distinct_share short_share long_share upper_share digit_share symbol_share pipe_share bang_share stop_share "
@@ -218,13 +218,16 @@ def fit(x: np.ndarray, y: np.ndarray, bins: int = 48, coarse: int = 8, cycles: i
 
 
 def learn(rows: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 20_000) -> Additive:
-    """Fit on labelled rows that are not held out: at most ``most_rows`` of them, those with the smallest hash of the id.
+    """Fit on labelled rows that are not held out: at most ``most_rows`` different ones, of the ids with the smallest hashes.
 
     Rows without id or label teach nothing; of several labels of an id the largest counts.
     """
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col(label).cast("double")).alias("y"))
-    sample = rows.join(marked, F.col("doc_id") == F.col("id")).orderBy(F.xxhash64("id"), "id", "x").limit(most_rows).select("x", "y").collect()
+    known = marked.join(rows.select(F.col("doc_id").alias("_id")).distinct(), F.col("id") == F.col("_id"), "left_semi")
+    picked = F.broadcast(smallest_hashes(known, most_rows, F.xxhash64("id"), "id"))  # most_rows rows of two numbers
+    found = rows.join(picked, F.col("doc_id") == F.col("id")).select("id", "x", "y").distinct()
+    sample = smallest_hashes(found, most_rows, F.xxhash64("id", "x"), "id", "x").select("x", "y").collect()
     return fit(np.array([r["x"] for r in sample]).reshape(len(sample), len(FEATURES)), np.array([r["y"] for r in sample]))
 
 

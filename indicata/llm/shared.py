@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,9 +30,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[spark.sparkContext.applicationId]
 
 
+#: Lists that new paths are noted in.
+_noted: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted_paths() -> Iterator[list[str]]:
+    """The paths that are made in the shared folder meanwhile."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.remove(paths)
+
+
+def drop_unread(spark: SparkSession, paths: list[str], df: DataFrame) -> None:
+    """Delete the paths that ``df`` does not read."""
+    read = [f.split(":", 1)[-1].lstrip("/") for f in df.inputFiles()] if paths else []
+    for path in paths:
+        if not any(f.startswith(path.split(":", 1)[-1].lstrip("/") + "/") for f in read):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, dropped when the application ends."""
     path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    for paths in _noted:
+        paths.append(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return path
@@ -113,6 +140,21 @@ def dealt_join(rows: DataFrame, values: DataFrame, on: list[str], held: str, sha
     return dealt.join(each, [*same, F.col("_slot") == F.col("_at")], "left").drop("_slot", "_at", *here.values())
 
 
+def smallest_hashes(rows: DataFrame, most: int, hashed: Column, *ties: str) -> DataFrame:
+    """The ``most`` rows with the smallest 64-bit hash, then by ``ties``.
+
+    A bound on the hash leaves about twice as many rows to be sorted, so what single tasks hand on does not grow with the rows.
+    """
+    rows = rows.withColumn("_hash", hashed)
+    share, cut = 2 * most / max(rows.count(), 1), rows
+    while share < 1:
+        cut = rows.where(F.col("_hash") < int(-(1 << 63) + share * (1 << 64)))
+        if cut.count() >= most:
+            break
+        cut, share = rows, 2 * share
+    return cut.orderBy("_hash", *ties).limit(most).drop("_hash")
+
+
 def first_rows(df: DataFrame, n: int, column: str, *ties: str) -> DataFrame:
     """The ``n`` first rows by a number column (nulls last) and ``ties``; what single tasks hand on does not grow with the rows.
 

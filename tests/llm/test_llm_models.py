@@ -108,3 +108,34 @@ def test_blocks():
     assert [(b.text, b.path[-1]) for b in htmltext.blocks_of(page)] == [("T", "title"), ("one", "nav top menu"), ("a&b é c d", "p"), ("e", "p"), ("f", "li"), ("g h", "li"), ("i", "textarea")]
     assert htmltext.blocks_of("") == [] and [b.text for b in htmltext.blocks_of("plain < text")] == ["plain < text"]
     assert [b.text for b in htmltext.blocks_of("<p>a<script>never closed <p>b")] == ["a"]
+
+
+def test_unclosed_elements_hide_no_text():
+    texts = lambda page: [b.text for b in htmltext.blocks_of(page)]
+    for tag in sorted(htmltext.NO_TEXT - htmltext.RAW):
+        assert texts(f"<article><p>First<p><{tag} src=a><p>Second</p><p>Third</article>") == ["First", "Second", "Third"]
+        assert texts(f"<p>a<{tag}>hidden<p>too</{tag}>b<p>c") == ["ab", "c"]
+        assert texts(f"<p>a<{tag} x=1>b<p>c<{tag}>hidden</{tag}><p>d") == ["ab", "c", "d"]
+        assert texts(f"<p>a<{tag}><{tag}>hidden</{tag}>hidden</{tag}>b") == ["ab"]
+    assert texts("<p>a<svg/>b<style>x<p>y") == ["ab"] and texts("<p>a<style>x</style >b</video>") == ["ab"]
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    found = toxicity.toxicity(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    joined = found.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL"), "doc_id").select("predicted", "toxic").collect()
+    shares = [np.mean([r["predicted"] == r["toxic"] for r in joined if r["toxic"] == y]) for y in (0, 1)]
+    assert len(joined) >= 30 and np.mean(shares) >= 0.9
+
+
+def test_learners_take_a_bounded_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"row {k} of one id", "en") for k in range(300)] + [(1, "same row", "en")] * 200 + [(k, f"text {k}", "en") for k in range(2, 60)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(1, 60)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append(len(texts)) or toxicity.Network.fresh(np.random.default_rng(0), (1,), 4, 2))
+    toxicity.learn(docs, labels, "doc_id", "text", "lang", most_rows=20)
+    toxicity.learn(docs, labels, "doc_id", "text", "lang", most_bytes=50)
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x)) or fit(x, y))
+    quality.learn(quality.feature_rows(docs).coalesce(3), labels, most_rows=20)
+    assert 1 <= seen[0] <= 20 and 1 <= seen[1] <= 8 and 1 <= seen[2] <= 20
