@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_staged, staged
+from .shared import dealt_join, drop_staged, staged
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -21,7 +21,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     stars = staged(pairs.distinct(), "links")
     before = _mark(stars)
     while True:
-        turned = staged(_small_star(_large_star(stars)), "stars")
+        turned = _small_star(_large_star(stars))
         after = _mark(turned)
         drop_staged(stars)
         stars = turned
@@ -36,14 +36,23 @@ def _mark(stars: DataFrame) -> tuple:
 
 
 def _large_star(stars: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
+    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours.
+
+    The links of a node with many neighbours are dealt to slots by their number, and its smallest neighbour is copied to them.
+    """
     both = stars.select(F.explode(F.array(F.struct(F.col("hi").alias("n"), F.col("lo").alias("m")), F.struct(F.col("lo").alias("n"), F.col("hi").alias("m")))).alias("e")).select("e.n", "e.m")
-    least = both.groupBy("n").agg(F.min("m").alias("least")).select("n", F.least("n", "least").alias("least"))
-    return both.join(least, "n").where("m > n").select(F.col("m").alias("hi"), F.col("least").alias("lo")).distinct()
+    least = both.groupBy("n").agg(F.min("m").alias("least"), F.count(F.lit(1)).alias("held"))
+    least = staged(least.select("n", F.least("n", "least").alias("least"), "held"), "least")
+    turned = staged(dealt_join(both, least, ["n"], "held").where("m > n").select(F.col("m").alias("hi"), F.col("least").alias("lo")).distinct(), "stars")
+    drop_staged(least)
+    return turned
 
 
 def _small_star(stars: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = stars.groupBy("hi").agg(F.min("lo").alias("least"))
-    moved = stars.join(least, "hi").where("lo != least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-    return moved.union(least.select("hi", F.col("least").alias("lo"))).distinct()
+    least = staged(stars.groupBy("hi").agg(F.min("lo").alias("least"), F.count(F.lit(1)).alias("held")), "least")
+    moved = dealt_join(stars, least, ["hi"], "held").where("lo != least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
+    turned = staged(moved.union(least.select("hi", F.col("least").alias("lo"))).distinct(), "stars")
+    drop_staged(least)
+    drop_staged(stars)
+    return turned

@@ -54,15 +54,16 @@ def signed(value: int) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long."""
+    """``doc_id, fp, body`` of every row; ``fp`` holds the 64 bits as a signed long, ``body`` is a hash of the text."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(source, "text"):
             found = pa.array([signed(fingerprint(t, shingle)) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found, batch.column("body")], ["doc_id", "fp", "body"])
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(batches, "doc_id long, fp long")
+    own = F.col(f"`{text}`").cast("string")
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), own.alias("text"), F.xxhash64(F.coalesce(own, F.lit(""))).alias("body"))
+    return rows.mapInArrow(batches, "doc_id long, fp long, body long")
 
 
 # --- bit groups and thresholds ------------------------------------------------------------------
@@ -277,7 +278,8 @@ def _through_midpoints(members: DataFrame, max_bits: int) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2, crowded: int = 256) -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id`` (the smallest id reachable through links, its own included).
+    """One row per document: ``doc_id, fp, component_id`` (the smallest id reachable through links, its own included),
+    ``root`` (a fingerprint that names the component) and ``body`` (a hash of the text).
 
     Null and empty texts have the fingerprint 0 and are linked like any other. Repeated rows come back as often.
     A null id never becomes a component's id; a component of null ids alone has a null one.
@@ -287,5 +289,5 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = components(links(smallest, max_bits, crowded), "a", "b")
     rooted = smallest.join(roots, smallest["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     component = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(component, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    classes = rooted.join(component, "root").select(F.col("fp").alias("_fp"), "component_id", "root")
+    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id", "root", "body")

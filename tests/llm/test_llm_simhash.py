@@ -83,3 +83,21 @@ def test_copies_share_the_smallest_id(spark):
     docs = spark.createDataFrame([(9, text), (4, text.upper()), (7, text + " tail"), (5, "else"), (None, text)], "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in simhash_groups(docs).collect()}
     assert found[9] == found[4] == found[None] == 4 and found[5] == 5
+
+
+def test_components_with_hubs_match_plain_sets(spark):
+    rng = random.Random(9)
+    pairs = [(0, k) for k in range(1, 4000)] + [(k, k + 1) for k in range(5000, 5060)] + [(rng.randrange(9000, 9400), rng.randrange(9000, 9400)) for _ in range(300)] + [(7, 7), (1, 0)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}
+    assert got == {x: find(x) for x in parent if find(x) != x}
