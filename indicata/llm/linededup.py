@@ -4,7 +4,8 @@ Lines are normalised (small letters and digits, one space between words) and com
 64-bit SimHash. The bits are cut into blocks; lines that agree on any ``intact`` of them are
 candidates, which finds all pairs up to ``blocks - intact`` bits apart and most of those a
 few bits further, the same ones in a small table and in a large one. The share of words
-that need no edit decides.
+that need no edit decides. A changed word moves about six of a hundred bits: of pairs of
+similarity 0.98 nine in ten are found, below that fewer (a test measures it against all pairs).
 """
 
 from __future__ import annotations
