@@ -1,7 +1,8 @@
 """Documents that hold benchmark items, found by greedy string tiling.
 
-A document and an item that share a run of ``seed`` words are a candidate pair. Tiles
-are then marked from the longest common run to the shortest, none overlapping, each
+A document and an item that share a run of ``seed`` words are a candidate pair; these come from a
+join of the hashes of their runs. A bitmap of the items' hashes, of bounded size, keeps the runs that no item
+has out of the join. For each pair, tiles are then marked from the longest common run to the shortest, none overlapping, each
 found by Karp-Rabin hashes of runs; the share of the item's words under tiles is its
 coverage. Moved sentences keep their tiles, so a shuffled copy is covered as well.
 """
@@ -10,18 +11,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import packed
+from .shared import packed, staged, text_or_empty
 
 TOKEN = re.compile(r"\w+")
 #: Karp-Rabin arithmetic is modulo 2**64; equal hashes are compared word by word.
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits for each run of the items in the bitmap, and the most it may have (128 MB).
+BITS_OF_RUN, MOST_BITS = 16, 1 << 30
+#: Bits of one bitmap as Spark makes them.
+PAGE = 1 << 15
+#: Bytes of items, pairs or results that are sent to the tasks; more are joined by a shuffle.
+SENT = 1 << 26
+#: Words whose hashes a worker remembers.
+KNOWN = 500_000
 
 
 def tokens(text: str) -> list[str]:
@@ -103,70 +112,109 @@ def _longest(doc, item, doc_free, item_free, low: int, high: int) -> int:
     return low
 
 
-@dataclass
-class Items:
-    """A block of benchmark items: their words as ids, and the runs that make a candidate."""
-
-    ids: list[int] = field(default_factory=list)
-    words: dict[str, int] = field(default_factory=dict)
-    sequences: list[np.ndarray] = field(default_factory=list)
-    seeds: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    owners: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-
-    @staticmethod
-    def of(rows: list[tuple[int, str]], seed: int) -> Items:
-        out, seeds, owners = Items(), [], []
-        for item_id, text in rows:
-            found = [out.words.setdefault(w, len(out.words)) for w in tokens(text)]
-            if not found:
-                continue
-            sequence = np.array(found, dtype=np.int64)
-            runs = np.unique(run_hashes(sequence, min(seed, len(sequence))))
-            seeds.append(runs)
-            owners.append(np.full(len(runs), len(out.ids)))
-            out.ids.append(item_id)
-            out.sequences.append(sequence)
-        if seeds:
-            joined = np.concatenate(seeds)
-            order = np.argsort(joined, kind="stable")
-            out.seeds, out.owners = joined[order], np.concatenate(owners)[order]
-        return out
+class Hashes(dict):
+    """64-bit hashes of words, remembered; emptied when there are many."""
 
-    def coverages(self, text: str, seed: int) -> list[tuple[int, float]]:
-        """Items that share a seed with the text, with the covered share of their words."""
-        get = self.words.get
-        doc = np.array([get(w, -1) for w in tokens(text)], dtype=np.int64)
-        if not len(doc) or not self.ids:
-            return []
-        candidates: set[int] = set()
-        for length in sorted({min(seed, len(s)) for s in self.sequences}):
-            open_runs = _open_runs(doc >= 0, length)
-            if len(open_runs):
-                hashes = np.unique(run_hashes(doc, length)[open_runs])
-                low, high = np.searchsorted(self.seeds, hashes, "left"), np.searchsorted(self.seeds, hashes, "right")
-                for k in np.flatnonzero(high > low):
-                    candidates.update(self.owners[low[k] : high[k]].tolist())
-        found = []
-        for k in sorted(candidates):
-            item = self.sequences[k]
-            covered = tile(doc, item, min(seed, len(item))).sum() / len(item)
-            if covered > 0:
-                found.append((self.ids[k], float(covered)))
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return found
 
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > KNOWN:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def covered_share(doc: list[str], item: list[str], seed: int) -> float:
+    """Share of the item's words under tiles of at least ``seed`` words, or of the whole item if it is shorter."""
+    if not item:
+        return 0.0
+    known: dict[str, int] = {}
+    wanted = np.array([known.setdefault(w, len(known)) for w in item], dtype=np.int64)
+    own = np.array([known.get(w, -1) for w in doc], dtype=np.int64)
+    return float(tile(own, wanted, min(seed, len(item))).sum() / len(item))
+
+
+RUN = "length int, run long"
+
+
+def _runs(found: list[np.ndarray], lengths: list[int]) -> list[pa.Array]:
+    """The columns of ``RUN`` for the runs found of each length."""
+    of = np.repeat(np.array(lengths, dtype=np.int32), [len(f) for f in found])
+    return [pa.array(of), pa.array(np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64))]
+
+
+def item_runs(items: DataFrame, seed: int) -> DataFrame:
+    """``item, length, run``: the different runs of ``seed`` words of every item (``item, words``), or the whole of a shorter one."""
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in source:
+            texts = [tokens(t) for t in batch.column("text").to_pylist()]
+            lengths = [min(seed, len(t)) for t in texts]
+            found = [np.unique(run_hashes(hashes.of(t), n)) for t, n in zip(texts, lengths)]
+            owner = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([batch.column("item").take(pa.array(owner)), *_runs(found, lengths)], ["item", "length", "run"])
+
+    return items.select("item", "text").mapInArrow(batches, f"item long, {RUN}")
+
+
+def _bitmap(runs: DataFrame) -> np.ndarray:
+    """One bit for each run's hash modulo the number of bits, a power of two that follows the number of runs up to a limit."""
+    bits = 1 << 16
+    count = runs.count()
+    while bits < min(MOST_BITS, BITS_OF_RUN * count):
+        bits *= 2
+    at = F.pmod(F.col("run"), F.lit(bits))
+    found = runs.groupBy(F.floor(at / PAGE).alias("page")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(PAGE))).alias("bits"))
+    out = np.zeros((bits // PAGE, PAGE // 8), dtype=np.uint8)
+    for row in found.toLocalIterator():  # MOST_BITS / PAGE rows at the most
+        out[row["page"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out.ravel()
+
+
+def document_runs(rows: DataFrame, lengths: list[int], bitmap: np.ndarray) -> DataFrame:
+    """``_id, _own, length, run``: the different runs of every row (``_id, _own, _text``) that the bitmap knows."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_rows: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded size, in a stable order; an item larger than a block is one of its own."""
-    rows, chars = [], 0
-    picked = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("i"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
-    for row in picked.where("i IS NOT NULL").orderBy("i", "t").toLocalIterator():
-        if rows and (len(rows) >= block_rows or chars + len(row["t"]) > block_chars):
-            yield rows
-            rows, chars = [], 0
-        rows.append((row["i"], row["t"]))
-        chars += len(row["t"])
-    if rows:
-        yield rows
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, known = Hashes(), shared.value
+        mask = np.uint64(8 * len(known) - 1)
+        for batch in source:
+            owners, columns = [], [[], []]
+            for k, text in enumerate(batch.column("_text").to_pylist()):
+                words = hashes.of(tokens(text))
+                for length in lengths:
+                    runs = run_hashes(words, length)
+                    at = runs & mask
+                    hit = np.unique(runs[(known[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+                    if len(hit):
+                        owners.append(np.full(len(hit), k))
+                        columns[0].append(hit)
+                        columns[1].append(length)
+            owner = pa.array(np.concatenate(owners) if owners else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("_id").take(owner), batch.column("_own").take(owner), *_runs(*columns)], ["_id", "_own", "length", "run"])
+
+    return rows.mapInArrow(batches, f"_id long, _own long, {RUN}")
+
+
+def _sent(df: DataFrame, size: Column, most: int) -> DataFrame:
+    """A stored table, to be sent to the tasks if its rows have at most ``most`` bytes together."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most else df
+
+
+def _tiled(seed: int):
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, words = None, []
+        for batch in source:
+            shares = []
+            for text, item in zip(batch.column("_text").to_pylist(), batch.column("text").to_pylist()):
+                if text != last:
+                    last, words = text, tokens(text)
+                shares.append(covered_share(words, tokens(item), seed))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "_own", "item_id")), pa.array(shares, pa.float64())], ["_id", "_own", "item", "covered"])
+
+    return batches
 
 
 def decontaminate(
@@ -178,42 +226,43 @@ def decontaminate(
     item_text: str = "text",
     seed: int = 5,
     coverage: float = 0.5,
-    block_rows: int = 50_000,
-    block_chars: int = 32_000_000,
+    sent: int = SENT,
 ) -> DataFrame:
     """All columns of ``docs`` with ``item_ids`` (covered items, ascending), ``best_item``, ``coverage`` and ``contaminated``.
 
     An item counts when tiles of at least ``seed`` words cover ``coverage`` of its words; an item shorter than
     ``seed`` words must occur whole. ``best_item`` is the best covered one (of equals the smallest id), null if no
-    item shares a tile, then with coverage 0. Items without id or words are ignored; null and empty texts are clean.
-    The benchmark passes through the documents in blocks, each block one pass over the texts, so what is
-    sent to the tasks is bounded whatever its size.
+    item shares a tile, then with coverage 0. Items without id or words are ignored; null and empty texts are clean;
+    of an id that several items have, each counts. Repeated rows get the same results. Up to ``sent`` bytes of
+    items, candidate pairs and results are sent to the tasks, more are joined by a shuffle; the benchmark does not pass
+    through the driver.
     """
     results = ("item_ids", "best_item", "coverage", "contaminated")
+    items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"), text_or_empty(f"`{item_text}`").alias("text"))
+    items = staged(items.where("item_id IS NOT NULL").distinct().withColumn("item", F.monotonically_increasing_id()), "items")
+    runs = staged(item_runs(items, seed).where("length > 0"), "item-runs")
+    lengths = sorted(r["length"] for r in runs.select("length").distinct().collect())
+    key = [F.col(f"`{doc_id}`").cast("long").alias("_id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("_own")]
+    rows = docs.select(*key, text_or_empty(f"`{text}`").alias("_text"))
+    hits = document_runs(rows, lengths, _bitmap(runs))
+    found = hits.join(_sent(runs, F.lit(24), sent), ["length", "run"]).select("_id", "_own", "item").distinct()
+    pairs = staged(found.select(F.col("_id").alias("_doc"), F.col("_own").alias("_body"), "item"), "pairs")
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_body"))
+    wanted = rows.join(_sent(pairs, F.lit(24), sent), same).select("_id", "_own", "_text", "item")
+    both = wanted.join(_sent(items, F.octet_length("text") + 16, sent), "item").select("_id", "_own", "_text", "item_id", "text")
+    tiled = both.mapInArrow(_tiled(seed), "_id long, _own long, item long, covered double").where("covered > 0").distinct()
+    each = tiled.groupBy(F.col("_id").alias("_doc"), F.col("_own").alias("_body")).agg(F.collect_list(F.struct("item", "covered")).alias("_tiles"))
+    tiles = staged(each, "tiles")
+    own = docs.select(packed(docs, text, *results), F.col(f"`{text}`").alias("_text"), *key)
+    marked = own.join(_sent(tiles, 16 * F.size("_tiles") + 16, sent), same, "left")
     none = F.array().cast("array<struct<item: long, covered: double>>")
-    found = docs.select(packed(docs, text, *results), F.col(f"`{text}`").alias("_text"), none.alias("_tiles"))
-    schema = found.schema
-    for rows in item_blocks(benchmark, item_id, item_text, block_rows, block_chars):
-        found = found.mapInArrow(_tiler(rows, seed), schema)
+    marked = marked.withColumn("_tiles", F.coalesce("_tiles", none))
     best = F.array_max(F.transform("_tiles", lambda t: F.struct(t["covered"].alias("c"), (-t["item"]).alias("i"))))
     hits = F.filter("_tiles", lambda t: t["covered"] >= coverage)
-    return found.select(
+    return marked.select(
         *(F.col("_text").alias(text) if c == text else F.col("own").getField(c).alias(c) for c in docs.columns if c not in results),
         F.array_sort(F.array_distinct(F.transform(hits, lambda t: t["item"]))).alias("item_ids"),
         (-best["i"]).alias("best_item"),
         F.coalesce(best["c"], F.lit(0.0)).alias("coverage"),
         (F.size(hits) > 0).alias("contaminated"),
     )
-
-
-def _tiler(rows: list[tuple[int, str]], seed: int):
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items.of(rows, seed)
-        for batch in source:
-            at = batch.schema.get_field_index("_tiles")
-            before = batch.column(at).to_pylist()
-            texts = batch.column("_text").to_pylist()
-            after = [b + [{"item": i, "covered": c} for i, c in items.coverages(t or "", seed)] for b, t in zip(before, texts)]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(after, batch.schema.field(at).type))
-
-    return batches

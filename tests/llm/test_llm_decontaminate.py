@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from indicata.llm.decontaminate import Items, decontaminate, run_hashes, tile
+from indicata.llm.decontaminate import covered_share, decontaminate, run_hashes, tile, tokens
 
 
 def greedy(doc, item, shortest):
@@ -63,13 +63,35 @@ def test_copies_and_reordered_copies_are_found(spark):
     assert found[2]["coverage"] == 1.0 and 0.15 < found[3]["coverage"] < 0.5 and found[4]["best_item"] is None
 
 
-def test_blocks_of_items_give_the_same(spark):
+def test_sent_and_shuffled_tables_give_the_same(spark):
     docs, items = docs_and_items(spark)
     read = lambda df: sorted(map(str, df.collect()))
-    assert read(decontaminate(docs, items, block_rows=1)) == read(decontaminate(docs, items))
+    assert read(decontaminate(docs, items, sent=-1)) == read(decontaminate(docs.repartition(5), items.repartition(3)))
+
+
+def test_documents_match_plain_coverages(spark):
+    """Every pair by tiling of all words, repeated rows and items, nulls, short items and an empty benchmark."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choices(words, k=rng.randint(1, 25)))) for k in range(12)] + [(3, "w1 w2 w3 w4 w5 w6"), (3, "w1 w2 w3 w4 w5 w6"), (None, "w1 w2"), (50, None), (51, "..."), (52, "w7 w8")]
+    docs = []
+    for k in range(40):
+        some = items[rng.randrange(12)][1].split()
+        cut = rng.randint(0, len(some))
+        docs.append((k % 30, " ".join(rng.choices(words, k=rng.randint(0, 30)) + some[cut:] + rng.choices(words, k=3) + some[:cut])))
+    docs += [(None, docs[0][1]), (None, None), (99, ""), docs[1], docs[1]]
+    found = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    wanted = []
+    for d, t in docs:
+        shares = [(covered_share(tokens(t or ""), tokens(x or ""), 5), i) for i, x in items if i is not None]
+        best = max(((c, -i) for c, i in shares if c > 0), default=(0.0, None))
+        wanted.append((d, sorted({i for c, i in shares if c >= 0.5}), None if best[1] is None else -best[1], round(best[0], 9)))
+    got = [(r["doc_id"], r["item_ids"], r["best_item"], round(r["coverage"], 9)) for r in found.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, wanted))
+    empty = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string"))
+    assert empty.where("contaminated").count() == 0 and empty.count() == len(docs)
 
 
 def test_short_items_must_occur_whole():
-    items = Items.of([(1, "only three words")], 5)
-    assert items.coverages("here are only three words again", 5) == [(1, 1.0)]
-    assert items.coverages("only three", 5) == []
+    assert covered_share(tokens("here are only three words again"), tokens("only three words"), 5) == 1.0
+    assert covered_share(tokens("only three"), tokens("only three words"), 5) == 0.0
