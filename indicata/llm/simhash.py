@@ -278,12 +278,16 @@ def _through_midpoints(members: DataFrame, max_bits: int) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2, crowded: int = 256) -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id`` (the smallest id reachable through links, its own included),
-    ``root`` (a fingerprint that names the component) and ``body`` (a hash of the text).
+    """One row per document: ``doc_id, fp, component_id`` (the smallest id reachable through links, its own included).
 
     Null and empty texts have the fingerprint 0 and are linked like any other. Repeated rows come back as often.
     A null id never becomes a component's id; a component of null ids alone has a null one.
     """
+    return simhash_components(docs, doc_id, text, shingle, max_bits, crowded).select("doc_id", "fp", "component_id")
+
+
+def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2, crowded: int = 256) -> DataFrame:
+    """``simhash_groups`` with ``root`` (a fingerprint that names the component) and ``body`` (a hash of the text)."""
     rows = staged(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     smallest = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(links(smallest, max_bits, crowded), "a", "b")

@@ -1,7 +1,11 @@
+import math
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
+import pytest
 
 from indicata.llm import htmltext, quality, toxicity
 
@@ -139,3 +143,48 @@ def test_learners_take_a_bounded_sample(spark, monkeypatch):
     monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x)) or fit(x, y))
     quality.learn(quality.feature_rows(docs).coalesce(3), labels, most_rows=20)
     assert 1 <= seen[0] <= 20 and 1 <= seen[1] <= 8 and 1 <= seen[2] <= 20
+
+
+def plain_features(text):
+    """The features of a text by their definitions, one at a time."""
+    words = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    if not words:
+        return [0.0] * len(quality.FEATURES)
+    n, letters = len(words), [c for c in text if c not in " \t\n\x0b\x0c\r"]
+    lines = [x for x in text.split("\n") if x.strip(" \t\x0b\x0c\r")]
+    spaces = [x.count(" ") + 1 for x in lines]
+    mean = sum(spaces) / len(spaces)
+    windows = Counter(zip(words, words[1:], words[2:])) or {0: 1}
+    share = lambda keep: sum(map(keep, letters)) / len(letters)
+    of_words = lambda keep: sum(map(keep, words)) / n
+    return [
+        math.log1p(n), math.log1p(len(letters)), sum(map(len, words)) / n, len(set(words)) / n,
+        of_words(lambda w: len(w) <= 3), of_words(lambda w: len(w) >= 10),
+        share(lambda c: "A" <= c <= "Z"), share(lambda c: "0" <= c <= "9"), share(lambda c: c in "#*$%&<>{}[]\\^~_=+@"),
+        text.count("|") / n, text.count("!") / n, text.count(".") / n, text.count(",") / n, share(lambda c: ord(c) > 127),
+        math.log1p(len(lines)), math.log1p(mean), (sum((x - mean) ** 2 for x in spaces) / len(spaces)) ** 0.5 / mean,
+        1 - len(set(lines)) / len(lines), sum(k for k in windows.values() if k > 1) / sum(windows.values()),
+        of_words(lambda w: chr(w[0]).isascii() and chr(w[0]).isupper()), max(Counter(words).values()) / n,
+        share(lambda c: c.isascii() and c.isalpha() or ord(c) > 127),
+    ]
+
+
+def test_features_match_their_definitions(spark):
+    texts = ["", " \n\t", "one", "A b C!", "x | y | # $ 5%\n\n x | y\x0bz", "Größe über alles, größe über alles.\nnaïve 日本語 text", "a b c a b c a b c\na b c"]
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(150).collect()]
+    for text in texts:
+        assert list(quality.features(text)) == pytest.approx(plain_features(text), abs=1e-12), text[:80]
+
+
+def test_scores_are_sums_of_looked_up_numbers():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, len(quality.FEATURES)))
+    model = quality.fit(x, (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float), cycles=20, pair_cycles=10)
+    for row, score in zip(x[:50], model.scores(x[:50])):
+        total = model.base
+        for f, (edges, table) in enumerate(zip(model.edges, model.tables)):
+            total += table[sum(e <= row[f] for e in edges)]
+        for (f, g), table in zip(model.pairs, model.pair_tables):
+            total += table[sum(e <= row[f] for e in model.coarse[f]), sum(e <= row[g] for e in model.coarse[g])]
+        assert score == pytest.approx(1 / (1 + math.exp(-total)))
+    assert model.pairs
