@@ -17,7 +17,7 @@ from indicata.llm.hostrules import host_rules
 from indicata.llm.linededup import dedup_lines
 from indicata.llm.mixing import mix
 from indicata.llm.shared import WORD, columns, dealt_join, drop_staged, drop_unread, noted_paths, staged, table, text_or_empty, unpacked
-from indicata.llm.simhash import simhash_groups
+from indicata.llm.simhash import simhash_components
 
 #: Numbers of documents that are sent to the tasks at most.
 SENT = 1 << 20
@@ -48,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share an id but not their words are in groups of their own. What goes, and what stands several times, is
     a list of numbers; up to ``SENT`` of them are sent to the tasks, so that no text is shuffled.
     """
-    groups = staged(simhash_groups(docs, shingle=3, max_bits=2).select("doc_id", "body", "root"), "near")
+    groups = staged(simhash_components(docs, shingle=3, max_bits=2).select("doc_id", "body", "root"), "near")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
     first = groups.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("held"))
     each = groups.groupBy("doc_id", "body", "root").agg(F.count(F.lit(1)).alias("copies"))
