@@ -234,7 +234,11 @@ def _joined(segments: list[dict], total: int | None, origin: str) -> bytes:
 
 
 def archived(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write the pages as archives (below the shared folder unless told otherwise) and read their index back."""
+    """Write the pages as archives (below the shared folder unless told otherwise) and read their index back.
+
+    One row for each page, repeated ones and those without id included; a null html is an empty payload, a null url is left out
+    of the record. No pages, no records. Columns other than the three are not written.
+    """
     target = path or scratch_path(pages.sparkSession, "warc")
     write_archive(pages, target, **options)
     return read_index(pages.sparkSession, target)
