@@ -42,6 +42,7 @@ class Run:
     steps: dict[str, str] = field(default_factory=dict)  # "done", or what went wrong
     metrics: list[storage.StageMetric] = field(default_factory=list)
     counts: dict[str, KeyCounts] = field(default_factory=dict)  # of the codes of every silver table
+    tables: list[str] = field(default_factory=list)  # the catalogue's names for stored silver
 
 
 #: Points of the published scatter chart.
@@ -63,10 +64,12 @@ def cause(problem: Exception) -> str:
 
 
 def run_source(
-    zone: LandingZone, source: Source, out: str, mode: str = "label", fmt: str = "parquet"
+    zone: LandingZone, source: Source, out: str, mode: str = "label", fmt: str = "parquet", tables: list[str] | None = None
 ) -> tuple[DataFrame, KeyCounts, list[storage.StageMetric]]:
     """Bronze, silver and rejects of one source, written; the stored silver table comes back with the counts of its codes.
 
+    ``tables`` gets the name of the catalogue's entry that was made for it.
+
     A Parquet bronze layer keeps the landing position of every row, so silver
     reads that; CSV cannot hold it, and silver reads the landing files again. Clean and rejected rows are made in
     one pass and stored as parts of one table, in buckets of the code; the rejects layer is a copy of its part.
@@ -89,7 +92,9 @@ def run_source(
         (F.count_if(~is_clean) + F.count_if(~is_clean & F.col(GIVEN).isNull())).alias("rejects_missing"),
         *key_columns(names.CODE),
     ]
-    table, seen, seconds = storage.clustered_write(silver_states(raw, source, mode), f"{out}/silver/{source.name}", names.CODE, STATE, observed)
+    table, name, seen, seconds = storage.clustered_write(silver_states(raw, source, mode), f"{out}/silver/{source.name}", names.CODE, STATE, observed)
+    if tables is not None:
+        tables.append(name)
     started = time.monotonic()
     storage.write_layer(table.where(~is_clean).select(names.CODE, F.col(GIVEN).alias(source.name)), f"{out}/rejects/{source.name}")
     metrics = [
@@ -119,7 +124,7 @@ def run_sources(
 
     def attempt(source: Source):
         try:
-            return run_source(zone, source, out, mode, fmt)
+            return run_source(zone, source, out, mode, fmt, run.tables)
         except FAILURES as problem:
             log.error("source %s failed: %s", source.name, cause(problem))
             return problem
@@ -184,6 +189,8 @@ def run_all(
     finally:
         storage.write_layer(storage.metrics_table(spark, run.metrics), f"{results}/stage_metrics")
         storage.write_layer(status_table(spark, run), f"{results}/run_status")
+        for name in run.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
     return run
 
 

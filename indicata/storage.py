@@ -149,12 +149,12 @@ def observed_write(df: DataFrame, path: str, stage: str, observed: Sequence[Colu
     return stored, StageMetric(stage, seen.get["rows"], seen.get["missing"], seconds), seen.get
 
 
-def clustered_write(df: DataFrame, path: str, key: str, parts: str, observed: Sequence[Column], buckets: int | None = None) -> tuple[DataFrame, dict, float]:
-    """Write a layer in folders by ``parts`` and buckets of ``key``; the stored table, what was observed, and the seconds.
+def clustered_write(df: DataFrame, path: str, key: str, parts: str, observed: Sequence[Column], buckets: int | None = None) -> tuple[DataFrame, str, dict, float]:
+    """Write a layer in folders by ``parts`` and buckets of ``key``; the stored table, its name, what was observed, and the seconds.
 
     Tables with the same number of buckets (that of shuffle partitions unless told otherwise) join on the key without a
-    shuffle. Rows go to the task of their bucket first, except where a bucket is so full that Spark splits it. The table
-    is known to the catalogue under a name of its own while the session lasts; its files are ordinary Parquet.
+    shuffle. Rows go to the task of their bucket first, except where a bucket is so full that Spark splits it. The
+    catalogue, which knows the buckets, has the table under a name of its own; dropping that leaves the Parquet files.
     """
     spark, seen = df.sparkSession, Observation()
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,7 +162,7 @@ def clustered_write(df: DataFrame, path: str, key: str, parts: str, observed: Se
     started = time.monotonic()
     dealt = df.hint("rebalance", count, F.col(key)).observe(seen, *observed)
     dealt.write.mode("overwrite").partitionBy(parts).bucketBy(count, key).option("compression", "snappy").option("path", path).saveAsTable(name)
-    return spark.table(name), seen.get, time.monotonic() - started
+    return spark.table(name), name, seen.get, time.monotonic() - started
 
 
 def metrics_table(spark: SparkSession, metrics: list[StageMetric]) -> DataFrame:

@@ -88,6 +88,8 @@ def test_whole_run(spark, landing, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/gold")
     assert stored.columns == list(names.display_names(2010).values())
     assert [r[0] for r in spark.table("gold_run").select("CodMunIBGE").collect()] == CODES
+    assert len(run.tables) == 5 and not {t.name for t in spark.catalog.listTables()} & set(run.tables)
+    assert spark.read.parquet(f"{tmp_path}/silver/revenue").groupBy("state").count().count() == 2
     rejects = spark.read.parquet(f"{tmp_path}/rejects/revenue")
     assert rows(rejects) == [(None, 9.0)]
     bronze = spark.read.parquet(f"{tmp_path}/bronze/RECORRM")
