@@ -144,14 +144,14 @@ def fold_left_spread(tables: Sequence[DataFrame], key: str, rows_per_task: int =
         return fold_left(tables, key)
     hot = F.broadcast(hot)  # at most OFTEN rows a table
     plain = fold_left([t.join(hot.select(key), key, "left_anti") for t in tables], key)
-    joined = tables[0].join(hot.select(key), key, "left_semi")
+    joined = staged(tables[0].join(hot.select(key), key, "left_semi"), "hot")
     wide = F.lit(1)
     for j, right in enumerate(tables[1:], 1):
         # Rows of a key multiply along the chain, and so do the slots of its left side.
         wide = F.least(F.lit(1 << 20), wide * F.col(f"s{j - 1}").cast("bigint"))
         slots = hot.select(key, wide.cast("int").alias("_ls"), F.col(f"s{j}").alias("_rs"))
-        left, other = (staged(t.join(slots, key), "hot") for t in (joined, right))
-        joined = staged(_dealt_join(left, other, key), "dealt")
+        joined = _dealt_join(joined.join(slots, key), staged(right.join(slots, key), "hot"), key)
+        joined = staged(joined, "dealt") if j + 1 < len(tables) else joined
     return plain.unionByName(joined)
 
 
