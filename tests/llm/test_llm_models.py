@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from indicata.llm import htmltext, quality, toxicity
 
@@ -74,6 +75,49 @@ def test_thresholds_follow_the_scores():
     assert toxicity.best_threshold(scores, np.zeros(4)) == 0.5
 
 
+def test_cuts_of_a_table_follow_the_plain_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(["en", "de", "xx"]), float(np.round(rng.beta(0.3, 0.6), 3))) for _ in range(900)] + [(None, 0.0), (None, 1.0), ("one", 0.7)]
+    rows = [(None if lang is None else str(lang), s, int(lang not in (None, "xx") and rng.random() < s)) for lang, s in rows]
+    found = {r["lang"]: r for r in toxicity.best_cuts(spark.createDataFrame(rows, "lang string, score double, y int")).collect()}
+    assert set(found) == {None, "en", "de", "xx", "one"}
+    for lang, row in found.items():
+        mine = [r for r in rows if lang is None or r[0] == lang]
+        assert row["found"] == sum(r[2] for r in mine)
+        if row["found"]:
+            # Rows of one score are on the same side of a cut.
+            levels = sorted({r[1] for r in mine}, reverse=True)
+            f1 = [2 * sum(y for _, s, y in mine if s >= c) / (sum(s >= c for _, s, _ in mine) + row["found"]) for c in levels]
+            k = int(np.argmax(f1))
+            assert row["cut"] == pytest.approx((levels[k] + [*levels, 0.0][k + 1]) / 2)
+    apart = [("en", s / 1000, int(s > 400)) for s in rng.permutation(1000)[:300].tolist()]
+    cut = toxicity.best_cuts(spark.createDataFrame(apart, "lang string, score double, y int")).first()["cut"]
+    assert cut == pytest.approx(toxicity.best_threshold(np.array([r[1] for r in apart]), np.array([r[2] for r in apart]), weight=0))
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    rng = random.Random(8)
+    words, vile = [f"word{k}" for k in range(200)], [f"vile{k}x" for k in range(40)]
+    docs, labels = [], []
+    for k in range(4000):
+        body = rng.choices(words, k=rng.randint(5, 40))
+        if k % 4 == 0:
+            body.insert(rng.randrange(len(body)), rng.choice(vile))
+        docs.append((k, " ".join(body), rng.choice(["en", "de"])))
+        labels.append((k, int(k % 4 == 0)))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = toxicity.toxicity(docs, labels, most_rows=150).where("held_out").join(labels, "doc_id").collect()
+    # 150 texts hold few of the forty words, and none of them four times.
+    caught = np.mean([r["predicted"] for r in found if r["toxic"] == 1])
+    spared = np.mean([1 - r["predicted"] for r in found if r["toxic"] == 0])
+    assert caught > 0.8 and spared > 0.8, (caught, spared)
+    # A sample without any toxic row.
+    none = labels.withColumn("toxic", F.when(F.xxhash64("doc_id") < -(1 << 60), F.lit(0)).otherwise(F.col("toxic")))
+    scores = toxicity.toxicity(docs, none, most_rows=150).where("held_out").join(none, "doc_id").where("toxic = 1 OR doc_id % 4 > 0").collect()
+    mean = [np.mean([r["score"] for r in scores if r["toxic"] == y]) for y in (0, 1)]
+    assert mean[1] > mean[0] + 0.1, mean
+
+
 def test_gradients_match_differences():
     pages = htmltext.layouts(3, seed=1)
     model = htmltext.Labeller.fresh(3, np.random.default_rng(0))
