@@ -64,10 +64,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back, which ends the lineage on files that outlive executors."""
+def staged(df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    """Write to the shared folder and read back, which ends the lineage on files that outlive executors.
+
+    ``tasks`` bounds the tasks that write, for tables known to be small.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
