@@ -145,16 +145,20 @@ def searched(lines: DataFrame, max_bits: int, intact: int, far_bits: int, crowde
     their ids, their different bits and their numbers of words.
     """
     masks = _masks(max_bits + intact, intact)
-    # Dealt evenly first, as nearly every key is held by one line and sums within a task save little.
     few = lines.where("sim IS NOT NULL").select("line_id", "sim", "n")
     tasks = 1 + few.count() * len(masks) // KEYS
-    rows = few.repartition(tasks, "line_id").select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
-    keyed = rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n")
+
+    def keys(of: DataFrame) -> DataFrame:
+        rows = of.select("line_id", "sim", "n", F.explode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("mask"))
+        return rows.select(F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask"))).alias("key"), "line_id", "sim", "n")
+
+    # Dealt evenly first, as nearly every key is held by one line and sums within a task save little.
+    keyed = keys(few.repartition(tasks, "line_id"))
     ends = [F.min("line_id").alias("a"), F.max("line_id").alias("b"), F.bit_xor("sim").alias("x"), F.min("n").alias("low"), F.max("n").alias("high")]
     held = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("held"), *ends).where("held > 1"), "keys")
     two = held.where((F.col("held") == 2) & (F.bit_count("x") <= far_bits) & (F.col("low") >= least * F.col("high")) & (F.col("a") != F.col("b"))).select("a", "b")
     more = held.where("held > 2").select(F.col("key").alias("k"), "held")
-    several = staged(keyed.join(_sent(more), F.col("key") == F.col("k")).drop("k"), "several")
+    several = staged(keys(few).join(_sent(more), F.col("key") == F.col("k")).drop("k"), "several")
     few = several.where(F.col("held") <= crowded).drop("held")
     met = few.join(_other(few), F.col("key") == F.col("k")).where((F.col("line_id") < F.col("b")) & _near(far_bits, least)).select(F.col("line_id").alias("a"), "b")
     pairs = staged(two.union(met).distinct(), "pairs")
@@ -198,14 +202,16 @@ def _paired_signs(words: Column, both: Column) -> Column:
     return word_signs(F.transform(words, lambda w: F.array_position(both, w).cast("long")))
 
 
-def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, words: DataFrame, least: float, others: DataFrame | None = None) -> DataFrame:
     """The pairs with an edit similarity of at least ``least``: one less the edits of words over the longer line's words.
 
+    ``words`` has the lines ``a``, ``others`` (``words`` unless given) the lines ``b``.
+
     An edit takes away one word at most, so lines that differ in too many words are told apart without alignment. Where
     two different words of a pair have the same sign, the pair is aligned by signs of its own.
     """
     one = words.select(F.col("line_id").alias("a"), F.col("signs").alias("x"), F.col("hashes").alias("_xs"))
-    other = words.select(F.col("line_id").alias("b"), F.col("signs").alias("y"), F.col("hashes").alias("_ys"))
+    other = (words if others is None else others).select(F.col("line_id").alias("b"), F.col("signs").alias("y"), F.col("hashes").alias("_ys"))
     longer = F.greatest(F.size("_xs"), F.size("_ys"))
     allowed = F.floor(longer * (1 - least) + 1e-9).cast("int")
     few = (F.size(F.array_except("_xs", "_ys")) <= allowed) & (F.size(F.array_except("_ys", "_xs")) <= allowed)
@@ -218,12 +224,19 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
 
 def _words_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``line_id, hashes, signs`` of the wanted lines (``line_id, at``), each from the place ``at``."""
+    """``line_id, left, right, hashes, signs`` of the wanted lines (``line_id, left, right, at``), each from the place ``at``."""
     placed = lines.where("sim IS NOT NULL").select(F.xxhash64("doc", "body", "pos").alias("place"), "norm")
     # Rows of the same id and text have the same places.
-    found = placed.join(_sent(wanted), F.col("place") == F.col("at")).select("line_id", "norm").distinct()
-    hashed = found.select("line_id", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("hashes"))
-    return hashed.select("line_id", "hashes", word_signs(F.col("hashes")).alias("signs"))
+    found = placed.join(_sent(wanted), F.col("place") == F.col("at")).select("line_id", "left", "right", "norm").distinct()
+    hashed = found.select("line_id", "left", "right", F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    return hashed.select("line_id", "left", "right", "hashes", word_signs(F.col("hashes")).alias("signs"))
+
+
+def _crossed(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose lines are not in one group of ``roots`` (``node, root``)."""
+    of = lambda c, name: roots.select(F.col("node").alias(f"_{c}"), F.col("root").alias(name))
+    met = pairs.join(of("a", "_ra"), F.col("a") == F.col("_a"), "left").join(of("b", "_rb"), F.col("b") == F.col("_b"), "left")
+    return met.where(F.coalesce("_ra", "a") != F.coalesce("_rb", "b")).select("a", "b")
 
 
 def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
@@ -233,19 +246,29 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     each = lines.select("line_id", "sim", "n", F.xxhash64("doc", "body", "pos").alias("at"))
     distinct = staged(each.groupBy("line_id").agg(F.max("sim").alias("sim"), F.max("n").alias("n"), F.min("at").alias("at"), F.count(F.lit(1)).alias("held")), "distinct")
     pairs, crowd = searched(distinct.select("line_id", "sim", "n"), max_bits, intact, far_bits, crowded, least)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line_id")).union(crowd.select("line_id")).distinct()
-    wanted = staged(distinct.join(wanted, "line_id", "left_semi").select("line_id", "at"), "wanted")
+    # Every line with the first one it is paired with, and those of a crowded key with its first: what these link needs no other pair.
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    crowded_keys = not crowd.isEmpty()
+    first = staged(first.union(_stars(crowd, far_bits, least)).distinct() if crowded_keys else first, "first")
+    side = lambda of, c, left, right: of.select(F.col(c).alias("line_id"), F.lit(left).alias("left"), F.lit(right).alias("right"))
+    sides = reduce(DataFrame.union, (side(first, "a", True, False), side(first, "b", False, True), side(pairs, "a", False, False), side(crowd, "line_id", False, False)))
+    wanted = sides.groupBy("line_id").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    wanted = staged(distinct.select("line_id", "at").join(wanted, "line_id"), "wanted")
     words = staged(_words_of(lines, wanted), "words")
-    spent = [pairs, crowd, wanted, words]
-    if crowd.isEmpty():
-        roots = components(_verified(pairs, words, least), "a", "b")
-    else:
-        # Lines already linked, mostly through the first line of their key, need no comparison with each other.
-        roots = components(_verified(pairs.union(_stars(crowd, far_bits, least)).distinct(), words, least), "a", "b")
+    roots = components(_verified(first, words.where("left"), least, words.where("right")), "a", "b")
+    crossed = staged(_crossed(pairs, roots), "crossed")
+    spent = [pairs, crowd, first, wanted, words, crossed]
+    rest = crossed
+    if crowded_keys:
         rooted = staged(crowd.join(roots, F.col("line_id") == F.col("node"), "left").select("key", "line_id", "sim", "n", F.coalesce("root", "line_id").alias("root")), "rooted")
-        crossed = staged(crossing(rooted, far_bits, least), "crossing")
-        spent += [rooted, crossed, roots]
-        roots = components(_verified(crossed, words, least).union(roots), "a", "b")
+        crossing_keys = staged(crossing(rooted, far_bits, least), "crossing")
+        spent += [rooted, crossing_keys]
+        rest = crossed.union(crossing_keys).distinct()
+    more = staged(_verified(rest, words, least), "more")
+    spent.append(more)
+    if not more.isEmpty():
+        spent.append(roots)
+        roots = components(more.union(roots), "a", "b")
     held = distinct.select("line_id", "held").join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "held")
     held = staged(held, "classes")
     groups = held.groupBy("root").agg(F.sum("held").alias("all"), F.count(F.lit(1)).alias("lines")).where(F.col("all") > 1).withColumn("of", F.col("lines"))

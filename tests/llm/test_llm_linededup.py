@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
+from indicata.llm import linededup
+from indicata.llm.components import components
 from indicata.llm.linededup import SIGNS, _masks, _verified, candidates, dedup_lines, hashed_lines, line_groups, normal_lines, word_signs
 
 
@@ -64,6 +66,40 @@ def test_groups_of_crowded_keys_match_all_pairs(spark):
     assert wide == narrow and len(wide) == len(texts)
 
 
+def test_pairs_of_linked_lines_are_not_compared_again(spark, monkeypatch):
+    """The words of a line travel to few pairs: of a group, those of every line with its first neighbour."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(3):
+        fixed = rng.choices(words, k=120)
+        texts += [" ".join(w if j != 7 else f"x{k}" for j, w in enumerate(fixed)) for k in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    verified, compared = linededup._verified, []
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(linededup, "_verified", counted)
+    found = {tuple(r) for r in line_groups(docs)[1].select("line_id", "keep.doc").collect()}
+    assert len(found) == len(texts) and {doc for _, doc in found} == {0, 25, 50}
+    assert sum(compared) < 2 * len(texts)
+
+
+def test_few_links_are_not_spread_over_files(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        roots = components(spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b"), "a", "b")
+        assert {(r["node"], r["root"]) for r in roots.collect()} == {(k, 0) for k in range(1, 200)}
+        assert len(roots.inputFiles()) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_masks_keep_blocks_whole():
     assert len(_masks(5, 2)) == 10 and all(m.bit_count() >= 25 for m in _masks(5, 2))
 
