@@ -27,6 +27,8 @@ UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 EARLY = r"\u0000-\u0DFF"
 #: Words whose votes are counted at once: eight numbers of seven bits stand in one long, so eight longs count 64 bits.
 SLICE, LANE, ONES = 127, 8, 0x0101010101010101
+#: Different words of a line whose votes are added bit by bit, by compiled code without a loop; longer lines are counted by slices.
+UNROLLED = 126
 #: Lines of a crowded key that meet all lines of the key in one task.
 SLOT = 1024
 #: Keys, lines or texts whose numbers are sent to the tasks; more are joined by a shuffle.
@@ -49,8 +51,10 @@ def normal_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     apart = (F.octet_length("_text") > F.char_length("_text")) & F.col("_text").rlike(f"[^{EARLY}]")
     spaced = F.when(apart, F.regexp_replace(small, f"({UNSPACED})", " $1 ")).otherwise(small)
     plain = F.regexp_replace(spaced, f"[{BETWEEN}]+", " ")
-    # The outer form: for the inner one the optimizer adds a filter that splits every text a second time.
-    lines = texts.select("doc", F.xxhash64("_text").alias("body"), F.posexplode_outer(F.split(plain, "\n")).alias("pos", "line"))
+    # Hashed below the split, or a text would be hashed for each of its lines. The outer form: for the inner one the optimizer
+    # adds a filter that splits every text a second time.
+    whole = texts.select("doc", F.xxhash64("_text").alias("body"), F.split(plain, "\n").alias("_lines"))
+    lines = whole.select("doc", "body", F.posexplode_outer("_lines").alias("pos", "line"))
     return lines.select("doc", "body", "pos", F.btrim("line").alias("norm"))
 
 
@@ -63,11 +67,40 @@ def _counts(hashes: Column) -> Column:
     return F.aggregate(hashes, F.array(*(F.lit(0).cast("long") for _ in range(LANE))), added)
 
 
-def _more_than(counts: Column, limit: Column) -> Column:
-    """The bits counted more than ``limit`` times: a lane that gets 63 - limit on top reaches 64 exactly then."""
-    bias = (F.lit(63) - limit).cast("long") * F.lit(ONES)
-    reached = (F.shiftrightunsigned(F.get(counts, F.lit(j)) + bias, 6).bitwiseAND(F.lit(ONES)) for j in range(LANE))
-    return reduce(lambda x, y: x.bitwiseOR(y), (F.shiftleft(r, j) for j, r in enumerate(reached)))
+def _full(a: Column, b: Column, c: Column) -> tuple[Column, Column]:
+    """Three numbers added bit by bit: the bits of weight one and those of weight two."""
+    odd = a.bitwiseXOR(b)
+    return odd.bitwiseXOR(c), a.bitwiseAND(b).bitwiseOR(odd.bitwiseAND(c))
+
+
+def _seven(a: Column, b: Column, c: Column, d: Column, e: Column, f: Column, g: Column) -> tuple[Column, Column, Column]:
+    """The same for seven numbers: bits of weight one, two and four."""
+    one, x = _full(a, b, c)
+    one, y = _full(one, d, e)
+    one, z = _full(one, f, g)
+    return one, *_full(x, y, z)
+
+
+def _added(planes: list[list[Column]]) -> list[list[Column]]:
+    """The numbers of every weight (one, two, four, ...) added in groups; what they sum up to stays, there are fewer."""
+    out: list[list[Column]] = [[] for _ in range(len(planes) + 2)]
+    for k, numbers in enumerate(planes):
+        while numbers:
+            size = next(s for s in (7, 3, 2, 1) if len(numbers) >= s)
+            group, numbers = numbers[:size], numbers[size:]
+            sums = {7: _seven, 3: _full, 2: lambda a, b: (a.bitwiseXOR(b), a.bitwiseAND(b)), 1: lambda a: (a,)}[size](*group)
+            for up, number in enumerate(sums):
+                out[k + up].append(number)
+    return out[: UNROLLED.bit_length()]
+
+
+def _exceeds(planes: list[Column], limit: Column) -> Column:
+    """The bits whose count, given by one number for each weight, is above ``limit``."""
+    above = F.lit(0).cast("long")
+    for k, bits in enumerate(planes):
+        unset = (F.shiftright(limit, k).bitwiseAND(F.lit(1)) - 1).cast("long")
+        above = bits.bitwiseAND(unset).bitwiseOR(bits.bitwiseOR(unset).bitwiseAND(above))
+    return above
 
 
 def _majority(slices: Column, n: Column) -> Column:
@@ -90,16 +123,22 @@ def hashed_lines(lines: DataFrame, min_words: int) -> DataFrame:
     split = lines.where("norm != ''").withColumn("_w", F.split("norm", " "))
     enough = F.size("_w") >= min_words
     hashed = split.withColumns({"n": F.size("_w"), "line_id": F.xxhash64("norm"), "_h": F.when(enough, F.array_distinct(F.transform("_w", lambda w: F.xxhash64(w))))})
-    one = F.size("_h") <= SLICE
-    counted = hashed.withColumns(
-        {
-            "_m": F.size("_h"),
-            "_one": F.when(one, _counts(F.col("_h"))),
-            "_all": F.when(~one, F.transform(F.sequence(F.lit(1), F.size("_h"), F.lit(SLICE)), lambda start: _counts(F.slice("_h", start, F.lit(SLICE))))),
-        }
-    )
-    sim = F.when(one, _more_than(F.col("_one"), F.floor(F.col("_m") / 2).cast("int"))).when(~one, _majority(F.col("_all"), F.col("_m")))
-    return counted.select("doc", "body", "pos", "line_id", "n", sim.alias("sim"), F.when(enough, F.col("norm")).alias("norm"))
+    one = F.size("_h") <= UNROLLED
+    long = F.transform(F.sequence(F.lit(1), F.size("_h"), F.lit(SLICE)), lambda start: _counts(F.slice("_h", start, F.lit(SLICE))))
+    kept = ["doc", "body", "pos", "line_id", "n", "norm", "_m"]
+    planes = _added([[F.coalesce(F.get("_h", F.lit(at)), F.lit(0).cast("long")) for at in range(UNROLLED)]])
+    first, counted = [F.size("_h").alias("_m"), F.when(~one, long).alias("_all")], hashed
+    # Every round of additions is a projection of its own, so that no number is computed for each of its uses.
+    while True:
+        named = [[number.alias(f"_p{k}_{i}") for i, number in enumerate(numbers)] for k, numbers in enumerate(planes)]
+        counted = counted.select(*(kept[:-1] if first else [*kept, "_all"]), *first, *(number for numbers in named for number in numbers))
+        first, planes = [], [[F.col(f"_p{k}_{i}") for i in range(len(numbers))] for k, numbers in enumerate(planes)]
+        if all(len(numbers) <= 1 for numbers in planes):
+            break
+        planes = _added(planes)
+    limit = F.floor(F.col("_m") / 2).cast("int")
+    sim = F.when(F.col("_m") <= UNROLLED, _exceeds([numbers[0] for numbers in planes], limit)).when(F.col("_m") > UNROLLED, _majority(F.col("_all"), F.col("_m")))
+    return counted.select("doc", "body", "pos", "line_id", "n", sim.alias("sim"), F.when(F.col("n") >= min_words, F.col("norm")).alias("norm"))
 
 
 def word_signs(hashes: Column) -> Column:
@@ -239,9 +278,9 @@ def _crossed(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return met.where(F.coalesce("_ra", "a") != F.coalesce("_rb", "b")).select("a", "b")
 
 
-def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
-    """All lines with words (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
-    (``line_id, keep, held``): the first by document id, text hash and place; ``held`` is how often the line stands."""
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, least: float = 0.8, max_bits: int = 3, far_bits: int = 10, intact: int = 2, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
+    """All lines with words (``doc, body, pos, line_id``), and those that stand several times or have a like line
+    (``line_id, root, held, lines``): their group, how often the line stands and the number of lines in the group."""
     lines = staged(hashed_lines(normal_lines(docs, doc_id, text), min_words), "lines")
     each = lines.select("line_id", "sim", "n", F.xxhash64("doc", "body", "pos").alias("at"))
     distinct = staged(each.groupBy("line_id").agg(F.max("sim").alias("sim"), F.max("n").alias("n"), F.min("at").alias("at"), F.count(F.lit(1)).alias("held")), "distinct")
@@ -252,12 +291,12 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     first = staged(first.union(_stars(crowd, far_bits, least)).distinct() if crowded_keys else first, "first")
     side = lambda of, c, left, right: of.select(F.col(c).alias("line_id"), F.lit(left).alias("left"), F.lit(right).alias("right"))
     sides = reduce(DataFrame.union, (side(first, "a", True, False), side(first, "b", False, True), side(pairs, "a", False, False), side(crowd, "line_id", False, False)))
-    wanted = sides.groupBy("line_id").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    wanted = staged(distinct.select("line_id", "at").join(wanted, "line_id"), "wanted")
+    needed = staged(sides.groupBy("line_id").agg(F.max("left").alias("left"), F.max("right").alias("right")), "needed")
+    wanted = staged(distinct.select("line_id", "at").join(_sent(needed), "line_id"), "wanted")
     words = staged(_words_of(lines, wanted), "words")
     roots = components(_verified(first, words.where("left"), least, words.where("right")), "a", "b")
     crossed = staged(_crossed(pairs, roots), "crossed")
-    spent = [pairs, crowd, first, wanted, words, crossed]
+    spent = [pairs, crowd, first, needed, wanted, words, crossed]
     rest = crossed
     if crowded_keys:
         rooted = staged(crowd.join(roots, F.col("line_id") == F.col("node"), "left").select("key", "line_id", "sim", "n", F.coalesce("root", "line_id").alias("root")), "rooted")
@@ -269,15 +308,36 @@ def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     if not more.isEmpty():
         spent.append(roots)
         roots = components(more.union(roots), "a", "b")
-    held = distinct.select("line_id", "held").join(roots, F.col("line_id") == F.col("node"), "left").select("line_id", F.coalesce("root", "line_id").alias("root"), "held")
-    held = staged(held, "classes")
-    groups = held.groupBy("root").agg(F.sum("held").alias("all"), F.count(F.lit(1)).alias("lines")).where(F.col("all") > 1).withColumn("of", F.col("lines"))
-    members = staged(dealt_join(held, groups.drop("all"), ["root"], "of").where("lines IS NOT NULL"), "members")
-    for table in [*spent, distinct, roots, held]:
+    # All other lines stand once and alone; they go before anything is joined.
+    grouped = staged(roots.select("node", "root").union(roots.select(F.col("root").alias("node"), "root").distinct()), "grouped")
+    held = distinct.select("line_id", "held").join(_sent(grouped), F.col("line_id") == F.col("node"), "left").where("root IS NOT NULL OR held > 1")
+    held = staged(held.select("line_id", F.coalesce("root", "line_id").alias("root"), "held"), "classes")
+    groups = staged(held.groupBy("root").agg(F.count(F.lit(1)).alias("lines")).withColumn("of", F.col("lines")), "sizes")
+    members = staged(dealt_join(held, groups, ["root"], "of"), "members")
+    for table in [*spent, distinct, roots, grouped, held, groups]:
         drop_staged(table)
-    place = F.struct("doc", "body", "pos")
-    places = dealt_join(lines.select("doc", "body", "pos", "line_id"), members, ["line_id"], "held").where("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("keep"), F.max("lines").alias("of"))
-    return lines, staged(dealt_join(members, places, ["root"], "of").select("line_id", "keep", "held"), "groups")
+    return lines, members
+
+
+def occurrences(lines: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where the lines of ``members`` stand (``place, root, lines``), and for every group the place that stays, its places and lines
+    (``root, keep, places, of``): the first by document id, text hash and place in the text."""
+    place = F.struct("doc", "body", "pos").alias("place")
+    seen = dealt_join(lines.select("doc", "body", "pos", "line_id"), members, ["line_id"], "held").where("root IS NOT NULL")
+    seen = staged(seen.select(place, "root", "lines"), "places")
+    kept = seen.groupBy("root").agg(F.min("place").alias("keep"), F.count(F.lit(1)).alias("places"), F.max("lines").alias("of"))
+    return seen, staged(kept, "kept")
+
+
+def line_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> tuple[DataFrame, DataFrame]:
+    """All lines with words (``doc, body, pos, line_id``), and of every group of several the occurrence that stays
+    (``line_id, keep, held``): the first by document id, text hash and place; ``held`` is how often the line stands."""
+    lines, members = repeated_lines(docs, doc_id, text, **options)
+    seen, kept = occurrences(lines, members)
+    groups = staged(dealt_join(members, kept.select("root", "keep", "of"), ["root"], "of").select("line_id", "keep", "held"), "groups")
+    for table in (members, seen, kept):
+        drop_staged(table)
+    return lines, groups
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -287,13 +347,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     wherever they are. A text that loses no line comes back as it was, null
     included; one that loses all of them is empty. Rows equal in id and text are one occurrence and lose the same lines.
     """
-    lines, groups = line_groups(docs, doc_id, text, **options)
-    repeated = dealt_join(lines.select("doc", "body", "pos", "line_id"), groups, ["line_id"], "held").where("keep IS NOT NULL")
-    place = F.struct("doc", "body", "pos")
-    gone = repeated.where(~place.eqNullSafe(F.col("keep"))).groupBy(F.col("doc").alias("_doc"), F.col("body").alias("_body")).agg(F.collect_set("pos").alias("_gone"))
-    gone = staged(gone, "gone")
-    drop_staged(lines)
-    drop_staged(groups)
+    lines, members = repeated_lines(docs, doc_id, text, **options)
+    seen, kept = occurrences(lines, members)
+    repeated = dealt_join(seen.select("place", "root"), kept.drop("of"), ["root"], "places").where(~F.col("place").eqNullSafe(F.col("keep")))
+    gone = staged(repeated.groupBy(F.col("place.doc").alias("_doc"), F.col("place.body").alias("_body")).agg(F.collect_set("place.pos").alias("_gone")), "gone")
+    for table in (lines, members, seen, kept):
+        drop_staged(table)
     results = ("n_lines", "n_removed")
     body = text_or_empty(f"`{text}`")
     rows = docs.select(packed(docs, text, *results), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"), F.xxhash64(body).alias("_own"))

@@ -22,6 +22,39 @@ def test_simhash_matches_plain_votes(spark):
         assert found[k][0] == len(text.split()) and found[k][1] % (1 << 64) == wanted
 
 
+def test_votes_of_every_number_of_words(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"{rng.choice('abcdefgh')}{k}" for k in range(n)) for n in range(5, 140)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc"]: r["sim"] for r in hashed_lines(normal_lines(docs, "doc_id", "text"), 5).collect()}
+    for k, text in enumerate(texts):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split()]
+        assert found[k] % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_lines_that_stand_alone_are_joined_once(spark, monkeypatch):
+    """All lines meet the repeated ones in one join; the classes and the places that go are found among these alone."""
+    texts = [f"word{k} stands here with number {k * k} alone\n{LINE}" if k < 4 else f"word{k} stands here with number {k * k} alone" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    joined, rows = linededup.dealt_join, []
+
+    def counted(left, *rest):
+        rows.append(left.count())
+        return joined(left, *rest)
+
+    monkeypatch.setattr(linededup, "dealt_join", counted)
+    found = {r["doc_id"]: r["n_removed"] for r in dedup_lines(docs).collect()}
+    assert found == {k: int(0 < k < 4) for k in range(60)}
+    assert sum(n >= 60 for n in rows) == 1 and len(rows) > 1
+
+
+def test_texts_are_hashed_once_a_row(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b\nc d")], "doc_id long, text string")
+    normal_lines(docs, "doc_id", "text").explain()
+    plan = capsys.readouterr().out
+    assert plan.index("posexplode") < plan.index("xxhash64")  # parents are printed first
+
+
 def test_every_pair_within_the_bits_is_a_candidate(spark):
     rng = random.Random(2)
     centre = [rng.getrandbits(64) for _ in range(8)]
